@@ -10,13 +10,18 @@ from pyspark.sql import functions as F
 LOCAL_ZONE = "Asia/Kolkata"
 
 
+# Only text that begins like a year is cast: a failing try_cast builds an error object per row.
+_YEAR_FIRST = r"^[+-]?[0-9]{4}"
+
+
 def timestamp_from_text(c: Column) -> Column:
     """Blank or unreadable text gives NULL; callers report unreadable rows apart."""
-    return F.nullif(F.trim(c), F.lit("")).try_cast("timestamp_ntz")
+    t = F.trim(c)
+    return F.when(t.rlike(_YEAR_FIRST), t.try_cast("timestamp_ntz"))
 
 
 def date_from_text(c: Column) -> Column:
-    return F.nullif(F.trim(c), F.lit("")).try_cast("timestamp_ntz").cast("date")
+    return timestamp_from_text(c).cast("date")
 
 
 def two_digit_century(d: Column, pivot: int) -> Column:
@@ -28,12 +33,15 @@ def date_day_first(c: Column) -> Column:
     """25/12/2024, 25-12-2024, 25.12.24; years 70..99 are in the 1900s."""
     dashed = F.regexp_replace(F.trim(c), r"[/.]", "-")
     short = two_digit_century(F.try_to_date(dashed, "d-M-yy"), 70)
-    return F.coalesce(F.try_to_date(dashed, "d-M-yyyy"), short)
+    return F.when(dashed.rlike(r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"), F.try_to_date(dashed, "d-M-yyyy")).when(
+        dashed.rlike(r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$"), short
+    )
 
 
 def date_month_name(c: Column) -> Column:
     """5-jan-24; years 69..99 are in the 1900s."""
-    return two_digit_century(F.try_to_date(c, "d-MMM-yy"), 69)
+    shaped = F.when(c.rlike(r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{2}$"), c)
+    return two_digit_century(F.try_to_date(shaped, "d-MMM-yy"), 69)
 
 
 def weekday_name(d: Column) -> Column:

@@ -2,60 +2,74 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _DOC = "map<string,variant>"
 
 
-def _entries(doc: Column) -> Column:
-    return F.from_json(doc, _DOC)
+def build_object(**fields: Column) -> Column:
+    """One JSON object; a NULL field is written as null."""
+    return F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()]), {"ignoreNullFields": "false"})
 
 
-def _single(key: str, value: Column) -> Column:
-    return F.create_map(F.lit(key), value)
+def _text(entries: Column, key: str) -> Column:
+    return F.try_variant_get(F.try_element_at(entries, F.lit(key)), "$", "string")
 
 
-def build_object(**fields: Column) -> Column:
-    """One JSON object; a NULL field is written as null."""
-    return F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()]), {"ignoreNullFields": "false"})
+def _put(entries: Column, key: str, value: Column, drop: tuple[str, ...] = ()) -> Column:
+    gone = (key, *drop)
+    rest = F.map_filter(entries, lambda k, _: ~k.isin(*gone))
+    return F.map_concat(rest, F.create_map(F.lit(key), value))
+
+
+def _edited(doc: Column, change: Callable[[Column], Column]) -> Column:
+    """The document after a change of its entries, or as it was where the change gives NULL.
+
+    The one-element array lets the change use the parsed entries more than once for one parse.
+    """
+    parsed = F.array(F.from_json(doc, _DOC))
+    return F.coalesce(F.try_element_at(F.transform(parsed, lambda m: F.to_json(change(m))), F.lit(1)), doc)
 
 
 def text_value(doc: Column, key: str) -> Column:
     """The value as text; JSON null and a missing key give NULL."""
-    return F.try_variant_get(F.try_element_at(_entries(doc), F.lit(key)), "$", "string")
+    return _text(F.from_json(doc, _DOC), key)
 
 
 def has_key(doc: Column, key: str) -> Column:
-    return F.coalesce(F.map_contains_key(_entries(doc), F.lit(key)), F.lit(False))
-
-
-def _put(entries: Column, key: str, value: Column, drop: tuple[str, ...] = ()) -> Column:
-    gone = (key, *drop)
-    rest = F.map_filter(entries, lambda k, _: ~k.isin(*gone))
-    return F.map_concat(rest, _single(key, value))
+    return F.coalesce(F.map_contains_key(F.from_json(doc, _DOC), F.lit(key)), F.lit(False))
 
 
 def rename_keys(doc: Column, renames: dict[str, str]) -> Column:
     """Rename in the given order; documents without the key stay as they are."""
+
+    def renamed(old: str, new: str) -> Callable[[Column], Column]:
+        return lambda m: F.when(
+            F.map_contains_key(m, F.lit(old)), _put(m, new, F.try_element_at(m, F.lit(old)), drop=(old,))
+        )
+
     for old, new in renames.items():
-        entries = _entries(doc)
-        moved = F.to_json(_put(entries, new, F.try_element_at(entries, F.lit(old)), drop=(old,)))
-        doc = F.when(has_key(doc, old), moved).otherwise(doc)
+        doc = _edited(doc, renamed(old, new))
     return doc
 
 
-def set_text(doc: Column, key: str, value: Column) -> Column:
-    """Replace one value by text; a NULL value leaves the document alone."""
-    changed = F.to_json(_put(_entries(doc), key, value.cast("variant")))
-    return F.when(has_key(doc, key) & value.isNotNull(), changed).otherwise(doc)
+def trim_value(doc: Column, key: str) -> Column:
+    """Trim one value as text; JSON null stays null."""
 
+    def trimmed(m: Column) -> Column:
+        value = _text(m, key)
+        return F.when(value.isNotNull(), _put(m, key, F.trim(value).cast("variant")))
 
-def trim_value(doc: Column, key: str) -> Column:
-    return set_text(doc, key, F.trim(text_value(doc, key)))
+    return _edited(doc, trimmed)
 
 
 def replace_value(doc: Column, key: str, pattern: str, replacement: str) -> Column:
     """Set the value where its text matches the case-insensitive pattern."""
-    hit = F.coalesce(F.ilike(text_value(doc, key), F.lit(pattern)), F.lit(False))
-    return F.when(hit, set_text(doc, key, F.lit(replacement))).otherwise(doc)
+
+    def replaced(m: Column) -> Column:
+        return F.when(F.ilike(_text(m, key), F.lit(pattern)), _put(m, key, F.lit(replacement).cast("variant")))
+
+    return _edited(doc, replaced)

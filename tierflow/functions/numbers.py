@@ -9,15 +9,23 @@ from pyspark.sql import functions as F
 STATUS_MARKS = {"under review": 30, "reviewed": 100, "rejected": 80}
 
 
+# Text that is a number, and integers that fit without looking at their value. Casts run only on text
+# known to fit: a failing try_cast builds an error object per row.
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_SHORT_INTEGER = r"^[+-]?[0-9]{1,9}$"
+_INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
+
+
 def int_from_double(c: Column) -> Column:
     """Half-even, as the SQL database rounds a double; out of range gives NULL."""
-    return F.bround(c, 0).try_cast("int")
+    rounded = F.bround(c, 0)
+    return F.when(rounded.between(_INT_MIN, _INT_MAX), rounded.cast("int"))
 
 
 def int_from_text(c: Column) -> Column:
     """A number as an integer, '12.5' rounded like a double; other text gives NULL."""
     t = F.trim(c)
-    return F.coalesce(t.try_cast("int"), int_from_double(t.try_cast("double")))
+    return F.when(t.rlike(_SHORT_INTEGER), t.cast("int")).when(t.rlike(_NUMBER), int_from_double(t.cast("double")))
 
 
 def int_from_decimal(c: Column) -> Column:
@@ -51,5 +59,5 @@ def repeat_pct(submissions: Column) -> Column:
 
 def year_of_study(text: Column, duration: Column) -> Column:
     """Digits in the text, 1 without any, at most the course duration."""
-    digits = F.nullif(F.regexp_replace(text, r"[^0-9]", ""), F.lit(""))
-    return F.least(F.coalesce(digits.try_cast("int"), F.lit(1)), duration)
+    digits = F.regexp_replace(text, r"[^0-9]", "")
+    return F.least(F.coalesce(F.when(digits.rlike(_SHORT_INTEGER), digits.cast("int")), F.lit(1)), duration)

@@ -16,14 +16,5 @@ def may_be_null(df: DataFrame, keys: list[str]) -> bool:
     return any(df.schema[k].nullable for k in keys)
 
 
-def null_spread(df: DataFrame, keys: list[str]) -> Column:
-    """0 for complete keys, else a value that differs between rows and partitions.
-
-    As an extra equi-join column it scatters rows with a NULL key, which never match anyway, over
-    all tasks. Both parts are the same when a lost task runs again.
-    """
-    return F.when(any_null(keys), F.xxhash64(F.spark_partition_id(), *df.columns)).otherwise(F.lit(0))
-
-
 def same_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[a] == right[b] for a, b in pairs])

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import local_now
 from .dedupe import dedupe_keep_last
-from .keyspace import any_null, may_be_null, null_spread, same_keys
+from .keyspace import any_null, may_be_null, same_keys
 
 
 @dataclass(frozen=True)
@@ -27,23 +27,17 @@ class Audit:
 
 
 def _one_source_row(source: DataFrame, keys: list[str], on_dup: str, order_by: list[str] | None) -> DataFrame:
+    """Complete-key rows with one row per key; the window is hashed by the key, as the join after it."""
     if on_dup == "unique":
         return source
     if on_dup == "last":
-        return dedupe_keep_last(source, keys, order_by or source.columns)
+        return dedupe_keep_last(source, keys, order_by or source.columns, null_keys="equal")
     if on_dup != "raise":
         raise ValueError(f"on_dup must be 'raise', 'last' or 'unique', not {on_dup!r}")
-    rest = [c for c in source.columns if c not in keys]
-    complete = source.filter(~any_null(keys)) if may_be_null(source, keys) else source
-    grouped = complete.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(0).alias("_"), *rest)).alias("_row")
-    )
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     message = F.concat(F.lit("merge key occurs twice in the source: "), F.to_json(F.struct(*keys)))
-    checked = grouped.filter(F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(True))
-    single = checked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*source.columns)
-    if complete is source:
-        return single
-    return single.unionByName(source.filter(any_null(keys)))
+    checked = F.when(F.col("_rank") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    return source.withColumn("_rank", rank).filter(checked).drop("_rank")
 
 
 def upsert(
@@ -80,42 +74,49 @@ def upsert(
         raise ValueError(f"source columns the target lacks: {extra}; use add_column first")
     shared = [c for c in source.columns if c in target.columns and c not in keys]
     updated = set(shared if update_cols is None else update_cols)
-    rows = _one_source_row(source, keys, on_dup, order_by).select(*keys, *shared)
 
+    # Rows with a NULL key match nothing: they stay out of the join and its shuffle on both sides.
+    source_nulls = source.filter(any_null(keys)) if may_be_null(source, keys) else None
+    target_nulls = target.filter(any_null(keys)) if may_be_null(target, keys) else None
+    complete = source if source_nulls is None else source.filter(~any_null(keys))
+    existing = target if target_nulls is None else target.filter(~any_null(keys))
+
+    rows = _one_source_row(complete, keys, on_dup, order_by).select(*keys, *shared)
     incoming = rows.select(*[F.col(c).alias(f"_s_{c}") for c in rows.columns], F.lit(True).alias("_in_source"))
-    existing = target.withColumn("_in_target", F.lit(True))
+    present = existing.withColumn("_in_target", F.lit(True))
     pairs = [(k, f"_s_{k}") for k in keys]
-    matched = F.col("_in_target") & F.col("_in_source")
-    fresh = F.col("_in_target").isNull()
 
-    def column(c: str) -> Column:
-        t = F.col(c)
+    def merged(c: str) -> Column:
+        old, is_new = F.col(c), F.col("_in_target").isNull()
+        touched = is_new | F.col("_in_source") if c in updated or (audit and c == audit.updated) else is_new
         if c in keys:
-            return F.coalesce(t, F.col(f"_s_{c}").cast(target.schema[c].dataType)).alias(c)
+            return F.coalesce(old, F.col(f"_s_{c}").cast(target.schema[c].dataType)).alias(c)
         if c in stamps:
-            touched = fresh | F.col("_in_source") if c == audit.updated else fresh
-            return F.when(touched, audit.stamp()).otherwise(t).alias(c)
-        if c not in shared:
-            return t
-        s = F.col(f"_s_{c}").cast(target.schema[c].dataType)
-        return F.when(fresh | matched if c in updated else fresh, s).otherwise(t).alias(c)
-
-    columns = [column(c) for c in target.columns]
+            return F.when(touched, audit.stamp()).otherwise(old).alias(c)
+        if c in shared:
+            return F.when(touched, F.col(f"_s_{c}").cast(target.schema[c].dataType)).otherwise(old).alias(c)
+        return old
+
+    def inserted(df: DataFrame, prefix: str = "") -> DataFrame:
+        def value(c: str) -> Column:
+            if c in stamps:
+                return audit.stamp()
+            return F.col(prefix + c) if c in keys or c in shared else F.lit(None)
+
+        return df.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
+
     if small_source:
-        kept = existing.join(incoming, same_keys(existing, incoming, pairs), "left").select(*columns)
-        known = target.select(*keys)
-        absent = incoming.join(
-            known, same_keys(incoming, known, [(f"_s_{k}", k) for k in keys]), "left_anti"
-        )
-        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema]
-        new = absent.select("*", *nulls, F.lit(None).cast("boolean").alias("_in_target")).select(*columns)
-        return kept.unionByName(new)
-    if may_be_null(target, keys) or may_be_null(rows, keys):
-        existing = existing.withColumn("_spread", null_spread(existing, keys))
-        source_keys = [f"_s_{k}" for k in keys]
-        incoming = incoming.withColumn("_s_spread", null_spread(incoming, source_keys))
-        pairs = [*pairs, ("_spread", "_s_spread")]
-    return existing.join(incoming, same_keys(existing, incoming, pairs), "full_outer").select(*columns)
+        kept = present.join(incoming, same_keys(present, incoming, pairs), "left")
+        result = kept.select(*[merged(c) for c in target.columns])
+        known = existing.select(*keys)
+        absent = incoming.join(known, same_keys(incoming, known, [(s, k) for k, s in pairs]), "left_anti")
+        result = result.unionByName(inserted(absent, "_s_"))
+    else:
+        joined = present.join(incoming, same_keys(present, incoming, pairs), "full_outer")
+        result = joined.select(*[merged(c) for c in target.columns])
+    if target_nulls is not None:
+        result = result.unionByName(target_nulls)
+    return result if source_nulls is None else result.unionByName(inserted(source_nulls))
 
 
 def upsert_in_order(

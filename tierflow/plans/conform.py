@@ -15,6 +15,7 @@ from ..functions import dates, jsondoc, numbers, text
 from ..operators.aggregate import distinct_array
 from ..operators.joins import normalised_join, unnest_text
 from ..operators.merge import Audit, upsert
+from ..operators.sizing import broadcast_if_small
 from ..sources.schemas import (
     LIVE_SESSION_PREFIXES,
     MERGE_KEYS,
@@ -46,7 +47,8 @@ def _people_by_sheet(sheet: DataFrame, cohorts: DataFrame, batch: str | None) ->
 
 
 def _by_email(feed: DataFrame, email: str, people: DataFrame) -> DataFrame:
-    return feed.join(people, feed[email] == people["_email"])
+    """The feed with student and cohort: not shuffled while the people fit a broadcast."""
+    return feed.join(broadcast_if_small(people), F.col(email) == F.col("_email"))
 
 
 def _titled(resources: DataFrame, category: str | None = None) -> DataFrame:
@@ -110,7 +112,7 @@ def _sessions(feed: DataFrame, people: DataFrame, live_sessions: DataFrame) -> D
         F.col("id").alias("session_id"), F.col("code").alias("_code"), F.col("cohort_code").alias("_cohort")
     )
     matched = _by_email(feed, "Email", people).join(
-        live, (F.col("Session_Code") == F.col("_code")) & (F.col("cohort_code") == F.col("_cohort"))
+        broadcast_if_small(live), (F.col("Session_Code") == F.col("_code")) & (F.col("cohort_code") == F.col("_cohort"))
     )
     rows = matched.select(
         "student_id", "session_id", F.col("_seconds").alias("duration_in_sec"), F.col("_watched").alias("watched_on")

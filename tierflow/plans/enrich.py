@@ -15,6 +15,7 @@ from ..operators.aggregate import joined_distinct
 from ..operators.dedupe import dedupe_keep_last
 from ..operators.joins import range_join, unnest
 from ..operators.merge import upsert
+from ..operators.sizing import broadcast_if_small
 from ..sources.schemas import MERGE_KEYS
 
 # Profile columns every enriched table ends with.
@@ -147,7 +148,9 @@ def sessions_in_cohorts(
 
 def daily_weekly_attendance(attendance: DataFrame, sessions: DataFrame, profile: DataFrame) -> DataFrame:
     day: Column = dates.attended_on(F.col("watched_on"), F.col("conducted_on"))
-    facts = attendance.select("student_id", "session_id", "duration_in_sec", "watched_on").join(sessions, "session_id")
+    facts = attendance.select("student_id", "session_id", "duration_in_sec", "watched_on").join(
+        broadcast_if_small(sessions), "session_id"
+    )
     return facts.withColumn("attended_on", day).join(profile, "student_id").select(
         dates.weekday_name(F.col("attended_on")).alias("weekday_name"),
         "student_id", "session_id", F.col("Incubator_Batch").alias("incubator_batch"), "title", "code",
