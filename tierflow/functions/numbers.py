@@ -22,6 +22,10 @@ def int_from_double(c: Column) -> Column:
     return F.when(rounded.between(_INT_MIN, _INT_MAX), rounded.cast("int"))
 
 
+def is_short_integer(c: Column) -> Column:
+    return F.trim(c).rlike(_SHORT_INTEGER)
+
+
 def int_from_text(c: Column) -> Column:
     """A number as an integer, '12.5' rounded like a double; other text gives NULL."""
     t = F.trim(c)

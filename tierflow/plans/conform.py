@@ -90,7 +90,7 @@ def conform_assignments(
 
 
 def _whole_or_null(c: Column) -> Column:
-    return c.isNull() | numbers.int_from_text(c).isNotNull()
+    return c.isNull() | numbers.is_short_integer(c) | numbers.int_from_text(c).isNotNull()
 
 
 def _date_or_null(c: Column) -> Column:
@@ -112,7 +112,7 @@ def _sessions(feed: DataFrame, people: DataFrame, live_sessions: DataFrame) -> D
         F.col("id").alias("session_id"), F.col("code").alias("_code"), F.col("cohort_code").alias("_cohort")
     )
     matched = _by_email(feed, "Email", people).join(
-        broadcast_if_small(live), (F.col("Session_Code") == F.col("_code")) & (F.col("cohort_code") == F.col("_cohort"))
+        live, (F.col("Session_Code") == F.col("_code")) & (F.col("cohort_code") == F.col("_cohort"))
     )
     rows = matched.select(
         "student_id", "session_id", F.col("_seconds").alias("duration_in_sec"), F.col("_watched").alias("watched_on")

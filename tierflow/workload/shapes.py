@@ -93,19 +93,12 @@ def session_feed(t: Tables) -> DataFrame:
 
 
 def live_sessions(t: Tables) -> DataFrame:
-    """One session per code and cohort that an event's next user belongs to."""
-    cohorts = t.customer.selectExpr(
-        "c_custkey as _k", "c_nationkey as _n", "concat('INC', lpad(cast(c_nationkey as string), 3, '0')) as cohort_code"
-    )
-    events = t.events.selectExpr(
-        "user_id + 1 as _k", "cast(get_json_object(props, '$.k') as int) as k",
-        "case event_type when 'view' then 'SUK' when 'click' then 'WS' when 'error' then 'MC' else 'EX' end as kind",
+    """Parts as sessions: the size gives kind and day, the key gives number and cohort."""
+    return t.part.selectExpr(
+        "cast(p_partkey as int) as id", "concat('INC', lpad(cast(p_partkey % 25 as string), 3, '0')) as cohort_code",
+        "concat(case p_size % 3 when 0 then 'SUK' when 1 then 'WS' else 'MC' end, p_partkey % 100) as code",
+        "p_name as session_name", "cast(date_add(date'2024-01-01', p_size * 2) as timestamp_ntz) as conducted_on",
     )
-    return events.join(cohorts, "_k").selectExpr(
-        "(k * 100 + ascii(kind)) * 100 + _n as id", "cohort_code", "concat(kind, k) as code",
-        "concat('Session ', k) as session_name",
-        "cast(date_add(date'2024-01-01', k) as timestamp_ntz) as conducted_on",
-    ).distinct()
 
 
 def cohorts(t: Tables) -> DataFrame:
@@ -186,7 +179,7 @@ def quizzes(t: Tables) -> DataFrame:
 def attendance(t: Tables) -> DataFrame:
     return t.events.selectExpr(
         "cast(user_id as int) as student_id",
-        "(cast(get_json_object(props, '$.k') as int) * 100 + 83) * 100 + cast(event_id % 25 as int) as session_id",
+        "cast(get_json_object(props, '$.k') as int) * 20 + cast(event_id % 20 as int) as session_id",
         "cast(value as int) as duration_in_sec",
         "case when event_type = 'click' then null else cast(ts as date) end as watched_on",
     )
@@ -244,14 +237,10 @@ SQL = {
                CASE WHEN event_type = 'click' THEN NULL ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS watched_on
         FROM events""",
     "live_sessions": """
-        SELECT DISTINCT CAST((e.k * 100 + ascii(e.kind)) * 100 + c_nationkey AS INTEGER) AS id,
-               'INC' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS cohort_code, e.kind || e.k AS code,
-               'Session ' || e.k AS session_name,
-               CAST(DATE '2024-01-01' + CAST(e.k AS INTEGER) AS TIMESTAMP) AS conducted_on
-        FROM (SELECT user_id + 1 AS next_user, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-                     CASE event_type WHEN 'view' THEN 'SUK' WHEN 'click' THEN 'WS' WHEN 'error' THEN 'MC' ELSE 'EX' END AS kind
-              FROM events) e
-        JOIN customer ON c_custkey = e.next_user""",
+        SELECT CAST(p_partkey AS INTEGER) AS id, 'INC' || lpad(CAST(p_partkey % 25 AS VARCHAR), 3, '0') AS cohort_code,
+               CASE p_size % 3 WHEN 0 THEN 'SUK' WHEN 1 THEN 'WS' ELSE 'MC' END || (p_partkey % 100) AS code,
+               p_name AS session_name, CAST(DATE '2024-01-01' + p_size * 2 AS TIMESTAMP) AS conducted_on
+        FROM part""",
     "cohorts": """
         SELECT 'INC' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS cohort_code, n_name AS cohort_name,
                DATE '2024-01-01' + n_nationkey * 3 AS start_date, DATE '2024-01-01' + (n_nationkey * 3 + 5) AS end_date
@@ -315,7 +304,7 @@ SQL = {
         FROM first_items""",
     "attendance": """
         SELECT CAST(user_id AS INTEGER) AS student_id,
-               CAST((CAST(json_extract_string(props, '$.k') AS INTEGER) * 100 + 83) * 100 + event_id % 25 AS INTEGER) AS session_id,
+               CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) * 20 + event_id % 20 AS INTEGER) AS session_id,
                CAST(trunc(value) AS INTEGER) AS duration_in_sec,
                CASE WHEN event_type = 'click' THEN NULL ELSE CAST(ts AS DATE) END AS watched_on
         FROM events""",
