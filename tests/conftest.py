@@ -10,7 +10,7 @@ from tierflow.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("*", memory="8g")
+    session = local_session("*", memory="8g", shuffle_partitions=4)
     yield session
     session.stop()
 
