@@ -279,3 +279,44 @@ def test_guard_and_patch(rows):
     cleaned = rows("Student_id string, Incubator_Batch string, District string, Incubator_Course_Name string, seq int", ("1", "Incubator 6.0", None, "n1", 1), ("2", "Incubator 7.0", "z", "n2", 2))
     assert values(repair.patch_sheet(sheet, cleaned, ["Incubator 7.0"], ["seq"]), "Student_id", "District", "Incubator_Batch") == [("1", "x", "Incubator 6.0"), ("2", "z", "Incubator 7.0")]
     assert values(repair.patch_course_names(sheet, cleaned, "Incubator 6.0", ["seq"]), "Incubator_Course_Name") == [("c2",), ("n1",)]
+
+
+def test_layer_runs(spark, tmp_path):
+    from tierflow import __main__ as cli
+    from tierflow.plans import run
+
+    world = make_world(spark, tmp_path)
+    store = world["store"]
+    for name in conformed_names(world):
+        store.publish("conformed", name, world[name])
+    store.publish("landing", "general_information_sheet", world["sheet"])
+
+    def tables(outcomes):
+        assert all(o.error is None for o in outcomes), outcomes
+        return {o.table: o.published.rows for o in outcomes}
+
+    facts = {"student_assignment": 4, "student_session": 2, "student_pre_recorded": 1, "student_quiz": 1}
+    for _ in range(2):  # a second run changes nothing
+        assert tables(run.run_conform(store)) == facts
+    assert values(store.read("conformed", "student_assignment"), "id") == [(1,), (2,), (3,), (4,)]
+    enriched = {"final_quiz": 1, "student_demography": 2, "final_assignment": 4, "daily_weekly_attendance": 1}
+    for run_id in ("r1", "r2"):
+        assert tables(run.run_enrich(store, run_id, ["INC007"])) == enriched
+    for _ in range(2):
+        assert tables(run.run_report(store)) == {"resubmission_count_overview": 2, "student_registration_overview": 1}
+    rebuilt = tables(run.run_enrich(store, "r3", rebuild=True))
+    assert rebuilt == {"final_quiz": 2, "student_demography": 3, "final_assignment": 7, "daily_weekly_attendance": 4}
+    root = store.root
+    assert cli.main(["report", "--store", root, "--rebuild"]) == 0
+    assert store.read("reporting", "resubmission_count_overview").count() == 3
+    # A broken input stops its own tables only.
+    store.publish("conformed", "live_session", world["live_session"].drop("code"))
+    broken = {o.table: o.error is None for o in run.run_conform(store)}
+    assert broken == {"student_assignment": True, "student_session": False, "student_pre_recorded": True, "student_quiz": True}
+    assert cli.main(["conform", "--store", root]) == 1
+
+
+def conformed_names(world):
+    from tierflow.sources.schemas import CONFORMED
+
+    return [n for n in world if n in CONFORMED]

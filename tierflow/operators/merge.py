@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.dates import local_now
 from .dedupe import dedupe_keep_last
 from .keyspace import any_null, may_be_null, same_keys
+from .sizing import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -58,9 +59,12 @@ def upsert(
     (``"last"``), or the caller states they cannot occur (``"unique"``). With ``order_by`` columns
     the target lacks, they only serve the choice.
 
-    ``small_source=True`` asks for a left join plus an anti-join instead of one full outer join:
-    Spark then broadcasts the source if it measures below its own threshold, and the target is not
-    shuffled. Above it both plans shuffle, and the full outer join shuffles less.
+    Complete keys are unique in the target, as any keyed merge needs, and in the chosen source rows,
+    so no key is hot in the join; rows with a NULL key do not take part in it.
+
+    ``small_source=True`` asks for a left join plus an anti-join instead of one full outer join: a
+    source that measures small is broadcast and the target is never shuffled. A larger one still
+    gives the same rows, but the full outer join shuffles less.
     """
     unknown = [c for c in (update_cols or []) if c not in source.columns or c not in target.columns]
     if unknown:
@@ -106,10 +110,13 @@ def upsert(
         return df.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
 
     if small_source:
-        kept = present.join(incoming, same_keys(present, incoming, pairs), "left")
+        side = broadcast_if_small(incoming)
+        kept = present.join(side, same_keys(present, side, pairs), "left")
         result = kept.select(*[merged(c) for c in target.columns])
-        known = existing.select(*keys)
-        absent = incoming.join(known, same_keys(incoming, known, [(s, k) for k, s in pairs]), "left_anti")
+        # Target keys that the source names: as few as the source has, so the anti-join is small too.
+        known = existing.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+        named = known.join(side, same_keys(known, side, [(f"_t_{k}", s) for k, s in pairs]), "left_semi")
+        absent = incoming.join(named, same_keys(incoming, named, [(s, f"_t_{k}") for k, s in pairs]), "left_anti")
         result = result.unionByName(inserted(absent, "_s_"))
     else:
         joined = present.join(incoming, same_keys(present, incoming, pairs), "full_outer")

@@ -117,7 +117,8 @@ def delete_listed(
     def value(c: Column) -> Column:
         return c if normalise is None else normalise(c)
 
-    keys = listed.select(F.col(listed_col).alias("_listed"))
+    # The list takes the column's type, so an id can meet its text form without a failing cast.
+    keys = listed.select(F.col(listed_col).try_cast(df.schema[column].dataType).alias("_listed"))
     eligible = df if condition is None else df.filter(F.coalesce(condition, F.lit(False)))
     test = value(F.col(column)) == F.col("_listed")
     kept = eligible.join(keys, test, "left_anti")

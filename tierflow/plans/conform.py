@@ -214,8 +214,8 @@ def rejected(feed: DataFrame, lookups: list[tuple[str, str, DataFrame, str]], ch
     """
     tagged, reasons = feed, []
     for i, (reason, column, table, table_column) in enumerate(lookups):
-        known = table.select(F.col(table_column).alias(f"_k{i}")).distinct()
-        tagged = tagged.join(known, tagged[column] == known[f"_k{i}"], "left")
+        known = broadcast_if_small(table.select(F.col(table_column).alias(f"_k{i}")).distinct())
+        tagged = tagged.join(known, F.col(column) == F.col(f"_k{i}"), "left")
         reasons.append(F.when(F.col(f"_k{i}").isNull(), F.lit(reason)))
     reasons += [F.when(bad, F.lit(reason)) for reason, bad in checks.items()]
     found = F.filter(F.array(*reasons), lambda x: x.isNotNull())
@@ -384,26 +384,24 @@ def onboard_education(
     """One education row per student, course and place, with the array of its subjects."""
     ids = students.select(F.col("id").alias("student_id"))
     rows = upload.withColumn("student_id", F.col("student_id").cast("int")).join(ids, "student_id")
-    rows = normalised_join(
-        rows, courses.select("course_id", "display_name", "course_duration"),
-        [("currently_pursuing_degree", "display_name")], "left",
-    )
-    rows = unnest_text(rows, "subject_area", "_subject")
-    rows = normalised_join(
-        rows, subjects.select(F.col("id").alias("_subject_id"), "sub_field"), [("_subject", "sub_field")], "left"
-    )
-    rows = normalised_join(rows, colleges, [("college_name", "standard_college_names")], "left")
     places = locations.select(
         "location_id",
         F.col("district").alias("_district"),
         F.col("state_union_territory").alias("_state"),
         F.col("city_category").alias("_city"),
     )
+    # Look-ups that hold per student come before the rows multiply by subject.
+    for lookup, pairs in (
+        (courses.select("course_id", "display_name", "course_duration"), [("currently_pursuing_degree", "display_name")]),
+        (colleges, [("college_name", "standard_college_names")]),
+        (places, [("district", "_district"), ("state_union_territory", "_state"), ("city_category", "_city")]),
+        (universities, [("university_name", "standard_university_names")]),
+    ):
+        rows = normalised_join(rows, lookup, pairs, "left")
+    rows = unnest_text(rows, "subject_area", "_subject")
     rows = normalised_join(
-        rows, places,
-        [("district", "_district"), ("state_union_territory", "_state"), ("city_category", "_city")], "left",
+        rows, subjects.select(F.col("id").alias("_subject_id"), "sub_field"), [("_subject", "sub_field")], "left"
     )
-    rows = normalised_join(rows, universities, [("university_name", "standard_university_names")], "left")
     grouped = rows.groupBy(
         "student_id", "course_id", "college_id", "university_id", "location_id",
         "currently_pursuing_year", "course_duration",

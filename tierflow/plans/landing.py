@@ -12,7 +12,7 @@ from ..functions.dates import date_month_name
 from ..functions.text import cohort_code_from_label
 from ..operators.dedupe import dedupe_keep_last, require_unique
 from ..operators.merge import add_column, upsert_in_order
-from ..sources.csv_files import SEQ, Feed, route_by_header, rows_source
+from ..sources.csv_files import SEQ, Feed, load_csv_folder, route_by_header, rows_source
 from ..sources.schemas import MERGE_KEYS
 from ..sources.tables import LayerStore, Published
 
@@ -69,6 +69,13 @@ def run_landing(
     return LandingRun({name: store.publish("landing", name, df) for name, df in tables.items()}, skipped)
 
 
+def load_folder(spark: SparkSession, folder: str, store: LayerStore) -> dict[str, Published]:
+    """First load: one landing table per file; a table that exists is an error."""
+    return {
+        name: store.materialise("landing", name, df, "error") for name, df in load_csv_folder(spark, folder).items()
+    }
+
+
 def append_registrations(store: LayerStore, rows: DataFrame) -> Published:
     """Add registration rows to the info sheet as they are."""
     return store.append("landing", "general_information_sheet", rows.drop(SEQ))

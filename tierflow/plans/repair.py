@@ -248,7 +248,7 @@ def fill_locations(students: DataFrame, sheet: DataFrame, locations: DataFrame)
         text.normalised(F.col("state_union_territory")).alias("_s"),
         text.normalised(F.col("district")).alias("_d"),
         F.col("location_id").alias("_location"),
-    )
+    ).groupBy("_s", "_d").agg(F.min("_location").alias("_location"))
     rows = sheet.select(
         F.col("Student_id").cast("int").alias("_id"),
         text.normalised(F.col("State_Union_Territory")).alias("_s"),

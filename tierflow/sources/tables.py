@@ -54,8 +54,10 @@ class LayerStore:
     def _entries(self, layer: str, name: str) -> list:
         try:
             log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/version_log")
-        except AnalysisException:
-            return []
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":  # nothing was ever published
+                return []
+            raise
         # One short row per publication of this table.
         return log.filter((F.col("layer") == layer) & (F.col("name") == name)).orderBy("entry").collect()
 
