@@ -10,7 +10,10 @@ from tierflow.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("*", memory="8g", shuffle_partitions=4)
+    session = local_session("*", memory="8g", shuffle_partitions=2)
+    # A handful of rows per test: compiling a class per stage would cost more than running it.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     yield session
     session.stop()
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.dedupe import duplicate_report
 from ..operators.keys import assign_sequential_ids
+from ..session import scratch_path
 from ..sources.schemas import MERGE_KEYS, conformed_schema
 from ..sources.tables import LayerStore, Published, write_audit
 from . import conform, enrich, report
@@ -38,7 +39,13 @@ def _empty_conformed(store: LayerStore, name: str) -> Callable[[], DataFrame]:
 
 
 def _with_ids(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Ids for new rows, as a serial column would give them."""
+    """Ids for new rows, as a serial column would give them.
+
+    The merge is written once to the shared folder, since numbering reads it more than once.
+    """
+    path = scratch_path(df.sparkSession, "merged")
+    df.write.parquet(path)
+    df = df.sparkSession.read.parquet(path)
     return assign_sequential_ids(df, "id", [*keys, *[c for c in df.columns if c not in (*keys, "id")]])
 
 

@@ -59,7 +59,8 @@ class LayerStore:
                 return []
             raise
         # One short row per publication of this table.
-        return log.filter((F.col("layer") == layer) & (F.col("name") == name)).orderBy("entry").collect()
+        rows = log.filter((F.col("layer") == layer) & (F.col("name") == name)).collect()
+        return sorted(rows, key=lambda r: r["entry"])
 
     def _log(self, layer: str, name: str, entry: int, version: int, rows: int, paths: list[str]) -> None:
         row = self.spark.createDataFrame([(layer, name, entry, version, rows, paths)], _LOG_SCHEMA)
