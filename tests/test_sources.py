@@ -115,3 +115,34 @@ def test_null_tokens_on_named_columns(rows):
     df = rows("a string, b string, n int", ("NaN", "nan", 1), ("", "x", 2))
     assert values(csv_files.null_tokens(df, ["a"]), "a", "b") == [(None, "nan"), (None, "x")]
     assert values(csv_files.null_tokens(df).filter(F.col("b").isNull()), "n") == [(1,)]
+
+
+def test_merge_rewrites_only_named_partitions(spark, rows, tmp_path):
+    store = tables.LayerStore(spark, str(tmp_path))
+    schema = "s int, r int, v string"
+    store.publish("conformed", "t", rows(schema, (1, 1, "a"), (2, 1, "b"), (1, 2, "c"), (1, 3, "d"), (5, None, "n")), partition_by="r")
+    done = store.merge("conformed", "t", rows(schema, (1, 1, "A"), (9, 2, "new"), (6, None, "m")), ["s", "r"], "r")
+    want = [(1, 1, "A"), (1, 2, "c"), (1, 3, "d"), (2, 1, "b"), (9, 2, "new"), (5, None, "n"), (6, None, "m")]
+    got = store.read("conformed", "t")
+    assert sorted(map(str, values(got, "s", "r", "v"))) == sorted(map(str, want))
+    assert done == tables.Published(2, 5)  # partitions 1 and 2 and the new row without a partition value
+    store.merge("conformed", "t", rows(schema, (1, 3, "D")), ["s", "r"], "r")
+    store.append("conformed", "t", rows(schema, (7, 1, "plus")))
+    assert {("1", "A"), ("3", "D"), ("1", "plus")} <= {(str(r["r"]), r["v"]) for r in store.read("conformed", "t").collect()}
+    assert store.read("conformed", "t").count() == 8
+    plan = store.read("conformed", "t")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "array_contains" in plan.lower() or "INSET" in plan or "NOT" in plan
+    assert store.rollback("conformed", "t") == 3 and store.rollback("conformed", "t") == 2
+    assert sorted(map(str, values(store.read("conformed", "t"), "s", "r", "v"))) == sorted(map(str, want))
+    with pytest.raises(ValueError):
+        store.merge("conformed", "t", rows(schema), ["s"], "r")
+    # A table that was not laid out this way is rewritten once.
+    store.publish("conformed", "u", rows(schema, (1, 1, "a"), (1, 2, "b")))
+    assert store.merge("conformed", "u", rows(schema, (1, 2, "B")), ["s", "r"], "r").rows == 2
+    assert store.merge("conformed", "u", rows(schema, (1, 2, "C")), ["s", "r"], "r").rows == 1
+
+
+def test_publish_of_no_rows(spark, rows, tmp_path):
+    store = tables.LayerStore(spark, str(tmp_path))
+    assert store.publish("landing", "t", rows("k int")).rows == 0
+    assert store.read("landing", "t").count() == 0

@@ -200,10 +200,13 @@ def merged(
 
     A student in two cohorts yields two rows per key; by default the last in column order wins.
     """
-    keys = MERGE_KEYS[table]
-    kept = [*keys, *_KEPT_ON_MATCH.get(table, [])]
-    updates = [c for c in rows.columns if c not in kept and c not in (order_by or [])]
-    return upsert(target, rows, keys, updates, on_dup=on_dup, order_by=order_by, audit=audit)
+    updates = updated_columns(table, rows, order_by)
+    return upsert(target, rows, MERGE_KEYS[table], updates, on_dup=on_dup, order_by=order_by, audit=audit)
+
+
+def updated_columns(table: str, rows: DataFrame, order_by: list[str] | None = None) -> list[str]:
+    kept = [*MERGE_KEYS[table], *_KEPT_ON_MATCH.get(table, []), *(order_by or [])]
+    return [c for c in rows.columns if c not in kept]
 
 
 def rejected(feed: DataFrame, lookups: list[tuple[str, str, DataFrame, str]], checks: dict[str, Column]) -> DataFrame:

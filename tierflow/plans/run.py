@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from ..operators.dedupe import duplicate_report
 from ..operators.keys import assign_sequential_ids
 from ..session import scratch_path
-from ..sources.schemas import MERGE_KEYS, conformed_schema
+from ..sources.schemas import MERGE_KEYS, PARTITION_COLUMNS, conformed_schema
 from ..sources.tables import LayerStore, Published, write_audit
 from . import conform, enrich, report
 
@@ -34,19 +34,20 @@ def _current(store: LayerStore, layer: str, name: str, empty: Callable[[], DataF
     return store.read(layer, name) if store.exists(layer, name) else empty()
 
 
-def _empty_conformed(store: LayerStore, name: str) -> Callable[[], DataFrame]:
-    return lambda: store.spark.createDataFrame([], conformed_schema(name))
-
-
-def _with_ids(df: DataFrame, keys: list[str]) -> DataFrame:
+def _numbered(keys: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
     """Ids for new rows, as a serial column would give them.
 
     The merge is written once to the shared folder, since numbering reads it more than once.
     """
-    path = scratch_path(df.sparkSession, "merged")
-    df.write.parquet(path)
-    df = df.sparkSession.read.parquet(path)
-    return assign_sequential_ids(df, "id", [*keys, *[c for c in df.columns if c not in (*keys, "id")]])
+
+    def finish(merged: DataFrame, table: DataFrame) -> DataFrame:
+        path = scratch_path(merged.sparkSession, "merged")
+        merged.write.parquet(path)
+        rows = merged.sparkSession.read.parquet(path)
+        order = [*keys, *[c for c in rows.columns if c not in (*keys, "id")]]
+        return assign_sequential_ids(rows, "id", order, taken=table)
+
+    return finish
 
 
 def run_conform(store: LayerStore) -> list[Outcome]:
@@ -74,9 +75,13 @@ def run_conform(store: LayerStore) -> list[Outcome]:
     }
 
     def publish(name: str) -> Published:
-        target = _current(store, "conformed", name, _empty_conformed(store, name))
-        merged = conform.merged(name, target, builders[name]())
-        return store.publish("conformed", name, _with_ids(merged, MERGE_KEYS[name]))
+        rows, keys, column = builders[name](), MERGE_KEYS[name], PARTITION_COLUMNS[name]
+        if not store.exists("conformed", name):
+            store.publish("conformed", name, store.spark.createDataFrame([], conformed_schema(name)))
+        return store.merge(
+            "conformed", name, rows, keys, column, _numbered(keys),
+            update_cols=conform.updated_columns(name, rows), on_dup="last",
+        )
 
     return [_attempt(name, lambda n=name: publish(n)) for name in builders]
 

@@ -3,12 +3,17 @@
 A table lives in folders ``<root>/<layer>/<name>/v=<n>``. A version counts once the append-only log
 below ``<root>/version_log`` names it with its folders, so a failed write leaves the current version
 untouched, a job may read a table it replaces, an append adds one folder to those of the version
-before, and a rollback is one more log row. One writer per table is assumed.
+before, and a rollback is one more log row. ``merge`` into a table laid out by one column of its key
+reads and writes only the values the source names; the log then lists, per earlier folder, the values
+that a later folder holds. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,8 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import LAYERS
+from ..operators.merge import upsert
 
-_LOG_SCHEMA = "layer string, name string, entry long, version long, rows long, paths array<string>"
+_LOG_SCHEMA = (
+    "layer string, name string, entry long, version long, rows long, partition_by string, "
+    "schema_json string, folders array<struct<path: string, replaced: array<string>>>"
+)
 
 
 @dataclass(frozen=True)
@@ -62,31 +71,100 @@ class LayerStore:
         rows = log.filter((F.col("layer") == layer) & (F.col("name") == name)).collect()
         return sorted(rows, key=lambda r: r["entry"])
 
-    def _log(self, layer: str, name: str, entry: int, version: int, rows: int, paths: list[str]) -> None:
-        row = self.spark.createDataFrame([(layer, name, entry, version, rows, paths)], _LOG_SCHEMA)
+    def _log(
+        self,
+        layer: str,
+        name: str,
+        entry: int,
+        version: int,
+        rows: int,
+        partition_by: str | None,
+        schema_json: str,
+        folders: list,
+    ) -> None:
+        data = [(layer, name, entry, version, rows, partition_by, schema_json, [tuple(f) for f in folders])]
+        row = self.spark.createDataFrame(data, _LOG_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/version_log")
 
     def exists(self, layer: str, name: str) -> bool:
         return bool(self._entries(layer, name))
 
+    def _load(self, entry) -> DataFrame:
+        """Folders of one version; values replaced later are pruned as whole partitions."""
+        schema = T.StructType.fromJson(json.loads(entry["schema_json"]))
+        parts = []
+        for path, replaced in entry["folders"]:
+            df = self.spark.read.schema(schema).parquet(path).select(*schema.names)
+            if replaced:
+                value = F.col(entry["partition_by"])
+                wanted = F.lit(replaced).cast(T.ArrayType(schema[entry["partition_by"]].dataType))
+                df = df.filter(value.isNull() | ~F.array_contains(wanted, value))
+            parts.append(df)
+        return reduce(DataFrame.unionByName, parts)
+
     def read(self, layer: str, name: str, columns: list[str] | None = None) -> DataFrame:
         entries = self._entries(layer, name)
         if not entries:
             raise LookupError(f"no published version of {layer}.{name}")
-        df = self.spark.read.parquet(*entries[-1]["paths"])
+        df = self._load(entries[-1])
         return df if columns is None else df.select(*columns)
 
-    def _write(self, layer: str, name: str, df: DataFrame, entries: list, earlier: list[str]) -> Published:
+    def _write(
+        self, layer: str, name: str, df: DataFrame, entries: list, earlier: list, partition_by: str | None = None
+    ) -> Published:
         version = max((e["version"] for e in entries), default=0) + 1
         path = self._path(layer, name, version)
-        rows = counted_write(df, path, mode="overwrite")
-        self._log(layer, name, len(entries) + 1, version, rows, [*earlier, path])
+        rows = counted_write(df, path, mode="overwrite", partition_by=[partition_by] if partition_by else None)
+        folders = [*earlier, (path, [])]
+        self._log(layer, name, len(entries) + 1, version, rows, partition_by, df.schema.json(), folders)
         return Published(version, rows)
 
-    def publish(self, layer: str, name: str, df: DataFrame, cluster_by: list[str] | None = None) -> Published:
+    def publish(
+        self,
+        layer: str,
+        name: str,
+        df: DataFrame,
+        cluster_by: list[str] | None = None,
+        partition_by: str | None = None,
+    ) -> Published:
         """Write a new version, then make it current; ``rows`` is what was written."""
         out = clustered(df, cluster_by) if cluster_by else df
-        return self._write(layer, name, out, self._entries(layer, name), [])
+        return self._write(layer, name, out, self._entries(layer, name), [], partition_by)
+
+    def merge(
+        self,
+        layer: str,
+        name: str,
+        source: DataFrame,
+        keys: list[str],
+        partition_by: str,
+        finish: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+        **options,
+    ) -> Published:
+        """Upsert into a table laid out by one key column; only values the source names are rewritten.
+
+        ``finish(merged, table)`` may complete the merged rows with a look at the whole table. A table
+        that is not laid out by the column is rewritten once.
+        """
+        if partition_by not in keys:
+            raise ValueError(f"{partition_by!r} must be a key column, or rows could change their partition")
+        entries = self._entries(layer, name)
+        if not entries:
+            raise LookupError(f"no published version of {layer}.{name}")
+        current, table = entries[-1], self._load(entries[-1])
+        if current["partition_by"] != partition_by:
+            affected, earlier = table, []
+        else:
+            # One value per touched partition folder: bounded by the table's layout.
+            named = source.select(F.col(partition_by).cast("string").alias("v")).distinct().filter("v is not null")
+            touched = [r["v"] for r in named.collect()]
+            affected = table.filter(F.col(partition_by).isin(touched)) if touched else table.limit(0)
+            earlier = [(path, sorted({*replaced, *touched})) for path, replaced in current["folders"]]
+        merged = upsert(affected, source, keys, **options)
+        if finish is not None:
+            merged = finish(merged, table)
+        out = merged.repartition(F.col(partition_by), F.pmod(F.xxhash64(*keys), F.lit(8)))
+        return self._write(layer, name, out, entries, earlier, partition_by)
 
     def rollback(self, layer: str, name: str) -> int:
         """Make the version before the current one current again."""
@@ -96,7 +174,10 @@ class LayerStore:
         if not earlier:
             raise LookupError(f"no earlier version of {layer}.{name}")
         back = max(earlier, key=lambda e: e["version"])
-        self._log(layer, name, len(entries) + 1, back["version"], back["rows"], back["paths"])
+        self._log(
+            layer, name, len(entries) + 1, back["version"], back["rows"], back["partition_by"], back["schema_json"],
+            back["folders"],
+        )
         return back["version"]
 
     def materialise(self, layer: str, name: str, df: DataFrame, if_exists: str = "ignore") -> Published | None:
@@ -114,9 +195,9 @@ class LayerStore:
         entries = self._entries(layer, name)
         if not entries:
             return self.publish(layer, name, df)
-        earlier = entries[-1]["paths"]
-        table = self.spark.read.parquet(*earlier)
-        return self._write(layer, name, conform_to(df, table.schema), entries, earlier)
+        current = entries[-1]
+        rows = conform_to(df, self._load(current).schema)
+        return self._write(layer, name, rows, entries, current["folders"], current["partition_by"])
 
 
 def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -134,7 +215,10 @@ def append(df: DataFrame, path: str) -> int:
 
 
 def write_audit(df: DataFrame, root: str, run_id: str, label: str, file_format: str = "parquet") -> str:
-    """Keep report or backup rows below ``<root>/<label>/run_id=<run_id>``; a repeated run replaces its own."""
+    """Keep report or backup rows below ``<root>/<label>/run_id=<run_id>``; a repeated run replaces its own.
+
+    Without rows nothing is written.
+    """
     path = f"{root.rstrip('/')}/{label}"
     writer = (
         df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
