@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.dedupe import duplicate_report
 from ..operators.keys import assign_sequential_ids
-from ..session import scratch_path
+from ..session import stored
 from ..sources.schemas import MERGE_KEYS, PARTITION_COLUMNS, conformed_schema
 from ..sources.tables import LayerStore, Published, write_audit
 from . import conform, enrich, report
@@ -41,9 +41,7 @@ def _numbered(keys: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
     """
 
     def finish(merged: DataFrame, table: DataFrame) -> DataFrame:
-        path = scratch_path(merged.sparkSession, "merged")
-        merged.write.parquet(path)
-        rows = merged.sparkSession.read.parquet(path)
+        rows = stored(merged, "merged")
         order = [*keys, *[c for c in rows.columns if c not in (*keys, "id")]]
         return assign_sequential_ids(rows, "id", order, taken=table)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime-settable options that the operators count on. AQE measures shuffle output before it
 # decides to broadcast a side or to split a hot partition, so no size is guessed in advance.
@@ -59,3 +59,10 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder for one intermediate table."""
     return f"{shared_folder(spark)}/tierflow/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once below the shared folder and read back: cuts lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

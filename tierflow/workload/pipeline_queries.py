@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import Audit
 from ..plans import conform, enrich, landing, repair, report
+from ..session import stored
 from ..sources.csv_files import SEQ
 from . import shapes as s
 from .registry import Tables, query
@@ -160,7 +161,7 @@ SELECT student_id, email, "Incubator_Batch", course_name, subject_areas
 FROM (SELECT p.*, row_number() OVER (PARTITION BY email ORDER BY student_id DESC, email DESC, caste DESC, annual_family_income_inr DESC,
              "Incubator_Batch" DESC, {', '.join(c + ' DESC NULLS LAST' for c in enrich.PROFILE_COLUMNS)}) AS rn FROM profile p) WHERE rn = 1"""))
 def demography_merged(t: Tables):
-    rows = enrich.student_demography(profile(t))
+    rows = stored(enrich.student_demography(profile(t)), "demography")  # as a run does: the profile is made once
     target = rows.filter("course_name = 'Course F'").withColumn("subject_areas", F.lit("old"))
     known = enrich.merged("student_demography", target, rows, target_order=rows.columns)
     return known.select("student_id", "email", "Incubator_Batch", "course_name", "subject_areas")
