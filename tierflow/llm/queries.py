@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import sentence_pieces, warc_bundles
+from tierflow.llm import sentence_pieces, simhash_trees, warc_bundles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,7 +43,7 @@ def tokenizer_path(name: str) -> str:
     ),
     v AS (SELECT *, first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id AS again FROM d)
     SELECT page_id, payload_bytes,
-        array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
             1 + ((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)), '')
             AS payload_digest,
         CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
@@ -73,3 +73,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("piece_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op3_simhash_trees")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash_trees.near_groups(table(spark, folder, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import small_batches, stored
+from tierflow.llm.common import filesystem_of, small_batches, stored
 from tierflow.session import scratch_path
 
 # Fixed values of the seekable format.
@@ -50,12 +50,6 @@ def _batch(ddl: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, _TYPES[k]) for c, k in zip(columns, kinds)], list(names))
 
 
-def _filesystem(path: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 def planned_records(pages: DataFrame, id_col: str, uri_col: str, payload_col: str, min_revisit_bytes: int = 0) -> DataFrame:
     """One row per page: its record type, and for a revisit the id of the first page with that payload.
 
@@ -144,7 +138,7 @@ class _Bundle:
         import zstandard
 
         self.path = f"{folder}/{uuid.uuid4().hex}.warc.zst"
-        filesystem, inner = _filesystem(self.path)
+        filesystem, inner = filesystem_of(self.path)
         filesystem.create_dir(inner.rpartition("/")[0], recursive=True)
         self.stream, self.pack = filesystem.open_output_stream(inner, compression=None), zstandard.ZstdCompressor(level=3)
         self.sizes: list[tuple[int, int]] = []
@@ -208,7 +202,7 @@ def write_bundles(
 
 def seek_table(path: str) -> list[tuple[int, int, int]]:
     """(offset, compressed bytes, plain bytes) of each frame, read from the bundle's end."""
-    filesystem, inner = _filesystem(path)
+    filesystem, inner = filesystem_of(path)
     with filesystem.open_input_file(inner) as f:
         size = f.size()
         frames, _, magic = struct.unpack("<IBI", f.read_at(9, size - 9))
@@ -225,7 +219,7 @@ def seek_table(path: str) -> list[tuple[int, int, int]]:
 def plain_frame(path: str, offset: int, packed: int) -> bytes:
     import zstandard
 
-    filesystem, inner = _filesystem(path)
+    filesystem, inner = filesystem_of(path)
     with filesystem.open_input_file(inner) as f:
         return zstandard.ZstdDecompressor().decompress(f.read_at(packed, offset))
 
