@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import sentence_pieces, simhash_trees, warc_bundles
+from tierflow.llm import language_families, sentence_pieces, simhash_trees, warc_bundles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,17 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash_trees.near_groups(table(spark, folder, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def remainder(id_col: str, of: int):
+    """crc32 of the id as text, modulo ``of``; a NULL id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % of
+
+
+@query("op6_language_families")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    machines = language_families.fit(docs.where(remainder("doc_id", 3) != 1), "doc_id", "text", "lang")
+    return language_families.with_language(docs, machines, keep=["doc_id"]).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score"
+    )
