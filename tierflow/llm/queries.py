@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import language_families, sentence_pieces, simhash_trees, warc_bundles
+from tierflow.llm import language_families, private_spans, sentence_pieces, simhash_trees, spaced_seeds, warc_bundles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +93,23 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return language_families.with_language(docs, machines, keep=["doc_id"]).select(
         "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query("op5_private_spans")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = private_spans.with_spans(docs, private_spans.fit(docs), keep=["doc_id"])
+
+    def joined(name: str):
+        return F.array_join(F.transform(name, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in private_spans.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("all_spans").alias("spans"))
+
+
+@query("op10_spaced_seeds")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return spaced_seeds.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
