@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import language_families, private_spans, sentence_pieces, simhash_trees, spaced_seeds, warc_bundles
+from tierflow.llm import language_families, private_spans, quality_rules, sentence_pieces, simhash_trees, spaced_seeds, warc_bundles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,73 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_spaced_seeds")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return spaced_seeds.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op2_quality_rules", """
+    WITH d AS (
+        SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t,
+            list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+        FROM documents
+    ),
+    grams AS (
+        SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+        FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+    ),
+    again AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS c FROM grams) WHERE c > 1),
+    covered AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM again) GROUP BY rid),
+    lines AS (
+        SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup_lines
+        FROM (SELECT rid, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\\x20\\x09-\\x0D]') GROUP BY rid
+    ),
+    counts AS (
+        SELECT doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
+            CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+            CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+            coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
+        FROM d LEFT JOIN lines USING (rid) LEFT JOIN covered USING (rid)
+    ),
+    based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
+    valued AS (
+        SELECT *, [n_symbols / greatest(n_words, 1), n_dup_lines / greatest(n_lines, 1), n_repeat_words / greatest(n_words, 1),
+            word_chars / greatest(n_words, 1)] AS vals
+        FROM based
+    ),
+    grid AS (
+        SELECT r, s, cuts[s] AS cutoff FROM (
+            SELECT 1 AS r, [2.0, 1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.075, 0.05]::DOUBLE[] AS cuts
+            UNION ALL SELECT 2, [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2]::DOUBLE[]
+            UNION ALL SELECT 3, [0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1]::DOUBLE[]
+            UNION ALL SELECT 4, [20.0, 15.0, 12.0, 10.0, 9.5, 9.0, 8.5, 8.0, 7.5, 7.0]::DOUBLE[]
+        ), unnest(range(1, len(cuts) + 1)) AS u(s)
+    ),
+    good AS (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+    held AS (SELECT lang, vals, q >= 1 AS good FROM valued JOIN good USING (doc_id) WHERE NOT base_failed),
+    cells AS (
+        SELECT lang, r, s, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND vals[r] > cutoff) AS k,
+            count(*) FILTER (NOT good AND vals[r] > cutoff) AS bad
+        FROM held, grid GROUP BY ALL
+    ),
+    tails AS (
+        SELECT *, CASE WHEN k < 0.01 * n THEN list_sum(list_transform(range(0, k + 1), lambda j: exp(
+            lgamma(n + 1) - CASE WHEN j = 0 THEN 0 ELSE lgamma(j + 1) END - lgamma(n - j + 1) + j * ln(0.01) + (n - j) * ln(0.99)))) ELSE 1 END AS p
+        FROM cells
+    ),
+    sure AS (
+        SELECT *, bool_and(p <= 0.05 / (4 * (SELECT count(*) FROM (SELECT DISTINCT lang FROM held))))
+            OVER (PARTITION BY lang, r ORDER BY s) AS ok
+        FROM tails
+    ),
+    taken AS (
+        SELECT lang, r, cutoff FROM sure WHERE ok AND bad > 0
+        QUALIFY row_number() OVER (PARTITION BY lang, r ORDER BY bad DESC, s) = 1
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND NOT EXISTS (
+            SELECT 1 FROM taken WHERE taken.lang IS NOT DISTINCT FROM valued.lang AND valued.vals[taken.r] > taken.cutoff
+        ) AS kept
+    FROM valued
+""")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
