@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import language_families, private_spans, quality_rules, sentence_pieces, simhash_trees, spaced_seeds, warc_bundles
+from tierflow.llm import (
+    backoff_automaton,
+    language_families,
+    private_spans,
+    quality_rules,
+    sentence_pieces,
+    simhash_trees,
+    spaced_seeds,
+    warc_bundles,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -183,3 +192,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query("op9_backoff_automaton")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 7) == 2
+    scored = backoff_automaton.scored(docs, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
