@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tierflow.llm.common import let, lower_ascii, stored, words
 
 #: Masks over neighbouring words (1: compared, 0: free).
-MASKS = ("111111111", "1101011011", "1011100101101")
+MASKS = ("1101011011", "1110010110101")
 WINDOW, MISSES = 13, 3
 IGNORED = ".,;:!?\"'()[]{}"
 #: Rows of the seed table up to which it is broadcast: about 100 bytes and an item's words each.
@@ -60,10 +60,13 @@ def seed_table(benchmark: DataFrame, id_col: str, text_col: str, masks: tuple[st
     return _positions(items.distinct(), "item", masks).select("item_id", "item", F.col("at").alias("item_at"), "seed")
 
 
-def _best_window(row: Column, item: Column, start: Column, window: int) -> Column:
-    """Fewest differing words in a window of the item laid at ``start`` of the row; places outside differ."""
+def _fit(segment: Column, item: Column, before: Column, window: int) -> Column:
+    """Words that agree, and the fewest that differ in one window, of an item and the words it lies on.
+
+    ``before``: words of the item that lie before the text's begin; those and the ones past its end differ.
+    """
     differs = F.transform(
-        item, lambda w, i: F.when((start + i >= 0) & F.get(row, start + i).eqNullSafe(w), 0).otherwise(1)
+        item, lambda w, i: F.when((i >= before) & F.get(segment, i - before).eqNullSafe(w), 0).otherwise(1)
     )
 
     def fewest(d: Column) -> Column:
@@ -87,12 +90,19 @@ def contaminated(
     if size["n"] <= BROADCAST_ROWS and size["words"] <= BROADCAST_WORDS:
         seeds = F.broadcast(seeds)
     texts = docs.select(F.col(id_col), word_hashes(F.col(text_col)).alias("row"))
+    # Only the words under the item leave this step, so a long text is not copied for each of its hits.
+    start = F.col("at") - F.col("item_at")
     hits = _positions(texts, "row", masks).join(seeds, "seed").select(
+        id_col, "item_id", start.alias("start"), "item",
+        F.slice("row", F.greatest(start, F.lit(0)) + 1, F.size("item") + F.least(start, F.lit(0))).alias("segment"),
+    )
+    laid = hits.groupBy(id_col, "item_id", "start", F.xxhash64("segment").alias("print")).agg(F.first("item").alias("item"), F.first("segment").alias("segment"))
+    fitted = laid.select(
         id_col, "item_id", F.size("item").alias("item_words"),
-        _best_window(F.col("row"), F.col("item"), F.col("at") - F.col("item_at"), window).alias("fit"),
+        _fit(F.col("segment"), F.col("item"), F.greatest(-F.col("start"), F.lit(0)), window).alias("fit"),
     )
     return (
-        hits.where(F.col("fit.misses") <= misses)
+        fitted.where(F.col("fit.misses") <= misses)
         .groupBy(id_col, "item_id", "item_words")
         .agg(F.max("fit.matched").alias("matched_words"), F.min("fit.misses").alias("window_misses"))
     )
