@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tierflow.llm import (
     backoff_automaton,
     language_families,
     private_spans,
     quality_rules,
+    quotation_links,
     sentence_pieces,
+    severity_grades,
     simhash_trees,
     spaced_seeds,
     warc_bundles,
@@ -200,3 +203,30 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     held_out = remainder("doc_id", 7) == 2
     scored = backoff_automaton.scored(docs, ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op7_severity_grades")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    sample = severity_grades.sampled(table(spark, folder, "labels"), "doc_id", "toxic")
+    model = severity_grades.fit(severity_grades.texts_of(docs, sample, "doc_id", "text"), severity_grades.halves)
+    graded = severity_grades.with_severity(docs, model, keep=["doc_id"])
+    return graded.select("doc_id", "grade", "expected_severity", "p_toxic", (F.col("grade") >= 1).alias("toxic"))
+
+
+def mails(conversations: DataFrame) -> DataFrame:
+    """The conversations as mails: a reply begins with the turn before it, quoted, and that turn's own quotation."""
+    order = Window.partitionBy("conv_id").orderBy("turn")
+
+    def quoted(text, mark: str):
+        return F.regexp_replace(text, r"(?m)^", mark)
+
+    before, earlier = F.lag("text").over(order), F.lag("text", 2).over(order)
+    return conversations.select(
+        "conv_id", "turn", "role", F.concat_ws("\n", quoted(earlier, ">> "), quoted(before, "> "), "text").alias("text")
+    )
+
+
+@query("op4_quotation_links")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return quotation_links.reply_ordered(mails(table(spark, folder, "conversations")), keep=["role"])
