@@ -9,7 +9,11 @@ they are not broadcast from the driver: a shard's tree meets its searches in the
 Equal fingerprints are one node from the start, so a group of copies costs one tree entry. A shard of more
 than ``SHARD_NODES`` fingerprints is dealt again by the bands of its other bits; what is still larger is cut
 into chunks, and the tree of each chunk is searched by each chunk in a task of its own. A shard returns at
-most one link per node (its components as stars), never all pairs, and no link between components is lost.
+most one link per node (a spanning forest of its links), never all pairs, and no link between components is lost.
+
+``near_duplicates`` serves a stated similarity of shingle sets in place of a radius. At a similarity of 0.8 some
+fourteen bits differ, for which bands of the fingerprint would be too short; shards are then keyed by groups of
+minimal shingle hashes instead, trees are searched with the wide radius, and links are checked on whole sets.
 
 Edge cases: a NULL or word-less text has fingerprint zero and is linked like any other. A NULL document id
 takes part in links but never names a component, unless all ids of the component are NULL. Repeated rows are
@@ -36,19 +40,23 @@ SHARD_NODES = 16_384
 SMALL_TREE = 48
 
 
-def fingerprint(text: str | None, shingle_words: int = 3) -> int:
-    """Unsigned 64-bit SimHash of a text's word shingles, repeats included."""
+def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
+    """XXH64 of each run of words, repeats included; of the whole sequence if it is shorter."""
     import xxhash
 
     words = (text or "").encode().lower().split()  # bytes.lower() and split() know ASCII only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     k, digest = min(shingle_words, len(words)), xxhash.xxh64_intdigest
-    hashes = np.fromiter(
+    return np.fromiter(
         (digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[k - 1 :].tolist())), np.uint64, len(words) - k + 1
     )
+
+
+def majority(hashes: np.ndarray) -> int:
+    """A bit is one if it is one in over half the hashes."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)]
@@ -56,6 +64,11 @@ def fingerprint(text: str | None, shingle_words: int = 3) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle_words: int = 3) -> int:
+    """Unsigned 64-bit SimHash of a text's word shingles, repeats included."""
+    return majority(shingle_hashes(text, shingle_words))
+
+
 def with_fingerprints(
     df: DataFrame, text_col: str = "text", keep: list[str] | None = None, out: str = "fingerprint", shingle_words: int = 3
 ) -> DataFrame:
@@ -86,73 +99,71 @@ class _Groups:
             i = self.parent[i]
         return i
 
-    def join(self, a: int, b: int) -> int:
+    def join(self, a: int, b: int) -> bool:
+        """Whether a and b were apart."""
         a, b = self.find(a), self.find(b)
-        low, high = min(a, b), max(a, b)
-        self.parent[high] = low
-        return low
+        self.parent[max(a, b)] = min(a, b)
+        return a != b
 
 
-def tree_links(prints: list[int], radius: int) -> _Groups:
-    """Insert each fingerprint after searching the tree that holds the earlier ones."""
-    groups, children = _Groups(len(prints)), [{} for _ in prints]
+def tree_links(prints: list[int], radius: int) -> list[tuple[int, int]]:
+    """Insert each fingerprint after searching the tree that holds the earlier ones.
+
+    Returns links that connect all that is linked: a spanning forest, so fewer than there are fingerprints.
+    """
+    groups, children, out = _Groups(len(prints)), [{} for _ in prints], []
     for i in range(1, len(prints)):
         value, stack = prints[i], [0]
         while stack:
             node = stack.pop()
             d = (prints[node] ^ value).bit_count()
-            if d <= radius:
-                groups.join(node, i)
+            if d <= radius and groups.join(node, i):
+                out.append((node, i))
             edges = children[node]
             stack += [edges[e] for e in range(d - radius, d + radius + 1) if e in edges]
         node = 0
         while (child := children[node].get(d := (prints[node] ^ value).bit_count())) is not None:
             node = child
         children[node][d] = i
-    return groups
+    return out
 
 
-def array_tree_links(prints: np.ndarray, in_tree: np.ndarray, searches: np.ndarray, radius: int) -> _Groups:
+def array_tree_links(prints: np.ndarray, in_tree: np.ndarray, searches: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """The same with all searches going down the tree together: a node gets the searches that enter its edge."""
-    groups, label = _Groups(len(prints)), np.arange(len(prints))
+    groups, label, out = _Groups(len(prints)), np.arange(len(prints)), []
     stack = [(in_tree, searches)]
     while stack:
         members, asking = stack.pop()
-        node, members = members[0], members[1:]
+        node, members = int(members[0]), members[1:]
         distance = np.bitwise_count(prints[asking] ^ prints[node])
         met = asking[distance <= radius]
         if met.size:
-            root = int(label[node])
-            for other in np.unique(label[met]).tolist():
-                root = groups.join(root, other)
-            label[met] = label[node] = root
+            _, places = np.unique(label[met], return_index=True)
+            out += [(node, other) for other in met[places].tolist() if groups.join(node, other)]
+            label[met] = label[node] = groups.find(node)
         if members.size:
             edge = np.bitwise_count(prints[members] ^ prints[node])
             for e in np.unique(edge).tolist():
                 entering = asking[np.abs(distance.astype(np.int16) - e) <= radius]
                 if entering.size:
                     stack.append((members[edge == e], entering))
-    for i, root in enumerate(label.tolist()):
-        groups.join(i, root)
-    return groups
+    return out
 
 
-def shard_stars(prints: np.ndarray, side: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
-    """Links of one shard as stars. side 0: tree and search, 1: tree only, 2: search only."""
+def shard_links(prints: np.ndarray, side: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
+    """Links of one shard. side 0: tree and search, 1: tree only, 2: search only."""
     if len(prints) < 2:
         return [], []
     if len(prints) <= SMALL_TREE and not side.any():
-        groups = tree_links(prints.tolist(), radius)
+        pairs = tree_links(prints.tolist(), radius)
     else:
         places = np.arange(len(prints))
         tree, asking = places[side != 2], places[side != 1]
         if not tree.size or not asking.size:
             return [], []
-        groups = array_tree_links(prints, tree, asking, radius)
-    roots = [groups.find(i) for i in range(len(prints))]
-    pairs = [(i, r) for i, r in enumerate(roots) if i != r]
+        pairs = array_tree_links(prints, tree, asking, radius)
     signed = prints.view(np.int64).tolist()
-    return [signed[i] for i, _ in pairs], [signed[r] for _, r in pairs]
+    return [signed[i] for i, _ in pairs], [signed[j] for _, j in pairs]
 
 
 def _dealt(shards: DataFrame, bits: int, bands: int) -> DataFrame:
@@ -176,13 +187,13 @@ def _split_hot(shards: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _links(shards: DataFrame, radius: int) -> DataFrame:
-    """Stars of all shards; rows (shard, side, print). A task holds one shard at a time."""
+    """Links of all shards; rows (shard, side, print). A task holds one shard at a time, in the order of prints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, prints, sides = None, [], []
 
         def flush():
-            return shard_stars(np.concatenate(prints), np.concatenate(sides), radius) if prints else ([], [])
+            return shard_links(np.concatenate(prints), np.concatenate(sides), radius) if prints else ([], [])
 
         for batch in batches:
             keys, side = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -203,7 +214,7 @@ def _links(shards: DataFrame, radius: int) -> DataFrame:
         u, v = flush()
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    dealt = shards.select("shard", "side", "print").repartition("shard").sortWithinPartitions("shard")
+    dealt = shards.select("shard", "side", "print").repartition("shard").sortWithinPartitions("shard", "print")
     return dealt.mapInArrow(run, "u long, v long")
 
 
@@ -242,10 +253,96 @@ def near_groups(
     """(id, fingerprint long, component_id) per row: the least id reachable over links. Runs jobs."""
     docs = stored(with_fingerprints(df, text_col, [id_col], shingle_words=shingle_words), "fingerprints")
     firsts = stored(docs.groupBy(F.col("fingerprint").alias("print")).agg(F.min(id_col).alias("first_id")), "prints")
-    roots = stored(linked(firsts.select("print"), radius, shard_nodes), "roots")
+    return _classes(docs, firsts, linked(firsts.select("print"), radius, shard_nodes), id_col)
+
+
+#: For a similarity of 0.8: bins of shingle hashes, minima that share one shard key, and the radius of the search.
+BINS, PER_KEY, WIDE_RADIUS = 32, 3, 20
+
+
+def shard_keys(hashes: np.ndarray) -> np.ndarray:
+    """Keys under which similar sets meet: the least hash of each bin, an empty bin taking the next one's, in groups."""
+    if not hashes.size:
+        return np.zeros(1, np.uint64)
+    ordered = np.unique(hashes)
+    edges = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - (BINS - 1).bit_length())
+    least = ordered[np.searchsorted(ordered, edges) % len(ordered)]
+    keys = np.arange(1, BINS // PER_KEY + 1, dtype=np.uint64)
+    for i in range(PER_KEY):
+        keys = (keys ^ least[i : len(keys) * PER_KEY : PER_KEY]) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    return keys
+
+
+def near_duplicates(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8,
+    radius: int = WIDE_RADIUS, shard_nodes: int = SHARD_NODES,
+) -> DataFrame:
+    """(id, fingerprint, component_id): rows linked by a shared part of ``similarity`` or more of their shingle sets.
+
+    Equal fingerprints are copies. Links proposed by the trees count after a check on whole shingle sets. Runs jobs.
+    """
+    small_batches(df.sparkSession)
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [shingle_hashes(t, shingle_words) for t in batch.column(1).to_pylist()]
+            prints = np.array([majority(h) for h in hashes], np.uint64).view(np.int64)
+            keys = pa.array([shard_keys(h).view(np.int64) for h in hashes], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), keys], [id_col, "fingerprint", "keys"])
+
+    schema = T.StructType([df.schema[id_col], T.StructField("fingerprint", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    docs = stored(df.select(id_col, text_col).mapInArrow(sketch, schema), "sketches")
+    firsts = stored(docs.groupBy(F.col("fingerprint").alias("print")).agg(F.min(id_col).alias("first_id")), "prints")
+    shards = stored(docs.select(F.explode("keys").alias("shard"), F.col("fingerprint").alias("print")).distinct(), "shards")
+    small, hot = _split_hot(shards, shard_nodes)
+    proposed = _links(_plain(small).unionByName(_chunked(hot, shard_nodes)), radius).select(
+        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")
+    )
+    links = _similar(stored(proposed.distinct(), "proposed"), df, docs, id_col, text_col, shingle_words, similarity)
+    return _classes(docs.select(id_col, "fingerprint"), firsts, components(links), id_col)
+
+
+def _similar(
+    links: DataFrame, df: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float
+) -> DataFrame:
+    """Those links (u, v) whose shingle sets share enough. The set of a fingerprint is that of its first text."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [shingle_hashes(t, shingle_words) for t in batch.column(0).to_pylist()]
+            prints = np.array([majority(h) for h in hashes], np.uint64).view(np.int64)
+            parts = [np.unique((h >> np.uint64(32)).astype(np.uint32)).view(np.int32) for h in hashes]
+            yield pa.RecordBatch.from_arrays([pa.array(prints), pa.array(parts, pa.list_(pa.int32()))], ["print", "part"])
+
+    ends = links.select(F.col("u").alias("print")).unionByName(links.select(F.col("v").alias("print"))).distinct()
+    asked = stored(
+        docs.join(ends, docs["fingerprint"] == ends["print"]).groupBy("print").agg(F.min(id_col).alias("__id")).select("__id").distinct(), "asked"
+    )
+    of_print = stored(
+        df.join(asked, df[id_col].eqNullSafe(asked["__id"]), "left_semi").select(text_col).mapInArrow(sets, "print long, part array<int>")
+        .groupBy("print").agg(F.max("part").alias("part")), "shingle-sets"
+    )
+    both = links.join(of_print.select(F.col("print").alias("u"), F.col("part").alias("a")), "u").join(
+        of_print.select(F.col("print").alias("v"), F.col("part").alias("b")), "v"
+    )
+    shared = F.size(F.array_intersect("a", "b"))
+    return both.where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v")
+
+
+def _classes(docs: DataFrame, firsts: DataFrame, roots: DataFrame, id_col: str) -> DataFrame:
+    """The least id of each component, given to every row. ``roots``: (node, root) of linked fingerprints."""
+    roots = stored(roots, "roots")
     named = firsts.join(roots, firsts["print"] == roots["node"], "left").select(
         "print", "first_id", F.coalesce("root", "print").alias("root")
     )
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_print = stored(named.join(least, "root").select("print", "component_id"), "classes")
     return docs.join(by_print, docs["fingerprint"] == by_print["print"]).select(id_col, "fingerprint", "component_id")
+
+
+def one_per_group(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows whose id names its component; of rows that repeat id and text one stays. Runs a job."""
+    names = stored(groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct(), "names")
+    rows = df.join(names, df[id_col].eqNullSafe(names["__id"]), "left_semi")
+    return rows.withColumn("__text", F.xxhash64(text_col)).dropDuplicates([id_col, "__text"]).drop("__text")
