@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from check_queries import compare
+from tierflow.workload.registry import ORACLES, QUERIES
 
 FOLDER = Path("/root/testdata/sf0.001")
 
@@ -22,10 +23,10 @@ def con():
 
 
 def test_every_query_has_a_statement():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     result = compare(spark, con, str(FOLDER), name)
     assert result.startswith("ok") and " type " not in result, result
