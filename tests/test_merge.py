@@ -115,3 +115,21 @@ def test_insert_select_casts_and_skips(rows):
     new = rows("id string", ("1",), ("2",))
     assert values(merge.insert_select(target, new)) == [(1, "a"), (1, None), (2, None)]
     assert values(merge.insert_select(target, new, skip_known=["id"])) == [(1, "a"), (2, None)]
+
+
+def test_each_input_is_read_once(spark, tmp_path):
+    for name in ("target", "source"):
+        spark.range(4).selectExpr("nullif(id, 3) as k", "id as v").write.parquet(str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / n)) for n in ("target", "source"))
+    for on_dup in ("last", "raise", "unique"):
+        out = merge.upsert(target, source, ["k"], on_dup=on_dup)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parquet") == 2, plan
+        assert values(out) == [(0, 0), (1, 1), (2, 2), (None, 3), (None, 3)]
+
+
+def test_equal_rows_with_a_null_key_all_stay(rows):
+    target = rows("k int, v string", (None, "a"), (None, "a"), (1, "x"))
+    source = rows("k int, v string", (None, "a"), (None, "a"), (1, "y"), (1, "z"))
+    out = merge.upsert(target, source, ["k"], on_dup="last", mark_changes=True)
+    assert values(out, "k", "v", "_change") == [(1, "z", "updated"), *[(None, "a", "inserted")] * 2, *[(None, "a", None)] * 2]

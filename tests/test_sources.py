@@ -46,9 +46,9 @@ def test_routing_by_header(spark, tmp_path):
     write(tmp_path, "junk.csv", "a,b\n1,2\n", 5)
     write(tmp_path, "empty.csv", "", 6)
     feeds, skipped = csv_files.route_by_header(spark, str(tmp_path))
-    assert [(f.kind, len(f.files)) for f in feeds] == [("quiz", 1), ("quiz", 1), ("quiz", 1)]
+    assert [(f.kind, len(f.files)) for f in feeds] == [("quiz", 2), ("quiz", 1)]
     assert [values(f.rows, "user_id", "data_fields", "value") for f in feeds] == [
-        [("a@x", "Quiz 1", "5")], [("a@x", "Quiz 1", "7")], [("b@x", "Quiz 1", None)],
+        [("a@x", "Quiz 1", "5"), ("b@x", "Quiz 1", None)], [("a@x", "Quiz 1", "7")],
     ]
     assert sorted(p.rsplit("/", 1)[-1] for p in skipped) == ["junk.csv", "s1.csv"]
     only, _ = csv_files.route_by_header(spark, str(tmp_path), filter_text="q2")
@@ -117,29 +117,81 @@ def test_null_tokens_on_named_columns(rows):
     assert values(csv_files.null_tokens(df).filter(F.col("b").isNull()), "n") == [(1,)]
 
 
-def test_merge_rewrites_only_named_partitions(spark, rows, tmp_path):
+def test_merge_rewrites_only_touched_buckets(spark, rows, tmp_path):
     store = tables.LayerStore(spark, str(tmp_path))
-    schema = "s int, r int, v string"
-    store.publish("conformed", "t", rows(schema, (1, 1, "a"), (2, 1, "b"), (1, 2, "c"), (1, 3, "d"), (5, None, "n")), partition_by="r")
-    done = store.merge("conformed", "t", rows(schema, (1, 1, "A"), (9, 2, "new"), (6, None, "m")), ["s", "r"], "r")
+    schema, keys = "s int, r int, v string", ["s", "r"]
+    store.publish("conformed", "t", rows(schema, (1, 1, "a"), (2, 1, "b"), (1, 2, "c"), (1, 3, "d"), (5, None, "n")), bucket_keys=keys, buckets=8)
+    done = store.merge("conformed", "t", rows(schema, (1, 1, "A"), (9, 2, "new"), (6, None, "m")), keys)
     want = [(1, 1, "A"), (1, 2, "c"), (1, 3, "d"), (2, 1, "b"), (9, 2, "new"), (5, None, "n"), (6, None, "m")]
     got = store.read("conformed", "t")
     assert sorted(map(str, values(got, "s", "r", "v"))) == sorted(map(str, want))
-    assert done == tables.Published(2, 5)  # partitions 1 and 2 and the new row without a partition value
-    store.merge("conformed", "t", rows(schema, (1, 3, "D")), ["s", "r"], "r")
+    assert done == tables.Published(2, 3, inserted=2, updated=1)  # affected rows, not rows written
+    first, second = store._latest("conformed", "t")["folders"]
+    assert 1 <= len(first["replaced"]) <= 2 and second["replaced"] == []
     store.append("conformed", "t", rows(schema, (7, 1, "plus")))
-    assert {("1", "A"), ("3", "D"), ("1", "plus")} <= {(str(r["r"]), r["v"]) for r in store.read("conformed", "t").collect()}
     assert store.read("conformed", "t").count() == 8
-    plan = store.read("conformed", "t")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "array_contains" in plan.lower() or "INSET" in plan or "NOT" in plan
-    assert store.rollback("conformed", "t") == 3 and store.rollback("conformed", "t") == 2
+    assert store.rollback("conformed", "t") == 2
     assert sorted(map(str, values(store.read("conformed", "t"), "s", "r", "v"))) == sorted(map(str, want))
-    with pytest.raises(ValueError):
-        store.merge("conformed", "t", rows(schema), ["s"], "r")
-    # A table that was not laid out this way is rewritten once.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan
+    # A table with another layout is rewritten once, and one with many folders is folded.
     store.publish("conformed", "u", rows(schema, (1, 1, "a"), (1, 2, "b")))
-    assert store.merge("conformed", "u", rows(schema, (1, 2, "B")), ["s", "r"], "r").rows == 2
-    assert store.merge("conformed", "u", rows(schema, (1, 2, "C")), ["s", "r"], "r").rows == 1
+    for n in range(tables.MAX_FOLDERS + 1):
+        assert store.merge("conformed", "u", rows(schema, (1, 2, str(n))), keys).updated == 1
+        assert len(store._latest("conformed", "u")["folders"]) <= tables.MAX_FOLDERS
+    assert values(store.read("conformed", "u"), "r", "v") == [(1, "a"), (2, str(tables.MAX_FOLDERS))]
+
+
+def test_failed_publish_leaves_nothing_behind(spark, rows, tmp_path, monkeypatch):
+    store = tables.LayerStore(spark, str(tmp_path))
+    log = tables.LayerStore._log
+
+    def fail(*_):
+        raise OSError("log")
+
+    for publish in (store.publish, lambda *a: store.publish(*a, bucket_keys=["k"], buckets=4)):
+        monkeypatch.setattr(tables.LayerStore, "_log", fail)
+        with pytest.raises(OSError):
+            publish("landing", "t", rows("k int", (1,), (2,)))
+        monkeypatch.setattr(tables.LayerStore, "_log", log)
+        assert publish("landing", "t", rows("k int", (2,))).rows == 1
+        assert values(store.read("landing", "t")) == [(2,)]
+
+
+def test_file_names_and_quoted_headers(spark, tmp_path):
+    write(tmp_path, "feed [1].csv", '"k, long",v\n1,x\n', 1)
+    (f,) = csv_files.list_csv_files(spark, str(tmp_path))
+    assert f.columns == ["k, long", "v"]
+    assert values(csv_files.read_csv(spark, f.path).drop("_seq")) == [("1", "x")]
+
+
+def test_landing_again_changes_nothing(spark, tmp_path):
+    from tierflow.plans.landing import run_landing
+
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    write(inbox, "a.csv", "user_id,data_fields,value\nu,f,1\n,f,2\nNaN,f,3\n", 1)
+    write(inbox, "b.csv", "value,user_id,data_fields\n7,u,f\n8,w,f\n", 2)
+    write(inbox, "c.csv", "user_id,data_fields,value\nw,f,9\n", 3)
+    store = tables.LayerStore(spark, str(tmp_path / "store"))
+    for _ in range(3):
+        done = run_landing(spark, str(inbox), store)
+        got = values(store.read("landing", "incubator_quiz_monitoring"), "user_id", "value")
+        assert got == [("NaN", "3"), ("u", "7"), ("w", "9")]
+    assert done.published["incubator_quiz_monitoring"].inserted == 0
+
+
+def test_columns_a_file_lacks_stay(spark, tmp_path):
+    from tierflow.plans.landing import run_landing
+
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    write(inbox, "a.csv", "assignment_id,submitted_at,Email,x,y\n1,t,e,x1,y1\n", 1)
+    write(inbox, "b.csv", "assignment_id,submitted_at,Email,x\n1,t,e,x2\n2,t,e,z\n", 2)
+    store = tables.LayerStore(spark, str(tmp_path / "store"))
+    run_landing(spark, str(inbox), store)
+    run_landing(spark, str(inbox), store, filter_text="b")
+    assert values(store.read("landing", "assignment_monitoring_data"), "assignment_id", "x", "y") == [("1", "x2", "y1"), ("2", "z", None)]
 
 
 def test_publish_of_no_rows(spark, rows, tmp_path):

@@ -21,6 +21,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--filter", default="", help="only files whose name contains this text")
     parser.add_argument("--cohort", action="append", help="cohort code for attendance; repeatable, default all")
     parser.add_argument("--rebuild", action="store_true", help="make tables anew instead of merging")
+    parser.add_argument("--single-line", action="store_true", help="no cell holds a line break, so large files can be split")
     args = parser.parse_args(argv)
     if args.step in ("load", "land") and not args.folder:
         parser.error("--folder is needed")
@@ -30,7 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.step == "load":
         outcomes = [run.Outcome(n, p) for n, p in landing.load_folder(spark, args.folder, store).items()]
     elif args.step == "land":
-        done = landing.run_landing(spark, args.folder, store, args.filter)
+        done = landing.run_landing(spark, args.folder, store, args.filter, multi_line=not args.single_line)
         outcomes = [run.Outcome(n, p) for n, p in done.published.items()]
         outcomes += [run.Outcome(path, error="skipped: unknown or incomplete header") for path in done.skipped]
     elif args.step == "conform":

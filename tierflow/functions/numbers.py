@@ -63,5 +63,8 @@ def repeat_pct(submissions: Column) -> Column:
 
 def year_of_study(text: Column, duration: Column) -> Column:
     """Digits in the text, 1 without any, at most the course duration."""
-    digits = F.regexp_replace(text, r"[^0-9]", "")
-    return F.least(F.coalesce(F.when(digits.rlike(_SHORT_INTEGER), digits.cast("int")), F.lit(1)), duration)
+    digits = F.nullif(F.regexp_replace(text, r"[^0-9]", ""), F.lit(""))
+    # More digits than a decimal holds are more than any duration: leading zeros aside, the cap applies.
+    number = F.coalesce(F.ltrim(digits, F.lit("0")), F.lit("1"))
+    value = F.when(F.length(number) > 38, duration).otherwise(F.coalesce(F.nullif(number, F.lit("")), F.lit("0")).cast("decimal(38,0)"))
+    return F.least(value, duration.cast("decimal(38,0)")).cast("int")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normalised, split_list
 from .keyspace import same_keys
+from .sizing import broadcast_if_small
 
 
 def normalised_join(
@@ -32,22 +33,29 @@ def range_join(
 ) -> DataFrame:
     """Inner join where ``start <= point <= end`` on dates.
 
-    Each range is listed once per bucket of days it touches and each point has one bucket, so this is
-    an equi-join with a re-check: no nested loop, and a point meets a range exactly once. Choose a
-    bucket about as long as a usual range.
+    An equi-join with a re-check. Buckets of ``bucket_days`` double in length from level to level; a range is listed
+    on the first level whose buckets are as long as itself, so in two buckets at most, however long it is. A point
+    is listed once per level that some range uses (a handful of numbers), and meets a range exactly once. The
+    ranges are broadcast if they measure small; else a bucket with very many points can be split by AQE.
     """
-    def bucket(c: Column) -> Column:
-        return F.floor(F.unix_date(c.cast("date")) / F.lit(bucket_days))
-
-    spans = ranges.filter(start <= end).select(
-        "*",
-        start.cast("date").alias("_from"),
-        end.cast("date").alias("_to"),
-        F.explode(F.sequence(bucket(start), bucket(end))).alias("_bucket"),
+    def bucket(c: Column, level: Column) -> Column:
+        return F.floor(F.unix_date(c.cast("date")) / (F.lit(bucket_days) * F.pow(F.lit(2.0), level))).cast("long")
+
+    days = F.datediff(end.cast("date"), start.cast("date")) + 1
+    level = F.greatest(F.ceil(F.log2(days / F.lit(bucket_days))), F.lit(0)).cast("int")
+    held = ranges.filter(start <= end).select(
+        "*", start.cast("date").alias("_from"), end.cast("date").alias("_to"), level.alias("_level")
+    )
+    first, last = bucket(F.col("_from"), F.col("_level")), bucket(F.col("_to"), F.col("_level"))
+    spans = held.select("*", F.explode(F.sequence(first, last)).alias("_bucket"))
+    levels = sorted(r["_level"] for r in held.select("_level").distinct().collect())  # a level doubles: 20 span all dates
+    placed = points.select(
+        "*", point.cast("date").alias("_point"), F.explode(F.array(*map(F.lit, levels)).cast("array<int>")).alias("_level")
     )
-    placed = points.select("*", point.cast("date").alias("_point"), bucket(point).alias("_bucket"))
+    placed = placed.select("*", bucket(F.col("_point"), F.col("_level")).alias("_bucket"))
     inside = F.col("_point").between(F.col("_from"), F.col("_to"))
-    return placed.join(spans, "_bucket").filter(inside).drop("_bucket", "_from", "_to", "_point")
+    joined = placed.join(broadcast_if_small(spans), ["_level", "_bucket"]).filter(inside)
+    return joined.drop("_level", "_bucket", "_from", "_to", "_point")
 
 
 def unnest(df: DataFrame, array_col: str, element: str) -> DataFrame:

@@ -13,7 +13,8 @@ def assign_sequential_ids(
 ) -> DataFrame:
     """Fill NULL ids with the numbers after the largest id, in the given total order.
 
-    The largest id is that of ``taken``, a table ``df`` is part of, if one is given.
+    The largest id is that of ``taken``, a table ``df`` is part of, if one is given. Ids may be text: they
+    count as numbers, and text that is none does not count.
 
     Rows to number are range-partitioned and sorted, written once to the shared folder with their
     partition and position, and shifted by the counts of the partitions before. No task sees more
@@ -36,7 +37,7 @@ def assign_sequential_ids(
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    top = (df if taken is None else taken).agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("_top"))
+    top = (df if taken is None else taken).agg(F.coalesce(F.max(F.col(id_col).try_cast("bigint")), F.lit(0)).alias("_top"))
 
     number = top.scalar() + F.col("_offset") + F.col("_pos") + 1
     numbered = placed.join(F.broadcast(offsets), "_part")

@@ -27,18 +27,44 @@ class Audit:
         return (local_now() if self.now is None else F.lit(self.now.isoformat(sep=" "))).cast("timestamp_ntz")
 
 
+#: Column of an upsert that tells what became of a row: inserted, updated or NULL.
+CHANGE = "_change"
+
+
+def _salt(df: DataFrame, keys: list[str]) -> Column:
+    """0 for complete keys; the row's hash for others, which spreads them and never makes them equal."""
+    if not may_be_null(df, keys):
+        return F.lit(0).cast("long")
+    return F.when(any_null(keys), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(F.lit(0).cast("long"))
+
+
+def _last_rows(source: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+    """The last row per key in one pass over the source; rows with a NULL key all stay.
+
+    Map tasks combine rows of one key first. Equal rows with a NULL key are counted and listed again.
+    """
+    grouped = source.withColumn("_salt", _salt(source, keys)).groupBy(*keys, "_salt").agg(
+        F.max_by(F.struct(*source.columns), F.struct(*order_by)).alias("_row"), F.count(F.lit(1)).alias("_n")
+    )
+    copies = F.when(F.col("_salt") != 0, F.col("_n").cast("int")).otherwise(1)
+    return grouped.select(F.explode(F.array_repeat("_row", copies)).alias("_row")).select("_row.*")
+
+
 def _one_source_row(source: DataFrame, keys: list[str], on_dup: str, order_by: list[str] | None) -> DataFrame:
-    """Complete-key rows with one row per key; the window is hashed by the key, as the join after it."""
+    """One row per complete key, and all rows with a NULL key; hashed by the key, as the join after it."""
     if on_dup == "unique":
         return source
     if on_dup == "last":
+        if may_be_null(source, keys):
+            return _last_rows(source, keys, order_by or source.columns)
         return dedupe_keep_last(source, keys, order_by or source.columns, null_keys="equal")
     if on_dup != "raise":
         raise ValueError(f"on_dup must be 'raise', 'last' or 'unique', not {on_dup!r}")
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    rank = F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*keys))
     message = F.concat(F.lit("merge key occurs twice in the source: "), F.to_json(F.struct(*keys)))
-    checked = F.when(F.col("_rank") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-    return source.withColumn("_rank", rank).filter(checked).drop("_rank")
+    repeated = (F.col("_rank") > 1) & (F.col("_salt") == 0)
+    checked = F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(True)
+    return source.withColumn("_salt", _salt(source, keys)).withColumn("_rank", rank).filter(checked).drop("_rank", "_salt")
 
 
 def upsert(
@@ -50,6 +76,7 @@ def upsert(
     order_by: list[str] | None = None,
     audit: Audit | None = None,
     small_source: bool = False,
+    mark_changes: bool = False,
 ) -> DataFrame:
     """Insert rows with new keys, overwrite ``update_cols`` of rows with known keys.
 
@@ -60,7 +87,10 @@ def upsert(
     the target lacks, they only serve the choice.
 
     Complete keys are unique in the target, as any keyed merge needs, and in the chosen source rows,
-    so no key is hot in the join; rows with a NULL key do not take part in it.
+    so no key is hot in the join. Rows with a NULL key pass the same join: they equal nothing, and a hash of
+    the row as a further join key spreads them. Each input is read once.
+
+    ``mark_changes`` adds ``_change``: inserted, updated, or NULL for rows the source does not touch.
 
     ``small_source=True`` asks for a left join plus an anti-join instead of one full outer join: a
     source that measures small is broadcast and the target is never shuffled. A larger one still
@@ -79,16 +109,12 @@ def upsert(
     shared = [c for c in source.columns if c in target.columns and c not in keys]
     updated = set(shared if update_cols is None else update_cols)
 
-    # Rows with a NULL key match nothing: they stay out of the join and its shuffle on both sides.
-    source_nulls = source.filter(any_null(keys)) if may_be_null(source, keys) else None
-    target_nulls = target.filter(any_null(keys)) if may_be_null(target, keys) else None
-    complete = source if source_nulls is None else source.filter(~any_null(keys))
-    existing = target if target_nulls is None else target.filter(~any_null(keys))
-
-    rows = _one_source_row(complete, keys, on_dup, order_by).select(*keys, *shared)
+    rows = _one_source_row(source, keys, on_dup, order_by).select(*keys, *shared)
+    rows = rows.withColumn("_salt", _salt(rows, keys))
     incoming = rows.select(*[F.col(c).alias(f"_s_{c}") for c in rows.columns], F.lit(True).alias("_in_source"))
-    present = existing.withColumn("_in_target", F.lit(True))
+    present = target.withColumn("_salt", _salt(target, keys)).withColumn("_in_target", F.lit(True))
     pairs = [(k, f"_s_{k}") for k in keys]
+    change = [F.when(F.col("_in_target").isNull(), "inserted").when(F.col("_in_source"), "updated").alias(CHANGE)] * mark_changes
 
     def merged(c: str) -> Column:
         old, is_new = F.col(c), F.col("_in_target").isNull()
@@ -112,18 +138,16 @@ def upsert(
     if small_source:
         side = broadcast_if_small(incoming)
         kept = present.join(side, same_keys(present, side, pairs), "left")
-        result = kept.select(*[merged(c) for c in target.columns])
+        result = kept.select(*[merged(c) for c in target.columns], *change)
         # Target keys that the source names: as few as the source has, so the anti-join is small too.
-        known = existing.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+        known = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
         named = known.join(side, same_keys(known, side, [(f"_t_{k}", s) for k, s in pairs]), "left_semi")
         absent = incoming.join(named, same_keys(incoming, named, [(s, f"_t_{k}") for k, s in pairs]), "left_anti")
-        result = result.unionByName(inserted(absent, "_s_"))
-    else:
-        joined = present.join(incoming, same_keys(present, incoming, pairs), "full_outer")
-        result = joined.select(*[merged(c) for c in target.columns])
-    if target_nulls is not None:
-        result = result.unionByName(target_nulls)
-    return result if source_nulls is None else result.unionByName(inserted(source_nulls))
+        new = inserted(absent, "_s_")
+        return result.unionByName(new.withColumn(CHANGE, F.lit("inserted")) if mark_changes else new)
+    salted = [*pairs, ("_salt", "_s__salt")] if may_be_null(target, keys) or may_be_null(rows, keys) else pairs
+    joined = present.join(incoming, same_keys(present, incoming, salted), "full_outer")
+    return joined.select(*[merged(c) for c in target.columns], *change)
 
 
 def upsert_in_order(
@@ -161,12 +185,14 @@ def fill_null_from_lookup(
     """
     names = [f"_l_{i}" for i in range(len(on))]
     best = lookup.groupBy(*[e.alias(n) for n, (_, e) in zip(names, on)]).agg(F.min(lookup_col).alias("_fill"))
-    needing = target.filter(F.col(target_col).isNull())
-    keyed = needing.select("*", *[e.alias(f"_t{n}") for n, (e, _) in zip(names, on)])
-    filled = keyed.join(best, same_keys(keyed, best, [(f"_t{n}", n) for n in names]), "left")
-    value = F.col("_fill").cast(target.schema[target_col].dataType).alias(target_col)
-    done = filled.select(*[value if c == target_col else F.col(c) for c in target.columns])
-    return target.filter(F.col(target_col).isNotNull()).unionByName(done)
+    # Rows that have a value get no key, so they match nothing; their hash spreads them over the join's tasks.
+    has = F.col(target_col).isNotNull()
+    salt = F.when(has, F.xxhash64(*[F.col(c) for c in target.columns])).otherwise(F.lit(0).cast("long"))
+    keyed = target.select("*", *[F.when(~has, e).alias(f"_t{n}") for n, (e, _) in zip(names, on)], salt.alias("_salt"))
+    best = best.withColumn("_zero", F.lit(0).cast("long"))
+    filled = keyed.join(best, same_keys(keyed, best, [*[(f"_t{n}", n) for n in names], ("_salt", "_zero")]), "left")
+    value = F.coalesce(F.col(target_col), F.col("_fill").cast(target.schema[target_col].dataType)).alias(target_col)
+    return filled.select(*[value if c == target_col else F.col(c) for c in target.columns])
 
 
 def update_where(df: DataFrame, condition: Column, assignments: dict[str, Column]) -> DataFrame:

@@ -400,10 +400,10 @@ def onboard_education(
         (places, [("district", "_district"), ("state_union_territory", "_state"), ("city_category", "_city")]),
         (universities, [("university_name", "standard_university_names")]),
     ):
-        rows = normalised_join(rows, lookup, pairs, "left")
+        rows = normalised_join(rows, broadcast_if_small(lookup), pairs, "left")
     rows = unnest_text(rows, "subject_area", "_subject")
     rows = normalised_join(
-        rows, subjects.select(F.col("id").alias("_subject_id"), "sub_field"), [("_subject", "sub_field")], "left"
+        rows, broadcast_if_small(subjects.select(F.col("id").alias("_subject_id"), "sub_field")), [("_subject", "sub_field")], "left"
     )
     grouped = rows.groupBy(
         "student_id", "course_id", "college_id", "university_id", "location_id",

@@ -33,14 +33,18 @@ def subject_profile(
     Lists and places come from one grouping: places are collected as a set of structs (a student has
     few per course) and listed again, in place of a second distinct and a join.
     """
+    # Ids first: equal combinations are cut inside map tasks, so look-ups meet a small rest.
+    ids = unnest(
+        education.select("student_id", "education_course_id", "subject_id", "college_id", "university_id"), "subject_id", "_subject_id"
+    ).distinct()
     mapped = (
-        unnest(education.select("student_id", "education_course_id", "subject_id", "college_id", "university_id"),
-               "subject_id", "_subject_id")
-        .join(subjects, F.col("_subject_id") == subjects["id"])
-        .join(courses.select("course_id", "course_name"), F.col("education_course_id") == F.col("course_id"))
-        .join(colleges.select("college_id", F.col("standard_college_names").alias("college_name")), "college_id", "left")
+        ids.join(broadcast_if_small(subjects), F.col("_subject_id") == subjects["id"])
+        .join(broadcast_if_small(courses.select("course_id", "course_name")), F.col("education_course_id") == F.col("course_id"))
         .join(
-            universities.select("university_id", F.col("standard_university_names").alias("university_name")),
+            broadcast_if_small(colleges.select("college_id", F.col("standard_college_names").alias("college_name"))), "college_id", "left"
+        )
+        .join(
+            broadcast_if_small(universities.select("university_id", F.col("standard_university_names").alias("university_name"))),
             "university_id", "left",
         )
     )
@@ -100,7 +104,7 @@ def student_demography(profile: DataFrame) -> DataFrame:
 
 def _with_resource(facts: DataFrame, resources: DataFrame) -> DataFrame:
     r = resources.select(F.col("id").alias("resource_id"), "category", "title")
-    return facts.join(r, "resource_id")
+    return facts.join(broadcast_if_small(r), "resource_id")
 
 
 def final_quiz(quizzes: DataFrame, resources: DataFrame, profile: DataFrame) -> DataFrame:
@@ -174,5 +178,9 @@ def merged(table: str, target: DataFrame, rows: DataFrame, target_order: list[st
     """
     keys = MERGE_KEYS[table]
     base = target if target_order is None else dedupe_keep_last(target, keys, target_order)
-    kept = [*keys, *_KEPT_ON_MATCH.get(table, [])]
-    return upsert(base, rows, keys, [c for c in rows.columns if c not in kept], on_dup=on_dup)
+    return upsert(base, rows, keys, updated_columns(table, rows), on_dup=on_dup)
+
+
+def updated_columns(table: str, rows: DataFrame) -> list[str]:
+    kept = [*MERGE_KEYS[table], *_KEPT_ON_MATCH.get(table, [])]
+    return [c for c in rows.columns if c not in kept]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions.dates import date_month_name
 from ..functions.text import cohort_code_from_label
 from ..operators.dedupe import dedupe_keep_last, require_unique
-from ..operators.merge import add_column, upsert_in_order
+from ..operators.merge import CHANGE, add_column, upsert, upsert_in_order
 from ..sources.csv_files import SEQ, Feed, load_csv_folder, route_by_header, rows_source
 from ..sources.schemas import MERGE_KEYS
 from ..sources.tables import LayerStore, Published
@@ -48,6 +48,43 @@ def merge_feed(target: DataFrame | None, feed: Feed) -> DataFrame:
     return upsert_in_order(target, rows, keys, [SEQ], update_cols=[c for c in columns if c not in keys])
 
 
+def combined_feed(feeds: list[Feed]) -> DataFrame:
+    """All feeds of one table as one row per key: per column the last value among the files that have it.
+
+    ``_has`` lists the columns that some file of the key brought, so a merge leaves the others alone.
+    """
+    keys = MERGE_KEYS[FEED_TABLES[feeds[0].kind]]
+    parts, columns = [], []
+    for feed in feeds:
+        own = [c for c in feed_columns(feed) if c not in keys]
+        columns += [c for c in own if c not in columns]
+        parts.append(feed.rows.select(*keys, *own, SEQ, F.array(*map(F.lit, own)).cast("array<string>").alias("_has")))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    last = [F.max_by(F.struct(c), F.when(F.array_contains("_has", c), F.col(SEQ)))[c].alias(c) for c in columns]
+    return rows.groupBy(*keys).agg(*last, F.array_distinct(F.flatten(F.collect_set("_has"))).alias("_has"))
+
+
+def merge_combined(target: DataFrame, rows: DataFrame, keys: list[str], mark_changes: bool = False) -> DataFrame:
+    """Upsert rows of ``combined_feed``; a column changes only where ``_has`` names it."""
+    columns = [c for c in rows.columns if c not in (*keys, "_has")]
+    for c in columns:
+        target = add_column(target, c, T.StringType())
+    packed = rows.select(*keys, F.struct(*columns, "_has").alias("_new"))
+    held = target.select(*keys, F.struct(*target.columns).alias("_old"))
+    merged = upsert(
+        held.withColumn("_new", F.lit(None).cast(packed.schema["_new"].dataType)), packed, keys, on_dup="unique", mark_changes=mark_changes
+    )
+    def value(c: str):
+        old = F.col(f"_old.{c}")
+        return F.when(F.array_contains("_new._has", c), F.col(f"_new.{c}")).otherwise(old).alias(c) if c in columns else old.alias(c)
+
+    return merged.select(*keys, *[value(c) for c in target.columns if c not in keys], *([CHANGE] if mark_changes else [])).select(
+        *target.columns, *([CHANGE] if mark_changes else [])
+    )
+
+
 @dataclass(frozen=True)
 class LandingRun:
     published: dict[str, Published]
@@ -57,16 +94,19 @@ class LandingRun:
 def run_landing(
     spark: SparkSession, folder: str, store: LayerStore, filter_text: str = "", multi_line: bool = True
 ) -> LandingRun:
-    """Detect, clean and merge all feeds of a folder, one published version per table."""
-    feeds, skipped = route_by_header(spark, folder, filter_text, multi_line=multi_line)
-    tables: dict[str, DataFrame] = {}
-    for feed in feeds:
-        name = FEED_TABLES[feed.kind]
-        known = tables.get(name)
-        if known is None and store.exists("landing", name):
-            known = store.read("landing", name)
-        tables[name] = merge_feed(known, feed)
-    return LandingRun({name: store.publish("landing", name, df) for name, df in tables.items()}, skipped)
+    """Detect, clean and merge all feeds of a folder: one merge and one published version per table."""
+    keys = {kind: MERGE_KEYS[name] for kind, name in FEED_TABLES.items()}
+    feeds, skipped = route_by_header(spark, folder, filter_text, multi_line=multi_line, keys=keys)
+    published = {}
+    for kind in sorted({f.kind for f in feeds}):
+        name, own = FEED_TABLES[kind], keys[kind]
+        rows = combined_feed([f for f in feeds if f.kind == kind])
+        if store.exists("landing", name):
+            merged_by = lambda target, source, k, mark_changes: merge_combined(target, source, k, mark_changes)
+            published[name] = store.merge("landing", name, rows, own, merged_by=merged_by)
+        else:
+            published[name] = store.publish("landing", name, rows.drop("_has"), bucket_keys=own)
+    return LandingRun(published, skipped)
 
 
 def load_folder(spark: SparkSession, folder: str, store: LayerStore) -> dict[str, Published]:

@@ -8,11 +8,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..operators.dedupe import duplicate_report
+from ..operators.dedupe import dedupe_keep_last, duplicate_report
 from ..operators.keys import assign_sequential_ids
+from ..operators.repair import Split
 from ..session import stored
-from ..sources.schemas import MERGE_KEYS, PARTITION_COLUMNS, conformed_schema
-from ..sources.tables import LayerStore, Published, write_audit
+from ..sources.schemas import MERGE_KEYS, conformed_schema
+from ..sources.tables import LayerStore, Published, audited, write_audit
 from . import conform, enrich, report
 
 
@@ -30,10 +31,6 @@ def _attempt(table: str, publish: Callable[[], Published]) -> Outcome:
         return Outcome(table, error=traceback.format_exc(limit=3))
 
 
-def _current(store: LayerStore, layer: str, name: str, empty: Callable[[], DataFrame]) -> DataFrame:
-    return store.read(layer, name) if store.exists(layer, name) else empty()
-
-
 def _numbered(keys: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
     """Ids for new rows, as a serial column would give them.
 
@@ -73,11 +70,11 @@ def run_conform(store: LayerStore) -> list[Outcome]:
     }
 
     def publish(name: str) -> Published:
-        rows, keys, column = builders[name](), MERGE_KEYS[name], PARTITION_COLUMNS[name]
+        rows, keys = builders[name](), MERGE_KEYS[name]
         if not store.exists("conformed", name):
             store.publish("conformed", name, store.spark.createDataFrame([], conformed_schema(name)))
         return store.merge(
-            "conformed", name, rows, keys, column, _numbered(keys),
+            "conformed", name, rows, keys, _numbered(keys),
             update_cols=conform.updated_columns(name, rows), on_dup="last",
         )
 
@@ -123,13 +120,20 @@ def run_enrich(
     }
 
     def publish(name: str) -> Published:
-        rows = builders[name]()
-        if rebuild or not store.exists("enriched", name):
-            merged = rows if rebuild else enrich.merged(name, rows.limit(0), rows)
-            return store.publish("enriched", name, merged)
-        target = store.read("enriched", name)
-        write_audit(duplicate_report(target, MERGE_KEYS[name]), f"{store.root}/audit", run_id, f"duplicate_{name}")
-        return store.publish("enriched", name, enrich.merged(name, target, rows, target_order=target.columns))
+        rows, keys = builders[name](), MERGE_KEYS[name]
+        if rebuild:
+            return store.publish("enriched", name, rows)
+        if not store.exists("enriched", name):
+            return store.publish("enriched", name, enrich.merged(name, rows.limit(0), rows), bucket_keys=keys)
+
+        def cleaned(affected: DataFrame) -> DataFrame:
+            # Only the touched buckets are read, so the report and the clean-up cost what the export does.
+            write_audit(duplicate_report(affected, keys), f"{store.root}/audit", run_id, f"duplicate_{name}")
+            return dedupe_keep_last(affected, keys, affected.columns)
+
+        return store.merge(
+            "enriched", name, rows, keys, prepare=cleaned, update_cols=enrich.updated_columns(name, rows), on_dup="last"
+        )
 
     return [_attempt(name, lambda n=name: publish(n)) for name in builders]
 
@@ -151,7 +155,37 @@ def run_report(store: LayerStore, rebuild: bool = False) -> list[Outcome]:
         if rebuild:
             cluster = MERGE_KEYS[name] if name == "resubmission_count_overview" else None
             return store.publish("reporting", name, rows, cluster_by=cluster)
-        target = _current(store, "reporting", name, lambda: rows.limit(0))
-        return store.publish("reporting", name, report.merged(name, target, rows))
+        keys = MERGE_KEYS[name]
+        if not store.exists("reporting", name):
+            return store.publish("reporting", name, report.merged(name, rows.limit(0), rows), bucket_keys=keys)
+        return store.merge("reporting", name, rows, keys, update_cols=[c for c in rows.columns if c not in keys], on_dup="last")
 
     return [_attempt(name, lambda n=name: publish(n)) for name in builders]
+
+
+@dataclass(frozen=True)
+class Repair:
+    """One table of a repair: how its rows split into kept and removed ones."""
+
+    layer: str
+    table: str
+    split: Callable[[DataFrame], Split]
+
+
+def run_repair(store: LayerStore, repairs: list[Repair], run_id: str, label: str, dry_run: bool = False) -> dict[str, int]:
+    """Back up, then delete, table by table in the given order (children before their parents).
+
+    Removed rows are written below ``<root>/audit`` first; only then the kept rows are published, so no row is
+    ever in neither place. The number of removed rows per table is returned; a dry run only counts.
+    """
+    removed = {}
+    for step in repairs:
+        parts = step.split(store.read(step.layer, step.table))
+        if dry_run:
+            removed[step.table] = parts.removed.count()
+            continue
+        path = write_audit(parts.removed, f"{store.root}/audit", run_id, f"{label}_{step.table}")
+        removed[step.table] = audited(store.spark, path, run_id).count()
+        if removed[step.table]:
+            store.publish(step.layer, step.table, parts.kept)
+    return removed

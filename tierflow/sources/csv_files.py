@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from dataclasses import dataclass
-from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import null_if_token
 
@@ -35,7 +37,12 @@ class CsvFile:
 
     @property
     def columns(self) -> list[str]:
-        return [clean_name(c.strip().strip('"')) for c in self.header.split(self.separator)]
+        return header_cells(self.header, self.separator)
+
+
+def header_cells(header: str, separator: str) -> list[str]:
+    """Header cells by the rules of quoted CSV: a separator inside quotes belongs to its cell."""
+    return [clean_name(c) for c in next(csv.reader([header], delimiter=separator), [])]
 
 
 def clean_name(name: str) -> str:
@@ -48,6 +55,11 @@ def guess_separator(header: str) -> str:
     return max(_SEPARATORS, key=bare.count)
 
 
+def literal_path(path: str) -> str:
+    """The path with glob characters escaped, so that Spark reads this file and no other."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def list_csv_files(spark: SparkSession, folder: str, filter_text: str = "") -> list[CsvFile]:
     """Files with their header line, oldest first.
 
@@ -61,7 +73,7 @@ def list_csv_files(spark: SparkSession, folder: str, filter_text: str = "") -> l
     for r in listing.collect():
         if filter_text and filter_text not in r["path"].rsplit("/", 1)[-1]:
             continue
-        first = spark.read.text(r["path"]).first()
+        first = spark.read.text(literal_path(r["path"])).first()
         if first is not None:
             files.append(CsvFile(r["path"], r["modificationTime"], first["value"].lstrip(_BOM)))
     return files
@@ -79,17 +91,22 @@ def read_csv(
     ``multi_line`` allows line breaks inside quotes; switch it off for large files without them, which
     Spark can then split. ``_seq`` compares by file time, file name, position of the split and row.
     """
-    reader = spark.read.options(
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    first = spark.read.text(literal_path(paths[0])).first()
+    names = [] if first is None else header_cells(first["value"].lstrip(_BOM), separator)
+    # The header gives the schema: inferring it would read a path with glob characters as a pattern.
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    reader = spark.read.schema(schema).options(
         header=True, sep=separator, encoding=encoding, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE"
     )
-    df = reader.csv(paths)
+    df = reader.csv([literal_path(p) for p in paths])
     sequence = F.struct(
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return df.select(*[F.col(f"`{c}`").alias(clean_name(c)) for c in df.columns], sequence.alias(SEQ))
+    return df.select(*[f"`{c}`" for c in df.columns], sequence.alias(SEQ))
 
 
 def load_csv_folder(spark: SparkSession, folder: str, encoding: str = "ISO-8859-1") -> dict[str, DataFrame]:
@@ -127,37 +144,50 @@ def missing_columns(columns: list[str], required: list[str]) -> list[str]:
 
 @dataclass(frozen=True)
 class Feed:
-    """Consecutive files of one kind with one header."""
+    """All files of one kind with one header."""
 
     kind: str
     rows: DataFrame
     files: tuple[str, ...]
 
 
+#: Text that stands for a missing key, so that such a row meets itself when it is landed again.
+MISSING_KEY = "NaN"
+
+
 def route_by_header(
-    spark: SparkSession, folder: str, filter_text: str = "", encoding: str = "ISO-8859-1", multi_line: bool = True
+    spark: SparkSession, folder: str, filter_text: str = "", encoding: str = "ISO-8859-1", multi_line: bool = True,
+    keys: dict[str, list[str]] | None = None,
 ) -> tuple[list[Feed], list[str]]:
-    """Feeds in file order, and the skipped files (unknown kind or missing columns).
+    """One feed per kind and header, and the skipped files (unknown kind or missing columns).
 
-    Files join one read only while their header is the same, so a column never lands under another
-    column's name.
+    Files join one read only if their header is the same, so a column never lands under another column's
+    name; ``_seq`` keeps the order of all files. ``keys``: key columns per kind; a missing value there becomes
+    the text ``NaN``, elsewhere missing-value words become NULL.
     """
-    known: list[tuple[str, CsvFile]] = []
+    groups: dict[tuple[str, str], list[CsvFile]] = {}
     skipped = []
     for f in list_csv_files(spark, folder, filter_text):
         kind = feed_kind(f.columns)
         if kind is None or (kind == "session" and missing_columns(f.columns, SESSION_COLUMNS)):
             skipped.append(f.path)
         else:
-            known.append((kind, f))
+            groups.setdefault((kind, f.header), []).append(f)
     feeds = []
-    for (kind, _), run in groupby(sorted(known, key=lambda kf: kf[0]), key=lambda kf: (kf[0], kf[1].header)):
-        files = [f for _, f in run]
+    for (kind, _), files in sorted(groups.items(), key=lambda g: g[0][0]):
         rows = read_csv(spark, [f.path for f in files], files[0].separator, encoding, multi_line)
-        feeds.append(Feed(kind, null_tokens(rows), tuple(f.path for f in files)))
+        feeds.append(Feed(kind, landed(rows, (keys or {}).get(kind, [])), tuple(f.path for f in files)))
     return feeds, skipped
 
 
+def landed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Missing-value words as NULL outside the keys, and as one text inside them."""
+    texts = [f.name for f in rows.schema if f.dataType.typeName() == "string" and f.name not in keys]
+    cleaned = null_tokens(rows, texts)
+    missing = {k: F.when(null_if_token(F.col(f"`{k}`"), ("NaN", "nan", "")).isNull(), MISSING_KEY).otherwise(F.col(f"`{k}`")) for k in keys if k in rows.columns}
+    return cleaned.withColumns(missing) if missing else cleaned
+
+
 def null_tokens(df: DataFrame, cols: list[str] | None = None, tokens: tuple[str, ...] = ("NaN", "nan", "")) -> DataFrame:
     """Turn missing-value words into NULL, in all text columns unless some are named."""
     texts = [f.name for f in df.schema if f.dataType.typeName() == "string"]

@@ -86,14 +86,6 @@ MERGE_KEYS = {
     "student_registration_overview": ["student_id", "email"],
 }
 
-# The key column each fact table is laid out by: a new export names few of its values.
-PARTITION_COLUMNS = {
-    "student_assignment": "resource_id",
-    "student_session": "session_id",
-    "student_quiz": "resource_id",
-    "student_pre_recorded": "resource_id",
-}
-
 # Domains of enumerated columns. Session types differ between programmes and are an argument.
 GENDERS = ["F", "M", "O"]
 PROGRAM_CODES = ["INC", "ACC", "STC"]

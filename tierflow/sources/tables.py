@@ -1,48 +1,67 @@
 """Layer tables as immutable Parquet versions, and report folders.
 
-A table lives in folders ``<root>/<layer>/<name>/v=<n>``. A version counts once the append-only log
-below ``<root>/version_log`` names it with its folders, so a failed write leaves the current version
-untouched, a job may read a table it replaces, an append adds one folder to those of the version
-before, and a rollback is one more log row. ``merge`` into a table laid out by one column of its key
-reads and writes only the values the source names; the log then lists, per earlier folder, the values
-that a later folder holds. One writer per table is assumed.
+A table lives in folders ``<root>/<layer>/<name>/v=<n>-<attempt>``; every attempt writes a fresh folder, and it
+counts once the append-only log of the table names it. A failed write therefore leaves the current version
+untouched and nothing of it can come back; a job may read a table it replaces, an append adds one folder,
+and a rollback is one more log row.
+
+``merge`` deals rows into a fixed number of hash buckets of the merge key. It rewrites only the buckets the
+source touches; rows with a NULL key match nothing, so they go to a bucket of their own that is only added to.
+The log lists, per earlier folder, the buckets that a later folder holds; both lists are bounded, since a table of
+more than ``MAX_FOLDERS`` folders is folded into one by its next merge. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import LAYERS
-from ..operators.merge import upsert
+from ..operators.keyspace import any_null
+from ..operators.merge import CHANGE, upsert
 
 _LOG_SCHEMA = (
-    "layer string, name string, entry long, version long, rows long, partition_by string, "
-    "schema_json string, folders array<struct<path: string, replaced: array<string>>>"
+    "entry long, version long, rows long, bucket_keys array<string>, buckets int, "
+    "schema_json string, folders array<struct<path: string, replaced: array<int>>>"
 )
+_BUCKET = "_bucket"
+#: Hash buckets of a merged table, and folders of a version after which a merge folds them.
+BUCKETS, MAX_FOLDERS = 64, 16
 
 
 @dataclass(frozen=True)
 class Published:
+    """A new version; a merge counts the rows it inserted and updated, other writes the rows they wrote."""
+
     version: int
     rows: int
+    inserted: int | None = None
+    updated: int | None = None
 
 
-def counted_write(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: list[str] | None = None) -> int:
-    """Write Parquet and return the row count seen on the way, without a second pass."""
+def counted_write(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: str | None = None) -> dict:
+    """Write Parquet and return the counts seen on the way, without a second pass."""
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-    return seen.get["rows"]
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if CHANGE in df.columns:
+        counts += [F.count_if(F.col(CHANGE) == kind).alias(kind) for kind in ("inserted", "updated")]
+    writer = df.observe(seen, *counts).drop(CHANGE).write.mode(mode)
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    return seen.get
+
+
+def key_bucket(keys: list[str], buckets: int, schema: T.StructType) -> Column:
+    """Bucket of a row by its key as the table types it; -1 with a NULL in the key."""
+    typed = [F.col(k).cast(schema[k].dataType) for k in keys]
+    return F.when(any_null(keys), -1).otherwise(F.pmod(F.xxhash64(*typed), F.lit(buckets)).cast("int"))
 
 
 def clustered(df: DataFrame, by: list[str]) -> DataFrame:
@@ -55,81 +74,81 @@ class LayerStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _path(self, layer: str, name: str, version: int) -> str:
+    def _folder(self, layer: str, name: str, version: int) -> str:
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
-        return f"{self.root}/{layer}/{name}/v={version}"
+        return f"{self.root}/{layer}/{name}/v={version}-{uuid.uuid4().hex[:12]}"
 
-    def _entries(self, layer: str, name: str) -> list:
+    def _log_rows(self, layer: str, name: str) -> DataFrame | None:
         try:
-            log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/version_log")
+            return self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/version_log/{layer}.{name}")
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":  # nothing was ever published
-                return []
+                return None
             raise
-        # One short row per publication of this table.
-        rows = log.filter((F.col("layer") == layer) & (F.col("name") == name)).collect()
-        return sorted(rows, key=lambda r: r["entry"])
 
-    def _log(
-        self,
-        layer: str,
-        name: str,
-        entry: int,
-        version: int,
-        rows: int,
-        partition_by: str | None,
-        schema_json: str,
-        folders: list,
-    ) -> None:
-        data = [(layer, name, entry, version, rows, partition_by, schema_json, [tuple(f) for f in folders])]
-        row = self.spark.createDataFrame(data, _LOG_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/version_log")
+    def _latest(self, layer: str, name: str):
+        """The current log row: one row comes to the driver, however long the history."""
+        log = self._log_rows(layer, name)
+        return None if log is None else log.orderBy(F.desc("entry")).first()
+
+    def _current(self, layer: str, name: str):
+        current = self._latest(layer, name)
+        if current is None:
+            raise LookupError(f"no published version of {layer}.{name}")
+        return current
+
+    def _log(self, layer: str, name: str, row: tuple) -> None:
+        out = self.spark.createDataFrame([row], _LOG_SCHEMA)
+        out.coalesce(1).write.mode("append").parquet(f"{self.root}/version_log/{layer}.{name}")
 
     def exists(self, layer: str, name: str) -> bool:
-        return bool(self._entries(layer, name))
+        return self._latest(layer, name) is not None
 
-    def _load(self, entry) -> DataFrame:
-        """Folders of one version; values replaced later are pruned as whole partitions."""
+    def _load(self, entry, only: list[int] | None = None) -> DataFrame:
+        """Folders of one version; buckets replaced later, or not asked for, are pruned as whole partitions."""
         schema = T.StructType.fromJson(json.loads(entry["schema_json"]))
+        physical = T.StructType([*schema, T.StructField(_BUCKET, T.IntegerType())]) if entry["buckets"] else schema
         parts = []
         for path, replaced in entry["folders"]:
-            df = self.spark.read.schema(schema).parquet(path).select(*schema.names)
+            df = self.spark.read.schema(physical).parquet(path)
             if replaced:
-                value = F.col(entry["partition_by"])
-                wanted = F.lit(replaced).cast(T.ArrayType(schema[entry["partition_by"]].dataType))
-                df = df.filter(value.isNull() | ~F.array_contains(wanted, value))
-            parts.append(df)
+                df = df.filter(~F.col(_BUCKET).isin(list(replaced)))
+            if only is not None:
+                df = df.filter(F.col(_BUCKET).isin(only))
+            parts.append(df.select(*[c for c in physical.names if c != _BUCKET]))
         return reduce(DataFrame.unionByName, parts)
 
     def read(self, layer: str, name: str, columns: list[str] | None = None) -> DataFrame:
-        entries = self._entries(layer, name)
-        if not entries:
-            raise LookupError(f"no published version of {layer}.{name}")
-        df = self._load(entries[-1])
+        df = self._load(self._current(layer, name))
         return df if columns is None else df.select(*columns)
 
     def _write(
-        self, layer: str, name: str, df: DataFrame, entries: list, earlier: list, partition_by: str | None = None
+        self, layer: str, name: str, df: DataFrame, earlier: list, bucket_keys: list[str] | None = None, buckets: int | None = None
     ) -> Published:
-        version = max((e["version"] for e in entries), default=0) + 1
-        path = self._path(layer, name, version)
-        rows = counted_write(df, path, mode="overwrite", partition_by=[partition_by] if partition_by else None)
-        folders = [*earlier, (path, [])]
-        self._log(layer, name, len(entries) + 1, version, rows, partition_by, df.schema.json(), folders)
-        return Published(version, rows)
+        log = self._log_rows(layer, name)
+        last = None if log is None else log.agg(F.max("version").alias("version"), F.max("entry").alias("entry")).first()
+        version, entry = (1, 1) if last is None else (last["version"] + 1, last["entry"] + 1)
+        path = self._folder(layer, name, version)
+        schema = df.drop(CHANGE).schema
+        if bucket_keys:
+            df = df.withColumn(_BUCKET, key_bucket(bucket_keys, buckets, schema)).hint("rebalance", _BUCKET)
+        seen = counted_write(df, path, partition_by=_BUCKET if bucket_keys else None)
+        folders = [*[(p, list(r)) for p, r in earlier], (path, [])]
+        inserted, updated = seen.get("inserted"), seen.get("updated")
+        rows = seen["rows"] if inserted is None else inserted + updated
+        self._log(layer, name, (entry, version, rows, bucket_keys, buckets, schema.json(), folders))
+        return Published(version, rows, inserted, updated)
 
     def publish(
-        self,
-        layer: str,
-        name: str,
-        df: DataFrame,
-        cluster_by: list[str] | None = None,
-        partition_by: str | None = None,
+        self, layer: str, name: str, df: DataFrame, cluster_by: list[str] | None = None,
+        bucket_keys: list[str] | None = None, buckets: int = BUCKETS,
     ) -> Published:
-        """Write a new version, then make it current; ``rows`` is what was written."""
+        """Write a new version, then make it current; ``bucket_keys`` lays it out for merges by that key."""
+        if cluster_by and bucket_keys:
+            raise ValueError("a table is either clustered or laid out in buckets")
         out = clustered(df, cluster_by) if cluster_by else df
-        return self._write(layer, name, out, self._entries(layer, name), [], partition_by)
+        return self._write(layer, name, out, [], bucket_keys, buckets if bucket_keys else None)
 
     def merge(
         self,
@@ -137,48 +156,50 @@ class LayerStore:
         name: str,
         source: DataFrame,
         keys: list[str],
-        partition_by: str,
         finish: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+        buckets: int = BUCKETS,
+        prepare: Callable[[DataFrame], DataFrame] | None = None,
+        merged_by: Callable[..., DataFrame] = upsert,
         **options,
     ) -> Published:
-        """Upsert into a table laid out by one key column; only values the source names are rewritten.
+        """Upsert by key; only the buckets the source touches are read and rewritten.
 
-        ``finish(merged, table)`` may complete the merged rows with a look at the whole table. A table
-        that is not laid out by the column is rewritten once.
+        ``prepare(rows)`` may clean the affected rows of the table first, ``finish(merged, table)`` complete the
+        merged rows with a look at the whole table. A table with another layout is rewritten once.
         """
-        if partition_by not in keys:
-            raise ValueError(f"{partition_by!r} must be a key column, or rows could change their partition")
-        entries = self._entries(layer, name)
-        if not entries:
-            raise LookupError(f"no published version of {layer}.{name}")
-        current, table = entries[-1], self._load(entries[-1])
-        if current["partition_by"] != partition_by:
-            affected, earlier = table, []
+        current = self._current(layer, name)
+        table = self._load(current)
+        known = current["bucket_keys"] == keys and current["buckets"]
+        new_columns = set(source.columns) - set(table.columns) - {"_has", *(options.get("order_by") or [])}
+        if not known or new_columns or len(current["folders"]) >= MAX_FOLDERS:
+            affected, earlier, buckets = table, [], known or buckets
         else:
-            # One value per touched partition folder: bounded by the table's layout.
-            named = source.select(F.col(partition_by).cast("string").alias("v")).distinct().filter("v is not null")
-            touched = [r["v"] for r in named.collect()]
-            affected = table.filter(F.col(partition_by).isin(touched)) if touched else table.limit(0)
+            buckets = known
+            dealt = source.select(key_bucket(keys, buckets, table.schema).alias("b")).distinct()
+            touched = sorted(r["b"] for r in dealt.collect() if r["b"] >= 0)  # at most ``buckets`` numbers
+            affected = self._load(current, touched) if touched else table.limit(0)
             earlier = [(path, sorted({*replaced, *touched})) for path, replaced in current["folders"]]
-        merged = upsert(affected, source, keys, **options)
+        if prepare is not None:
+            affected = prepare(affected)
+        merged = merged_by(affected, source, keys, mark_changes=True, **options)
         if finish is not None:
             merged = finish(merged, table)
-        # Few files per value; AQE splits a value that holds much and joins those that hold little.
-        out = merged.hint("rebalance", partition_by)
-        return self._write(layer, name, out, entries, earlier, partition_by)
+        return self._write(layer, name, merged, earlier, keys, buckets)
 
     def rollback(self, layer: str, name: str) -> int:
         """Make the version before the current one current again."""
-        entries = self._entries(layer, name)
-        current = entries[-1]["version"] if entries else 0
-        earlier = [e for e in entries if e["version"] < current]
-        if not earlier:
+        current, log = self._latest(layer, name), self._log_rows(layer, name)
+        back = None
+        if current is not None:
+            back = log.filter(F.col("version") < current["version"]).orderBy(F.desc("version"), F.desc("entry")).first()
+        if back is None:
             raise LookupError(f"no earlier version of {layer}.{name}")
-        back = max(earlier, key=lambda e: e["version"])
-        self._log(
-            layer, name, len(entries) + 1, back["version"], back["rows"], back["partition_by"], back["schema_json"],
-            back["folders"],
-        )
+        row = back.asDict(recursive=True)
+        folders = [(f["path"], f["replaced"]) for f in row["folders"]]
+        last = log.agg(F.max("entry").alias("entry")).first()["entry"]
+        self._log(layer, name, (
+            last + 1, row["version"], row["rows"], row["bucket_keys"], row["buckets"], row["schema_json"], folders
+        ))
         return back["version"]
 
     def materialise(self, layer: str, name: str, df: DataFrame, if_exists: str = "ignore") -> Published | None:
@@ -193,12 +214,11 @@ class LayerStore:
 
     def append(self, layer: str, name: str, df: DataFrame) -> Published:
         """Add rows: only they are written. Missing columns are NULL, types follow the table."""
-        entries = self._entries(layer, name)
-        if not entries:
+        current = self._latest(layer, name)
+        if current is None:
             return self.publish(layer, name, df)
-        current = entries[-1]
         rows = conform_to(df, self._load(current).schema)
-        return self._write(layer, name, rows, entries, current["folders"], current["partition_by"])
+        return self._write(layer, name, rows, current["folders"], current["bucket_keys"], current["buckets"])
 
 
 def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -212,7 +232,7 @@ def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def append(df: DataFrame, path: str) -> int:
     """Bulk append to a Parquet folder; partitions take the place of insert chunks."""
-    return counted_write(df, path, mode="append")
+    return counted_write(df, path, mode="append")["rows"]
 
 
 def write_audit(df: DataFrame, root: str, run_id: str, label: str, file_format: str = "parquet") -> str:
@@ -230,3 +250,13 @@ def write_audit(df: DataFrame, root: str, run_id: str, label: str, file_format:
     else:
         writer.parquet(path)
     return path
+
+
+def audited(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """Audit rows of one run; none if it wrote none."""
+    try:
+        return spark.read.parquet(f"{path}/run_id={run_id}")
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return spark.createDataFrame([], "run_id string")
+        raise
