@@ -168,7 +168,7 @@ _FEATURE_SIZES = (4, 10, 10, 8, 5, 5, 2)
 
 # What is believed of a labeler before any data: chances of (no, nothing, yes) if true and if false, and how many
 # rows that belief is worth as a share of all. Check digits and number ranges are known to be dependable.
-_BELIEF = {"check": ((0.01, 0.04, 0.95), (0.75, 0.10, 0.15), 1.0)}
+_BELIEF = {"check": ((0.001, 0.04, 0.959), (0.75, 0.10, 0.15), 5.0)}
 _OTHER = ((0.10, 0.30, 0.60), (0.50, 0.30, 0.20), 0.1)
 
 

@@ -99,7 +99,7 @@ class PieceModel:
 
     def agree(self, met: dict[str, list[int]]) -> None:
         """The library must give the same ids for the segments that were merged."""
-        segments = list(met)
+        segments = [s for s in met if s != MARK]  # a lone space mark is never a text of its own to the library
         given = [s[1:] if s[0] == MARK else "\n" + s for s in segments]
         skip = [0 if s[0] == MARK else self.after_break for s in segments]
         for s, k, ids in zip(segments, skip, self.library.encode(given, num_threads=1)):

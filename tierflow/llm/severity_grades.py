@@ -181,8 +181,10 @@ def fit(texts: DataFrame, grade_of=None) -> CumulativeLink:
 
 def halves(label: np.ndarray, amount: np.ndarray) -> np.ndarray:
     """Grades from a yes/no label: 0, 1 for the weaker half of the labelled rows, 2 for the stronger half."""
-    middle = np.median(amount[label > 0])
-    return np.where(label == 0, 0, np.where(amount > middle, 2, 1))
+    labelled = amount[label > 0]
+    middle = np.median(labelled)
+    strong = amount > middle if (labelled > middle).any() else amount >= middle
+    return np.where(label == 0, 0, np.where(strong, 2, 1))
 
 
 def with_severity(df: DataFrame, model: CumulativeLink, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

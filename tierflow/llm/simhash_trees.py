@@ -13,7 +13,8 @@ most one link per node (a spanning forest of its links), never all pairs, and no
 
 ``near_duplicates`` serves a stated similarity of shingle sets in place of a radius. At a similarity of 0.8 some
 fourteen bits differ, for which bands of the fingerprint would be too short; shards are then keyed by groups of
-minimal shingle hashes instead, trees are searched with the wide radius, and links are checked on whole sets.
+minimal shingle hashes instead, trees are searched with the wide radius, and links are checked on whole sets. As a
+proposed link may fail that check, each fingerprint also proposes the closest one of every tree it is in.
 
 Edge cases: a NULL or word-less text has fingerprint zero and is linked like any other. A NULL document id
 takes part in links but never names a component, unless all ids of the component are NULL. Repeated rows are
@@ -106,31 +107,38 @@ class _Groups:
         return a != b
 
 
-def tree_links(prints: list[int], radius: int) -> list[tuple[int, int]]:
+def tree_links(prints: list[int], radius: int, nearest: bool = False) -> list[tuple[int, int]]:
     """Insert each fingerprint after searching the tree that holds the earlier ones.
 
     Returns links that connect all that is linked: a spanning forest, so fewer than there are fingerprints.
+    ``nearest`` adds a link of each fingerprint to the closest other one.
     """
     groups, children, out = _Groups(len(prints)), [{} for _ in prints], []
+    best = [(radius + 1, -1)] * len(prints)
     for i in range(1, len(prints)):
         value, stack = prints[i], [0]
         while stack:
             node = stack.pop()
             d = (prints[node] ^ value).bit_count()
-            if d <= radius and groups.join(node, i):
-                out.append((node, i))
+            if d <= radius:
+                if groups.join(node, i):
+                    out.append((node, i))
+                best[i], best[node] = min(best[i], (d, node)), min(best[node], (d, i))
             edges = children[node]
             stack += [edges[e] for e in range(d - radius, d + radius + 1) if e in edges]
         node = 0
         while (child := children[node].get(d := (prints[node] ^ value).bit_count())) is not None:
             node = child
         children[node][d] = i
-    return out
+    return out + [(j, i) for i, (_, j) in enumerate(best) if j >= 0] if nearest else out
 
 
-def array_tree_links(prints: np.ndarray, in_tree: np.ndarray, searches: np.ndarray, radius: int) -> list[tuple[int, int]]:
+def array_tree_links(
+    prints: np.ndarray, in_tree: np.ndarray, searches: np.ndarray, radius: int, nearest: bool = False
+) -> list[tuple[int, int]]:
     """The same with all searches going down the tree together: a node gets the searches that enter its edge."""
     groups, label, out = _Groups(len(prints)), np.arange(len(prints)), []
+    best, at = np.full(len(prints), radius + 1), np.full(len(prints), -1)
     stack = [(in_tree, searches)]
     while stack:
         members, asking = stack.pop()
@@ -141,27 +149,31 @@ def array_tree_links(prints: np.ndarray, in_tree: np.ndarray, searches: np.ndarr
             _, places = np.unique(label[met], return_index=True)
             out += [(node, other) for other in met[places].tolist() if groups.join(node, other)]
             label[met] = label[node] = groups.find(node)
+        if nearest:
+            closer = asking[(distance < best[asking]) & (asking != node)]
+            best[closer], at[closer] = np.bitwise_count(prints[closer] ^ prints[node]), node
         if members.size:
             edge = np.bitwise_count(prints[members] ^ prints[node])
             for e in np.unique(edge).tolist():
                 entering = asking[np.abs(distance.astype(np.int16) - e) <= radius]
                 if entering.size:
                     stack.append((members[edge == e], entering))
-    return out
+    found = np.flatnonzero(at >= 0)
+    return out + list(zip(at[found].tolist(), found.tolist())) if nearest else out
 
 
-def shard_links(prints: np.ndarray, side: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
+def shard_links(prints: np.ndarray, side: np.ndarray, radius: int, nearest: bool) -> tuple[list[int], list[int]]:
     """Links of one shard. side 0: tree and search, 1: tree only, 2: search only."""
     if len(prints) < 2:
         return [], []
     if len(prints) <= SMALL_TREE and not side.any():
-        pairs = tree_links(prints.tolist(), radius)
+        pairs = tree_links(prints.tolist(), radius, nearest)
     else:
         places = np.arange(len(prints))
         tree, asking = places[side != 2], places[side != 1]
         if not tree.size or not asking.size:
             return [], []
-        pairs = array_tree_links(prints, tree, asking, radius)
+        pairs = array_tree_links(prints, tree, asking, radius, nearest)
     signed = prints.view(np.int64).tolist()
     return [signed[i] for i, _ in pairs], [signed[j] for _, j in pairs]
 
@@ -186,14 +198,14 @@ def _split_hot(shards: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     return shards.join(sizes, "shard", "left_anti"), shards.join(sizes, "shard")
 
 
-def _links(shards: DataFrame, radius: int) -> DataFrame:
+def _links(shards: DataFrame, radius: int, nearest: bool = False) -> DataFrame:
     """Links of all shards; rows (shard, side, print). A task holds one shard at a time, in the order of prints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, prints, sides = None, [], []
 
         def flush():
-            return shard_links(np.concatenate(prints), np.concatenate(sides), radius) if prints else ([], [])
+            return shard_links(np.concatenate(prints), np.concatenate(sides), radius, nearest) if prints else ([], [])
 
         for batch in batches:
             keys, side = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -296,7 +308,7 @@ def near_duplicates(
     firsts = stored(docs.groupBy(F.col("fingerprint").alias("print")).agg(F.min(id_col).alias("first_id")), "prints")
     shards = stored(docs.select(F.explode("keys").alias("shard"), F.col("fingerprint").alias("print")).distinct(), "shards")
     small, hot = _split_hot(shards, shard_nodes)
-    proposed = _links(_plain(small).unionByName(_chunked(hot, shard_nodes)), radius).select(
+    proposed = _links(_plain(small).unionByName(_chunked(hot, shard_nodes)), radius, nearest=True).select(
         F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")
     )
     links = _similar(stored(proposed.distinct(), "proposed"), df, docs, id_col, text_col, shingle_words, similarity)
