@@ -14,7 +14,7 @@ most one link per node (a spanning forest of its links), never all pairs, and no
 ``near_duplicates`` serves a stated similarity of shingle sets in place of a radius. At a similarity of 0.8 some
 fourteen bits differ, for which bands of the fingerprint would be too short; shards are then keyed by groups of
 minimal shingle hashes instead, trees are searched with the wide radius, and links are checked on whole sets. As a
-proposed link may fail that check, each fingerprint also proposes the closest one of every tree it is in.
+proposed link may fail that check, each fingerprint also proposes the few closest ones of every tree it is in.
 
 Edge cases: a NULL or word-less text has fingerprint zero and is linked like any other. A NULL document id
 takes part in links but never names a component, unless all ids of the component are NULL. Repeated rows are
@@ -39,6 +39,8 @@ SEED = 42
 SHARD_NODES = 16_384
 #: Up to this size a tree is walked node by node, beyond it by arrays of searches.
 SMALL_TREE = 48
+#: Closest fingerprints of each tree that are proposed besides the links that connect it.
+NEAREST = 3
 
 
 def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
@@ -111,10 +113,10 @@ def tree_links(prints: list[int], radius: int, nearest: bool = False) -> list[tu
     """Insert each fingerprint after searching the tree that holds the earlier ones.
 
     Returns links that connect all that is linked: a spanning forest, so fewer than there are fingerprints.
-    ``nearest`` adds a link of each fingerprint to the closest other one.
+    ``nearest`` adds links of each fingerprint to the ``NEAREST`` closest other ones.
     """
     groups, children, out = _Groups(len(prints)), [{} for _ in prints], []
-    best = [(radius + 1, -1)] * len(prints)
+    met: list[list[tuple[int, int]]] = [[] for _ in prints]
     for i in range(1, len(prints)):
         value, stack = prints[i], [0]
         while stack:
@@ -123,14 +125,16 @@ def tree_links(prints: list[int], radius: int, nearest: bool = False) -> list[tu
             if d <= radius:
                 if groups.join(node, i):
                     out.append((node, i))
-                best[i], best[node] = min(best[i], (d, node)), min(best[node], (d, i))
+                if nearest:
+                    met[i].append((d, node))
+                    met[node].append((d, i))
             edges = children[node]
             stack += [edges[e] for e in range(d - radius, d + radius + 1) if e in edges]
         node = 0
         while (child := children[node].get(d := (prints[node] ^ value).bit_count())) is not None:
             node = child
         children[node][d] = i
-    return out + [(j, i) for i, (_, j) in enumerate(best) if j >= 0] if nearest else out
+    return out + [(j, i) for i, found in enumerate(met) for _, j in sorted(found)[:NEAREST]]
 
 
 def array_tree_links(
@@ -138,7 +142,7 @@ def array_tree_links(
 ) -> list[tuple[int, int]]:
     """The same with all searches going down the tree together: a node gets the searches that enter its edge."""
     groups, label, out = _Groups(len(prints)), np.arange(len(prints)), []
-    best, at = np.full(len(prints), radius + 1), np.full(len(prints), -1)
+    best, at = np.full((len(prints), NEAREST), radius + 1), np.full((len(prints), NEAREST), -1)
     stack = [(in_tree, searches)]
     while stack:
         members, asking = stack.pop()
@@ -150,16 +154,17 @@ def array_tree_links(
             out += [(node, other) for other in met[places].tolist() if groups.join(node, other)]
             label[met] = label[node] = groups.find(node)
         if nearest:
-            closer = asking[(distance < best[asking]) & (asking != node)]
-            best[closer], at[closer] = np.bitwise_count(prints[closer] ^ prints[node]), node
+            worst = best[asking].argmax(axis=1)
+            closer = (distance < best[asking, worst]) & (asking != node)
+            best[asking[closer], worst[closer]], at[asking[closer], worst[closer]] = distance[closer], node
         if members.size:
             edge = np.bitwise_count(prints[members] ^ prints[node])
             for e in np.unique(edge).tolist():
                 entering = asking[np.abs(distance.astype(np.int16) - e) <= radius]
                 if entering.size:
                     stack.append((members[edge == e], entering))
-    found = np.flatnonzero(at >= 0)
-    return out + list(zip(at[found].tolist(), found.tolist())) if nearest else out
+    found, slot = np.nonzero(at >= 0)
+    return out + list(zip(at[found, slot].tolist(), found.tolist()))
 
 
 def shard_links(prints: np.ndarray, side: np.ndarray, radius: int, nearest: bool) -> tuple[list[int], list[int]]:
