@@ -297,7 +297,12 @@ def test_layer_runs(spark, tmp_path):
         return {o.table: o.published.rows for o in outcomes}
 
     facts = {"student_assignment": 4, "student_session": 2, "student_pre_recorded": 1, "student_quiz": 1}
-    assert tables(run.run_conform(store)) == facts
+    assert tables(run.run_conform(store, "c1")) == facts
+    for feed_name, table, reject in (("incubator_quiz_monitoring", "student_quiz", conform.rejected_quizzes),):
+        bad = reject(store.read("landing", feed_name), world["student_details"], world["student_cohort"], world["resource"])
+        kept = spark.read.parquet(f"{store.root}/audit/rejected_{table}/run_id=c1")
+        # Every feed row is accepted or listed with its reasons.
+        assert bad.count() == kept.count() == store.read("landing", feed_name).count() - facts[table]
     enriched = {"final_quiz": 1, "student_demography": 2, "final_assignment": 4, "daily_weekly_attendance": 1}
     assert tables(run.run_enrich(store, "r1", ["INC007"])) == enriched
     assert tables(run.run_report(store)) == {"resubmission_count_overview": 2, "student_registration_overview": 1}

@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> int:
         parser.error("--folder is needed")
 
     spark = tune(SparkSession.builder.appName("tierflow").getOrCreate())
-    store = LayerStore(spark, args.store)
+    store, run_id = LayerStore(spark, args.store), dt.datetime.now().strftime("%Y%m%d_%H%M%S")
     if args.step == "load":
         outcomes = [run.Outcome(n, p) for n, p in landing.load_folder(spark, args.folder, store).items()]
     elif args.step == "land":
@@ -35,9 +35,8 @@ def main(argv: list[str] | None = None) -> int:
         outcomes = [run.Outcome(n, p) for n, p in done.published.items()]
         outcomes += [run.Outcome(path, error="skipped: unknown or incomplete header") for path in done.skipped]
     elif args.step == "conform":
-        outcomes = run.run_conform(store)
+        outcomes = run.run_conform(store, run_id)
     elif args.step == "enrich":
-        run_id = dt.datetime.now().strftime("%Y%m%d_%H%M%S")
         outcomes = run.run_enrich(store, run_id, args.cohort, args.rebuild)
     else:
         outcomes = run.run_report(store, args.rebuild)

@@ -209,7 +209,13 @@ def updated_columns(table: str, rows: DataFrame, order_by: list[str] | None = No
     return [c for c in rows.columns if c not in kept]
 
 
-def rejected(feed: DataFrame, lookups: list[tuple[str, str, DataFrame, str]], checks: dict[str, Column]) -> DataFrame:
+def _expression(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def rejected(
+    feed: DataFrame, lookups: list[tuple[str, Column | str, DataFrame, Column | str]], checks: dict[str, Column]
+) -> DataFrame:
     """Feed rows that would drop out, with all reasons.
 
     ``lookups`` holds (reason, feed column, table, table column); ``checks`` maps a reason to a
@@ -217,8 +223,8 @@ def rejected(feed: DataFrame, lookups: list[tuple[str, str, DataFrame, str]], ch
     """
     tagged, reasons = feed, []
     for i, (reason, column, table, table_column) in enumerate(lookups):
-        known = broadcast_if_small(table.select(F.col(table_column).alias(f"_k{i}")).distinct())
-        tagged = tagged.join(known, F.col(column) == F.col(f"_k{i}"), "left")
+        known = broadcast_if_small(table.select(_expression(table_column).alias(f"_k{i}")).distinct())
+        tagged = tagged.join(known, _expression(column) == F.col(f"_k{i}"), "left")
         reasons.append(F.when(F.col(f"_k{i}").isNull(), F.lit(reason)))
     reasons += [F.when(bad, F.lit(reason)) for reason, bad in checks.items()]
     found = F.filter(F.array(*reasons), lambda x: x.isNotNull())
@@ -244,6 +250,63 @@ def rejected_assignments(
     )
 
 
+def _unreadable_watch() -> dict[str, Column]:
+    return {
+        "unreadable duration": ~_whole_or_null(F.col("Duration_in_secs")),
+        "unreadable date": ~_date_or_null(F.col("watched_on")),
+    }
+
+
+def rejected_sessions(feed: DataFrame, students: DataFrame, memberships: DataFrame, live_sessions: DataFrame) -> DataFrame:
+    """Rows of the session feed that are no recorded video and become no attendance."""
+    people = _people(students, memberships)
+    pairs = people.join(live_sessions.select(F.col("cohort_code"), F.col("code").alias("_code")), "cohort_code")
+    prefix = F.coalesce(text.has_prefix(F.col("Session_Code"), LIVE_SESSION_PREFIXES), F.lit(False))
+    recorded = F.coalesce(text.has_prefix(F.col("Session_Code"), RECORDED_PREFIXES), F.lit(False))
+    return rejected(
+        feed.filter(~recorded),
+        [
+            ("unknown e-mail or no cohort", "Email", people, "_email"),
+            ("unknown session", "Session_Code", live_sessions, "code"),
+            # Both parts are known or reported above; the line break keeps them apart.
+            ("session of no cohort of the student", F.concat("Email", F.lit("\n"), "Session_Code"), pairs, F.concat("_email", F.lit("\n"), "_code")),
+        ],
+        {"unknown kind of session": ~prefix, **_unreadable_watch()},
+    )
+
+
+def rejected_pre_recorded(feed: DataFrame, students: DataFrame, memberships: DataFrame, resources: DataFrame) -> DataFrame:
+    """Rows of recorded videos that become no watch time."""
+    return rejected(
+        feed.filter(text.has_prefix(F.col("Session_Code"), RECORDED_PREFIXES)),
+        [
+            ("unknown e-mail or no cohort", "Email", _people(students, memberships), "_email"),
+            ("unknown title", "Session_Code", _titled(resources), "_title"),
+        ],
+        _unreadable_watch(),
+    )
+
+
+def rejected_quizzes(feed: DataFrame, students: DataFrame, memberships: DataFrame, resources: DataFrame) -> DataFrame:
+    return rejected(
+        feed,
+        [
+            ("unknown e-mail or no cohort", "user_id", _people(students, memberships), "_email"),
+            ("unknown title", "data_fields", _titled(resources, "Quiz"), "_title"),
+        ],
+        {"unreadable mark": ~_whole_or_null(F.col("value"))},
+    )
+
+
+def rejected_memberships(upload: DataFrame, students: DataFrame, cohorts: DataFrame) -> DataFrame:
+    typed = F.col("student_id").cast("string").try_cast("int")
+    return rejected(
+        upload,
+        [("unknown student", typed, students, "id"), ("unknown cohort", "cohort_code", cohorts, "cohort_code")],
+        {},
+    )
+
+
 # --- Backfill: the same tables keyed through the info sheet -------------------------------------
 
 

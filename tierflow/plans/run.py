@@ -45,8 +45,11 @@ def _numbered(keys: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
     return finish
 
 
-def run_conform(store: LayerStore) -> list[Outcome]:
-    """Landing feeds into the conformed fact tables."""
+def run_conform(store: LayerStore, run_id: str = "conform") -> list[Outcome]:
+    """Landing feeds into the conformed fact tables.
+
+    Rows that drop out go below ``<root>/audit/rejected_<table>`` with their reasons, under the run's id.
+    """
     def dim(name: str) -> DataFrame:
         return store.read("conformed", name)
 
@@ -69,8 +72,24 @@ def run_conform(store: LayerStore) -> list[Outcome]:
         ),
     }
 
+    rejects = {
+        "student_assignment": lambda: conform.rejected_assignments(
+            feed("assignment_monitoring_data"), dim("student_details"), dim("student_cohort"), dim("resource")
+        ),
+        "student_session": lambda: conform.rejected_sessions(
+            feed(sessions), dim("student_details"), dim("student_cohort"), dim("live_session")
+        ),
+        "student_pre_recorded": lambda: conform.rejected_pre_recorded(
+            feed(sessions), dim("student_details"), dim("student_cohort"), dim("resource")
+        ),
+        "student_quiz": lambda: conform.rejected_quizzes(
+            feed("incubator_quiz_monitoring"), dim("student_details"), dim("student_cohort"), dim("resource")
+        ),
+    }
+
     def publish(name: str) -> Published:
         rows, keys = builders[name](), MERGE_KEYS[name]
+        write_audit(rejects[name](), f"{store.root}/audit", run_id, f"rejected_{name}")
         if not store.exists("conformed", name):
             store.publish("conformed", name, store.spark.createDataFrame([], conformed_schema(name)))
         return store.merge(

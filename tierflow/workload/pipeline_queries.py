@@ -223,6 +223,52 @@ def conform_pre_recorded(t: Tables):
     return conform.conform_pre_recorded(s.session_feed(t), s.people(t), s.person_cohorts(t), s.resources(t))
 
 
+_NO_COHORT = "CASE WHEN NOT EXISTS (SELECT 1 FROM {people} s JOIN {cohorts} m ON m.student_id = s.id WHERE s.email = {email}) THEN 'unknown e-mail or no cohort' END"
+
+
+@query("sessions_rejected", with_shapes(["session_feed", "people", "person_cohorts", "live_sessions"], f"""
+SELECT * FROM (
+    SELECT f.email AS "Email", f.session_code AS "Session_Code", array_to_string(list_filter([
+        {_NO_COHORT.format(people="people", cohorts="person_cohorts", email="f.email")},
+        CASE WHEN NOT EXISTS (SELECT 1 FROM live_sessions l WHERE l.code = f.session_code) THEN 'unknown session' END,
+        CASE WHEN NOT EXISTS (SELECT 1 FROM people s JOIN person_cohorts m ON m.student_id = s.id JOIN live_sessions l ON l.cohort_code = m.cohort_code
+            WHERE s.email = f.email AND l.code = f.session_code) THEN 'session of no cohort of the student' END,
+        CASE WHEN NOT regexp_matches(f.session_code, '^(SUK|WS|MC)') THEN 'unknown kind of session' END,
+        CASE WHEN f.duration_in_secs IS NOT NULL AND TRY_CAST(f.duration_in_secs AS DOUBLE) IS NULL THEN 'unreadable duration' END],
+        lambda x: x IS NOT NULL), ',') AS reasons
+    FROM session_feed f WHERE f.session_code NOT LIKE 'VID%'
+) WHERE reasons <> ''"""))
+def sessions_rejected(t: Tables):
+    bad = conform.rejected_sessions(s.session_feed(t), s.people(t), s.person_cohorts(t), s.live_sessions(t))
+    return bad.select("Email", "Session_Code", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("quizzes_rejected", with_shapes(["quiz_feed", "students", "memberships", "resources"], f"""
+SELECT * FROM (
+    SELECT q.user_id, q.data_fields, q.value, array_to_string(list_filter([
+        {_NO_COHORT.format(people="students", cohorts="memberships", email="q.user_id")},
+        CASE WHEN NOT EXISTS (SELECT 1 FROM resources r WHERE r.title = q.data_fields AND r.category = 'Quiz') THEN 'unknown title' END,
+        CASE WHEN q.value = 'absent' THEN 'unreadable mark' END], lambda x: x IS NOT NULL), ',') AS reasons
+    FROM quiz_feed q
+) WHERE reasons <> ''"""))
+def quizzes_rejected(t: Tables):
+    bad = conform.rejected_quizzes(s.quiz_feed(t), s.students(t), s.memberships(t), s.resources(t))
+    return bad.select("user_id", "data_fields", "value", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("memberships_rejected", with_shapes(["people", "cohorts"], """
+SELECT * FROM (
+    SELECT o_custkey AS student_id, 'INC00' || left(o_orderpriority, 1) AS cohort_code, array_to_string(list_filter([
+        CASE WHEN o_custkey NOT IN (SELECT id FROM people WHERE id % 3 <> 0) THEN 'unknown student' END,
+        CASE WHEN 'INC00' || left(o_orderpriority, 1) NOT IN (SELECT cohort_code FROM cohorts WHERE cohort_code <> 'INC002') THEN 'unknown cohort' END],
+        lambda x: x IS NOT NULL), ',') AS reasons
+    FROM orders
+) WHERE reasons <> ''"""))
+def memberships_rejected(t: Tables):
+    bad = conform.rejected_memberships(_upload(t), s.people(t).filter("id % 3 <> 0"), s.cohorts(t).filter("cohort_code <> 'INC002'"))
+    return bad.select("student_id", "cohort_code", F.array_join("reasons", ",").alias("reasons"))
+
+
 def _upload(t: Tables):
     return t.orders.selectExpr(
         "o_custkey as student_id", "concat('INC00', left(o_orderpriority, 1)) as cohort_code",
