@@ -12,7 +12,7 @@ from ..functions.dates import date_month_name
 from ..functions.text import cohort_code_from_label
 from ..operators.dedupe import dedupe_keep_last, require_unique
 from ..operators.merge import CHANGE, add_column, upsert, upsert_in_order
-from ..sources.csv_files import SEQ, Feed, load_csv_folder, route_by_header, rows_source
+from ..sources.csv_files import SEQ, CsvFile, Feed, list_csv_files, load_csv_folder, route_files, rows_source
 from ..sources.schemas import MERGE_KEYS
 from ..sources.tables import LayerStore, Published
 
@@ -95,8 +95,12 @@ def run_landing(
     spark: SparkSession, folder: str, store: LayerStore, filter_text: str = "", multi_line: bool = True
 ) -> LandingRun:
     """Detect, clean and merge all feeds of a folder: one merge and one published version per table."""
+    return land_files(spark, list_csv_files(spark, folder, filter_text), store, multi_line)
+
+
+def land_files(spark: SparkSession, files: list[CsvFile], store: LayerStore, multi_line: bool = True) -> LandingRun:
     keys = {kind: MERGE_KEYS[name] for kind, name in FEED_TABLES.items()}
-    feeds, skipped = route_by_header(spark, folder, filter_text, multi_line=multi_line, keys=keys)
+    feeds, skipped = route_files(spark, files, multi_line=multi_line, keys=keys)
     published = {}
     for kind in sorted({f.kind for f in feeds}):
         name, own = FEED_TABLES[kind], keys[kind]

@@ -69,13 +69,17 @@ def list_csv_files(spark: SparkSession, folder: str, filter_text: str = "") -> l
         spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
         .filter("length > 0").select("path", "modificationTime").orderBy("modificationTime", "path")
     )
+    named = [r for r in listing.collect() if filter_text in r["path"].rsplit("/", 1)[-1]]
+    return csv_files_at(spark, [(r["path"], r["modificationTime"]) for r in named])
+
+
+def csv_files_at(spark: SparkSession, found: list[tuple[str, object]]) -> list[CsvFile]:
+    """Files by path and time, with their header line; empty ones are left out."""
     files = []
-    for r in listing.collect():
-        if filter_text and filter_text not in r["path"].rsplit("/", 1)[-1]:
-            continue
-        first = spark.read.text(literal_path(r["path"])).first()
+    for path, modified in found:
+        first = spark.read.text(literal_path(path)).first()
         if first is not None:
-            files.append(CsvFile(r["path"], r["modificationTime"], first["value"].lstrip(_BOM)))
+            files.append(CsvFile(path, modified, first["value"].lstrip(_BOM)))
     return files
 
 
@@ -165,9 +169,16 @@ def route_by_header(
     name; ``_seq`` keeps the order of all files. ``keys``: key columns per kind; a missing value there becomes
     the text ``NaN``, elsewhere missing-value words become NULL.
     """
+    return route_files(spark, list_csv_files(spark, folder, filter_text), encoding, multi_line, keys)
+
+
+def route_files(
+    spark: SparkSession, found: list[CsvFile], encoding: str = "ISO-8859-1", multi_line: bool = True,
+    keys: dict[str, list[str]] | None = None,
+) -> tuple[list[Feed], list[str]]:
     groups: dict[tuple[str, str], list[CsvFile]] = {}
     skipped = []
-    for f in list_csv_files(spark, folder, filter_text):
+    for f in found:
         kind = feed_kind(f.columns)
         if kind is None or (kind == "session" and missing_columns(f.columns, SESSION_COLUMNS)):
             skipped.append(f.path)

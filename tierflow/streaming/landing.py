@@ -1,4 +1,10 @@
-"""New files become rows of an append-only landing log; the table is the last row per key.
+"""New files become landing rows.
+
+``land_stream`` merges each batch of new CSV files into the landing tables of a store, as a run over a folder
+does: files are read per header, files of an unknown header are set aside, and only the buckets a batch touches are
+rewritten. A replayed batch meets its own rows, so it changes nothing.
+
+For other row streams ``ingest`` keeps an append-only log; the table is the last row per key.
 
 Every micro-batch overwrites its own ``_batch`` partition, so a replayed batch leaves one copy. The
 cost of a batch is its own rows, never the table. ``compact`` folds the log into one partition.
@@ -11,11 +17,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedupe import dedupe_keep_last
-from ..sources.csv_files import SEQ, null_tokens
+from ..plans.landing import LandingRun, land_files
+from ..sources.csv_files import SEQ, csv_files_at, null_tokens
+from ..sources.tables import LayerStore, write_audit
 
 BATCH = "_batch"
 
 
+def land_batch(store: LayerStore, multi_line: bool = True):
+    """The ``foreachBatch`` body for a stream of file paths; returns what was landed, for callers that test it."""
+
+    def body(batch: DataFrame, batch_id: int) -> LandingRun:
+        # One short row per new file, at most ``max_files`` of them.
+        found = sorted((r["path"], r["modificationTime"]) for r in batch.select("path", "modificationTime").collect())
+        files = csv_files_at(store.spark, sorted(found, key=lambda f: (f[1], f[0])))
+        done = land_files(store.spark, files, store, multi_line)
+        if done.skipped:
+            rows = store.spark.createDataFrame([(p, batch_id) for p in done.skipped], "path string, batch long")
+            write_audit(rows, f"{store.root}/audit", f"batch-{batch_id}", "skipped_files")
+        return done
+
+    return body
+
+
+def land_stream(store: LayerStore, folder: str, checkpoint: str, max_files: int = 100, multi_line: bool = True) -> None:
+    """Land all CSV files of a folder not seen before, ``max_files`` a batch, then stop.
+
+    The stream holds paths only; contents are read by the batch that lands them.
+    """
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    paths = (
+        store.spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.csv")
+        .option("maxFilesPerTrigger", max_files).load(folder).filter("length > 0").select("path", "modificationTime")
+    )
+    query = (
+        paths.writeStream.foreachBatch(lambda b, i: (land_batch(store, multi_line)(b, i), None)[1])
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
 def csv_stream(spark: SparkSession, folder: str, schema: T.StructType, separator: str = ",") -> DataFrame:
     """CSV files as they arrive; a file whose header does not follow the schema fails the batch."""
     rows = (

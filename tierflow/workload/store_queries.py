@@ -173,6 +173,30 @@ def landing_run(t: Tables):
     return store.read("landing", "incubator_quiz_monitoring")
 
 
+@query("landing_stream", """
+WITH l AS (SELECT l_suppkey || '@example.org' AS user_id, 'Item ' || l_partkey AS data_fields,
+    CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS value, l_orderkey, l_linenumber, l_shipdate FROM lineitem WHERE l_linenumber < 5)
+SELECT user_id, data_fields, arg_max(value, (l_linenumber, l_orderkey, l_shipdate, value)) AS value, CAST(1 AS BIGINT) AS set_aside FROM l GROUP BY ALL""")
+def landing_stream(t: Tables):
+    from ..streaming.landing import land_batch, land_stream
+
+    folder, store = scratch_path(t.spark, "exports"), _store(t)
+    rows = t.lineitem.filter("l_linenumber < 5").select(
+        F.concat(F.col("l_suppkey"), F.lit("@example.org")).alias("user_id"), F.concat(F.lit("Item "), F.col("l_partkey")).alias("data_fields"),
+        F.col("l_quantity").cast("int").cast("string").alias("value"), "l_linenumber", "l_orderkey", "l_shipdate",
+    )
+    for n in range(1, 5):
+        part = rows.filter(F.col("l_linenumber") == n).coalesce(1).sortWithinPartitions("l_orderkey", "l_shipdate", "value")
+        part.select("user_id", "data_fields", "value").write.option("header", True).csv(f"{folder}/export-{n}")
+    t.nation.coalesce(1).write.option("header", True).csv(f"{folder}/foreign")
+    land_stream(store, f"{folder}/*", scratch_path(t.spark, "stream"), max_files=2)
+    # A batch with the newest file again, as after a restart: nothing may change.
+    newest = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{folder}/export-4")
+    land_batch(store)(newest, 99)
+    aside = t.spark.read.parquet(f"{store.root}/audit/skipped_files").select(F.col("path")).distinct().count()
+    return store.read("landing", "incubator_quiz_monitoring").withColumn("set_aside", F.lit(aside).cast("long"))
+
+
 @query("repair_with_backup", """
 SELECT 'lineitem' AS tab, l_orderkey AS k, l_orderkey % 5 = 0 AS removed, count(*) AS n FROM lineitem GROUP BY ALL
 UNION ALL SELECT 'orders', o_orderkey, o_orderkey % 5 = 0, count(*) FROM orders GROUP BY ALL
