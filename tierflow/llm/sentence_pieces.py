@@ -29,8 +29,11 @@ from pyspark.sql import types as T
 from tierflow.llm.common import small_batches
 
 MARK = "▁"
-#: Segments a task remembers (per generation).
-REMEMBERED = 150_000
+#: Segments a worker remembers per generation: about 0.3 kB each.
+REMEMBERED = 350_000
+#: Up to this many symbols the agenda is a plain list whose best entry is looked for; beyond it, a heap.
+SHORT = 24
+_NEVER = float("inf")
 
 
 class PieceModel:
@@ -60,6 +63,26 @@ class PieceModel:
 
     def merge(self, segment: str) -> list[int]:
         """Ids of one segment by the agenda."""
+        return self._ids(self._merge_short(segment) if len(segment) <= SHORT else self._merge_long(segment))
+
+    def _merge_short(self, segment: str) -> list[str]:
+        symbols, cost = list(segment), self.cost
+        agenda = [cost.get(a + b, _NEVER) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == _NEVER:
+                break
+            i = agenda.index(best)  # of equal scores the leftmost
+            piece = symbols[i] + symbols[i + 1]
+            symbols[i : i + 2] = [piece]
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = cost.get(piece + symbols[i + 1], _NEVER)
+            if i:
+                agenda[i - 1] = cost.get(symbols[i - 1] + piece, _NEVER)
+        return symbols
+
+    def _merge_long(self, segment: str) -> list[str]:
         symbols, n, cost = list(segment), len(segment), self.cost
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
@@ -85,16 +108,18 @@ class PieceModel:
                 pair = symbols[h] + piece
                 if pair in cost:
                     heapq.heappush(agenda, (cost[pair], h, pair))
+        return [s for s in symbols if s is not None]
+
+    def _ids(self, symbols: list[str]) -> list[int]:
         out, ids = [], self.ids
         for s in symbols:
-            if s is not None:
-                found = ids.get(s)
-                if found is not None:
-                    out.append(found)
-                elif self.byte_ids:
-                    out.extend(self.byte_ids[b] for b in s.encode())
-                else:
-                    out.append(self.unknown)
+            found = ids.get(s)
+            if found is not None:
+                out.append(found)
+            elif self.byte_ids:
+                out.extend(self.byte_ids[b] for b in s.encode())
+            else:
+                out.append(self.unknown)
         return out
 
     def agree(self, met: dict[str, list[int]]) -> None:
@@ -107,25 +132,23 @@ class PieceModel:
                 raise ValueError(f"the library encodes {s[:80]!r} as {ids[k:][:20]}, the agenda as {met[s][:20]}")
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
-        split, found, met = [], {}, {}
-        for text in texts:
-            parts = self.segment.findall(MARK + text.replace(" ", MARK)) if text else []
-            split.append(parts)
-            for s in parts:
-                if s not in found:
-                    ids = self.young.get(s)
-                    if ids is None:
-                        ids = self.old.get(s)
-                        if ids is None:
-                            ids = met[s] = self.merge(s)
-                        if len(s) <= 64:
-                            self.young[s] = ids
-                    found[s] = ids
+        split = [self.segment.findall(MARK + text.replace(" ", MARK)) if text else [] for text in texts]
+        young, old = self.young, self.old
+        asked = set().union(*split)
+        met = {}
+        for s in asked - young.keys():
+            ids = old.get(s)
+            if ids is None:
+                ids = met[s] = self.merge(s)
+            young[s] = ids
         if met:
             self.agree(met)
-        if len(self.young) > self.remembered:
-            self.young, self.old = {}, self.young
-        return [list(chain.from_iterable(map(found.__getitem__, parts))) for parts in split]
+        out = [list(chain.from_iterable(map(young.__getitem__, parts))) for parts in split]
+        for s in [s for s in met if len(s) > 64]:
+            del young[s]
+        if len(young) > self.remembered:
+            self.young, self.old = {}, young
+        return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.library.decode(ids, num_threads=1) if ids else []
