@@ -125,10 +125,8 @@ def standardise_colleges(colleges: DataFrame) -> DataFrame:
 
 
 def standardise_forms(registrations: DataFrame, column: str = "form_details") -> DataFrame:
-    doc = jsondoc.trim_value(F.col(column), YEAR_KEY)
-    for wrong, right in YEAR_SPELLINGS.items():
-        doc = jsondoc.replace_value(doc, YEAR_KEY, wrong, right)
-    return registrations.withColumn(column, doc)
+    fixes = [jsondoc.value_replaced(YEAR_KEY, wrong, right) for wrong, right in YEAR_SPELLINGS.items()]
+    return registrations.withColumn(column, jsondoc.edit(F.col(column), jsondoc.value_trimmed(YEAR_KEY), *fixes))
 
 
 def rename_form_keys(registrations: DataFrame, column: str = "form_details") -> DataFrame:

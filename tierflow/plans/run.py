@@ -12,9 +12,11 @@ from ..operators.dedupe import dedupe_keep_last, duplicate_report
 from ..operators.keys import assign_sequential_ids
 from ..operators.repair import Split
 from ..session import stored
+from ..sources.csv_files import SEQ
 from ..sources.schemas import MERGE_KEYS, conformed_schema
 from ..sources.tables import LayerStore, Published, audited, write_audit
 from . import conform, enrich, report
+from .landing import live_sessions_from_csv
 
 
 @dataclass(frozen=True)
@@ -100,6 +102,29 @@ def run_conform(store: LayerStore, run_id: str = "conform") -> list[Outcome]:
     return [_attempt(name, lambda n=name: publish(n)) for name in builders]
 
 
+def run_live_sessions(store: LayerStore, rows: DataFrame) -> Published:
+    """Rows of a live-session export into the conformed table: repeated sessions go first, new ones get ids."""
+    keys, new = MERGE_KEYS["live_session"], live_sessions_from_csv(rows)
+    if not store.exists("conformed", "live_session"):
+        store.publish("conformed", "live_session", store.spark.createDataFrame([], conformed_schema("live_session")))
+    return store.merge(
+        "conformed", "live_session", new, keys, _numbered(keys), prepare=lambda df: dedupe_keep_last(df, keys, ["id"]),
+        update_cols=["session_name", "type", "duration_in_sec"], on_dup="last", order_by=[SEQ] if SEQ in new.columns else None,
+    )
+
+
+def run_memberships(store: LayerStore, upload: DataFrame, run_id: str = "memberships") -> Published:
+    """An upload of cohort memberships into the conformed table; rows that drop out are listed with reasons."""
+    students, cohorts = store.read("conformed", "student_details"), store.read("conformed", "cohort")
+    write_audit(conform.rejected_memberships(upload, students, cohorts), f"{store.root}/audit", run_id, "rejected_student_cohort")
+    rows, keys = conform.conform_memberships(upload, students, cohorts), MERGE_KEYS["student_cohort"]
+    if not store.exists("conformed", "student_cohort"):
+        store.publish("conformed", "student_cohort", store.spark.createDataFrame([], conformed_schema("student_cohort")))
+    return store.merge(
+        "conformed", "student_cohort", rows, keys, update_cols=conform.updated_columns("student_cohort", rows), on_dup="last"
+    )
+
+
 def run_enrich(
     store: LayerStore, run_id: str, cohort_codes: list[str] | None = None, rebuild: bool = False
 ) -> list[Outcome]:

@@ -6,13 +6,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..functions import jsondoc, numbers
+from ..functions import dates, jsondoc, numbers
 from ..operators import dedupe, joins
 from ..operators import repair as row_repair
 from ..plans import landing, repair, run
 from ..session import scratch_path
 from ..sources import csv_files
-from ..sources.tables import LayerStore, audited
+from ..sources.tables import LayerStore, audited, write_audit
 from .registry import Tables, query
 
 
@@ -216,3 +216,55 @@ def repair_with_backup(t: Tables):
         part = kept.unionByName(gone).groupBy("k", "removed").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("tab"), "k", "removed", "n")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@query("colleges_standardised", """
+SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'ACS Medical College and Hospital' WHEN p_size % 3 = 1 THEN p_name END AS standard_college_names FROM part
+WHERE p_size % 3 > 0""")
+def colleges_standardised(t: Tables):
+    name = F.when(F.col("p_size") % 3 == 1, F.col("p_name"))
+    rows = t.part.filter("p_size % 3 > 0").select("p_partkey", name.alias("standard_college_names"))
+    return repair.standardise_colleges(rows)
+
+
+@query("local_time_distance", """
+SELECT event_id, CAST(330 AS BIGINT) AS minutes_from_utc FROM events""")
+def local_time_distance(t: Tables):
+    seconds = F.unix_timestamp(dates.local_now("Asia/Kolkata").cast("timestamp")) - F.unix_timestamp(dates.local_now("UTC").cast("timestamp"))
+    return t.events.select("event_id", (seconds / 60).cast("long").alias("minutes_from_utc"))
+
+
+@query("materialised_table", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+def materialised_table(t: Tables):
+    store = _store(t)
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    store.materialise("enriched", "orders", rows.filter("o_orderstatus = 'O'"))
+    store.materialise("enriched", "orders", rows.filter("o_orderstatus = 'P'"))  # it exists and stays
+    store.materialise("enriched", "orders", rows.filter("o_orderstatus = 'F'"), "replace")
+    return store.read("enriched", "orders")
+
+
+@query("report_sink", """
+SELECT o_orderpriority, CAST(count(*) AS VARCHAR) AS orders, 'r1' AS run_id FROM orders GROUP BY ALL
+UNION ALL SELECT o_orderpriority, CAST(count(*) AS VARCHAR), 'r2' FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL""")
+def report_sink(t: Tables):
+    root = scratch_path(t.spark, "reports")
+    count = F.count(F.lit(1)).alias("orders")
+    for run_id, rows in (("r1", t.orders.limit(10)), ("r2", t.orders.filter("o_orderstatus = 'F'")), ("r1", t.orders)):
+        path = write_audit(rows.groupBy("o_orderpriority").agg(count), root, run_id, "priorities", "csv")
+    return t.spark.read.option("header", True).csv(path).select("o_orderpriority", "orders", F.col("run_id").cast("string").alias("run_id"))
+
+
+@query("live_sessions_run", """
+WITH n AS (SELECT 'INC' || lpad(CAST(n_regionkey AS VARCHAR), 3, '0') AS cohort_code, 'WS' || n_nationkey AS code, n_name FROM nation)
+SELECT cohort_code, code, n_name AS session_name, 'Workshop' AS type, 3600 AS duration_in_sec, TIMESTAMP '2024-01-05 00:00:00' AS conducted_on,
+    CAST(row_number() OVER (ORDER BY cohort_code, code) AS INTEGER) AS id FROM n""")
+def live_sessions_run(t: Tables):
+    store = _store(t)
+    rows = t.nation.select(
+        F.concat(F.lit("Incubator "), "n_regionkey", F.lit(".0")).alias("Batch"), F.col("n_name").alias("Topic"), F.lit("Workshop").alias("Session Type"),
+        F.concat(F.lit("WS"), "n_nationkey").alias("Session Code"), F.lit("5-Jan-24").alias("Date"), F.col("n_nationkey").alias(csv_files.SEQ),
+    )
+    run.run_live_sessions(store, rows.withColumn("Topic", F.lit("first name")))
+    run.run_live_sessions(store, rows)
+    return store.read("conformed", "live_session")
