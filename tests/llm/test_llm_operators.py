@@ -161,7 +161,10 @@ def test_trees_agree_with_each_other():
     r = random.Random(5)
     prints = np.array([r.getrandbits(64) & 0xFFF for _ in range(300)], np.uint64)
     places = np.arange(len(prints))
-    for links in (simhash_trees.tree_links(prints.tolist(), 2), simhash_trees.array_tree_links(prints, places, places, 2)):
+    for links, more in (
+        simhash_trees.tree_links(prints.tolist(), 2, True), simhash_trees.array_tree_links(prints, places, places, 2, True),
+    ):
+        assert more and all(a != b and (int(prints[a]) ^ int(prints[b])).bit_count() <= 2 for a, b in more)
         assert all((int(prints[a]) ^ int(prints[b])).bit_count() <= 2 for a, b in links)
         groups = simhash_trees._Groups(len(prints))
         for a, b in links:

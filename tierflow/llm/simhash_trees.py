@@ -14,7 +14,8 @@ most one link per node (a spanning forest of its links), never all pairs, and no
 ``near_duplicates`` serves a stated similarity of shingle sets in place of a radius. At a similarity of 0.8 some
 fourteen bits differ, for which bands of the fingerprint would be too short; shards are then keyed by groups of
 minimal shingle hashes instead, trees are searched with the wide radius, and links are checked on whole sets. As a
-proposed link may fail that check, each fingerprint also proposes the few closest ones of every tree it is in.
+proposed link may fail that check, each fingerprint also proposes the few closest ones of every tree it is in; those
+are checked where their ends are still apart.
 
 Edge cases: a NULL or word-less text has fingerprint zero and is linked like any other. A NULL document id
 takes part in links but never names a component, unless all ids of the component are NULL. Repeated rows are
@@ -109,11 +110,11 @@ class _Groups:
         return a != b
 
 
-def tree_links(prints: list[int], radius: int, nearest: bool = False) -> list[tuple[int, int]]:
+def tree_links(prints: list[int], radius: int, nearest: bool = False) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """Insert each fingerprint after searching the tree that holds the earlier ones.
 
     Returns links that connect all that is linked: a spanning forest, so fewer than there are fingerprints.
-    ``nearest`` adds links of each fingerprint to the ``NEAREST`` closest other ones.
+    With ``nearest`` also links of each fingerprint to the ``NEAREST`` closest other ones, apart from these.
     """
     groups, children, out = _Groups(len(prints)), [{} for _ in prints], []
     met: list[list[tuple[int, int]]] = [[] for _ in prints]
@@ -134,12 +135,12 @@ def tree_links(prints: list[int], radius: int, nearest: bool = False) -> list[tu
         while (child := children[node].get(d := (prints[node] ^ value).bit_count())) is not None:
             node = child
         children[node][d] = i
-    return out + [(j, i) for i, found in enumerate(met) for _, j in sorted(found)[:NEAREST]]
+    return out, [(j, i) for i, found in enumerate(met) for _, j in sorted(found)[:NEAREST]]
 
 
 def array_tree_links(
     prints: np.ndarray, in_tree: np.ndarray, searches: np.ndarray, radius: int, nearest: bool = False
-) -> list[tuple[int, int]]:
+) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """The same with all searches going down the tree together: a node gets the searches that enter its edge."""
     groups, label, out = _Groups(len(prints)), np.arange(len(prints)), []
     best, at = np.full((len(prints), NEAREST), radius + 1), np.full((len(prints), NEAREST), -1)
@@ -164,23 +165,23 @@ def array_tree_links(
                 if entering.size:
                     stack.append((members[edge == e], entering))
     found, slot = np.nonzero(at >= 0)
-    return out + list(zip(at[found, slot].tolist(), found.tolist()))
+    return out, list(zip(at[found, slot].tolist(), found.tolist()))
 
 
-def shard_links(prints: np.ndarray, side: np.ndarray, radius: int, nearest: bool) -> tuple[list[int], list[int]]:
-    """Links of one shard. side 0: tree and search, 1: tree only, 2: search only."""
+def shard_links(prints: np.ndarray, side: np.ndarray, radius: int, nearest: bool) -> list[tuple[int, int, bool]]:
+    """Links of one shard, and whether they go beyond the forest. side 0: tree and search, 1: tree only, 2: search only."""
     if len(prints) < 2:
-        return [], []
+        return []
     if len(prints) <= SMALL_TREE and not side.any():
-        pairs = tree_links(prints.tolist(), radius, nearest)
+        forest, more = tree_links(prints.tolist(), radius, nearest)
     else:
         places = np.arange(len(prints))
         tree, asking = places[side != 2], places[side != 1]
         if not tree.size or not asking.size:
-            return [], []
-        pairs = array_tree_links(prints, tree, asking, radius, nearest)
+            return []
+        forest, more = array_tree_links(prints, tree, asking, radius, nearest)
     signed = prints.view(np.int64).tolist()
-    return [signed[i] for i, _ in pairs], [signed[j] for _, j in pairs]
+    return [(signed[i], signed[j], extra) for pairs, extra in ((forest, False), (more, True)) for i, j in pairs]
 
 
 def _dealt(shards: DataFrame, bits: int, bands: int) -> DataFrame:
@@ -210,29 +211,31 @@ def _links(shards: DataFrame, radius: int, nearest: bool = False) -> DataFrame:
         current, prints, sides = None, [], []
 
         def flush():
-            return shard_links(np.concatenate(prints), np.concatenate(sides), radius, nearest) if prints else ([], [])
+            return shard_links(np.concatenate(prints), np.concatenate(sides), radius, nearest) if prints else []
+
+        def answer(rows):
+            u, v, more = zip(*rows) if rows else ([], [], [])
+            arrays = [pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(more, pa.bool_())]
+            return pa.RecordBatch.from_arrays(arrays, ["u", "v", "more"])
 
         for batch in batches:
             keys, side = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             value = batch.column(2).to_numpy().view(np.uint64)
             cuts = np.flatnonzero(np.diff(keys)) + 1
-            u, v = [], []
+            rows = []
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
                 if a == b:
                     continue
                 if keys[a] != current:
-                    left, right = flush()
-                    u += left
-                    v += right
+                    rows += flush()
                     current, prints, sides = keys[a], [], []
                 prints.append(value[a:b])
                 sides.append(side[a:b])
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-        u, v = flush()
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+            yield answer(rows)
+        yield answer(flush())
 
     dealt = shards.select("shard", "side", "print").repartition("shard").sortWithinPartitions("shard", "print")
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(run, "u long, v long, more boolean")
 
 
 def _plain(shards: DataFrame) -> DataFrame:
@@ -260,7 +263,7 @@ def linked(prints: DataFrame, radius: int = 3, shard_nodes: int = SHARD_NODES) -
         second = stored(_dealt(hot, 64 - 64 // bands, bands), "shards")
         small, hot = _split_hot(second, shard_nodes)
         shards = shards.unionByName(_plain(small)).unionByName(_chunked(hot, shard_nodes))
-    return components(_links(shards, radius))
+    return components(_links(shards, radius).select("u", "v"))
 
 
 def near_groups(
@@ -313,11 +316,25 @@ def near_duplicates(
     firsts = stored(docs.groupBy(F.col("fingerprint").alias("print")).agg(F.min(id_col).alias("first_id")), "prints")
     shards = stored(docs.select(F.explode("keys").alias("shard"), F.col("fingerprint").alias("print")).distinct(), "shards")
     small, hot = _split_hot(shards, shard_nodes)
-    proposed = _links(_plain(small).unionByName(_chunked(hot, shard_nodes)), radius, nearest=True).select(
-        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")
+    proposed = stored(
+        _links(_plain(small).unionByName(_chunked(hot, shard_nodes)), radius, nearest=True)
+        .groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.min("more").alias("more")),
+        "proposed",
     )
-    links = _similar(stored(proposed.distinct(), "proposed"), df, docs, id_col, text_col, shingle_words, similarity)
-    return _classes(docs.select(id_col, "fingerprint"), firsts, components(links), id_col)
+
+    def checked(links: DataFrame) -> DataFrame:
+        return stored(_similar(stored(links, "links"), df, docs, id_col, text_col, shingle_words, similarity), "checked")
+
+    # The links that connect the trees first; then the others only where their ends are still apart.
+    sure = checked(proposed.where(~F.col("more")).select("u", "v"))
+    roots = stored(components(sure), "roots")
+    open_links = proposed.where("more")
+    for end in ("u", "v"):
+        side = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+        open_links = open_links.join(side, end, "left")
+    apart = open_links.where(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v")
+    found = components(sure.unionByName(checked(apart)))
+    return _classes(docs.select(id_col, "fingerprint"), firsts, found, id_col)
 
 
 def _similar(
@@ -361,5 +378,6 @@ def _classes(docs: DataFrame, firsts: DataFrame, roots: DataFrame, id_col: str)
 def one_per_group(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose id names its component; of rows that repeat id and text one stays. Runs a job."""
     names = stored(groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct(), "names")
-    rows = df.join(names, df[id_col].eqNullSafe(names["__id"]), "left_semi")
+    # The list of names grows with the rows, so it is joined by a shuffle whatever its size.
+    rows = df.join(names.hint("merge"), df[id_col].eqNullSafe(names["__id"]), "left_semi")
     return rows.withColumn("__text", F.xxhash64(text_col)).dropDuplicates([id_col, "__text"]).drop("__text")
