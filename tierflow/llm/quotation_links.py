@@ -97,20 +97,26 @@ def linked(messages: DataFrame, conv: str, turn: str) -> DataFrame:
 
 
 def _threads(links: DataFrame, conv: str, turn: str) -> DataFrame:
-    """(conversation, turn, thread_root, depth) of linked messages by pointer jumping: rounds grow with log(depth)."""
-    state = stored(links.select(conv, turn, F.col("parent_turn").alias("thread_root"), F.lit(1).cast("long").alias("depth")), "threads")
+    """(conversation, turn, thread_root, depth) of linked messages by pointer jumping: rounds grow with log(depth).
+
+    A round works on the messages whose pointer still moved in the one before; the others are set aside.
+    """
+    moving = stored(links.select(conv, turn, F.col("parent_turn").alias("thread_root"), F.lit(1).cast("long").alias("depth")), "threads")
+    done = None
     while True:
-        above = state.select(conv, F.col(turn).alias("thread_root"), F.col("thread_root").alias("__next"), F.col("depth").alias("__more"))
+        known = moving if done is None else moving.unionByName(done)
+        above = known.select(conv, F.col(turn).alias("thread_root"), F.col("thread_root").alias("__next"), F.col("depth").alias("__more"))
         moved = stored(
-            state.join(above, [conv, "thread_root"], "left").select(
+            moving.join(above, [conv, "thread_root"], "left").select(
                 conv, turn, F.coalesce("__next", "thread_root").alias("thread_root"),
                 (F.col("depth") + F.coalesce("__more", F.lit(0))).alias("depth"), F.col("__next").isNotNull().alias("__moved"),
             ),
             "threads",
         )
-        state = moved.drop("__moved")
-        if moved.where("__moved").isEmpty():
-            return state
+        at_root = moved.where("NOT __moved").drop("__moved")
+        done, moving = at_root if done is None else done.unionByName(at_root), moved.where("__moved").drop("__moved")
+        if moving.isEmpty():
+            return done
 
 
 def reply_ordered(
