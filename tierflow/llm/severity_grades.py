@@ -98,10 +98,11 @@ class CumulativeLink:
 
     def values(self, text: str | None) -> np.ndarray:
         """log(1 + count) of each screened feature."""
-        h = grams(text)
-        place = np.searchsorted(self.features, h)
-        place = place[(place < len(self.features)) & (self.features[np.minimum(place, len(self.features) - 1)] == h)] if len(self.features) else place[:0]
-        return np.log1p(np.bincount(place, minlength=len(self.features)))
+        if self.__dict__.get("_place") is None:  # built once per worker: the number of a hash among the features
+            self._place = np.full(WIDTH, -1, np.int32)
+            self._place[self.features] = np.arange(len(self.features))
+        place = self._place[grams(text)]
+        return np.log1p(np.bincount(place[place >= 0], minlength=len(self.features)))
 
     def at_least(self, x: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, ..."""
