@@ -33,7 +33,7 @@ CUTOFFS = {
     "repeats": [0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1],
     "word_length": [20.0, 15.0, 12.0, 10.0, 9.5, 9.0, 8.5, 8.0, 7.5, 7.0],
 }
-ALPHA, DELTA = 0.04, 0.05
+ALPHA, DELTA = 0.10, 0.05
 
 
 def _covered(hashes: Column, words_per_window: int) -> Column:

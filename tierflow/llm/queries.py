@@ -172,8 +172,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         FROM held, grid GROUP BY ALL
     ),
     tails AS (
-        SELECT *, CASE WHEN k < 0.01 * n THEN list_sum(list_transform(range(0, k + 1), lambda j: exp(
-            lgamma(n + 1) - CASE WHEN j = 0 THEN 0 ELSE lgamma(j + 1) END - lgamma(n - j + 1) + j * ln(0.01) + (n - j) * ln(0.99)))) ELSE 1 END AS p
+        SELECT *, CASE WHEN k < 0.025 * n THEN list_sum(list_transform(range(0, k + 1), lambda j: exp(
+            lgamma(n + 1) - CASE WHEN j = 0 THEN 0 ELSE lgamma(j + 1) END - lgamma(n - j + 1) + j * ln(0.025) + (n - j) * ln(0.975)))) ELSE 1 END AS p
         FROM cells
     ),
     sure AS (
