@@ -104,7 +104,7 @@ def test_binomial_tail(rows):
 
 
 def test_cutoffs_are_certified_per_stratum(spark, rows):
-    good, bad = prose(3, 60), " ".join(w + "###" for w in prose(4, 60).split())
+    good, bad = prose(3, 60), " ".join(w + "#" * (i % 2) for i, w in enumerate(prose(4, 60).split()))
     # Stratum a has holdouts enough, b too few to certify anything; c has none, and NULL is a stratum too.
     docs = spark.range(1000).select(
         F.col("id").alias("doc_id"), F.when(F.col("id") % 10 == 0, bad).otherwise(good).alias("text"),
@@ -112,10 +112,9 @@ def test_cutoffs_are_certified_per_stratum(spark, rows):
     )
     labels = spark.range(950).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 == 0, 0).otherwise(1).alias("quality"), F.lit(1).alias("lang"))
     cuts = quality_rules.certified_cutoffs(quality_rules.with_counts(docs), labels, "doc_id", "lang", "quality")
-    assert values(cuts, "stratum", "rule", "cutoff", "holdouts", "rejected_good", "rejected_bad") == [("a", "symbols", 2.0, 810, 0, 90), ("a", "word_length", 8.5, 810, 0, 90)] or values(
-        cuts, "stratum", "rule", "rejected_good", "rejected_bad"
-    )[0] == ("a", "symbols", 0, 90)
-    assert {r[0] for r in values(cuts, "stratum")} == {"a"} and all(p[0] <= 0.05 / 8 for p in values(cuts, "p_value"))
+    # Of the cutoffs that reject all bad holdouts and no good one the loosest is taken.
+    assert ("a", "symbols", 0.4, 810, 0, 90) in values(cuts, "stratum", "rule", "cutoff", "holdouts", "rejected_good", "rejected_bad")
+    assert {r[0] for r in values(cuts, "stratum")} == {"a"} and all(p[0] <= 0.05 / 10 for p in values(cuts, "p_value"))
     kept = quality_rules.judged(docs, labels)
     assert {tuple(r) for r in kept.groupBy("lang", "kept").count().collect()} == {
         ("a", True, 810), ("a", False, 90), ("b", True, 50), ("c", True, 40), (None, True, 10)

@@ -31,6 +31,7 @@ CUTOFFS = {
     "symbols": [2.0, 1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.075, 0.05],
     "dup_lines": [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2],
     "repeats": [0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1],
+    "capitals": [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2],
     "word_length": [20.0, 15.0, 12.0, 10.0, 9.5, 9.0, 8.5, 8.0, 7.5, 7.0],
 }
 ALPHA, DELTA = 0.10, 0.05
@@ -65,7 +66,7 @@ def _word_counts(w: Column) -> Column:
 
 
 def with_counts(df: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words."""
+    """Add n_words, word_chars, n_symbols, n_capitals, n_lines, n_dup_lines, n_repeat_words."""
     kept = df.columns if keep is None else keep
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -75,9 +76,10 @@ def with_counts(df: DataFrame, text_col: str = "text", keep: list[str] | None =
     counted = df.select(
         *kept, let(words(F.col(text_col)), _word_counts).alias("__w"), line_counts.alias("__l"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
     )
     return counted.select(
-        *kept, "__w.n_words", "__w.word_chars", "n_symbols", "__l.n_lines", "__l.n_dup_lines", "__w.n_repeat_words"
+        *kept, "__w.n_words", "__w.word_chars", "n_symbols", "n_capitals", "__l.n_lines", "__l.n_dup_lines", "__w.n_repeat_words"
     )
 
 
@@ -91,6 +93,7 @@ def rule_values() -> dict[str, Column]:
         "symbols": F.col("n_symbols") / n,
         "dup_lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
         "repeats": F.col("n_repeat_words") / n,
+        "capitals": F.col("n_capitals") / F.greatest(F.col("word_chars"), F.lit(1)),
         "word_length": F.col("word_chars") / n,
     }
 
@@ -132,16 +135,19 @@ def certified_cutoffs(
         .groupBy("stratum", "cell.rule", "cell.passed")
         .agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
     )
-    # Values pass their loosest cutoffs first, so cutoff number c rejects all that passed c or more.
+    # A value passes the strictest cutoffs first, so of m cutoffs number c (from 0) rejects those that passed m - c or more.
     grid = F.create_map(*[x for r, steps in cutoffs.items() for x in (F.lit(r), F.array(*map(F.lit, steps)))])
     by_rule = holdouts.groupBy("stratum", "rule").agg(
         F.sum("good").alias("holdouts"), F.collect_list(F.struct("passed", "good", "bad")).alias("cells")
     )
     strata = F.size(F.collect_set(F.struct("stratum")).over(Window.partitionBy(F.lit(0))))
+    def hit(cell: Column) -> Column:
+        return cell["passed"] + F.col("step") >= F.size(grid[F.col("rule")])
+
     tried = by_rule.select("*", F.posexplode(grid[F.col("rule")]).alias("step", "cutoff")).select(
         "stratum", "rule", "holdouts", "step", "cutoff",
-        F.aggregate(F.filter("cells", lambda c: c["passed"] > F.col("step")), F.lit(0).cast("long"), lambda s, c: s + c["good"]).alias("rejected_good"),
-        F.aggregate(F.filter("cells", lambda c: c["passed"] > F.col("step")), F.lit(0).cast("long"), lambda s, c: s + c["bad"]).alias("rejected_bad"),
+        F.aggregate(F.filter("cells", hit), F.lit(0).cast("long"), lambda s, c: s + c["good"]).alias("rejected_good"),
+        F.aggregate(F.filter("cells", hit), F.lit(0).cast("long"), lambda s, c: s + c["bad"]).alias("rejected_bad"),
     )
     few = F.col("rejected_good") < share * F.col("holdouts")
     tail = F.when(few, binomial_tail(F.col("rejected_good"), F.col("holdouts"), share)).otherwise(1.0)

@@ -147,13 +147,14 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         SELECT doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
             CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
             CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+            length(t) - length(regexp_replace(t, '\\p{Lu}', '', 'g')) AS n_capitals,
             coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
         FROM d LEFT JOIN lines USING (rid) LEFT JOIN covered USING (rid)
     ),
     based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
     valued AS (
         SELECT *, [n_symbols / greatest(n_words, 1), n_dup_lines / greatest(n_lines, 1), n_repeat_words / greatest(n_words, 1),
-            word_chars / greatest(n_words, 1)] AS vals
+            n_capitals / greatest(word_chars, 1), word_chars / greatest(n_words, 1)] AS vals
         FROM based
     ),
     grid AS (
@@ -161,7 +162,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
             SELECT 1 AS r, [2.0, 1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.075, 0.05]::DOUBLE[] AS cuts
             UNION ALL SELECT 2, [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2]::DOUBLE[]
             UNION ALL SELECT 3, [0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1]::DOUBLE[]
-            UNION ALL SELECT 4, [20.0, 15.0, 12.0, 10.0, 9.5, 9.0, 8.5, 8.0, 7.5, 7.0]::DOUBLE[]
+            UNION ALL SELECT 4, [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2]::DOUBLE[]
+            UNION ALL SELECT 5, [20.0, 15.0, 12.0, 10.0, 9.5, 9.0, 8.5, 8.0, 7.5, 7.0]::DOUBLE[]
         ), unnest(range(1, len(cuts) + 1)) AS u(s)
     ),
     good AS (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
@@ -172,12 +174,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         FROM held, grid GROUP BY ALL
     ),
     tails AS (
-        SELECT *, CASE WHEN k < 0.025 * n THEN list_sum(list_transform(range(0, k + 1), lambda j: exp(
-            lgamma(n + 1) - CASE WHEN j = 0 THEN 0 ELSE lgamma(j + 1) END - lgamma(n - j + 1) + j * ln(0.025) + (n - j) * ln(0.975)))) ELSE 1 END AS p
+        SELECT *, CASE WHEN k < 0.02 * n THEN list_sum(list_transform(range(0, k + 1), lambda j: exp(
+            lgamma(n + 1) - CASE WHEN j = 0 THEN 0 ELSE lgamma(j + 1) END - lgamma(n - j + 1) + j * ln(0.02) + (n - j) * ln(0.98)))) ELSE 1 END AS p
         FROM cells
     ),
     sure AS (
-        SELECT *, bool_and(p <= 0.05 / (4 * (SELECT count(*) FROM (SELECT DISTINCT lang FROM held))))
+        SELECT *, bool_and(p <= 0.05 / (5 * (SELECT count(*) FROM (SELECT DISTINCT lang FROM held))))
             OVER (PARTITION BY lang, r ORDER BY s) AS ok
         FROM tails
     ),
