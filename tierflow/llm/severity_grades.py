@@ -121,7 +121,7 @@ def fit_link(x: np.ndarray, grade: np.ndarray, penalty: float = 1e-3, steps: int
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (w, low, gaps)]
     for t in range(1, steps + 1):
         theta = np.concatenate((low, low + np.cumsum(np.exp(gaps))))
-        z = x @ w
+        z = (x @ w.astype(x.dtype)).astype(float)  # one precision, or every step would copy x
         # Density of a grade: difference of neighbouring cumulative probabilities.
         cumulative = np.column_stack((np.zeros(len(z)), _sigmoid(theta[None, :] - z[:, None]), np.ones(len(z))))
         p = np.maximum(cumulative[np.arange(len(z)), grade + 1] - cumulative[np.arange(len(z)), grade], 1e-9)
@@ -132,7 +132,7 @@ def fit_link(x: np.ndarray, grade: np.ndarray, penalty: float = 1e-3, steps: int
         for k in range(top):
             dtheta[k] = -(share / p * upper)[grade == k].sum() + (share / p * lower)[grade == k + 1].sum()
         after = np.cumsum(dtheta[::-1])[::-1]
-        gradients = (x.T @ dz + penalty * w, np.array([after[0]]), after[1:] * np.exp(gaps))
+        gradients = (x.T @ dz.astype(x.dtype) + penalty * w, np.array([after[0]]), after[1:] * np.exp(gaps))
         for parameter, gradient, (m, v) in zip((w, low, gaps), gradients, moments):
             m += 0.1 * (gradient - m)
             v += 0.001 * (gradient**2 - v)
