@@ -222,6 +222,27 @@ def test_near_duplicates_by_similarity(rows, shard_nodes):
     assert got == {i: find(i) for i in got}
 
 
+def test_repeated_passages_do_not_hide_copies(rows):
+    data = []
+    for g in range(12):
+        words = prose(300 + g, 200).split()
+        data += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words[:100] + words[80:100] * 30 + words[100:]))]
+    assert all(jaccard(a[1], b[1]) >= 0.95 for a, b in zip(data[::2], data[1::2]))
+    got = dict(values(simhash_trees.near_duplicates(rows("doc_id long, text string", *data)), "doc_id", "component_id"))
+    assert got == {i: i - i % 2 for i in got}
+
+
+def test_wide_radius_misses_few_pairs():
+    def differs(shared, left, right):  # the chance that the majority of shared + left coins differs from that of shared + right
+        def over(x, more):
+            return sum(comb(more, y) for y in range(more + 1) if 2 * (x + y) > shared + more) / 2**more
+
+        return sum(comb(shared, x) / 2**shared * (over(x, left) + over(x, right) - 2 * over(x, left) * over(x, right)) for x in range(shared + 1))
+
+    chance = max(differs(s, n - m, m) for s in range(4, 40) for n in [s // 4] for m in range(n // 2 + 1))
+    assert sum(comb(64, k) * chance**k * (1 - chance) ** (64 - k) for k in range(simhash_trees.WIDE_RADIUS + 1, 65)) < 1 / 20_000
+
+
 def test_one_row_stays_per_group(rows):
     df = rows("doc_id long, text string, n string", (2, "a b", "x"), (1, "a b", "y"), (1, "a b", "y"), (3, "c", "z"), (None, None, "n"))
     kept = simhash_trees.one_per_group(df, simhash_trees.near_duplicates(df))

@@ -12,7 +12,7 @@ into chunks, and the tree of each chunk is searched by each chunk in a task of i
 most one link per node (a spanning forest of its links), never all pairs, and no link between components is lost.
 
 ``near_duplicates`` serves a stated similarity of shingle sets in place of a radius. At a similarity of 0.8 some
-fourteen bits differ, for which bands of the fingerprint would be too short; shards are then keyed by groups of
+ten bits differ, for which bands of the fingerprint would be too short; shards are then keyed by groups of
 minimal shingle hashes instead, trees are searched with the wide radius, and links are checked on whole sets. As a
 proposed link may fail that check, each fingerprint also proposes the few closest ones of every tree it is in; those
 are checked where their ends are still apart.
@@ -277,7 +277,9 @@ def near_groups(
 
 
 #: For a similarity of 0.8: bins of shingle hashes, minima that share one shard key, and the radius of the search.
-BINS, PER_KEY, WIDE_RADIUS = 32, 3, 20
+#: Fingerprints are then of distinct shingles. A bit of two sets at 0.8 differs with a chance of 0.15 (acos(0.8 / 0.9) / pi)
+#: for long texts and of 0.1875 at most (sets of four and five shingles), so over 25 bits differ in one pair of 20,000 at most.
+BINS, PER_KEY, WIDE_RADIUS = 32, 3, 25
 
 
 def shard_keys(hashes: np.ndarray) -> np.ndarray:
@@ -306,7 +308,7 @@ def near_duplicates(
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [shingle_hashes(t, shingle_words) for t in batch.column(1).to_pylist()]
+            hashes = [np.unique(shingle_hashes(t, shingle_words)) for t in batch.column(1).to_pylist()]
             prints = np.array([majority(h) for h in hashes], np.uint64).view(np.int64)
             keys = pa.array([shard_keys(h).view(np.int64) for h in hashes], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), keys], [id_col, "fingerprint", "keys"])
@@ -344,7 +346,7 @@ def _similar(
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [shingle_hashes(t, shingle_words) for t in batch.column(0).to_pylist()]
+            hashes = [np.unique(shingle_hashes(t, shingle_words)) for t in batch.column(0).to_pylist()]
             prints = np.array([majority(h) for h in hashes], np.uint64).view(np.int64)
             parts = [np.unique((h >> np.uint64(32)).astype(np.uint32)).view(np.int32) for h in hashes]
             yield pa.RecordBatch.from_arrays([pa.array(prints), pa.array(parts, pa.list_(pa.int32()))], ["print", "part"])
