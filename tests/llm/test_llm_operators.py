@@ -243,6 +243,15 @@ def test_wide_radius_misses_few_pairs():
     assert sum(comb(64, k) * chance**k * (1 - chance) ** (64 - k) for k in range(simhash_trees.WIDE_RADIUS + 1, 65)) < 1 / 20_000
 
 
+def test_texts_of_equal_fingerprint_are_checked(rows, monkeypatch):
+    # Every text gets the same fingerprint, so that only the check on the sets tells them apart.
+    monkeypatch.setattr(simhash_trees, "majority", lambda hashes: 7)
+    common, a, b = prose(80, 60), prose(81, 80), prose(82, 80)
+    data = [(1, f"{common} {a}"), (2, f"{common} {b}"), (3, f"{common} {b} end"), (4, f"{common} {a} end"), (5, f"{common} {a}")]
+    got = dict(values(simhash_trees.near_duplicates(rows("doc_id long, text string", *data)), "doc_id", "component_id"))
+    assert got == {1: 1, 4: 1, 5: 1, 2: 2, 3: 2}
+
+
 def test_one_row_stays_per_group(rows):
     df = rows("doc_id long, text string, n string", (2, "a b", "x"), (1, "a b", "y"), (1, "a b", "y"), (3, "c", "z"), (None, None, "n"))
     kept = simhash_trees.one_per_group(df, simhash_trees.near_duplicates(df))

@@ -168,7 +168,7 @@ def array_tree_links(
     return out, list(zip(at[found, slot].tolist(), found.tolist()))
 
 
-def shard_links(prints: np.ndarray, side: np.ndarray, radius: int, nearest: bool) -> list[tuple[int, int, bool]]:
+def shard_links(prints: np.ndarray, nodes: np.ndarray, side: np.ndarray, radius: int, nearest: bool) -> list[tuple[int, int, bool]]:
     """Links of one shard, and whether they go beyond the forest. side 0: tree and search, 1: tree only, 2: search only."""
     if len(prints) < 2:
         return []
@@ -180,8 +180,8 @@ def shard_links(prints: np.ndarray, side: np.ndarray, radius: int, nearest: bool
         if not tree.size or not asking.size:
             return []
         forest, more = array_tree_links(prints, tree, asking, radius, nearest)
-    signed = prints.view(np.int64).tolist()
-    return [(signed[i], signed[j], extra) for pairs, extra in ((forest, False), (more, True)) for i, j in pairs]
+    named = nodes.tolist()
+    return [(named[i], named[j], extra) for pairs, extra in ((forest, False), (more, True)) for i, j in pairs]
 
 
 def _dealt(shards: DataFrame, bits: int, bands: int) -> DataFrame:
@@ -195,7 +195,7 @@ def _dealt(shards: DataFrame, bits: int, bands: int) -> DataFrame:
         key: Column = F.xxhash64("shard", F.lit(b), value)
         options.append(F.struct(key.alias("shard"), above.bitwiseOR(below).alias("rest")))
         low += width
-    return shards.select("print", F.explode(F.array(*options)).alias("s")).select("s.shard", "s.rest", "print")
+    return shards.select("print", F.explode(F.array(*options)).alias("s")).select("s.shard", "s.rest", "print", F.col("print").alias("node"))
 
 
 def _split_hot(shards: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
@@ -205,13 +205,13 @@ def _split_hot(shards: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _links(shards: DataFrame, radius: int, nearest: bool = False) -> DataFrame:
-    """Links of all shards; rows (shard, side, print). A task holds one shard at a time, in the order of prints."""
+    """Links of all shards; rows (shard, side, print, node). A task holds one shard at a time, in the order of prints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, prints, sides = None, [], []
+        current, prints, nodes, sides = None, [], [], []
 
         def flush():
-            return shard_links(np.concatenate(prints), np.concatenate(sides), radius, nearest) if prints else []
+            return shard_links(np.concatenate(prints), np.concatenate(nodes), np.concatenate(sides), radius, nearest) if prints else []
 
         def answer(rows):
             u, v, more = zip(*rows) if rows else ([], [], [])
@@ -220,7 +220,7 @@ def _links(shards: DataFrame, radius: int, nearest: bool = False) -> DataFrame:
 
         for batch in batches:
             keys, side = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            value = batch.column(2).to_numpy().view(np.uint64)
+            value, node = batch.column(2).to_numpy().view(np.uint64), batch.column(3).to_numpy()
             cuts = np.flatnonzero(np.diff(keys)) + 1
             rows = []
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
@@ -228,28 +228,29 @@ def _links(shards: DataFrame, radius: int, nearest: bool = False) -> DataFrame:
                     continue
                 if keys[a] != current:
                     rows += flush()
-                    current, prints, sides = keys[a], [], []
+                    current, prints, nodes, sides = keys[a], [], [], []
                 prints.append(value[a:b])
+                nodes.append(node[a:b])
                 sides.append(side[a:b])
             yield answer(rows)
         yield answer(flush())
 
-    dealt = shards.select("shard", "side", "print").repartition("shard").sortWithinPartitions("shard", "print")
+    dealt = shards.select("shard", "side", "print", "node").repartition("shard").sortWithinPartitions("shard", "print", "node")
     return dealt.mapInArrow(run, "u long, v long, more boolean")
 
 
 def _plain(shards: DataFrame) -> DataFrame:
-    return shards.select("shard", F.lit(0).cast("byte").alias("side"), "print")
+    return shards.select("shard", F.lit(0).cast("byte").alias("side"), "print", "node")
 
 
 def _chunked(hot: DataFrame, limit: int) -> DataFrame:
     """Shards of a known size in chunks: a row goes to each pair of its own chunk with another."""
     n = F.ceil(F.col("size") / F.lit(limit / 2)).cast("int")
-    own = F.pmod(F.xxhash64("print", F.lit(1)), n).cast("int")
-    rows = hot.select("shard", "print", own.alias("own"), F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
+    own = F.pmod(F.xxhash64("node", F.lit(1)), n).cast("int")
+    rows = hot.select("shard", "print", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
     key = F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.select(key.alias("shard"), side.cast("byte").alias("side"), "print")
+    return rows.select(key.alias("shard"), side.cast("byte").alias("side"), "print", "node")
 
 
 def linked(prints: DataFrame, radius: int = 3, shard_nodes: int = SHARD_NODES) -> DataFrame:
@@ -272,8 +273,9 @@ def near_groups(
 ) -> DataFrame:
     """(id, fingerprint long, component_id) per row: the least id reachable over links. Runs jobs."""
     docs = stored(with_fingerprints(df, text_col, [id_col], shingle_words=shingle_words), "fingerprints")
-    firsts = stored(docs.groupBy(F.col("fingerprint").alias("print")).agg(F.min(id_col).alias("first_id")), "prints")
-    return _classes(docs, firsts, linked(firsts.select("print"), radius, shard_nodes), id_col)
+    firsts = stored(docs.groupBy(F.col("fingerprint").alias("node")).agg(F.min(id_col).alias("first_id")), "prints")
+    roots = linked(firsts.select(F.col("node").alias("print")), radius, shard_nodes)
+    return _classes(docs.withColumn("node", F.col("fingerprint")), firsts, roots, id_col)
 
 
 #: For a similarity of 0.8: bins of shingle hashes, minima that share one shard key, and the radius of the search.
@@ -296,13 +298,21 @@ def shard_keys(hashes: np.ndarray) -> np.ndarray:
     return keys
 
 
+def set_hash(distinct: np.ndarray) -> int:
+    """One hash of a whole shingle set, given in order."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(distinct.tobytes(), SEED)
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8,
     radius: int = WIDE_RADIUS, shard_nodes: int = SHARD_NODES,
 ) -> DataFrame:
     """(id, fingerprint, component_id): rows linked by a shared part of ``similarity`` or more of their shingle sets.
 
-    Equal fingerprints are copies. Links proposed by the trees count after a check on whole shingle sets. Runs jobs.
+    Equal shingle sets are copies and one node; links between other nodes, of equal fingerprint too, are proposed
+    by the trees and count after a check on whole shingle sets. Runs jobs.
     """
     small_batches(df.sparkSession)
 
@@ -310,13 +320,17 @@ def near_duplicates(
         for batch in batches:
             hashes = [np.unique(shingle_hashes(t, shingle_words)) for t in batch.column(1).to_pylist()]
             prints = np.array([majority(h) for h in hashes], np.uint64).view(np.int64)
+            nodes = np.array([set_hash(h) for h in hashes], np.uint64).view(np.int64)
             keys = pa.array([shard_keys(h).view(np.int64) for h in hashes], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), keys], [id_col, "fingerprint", "keys"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(prints), pa.array(nodes), keys], [id_col, "fingerprint", "node", "keys"]
+            )
 
-    schema = T.StructType([df.schema[id_col], T.StructField("fingerprint", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    longs = [T.StructField(n, T.LongType()) for n in ("fingerprint", "node")]
+    schema = T.StructType([df.schema[id_col], *longs, T.StructField("keys", T.ArrayType(T.LongType()))])
     docs = stored(df.select(id_col, text_col).mapInArrow(sketch, schema), "sketches")
-    firsts = stored(docs.groupBy(F.col("fingerprint").alias("print")).agg(F.min(id_col).alias("first_id")), "prints")
-    shards = stored(docs.select(F.explode("keys").alias("shard"), F.col("fingerprint").alias("print")).distinct(), "shards")
+    firsts = stored(docs.groupBy("node").agg(F.min(id_col).alias("first_id")), "nodes")
+    shards = stored(docs.select(F.explode("keys").alias("shard"), F.col("fingerprint").alias("print"), "node").distinct(), "shards")
     small, hot = _split_hot(shards, shard_nodes)
     proposed = stored(
         _links(_plain(small).unionByName(_chunked(hot, shard_nodes)), radius, nearest=True)
@@ -336,45 +350,43 @@ def near_duplicates(
         open_links = open_links.join(side, end, "left")
     apart = open_links.where(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v")
     found = components(sure.unionByName(checked(apart)))
-    return _classes(docs.select(id_col, "fingerprint"), firsts, found, id_col)
+    return _classes(docs.select(id_col, "fingerprint", "node"), firsts, found, id_col)
 
 
 def _similar(
     links: DataFrame, df: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float
 ) -> DataFrame:
-    """Those links (u, v) whose shingle sets share enough. The set of a fingerprint is that of its first text."""
+    """Those links (u, v) whose shingle sets share enough. The set of a node is that of its first text."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = [np.unique(shingle_hashes(t, shingle_words)) for t in batch.column(0).to_pylist()]
-            prints = np.array([majority(h) for h in hashes], np.uint64).view(np.int64)
+            nodes = np.array([set_hash(h) for h in hashes], np.uint64).view(np.int64)
             parts = [np.unique((h >> np.uint64(32)).astype(np.uint32)).view(np.int32) for h in hashes]
-            yield pa.RecordBatch.from_arrays([pa.array(prints), pa.array(parts, pa.list_(pa.int32()))], ["print", "part"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(parts, pa.list_(pa.int32()))], ["node", "part"])
 
-    ends = links.select(F.col("u").alias("print")).unionByName(links.select(F.col("v").alias("print"))).distinct()
+    ends = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node"))).distinct()
     asked = stored(
-        docs.join(ends, docs["fingerprint"] == ends["print"]).groupBy("print").agg(F.min(id_col).alias("__id")).select("__id").distinct(), "asked"
+        docs.join(ends, "node").groupBy("node").agg(F.min(id_col).alias("__id")).select("__id").distinct(), "asked"
     )
-    of_print = stored(
-        df.join(asked, df[id_col].eqNullSafe(asked["__id"]), "left_semi").select(text_col).mapInArrow(sets, "print long, part array<int>")
-        .groupBy("print").agg(F.max("part").alias("part")), "shingle-sets"
+    of_node = stored(
+        df.join(asked, df[id_col].eqNullSafe(asked["__id"]), "left_semi").select(text_col).mapInArrow(sets, "node long, part array<int>")
+        .groupBy("node").agg(F.max("part").alias("part")), "shingle-sets"
     )
-    both = links.join(of_print.select(F.col("print").alias("u"), F.col("part").alias("a")), "u").join(
-        of_print.select(F.col("print").alias("v"), F.col("part").alias("b")), "v"
+    both = links.join(of_node.select(F.col("node").alias("u"), F.col("part").alias("a")), "u").join(
+        of_node.select(F.col("node").alias("v"), F.col("part").alias("b")), "v"
     )
     shared = F.size(F.array_intersect("a", "b"))
     return both.where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v")
 
 
 def _classes(docs: DataFrame, firsts: DataFrame, roots: DataFrame, id_col: str) -> DataFrame:
-    """The least id of each component, given to every row. ``roots``: (node, root) of linked fingerprints."""
+    """The least id of each component, given to every row. ``roots``: (node, root) of linked nodes."""
     roots = stored(roots, "roots")
-    named = firsts.join(roots, firsts["print"] == roots["node"], "left").select(
-        "print", "first_id", F.coalesce("root", "print").alias("root")
-    )
+    named = firsts.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_print = stored(named.join(least, "root").select("print", "component_id"), "classes")
-    return docs.join(by_print, docs["fingerprint"] == by_print["print"]).select(id_col, "fingerprint", "component_id")
+    by_node = stored(named.join(least, "root").select("node", "component_id"), "classes")
+    return docs.join(by_node, "node").select(id_col, "fingerprint", "component_id")
 
 
 def one_per_group(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
