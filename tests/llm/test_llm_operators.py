@@ -252,6 +252,37 @@ def test_texts_of_equal_fingerprint_are_checked(rows, monkeypatch):
     assert got == {1: 1, 4: 1, 5: 1, 2: 2, 3: 2}
 
 
+def test_large_families_are_linked_by_their_only_link(rows):
+    # Families of near copies of one template, 0.76 or less apart; one member of the first is at 0.8 to one of the second.
+    r, base, texts = random.Random(12), prose(600, 300).split(), []
+    for f in range(3):
+        own = [*base[:100], *prose(700 + f, 36).split(), *base[136:]] if f else base
+        family = [list(own) for _ in range(120)]
+        for i, words in enumerate(family[1:]):
+            words[r.choice([*range(10, 90), *range(150, 290)])] = f"changed{f}x{i}"
+        if f == 0:
+            family.append([*base[:100], *prose(701, 36).split()[:10], *base[110:]])
+        texts += [" ".join(w) for w in family]
+    sets = [{" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= 0.8 * len(a | b):
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    assert len({find(i) for i in parent}) == 2
+    order = list(enumerate(texts))
+    r.shuffle(order)
+    got = dict(values(simhash_trees.near_duplicates(rows("doc_id long, text string", *order)), "doc_id", "component_id"))
+    assert got == {i: find(i) for i in got}
+
+
 def test_one_row_stays_per_group(rows):
     df = rows("doc_id long, text string, n string", (2, "a b", "x"), (1, "a b", "y"), (1, "a b", "y"), (3, "c", "z"), (None, None, "n"))
     kept = simhash_trees.one_per_group(df, simhash_trees.near_duplicates(df))

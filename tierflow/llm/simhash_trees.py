@@ -15,7 +15,8 @@ most one link per node (a spanning forest of its links), never all pairs, and no
 ten bits differ, for which bands of the fingerprint would be too short; shards are then keyed by groups of
 minimal shingle hashes instead, trees are searched with the wide radius, and links are checked on whole sets. As a
 proposed link may fail that check, each fingerprint also proposes the few closest ones of every tree it is in; those
-are checked where their ends are still apart.
+are checked where their ends are still apart. Then rounds follow in which each node proposes ever more of the nodes
+outside its own component, until none has any left that was not proposed.
 
 Edge cases: a NULL or word-less text has fingerprint zero and is linked like any other. A NULL document id
 takes part in links but never names a component, unless all ids of the component are NULL. Repeated rows are
@@ -184,6 +185,55 @@ def shard_links(prints: np.ndarray, nodes: np.ndarray, side: np.ndarray, radius:
     return [(named[i], named[j], extra) for pairs, extra in ((forest, False), (more, True)) for i, j in pairs]
 
 
+def nearest_outside(
+    prints: np.ndarray, roots: np.ndarray, sizes: np.ndarray, least: np.ndarray, in_tree: np.ndarray, searches: np.ndarray,
+    radius: int, similarity: float, n: int,
+) -> tuple[list[tuple[int, int]], list[int]]:
+    """Links of each search to its ``n`` closest nodes of other components, and the searches that have more than these.
+
+    Left out are nodes whose sets cannot share enough, by their sizes or by the least hashes of both.
+    """
+    met: dict[int, list[tuple[int, int]]] = {}
+    stack = [(in_tree, searches)]
+    while stack:
+        members, asking = stack.pop()
+        node, members = int(members[0]), members[1:]
+        distance = np.bitwise_count(prints[asking] ^ prints[node])
+        near = (distance <= radius) & (roots[asking] != roots[node])
+        near &= np.minimum(sizes[asking], sizes[node]) >= similarity * np.maximum(sizes[asking], sizes[node])
+        at = np.flatnonzero(near)
+        at = at[may_share(least[asking[at]], sizes[asking[at]], least[node], int(sizes[node]))]
+        for d, i in zip(distance[at].tolist(), asking[at].tolist()):
+            found = met.setdefault(i, [])
+            found.append((d, node))
+            if len(found) > 4 * n + 16:  # one beyond the n closest tells that there are more
+                found.sort()
+                del found[n + 1 :]
+        if members.size:
+            edge = np.bitwise_count(prints[members] ^ prints[node])
+            for e in np.unique(edge).tolist():
+                entering = asking[np.abs(distance.astype(np.int16) - e) <= radius]
+                if entering.size:
+                    stack.append((members[edge == e], entering))
+    return [(i, j) for i, found in met.items() for _, j in sorted(found)[:n]], [i for i, found in met.items() if len(found) > n]
+
+
+def may_share(rows: np.ndarray, sizes: np.ndarray, one: np.ndarray, size: int) -> np.ndarray:
+    """Whether the ``LEAST`` least hashes of sets allow a similarity of 0.8 with one set's.
+
+    The hashes up to the lesser of both greatest ones are a sample of ``LEAST`` or more of the union, or the whole union.
+    Half of it must be shared; at 0.8 less is with a chance of 0.00004 (binomial, 15 or fewer of 32).
+    """
+    if not len(rows):
+        return np.zeros(0, bool)
+    none = np.uint32(0xFFFFFFFF)
+    end = np.where(sizes > LEAST, rows[:, -1], none)
+    end = np.minimum(end, one[-1] if size > LEAST else none)[:, None]
+    in_rows, in_one = (rows <= end) & (np.arange(LEAST) < sizes[:, None]), (one <= end) & (np.arange(LEAST) < size)
+    shared = (in_rows & np.isin(rows, one[: min(size, LEAST)])).sum(axis=1)
+    return 2 * shared >= in_rows.sum(axis=1) + in_one.sum(axis=1) - shared
+
+
 def _dealt(shards: DataFrame, bits: int, bands: int) -> DataFrame:
     """Each row once per band of its remaining ``bits``; that band joins the shard's key and leaves the rest."""
     rest, options, low = F.col("rest"), [], 0
@@ -298,6 +348,60 @@ def shard_keys(hashes: np.ndarray) -> np.ndarray:
     return keys
 
 
+#: Least hashes that a node carries into the rounds; closest nodes proposed in the first of them, and growth from one to the next.
+LEAST, FIRST_ROUND, GROWTH = 32, 8, 4
+
+
+def least_hashes(distinct: np.ndarray) -> bytes:
+    """The least hashes of a set given in order, shortened to 32 bits and filled up."""
+    least = (distinct[:LEAST] >> np.uint64(32)).astype(np.uint32)
+    return np.concatenate((least, np.full(LEAST - len(least), 0xFFFFFFFF, np.uint32))).tobytes()
+
+
+def _outside(shards: DataFrame, radius: int, similarity: float, n: int) -> DataFrame:
+    """Rows (shard, side, print, node, size, least, root) to links (u, v), and (shard, u, NULL) of a node with more than ``n``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts = None, []
+
+        def flush() -> list[tuple]:
+            side, prints, nodes, sizes, least, roots = (np.concatenate(x) for x in zip(*parts))
+            places = np.arange(len(nodes))
+            tree, asking = places[side != 2], places[side != 1]
+            if not tree.size or not asking.size or (roots == roots[0]).all():
+                return []
+            links, more = nearest_outside(prints, roots, sizes, least, tree, asking, radius, similarity, n)
+            return [(None, int(nodes[i]), int(nodes[j])) for i, j in links] + [(int(current), int(nodes[i]), None) for i in more]
+
+        def answer(rows: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*rows) if rows else ([], [], [])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["shard", "u", "v"])
+
+        for batch in batches:
+            keys, rows = batch.column(0).to_numpy(), []
+            columns = [
+                batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64), batch.column(3).to_numpy(), batch.column(4).to_numpy(),
+                np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint32).reshape(-1, LEAST), batch.column(6).to_numpy(),
+            ]
+            cuts = np.flatnonzero(np.diff(keys)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+                if a == b:
+                    continue
+                if keys[a] != current:
+                    rows += flush() if parts else []
+                    current, parts = keys[a], []
+                parts.append([c[a:b] for c in columns])
+            yield answer(rows)
+        yield answer(flush() if parts else [])
+
+    dealt = shards.select("shard", "side", "print", "node", "size", "least", "root").repartition("shard").sortWithinPartitions("shard", "print", "node")
+    return dealt.mapInArrow(run, "shard long, u long, v long")
+
+
+def _undirected(links: DataFrame) -> DataFrame:
+    return links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
 def set_hash(distinct: np.ndarray) -> int:
     """One hash of a whole shingle set, given in order."""
     import xxhash
@@ -322,18 +426,20 @@ def near_duplicates(
             prints = np.array([majority(h) for h in hashes], np.uint64).view(np.int64)
             nodes = np.array([set_hash(h) for h in hashes], np.uint64).view(np.int64)
             keys = pa.array([shard_keys(h).view(np.int64) for h in hashes], pa.list_(pa.int64()))
+            sizes, least = pa.array([len(h) for h in hashes], pa.int64()), pa.array([least_hashes(h) for h in hashes], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints), pa.array(nodes), keys], [id_col, "fingerprint", "node", "keys"]
+                [batch.column(0), pa.array(prints), pa.array(nodes), sizes, least, keys], [id_col, "fingerprint", "node", "size", "least", "keys"]
             )
 
-    longs = [T.StructField(n, T.LongType()) for n in ("fingerprint", "node")]
-    schema = T.StructType([df.schema[id_col], *longs, T.StructField("keys", T.ArrayType(T.LongType()))])
+    longs = [T.StructField(n, T.LongType()) for n in ("fingerprint", "node", "size")]
+    schema = T.StructType([df.schema[id_col], *longs, T.StructField("least", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))])
     docs = stored(df.select(id_col, text_col).mapInArrow(sketch, schema), "sketches")
     firsts = stored(docs.groupBy("node").agg(F.min(id_col).alias("first_id")), "nodes")
     shards = stored(docs.select(F.explode("keys").alias("shard"), F.col("fingerprint").alias("print"), "node").distinct(), "shards")
     small, hot = _split_hot(shards, shard_nodes)
+    dealt = _plain(small).unionByName(_chunked(hot, shard_nodes))
     proposed = stored(
-        _links(_plain(small).unionByName(_chunked(hot, shard_nodes)), radius, nearest=True)
+        _links(dealt, radius, nearest=True)
         .groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.min("more").alias("more")),
         "proposed",
     )
@@ -348,8 +454,35 @@ def near_duplicates(
     for end in ("u", "v"):
         side = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
         open_links = open_links.join(side, end, "left")
-    apart = open_links.where(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v")
-    found = components(sure.unionByName(checked(apart)))
+    apart = stored(open_links.where(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v"), "apart")
+    found, seen = sure.unionByName(checked(apart)), proposed.where(~F.col("more")).select("u", "v").unionByName(apart)
+    roots = stored(components(found), "roots")
+
+    # Rounds until no node has another left outside its component that was not proposed. A shard of one node has none, and
+    # a node whose list was whole in a shard does not ask there again.
+    sets = stored(docs.groupBy("node").agg(F.first("size").alias("size"), F.first("least").alias("least")), "sets")
+    several = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shard")
+    dealt, n = stored(dealt.join(several.hint("merge"), "shard", "left_semi"), "dealt"), FIRST_ROUND
+    while True:
+        named = dealt.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        split = named.groupBy("shard").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("shard")
+        asked = stored(named, "named").join(stored(split, "split"), "shard", "left_semi").join(sets.hint("merge"), "node")
+        answers = stored(_outside(asked, radius, similarity, n), "outside")
+        fresh = stored(_undirected(answers.where("v IS NOT NULL")).join(seen, ["u", "v"], "left_anti"), "fresh")
+        more = answers.where("v IS NULL").select("shard", F.col("u").alias("node"), F.lit(True).alias("open"))
+        if not fresh.isEmpty():
+            found, seen = found.unionByName(checked(fresh)), seen.unionByName(fresh)
+            roots = stored(components(found), "roots")
+        if more.isEmpty():
+            break
+        # The others stay in the trees of the shards where someone asks on.
+        dealt = stored(
+            dealt.join(more.select("shard").distinct(), "shard", "left_semi").join(more, ["shard", "node"], "left")
+            .where("open OR side <> 2").withColumn("side", F.when(F.col("open"), F.col("side")).otherwise(1).cast("byte")).drop("open"),
+            "dealt",
+        )
+        n *= GROWTH
+    found = roots
     return _classes(docs.select(id_col, "fingerprint", "node"), firsts, found, id_col)
 
 
