@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import combinations
 from math import comb, log10
 
 import numpy as np
@@ -503,6 +504,26 @@ def test_substituted_passages_are_found(rows):
     assert spaced_seeds.contaminated(docs.limit(0), benchmark).count() == 0 and spaced_seeds.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+def test_every_placement_of_substitutions_is_found(rows):
+    data, items, want = [], [], set()
+    for n in (8, 10, 12, 13, 15):
+        w = prose(800 + n, n).split()
+        items.append((n, " ".join(w)))
+        for k in range(5):
+            for at in combinations(range(n), k) if n <= 13 else [r for r in combinations(range(n), k) if k < 3]:
+                text = ["other" if i in at else x for i, x in enumerate(w)]
+                data.append((len(data), " ".join(["before", *text, "after"])))
+                # Brute force: some window of 13 places (or the whole item) has three differing words at most.
+                size = min(n, 13)
+                if min(sum(a <= i < a + size for i in at) for a in range(n - size + 1)) <= 3:
+                    want.add((data[-1][0], n))
+    items += [(3, "one two three"), (5, "red green blue black white")]
+    data += [(-1, "x one two three y"), (-2, "x one four three y"), (-3, "red green blue black white"), (-4, "red green blue black grey")]
+    want |= {(-1, 3), (-3, 5)}
+    got = spaced_seeds.contaminated(rows("doc_id long, text string", *data), rows("item_id long, text string", *items))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+
+
 def test_large_benchmarks_are_not_broadcast(rows, monkeypatch):
     monkeypatch.setattr(spaced_seeds, "BROADCAST_ROWS", 0)
     item = prose(60, 20)

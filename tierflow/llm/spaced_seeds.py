@@ -4,14 +4,15 @@ A seed is a fixed mask over neighbouring words: the words under its ones are has
 be anything. All seeds of the benchmark form a table that training positions meet by an equi-join. Around each
 hit the two word rows are laid side by side, and the pair counts if some window of ``WINDOW`` neighbouring
 places (the whole item, if shorter) has at most ``MISSES`` differing words. Substituted words therefore break
-neither the search nor the verdict.
+neither the search nor the verdict: a mask compares every ``MISSES + 1``-th word, which cuts a window into ``MISSES + 1``
+classes of places, and so many substitutions leave one class intact wherever they fall.
 
 The word hashes of a text are computed once; its positions are generated, hashed and looked up without being
 written anywhere, and only hits go on. The seed table is broadcast if its measured size is within a limit,
 else it is joined by its hash like any table.
 
 Edge cases: NULL texts have no words. Letters A-Z count as lower case and the punctuation in ``IGNORED`` is
-not looked at. Items with fewer words than the shortest mask cannot be hit. Repeated items and documents give one row
+not looked at. Items too short for two words in each class (fewer than eight) are found only without substitutions. Repeated items and documents give one row
 per pair of ids; a NULL id is a value of its own. Other columns are ignored.
 """
 
@@ -22,8 +23,6 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.common import let, lower_ascii, stored, words
 
-#: Masks over neighbouring words (1: compared, 0: free).
-MASKS = ("1101011011", "1110010110101")
 WINDOW, MISSES = 13, 3
 IGNORED = ".,;:!?\"'()[]{}"
 #: Rows of the seed table up to which it is broadcast: about 100 bytes and an item's words each.
@@ -35,29 +34,42 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words(plain), lambda w: F.xxhash64(w))
 
 
-def _seeds(hashes: str, at: Column, masks: tuple[str, ...]) -> Column:
-    """One hash per mask at a position; the mask's number is part of it. NULL where the mask leaves the text."""
+def mask(words: int, window: int = WINDOW, misses: int = MISSES) -> str:
+    """The mask over neighbouring words (1: compared, 0: free) of items with so many words: the whole item if too short for two classes' words."""
+    compared = min(words, window) // (misses + 1)
+    return "1" + ("0" * misses + "1") * (compared - 1) if compared >= 2 else "1" * words
+
+
+def _seeds(hashes: str, at: Column, masks: list[str], wanted: Column | None = None) -> Column:
+    """One hash per mask at a position; the mask is part of it. NULL where it leaves the text or is not ``wanted``."""
     row = F.col(hashes)
     return F.array(*[
         F.when(
-            at + len(mask) <= F.size(row),
-            F.xxhash64(F.lit(m), *[F.get(row, at + i) for i, bit in enumerate(mask) if bit == "1"]),
+            (at + len(mask) <= F.size(row)) & (F.lit(True) if wanted is None else wanted == mask),
+            F.xxhash64(F.lit(mask), *[F.get(row, at + i) for i, bit in enumerate(mask) if bit == "1"]),
         )
-        for m, mask in enumerate(masks)
+        for mask in masks
     ])
 
 
-def _positions(df: DataFrame, hashes: str, masks: tuple[str, ...]) -> DataFrame:
+def _positions(df: DataFrame, hashes: str, masks: list[str], wanted: Column | None = None) -> DataFrame:
     """Rows with ``at`` and ``seed`` for every position that holds a mask."""
     shortest = min(map(len, masks))
     starts = F.when(F.size(hashes) >= shortest, F.sequence(F.lit(0), F.size(hashes) - shortest))
     placed = df.select("*", F.explode(starts).alias("at"))
-    return placed.select("*", F.explode(_seeds(hashes, F.col("at"), masks)).alias("seed")).where("seed IS NOT NULL")
+    return placed.select("*", F.explode(_seeds(hashes, F.col("at"), masks, wanted)).alias("seed")).where("seed IS NOT NULL")
 
 
-def seed_table(benchmark: DataFrame, id_col: str, text_col: str, masks: tuple[str, ...] = MASKS) -> DataFrame:
-    items = benchmark.select(F.col(id_col).alias("item_id"), word_hashes(F.col(text_col)).alias("item"))
-    return _positions(items.distinct(), "item", masks).select("item_id", "item", F.col("at").alias("item_at"), "seed")
+def seed_table(benchmark: DataFrame, id_col: str, text_col: str, window: int = WINDOW, misses: int = MISSES) -> tuple[DataFrame, list[str]]:
+    """The seeds of all items, each by the mask of its length, and the masks in use. Runs a job."""
+    items = benchmark.select(F.col(id_col).alias("item_id"), word_hashes(F.col(text_col)).alias("item")).distinct()
+    # Items of a window or more share one mask, so there are ``window`` lengths at most.
+    lengths = items.where(F.size("item") > 0).select(F.least(F.size("item"), F.lit(window)).alias("n")).distinct()
+    by_length = {r["n"]: mask(r["n"], window, misses) for r in lengths.collect()}
+    masks = sorted(set(by_length.values())) or ["1"]
+    wanted = F.coalesce(*[F.when(F.least(F.size("item"), F.lit(window)) == n, F.lit(m)) for n, m in by_length.items()], F.lit(""))
+    seeds = _positions(items, "item", masks, wanted)
+    return seeds.select("item_id", "item", F.col("at").alias("item_at"), "seed"), masks
 
 
 def _fit(segment: Column, item: Column, before: Column, window: int) -> Column:
@@ -82,10 +94,11 @@ def _fit(segment: Column, item: Column, before: Column, window: int) -> Column:
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
-    item_text_col: str = "text", masks: tuple[str, ...] = MASKS, window: int = WINDOW, misses: int = MISSES,
+    item_text_col: str = "text", window: int = WINDOW, misses: int = MISSES,
 ) -> DataFrame:
     """(id, item_id, item_words, matched_words, window_misses): pairs with a verified overlap, best alignment. Runs a job."""
-    seeds = stored(seed_table(benchmark, item_id_col, item_text_col, masks), "seeds")
+    seeds, masks = seed_table(benchmark, item_id_col, item_text_col, window, misses)
+    seeds = stored(seeds, "seeds")
     size = seeds.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("item")), F.lit(0)).alias("words")).first()
     if size["n"] <= BROADCAST_ROWS and size["words"] <= BROADCAST_WORDS:
         seeds = F.broadcast(seeds)
@@ -102,7 +115,7 @@ def contaminated(
         _fit(F.col("segment"), F.col("item"), F.greatest(-F.col("start"), F.lit(0)), window).alias("fit"),
     )
     return (
-        fitted.where(F.col("fit.misses") <= misses)
+        fitted.where(F.col("fit.misses") <= F.when(F.least("item_words", F.lit(window)) >= 2 * (misses + 1), misses).otherwise(0))
         .groupBy(id_col, "item_id", "item_words")
         .agg(F.max("fit.matched").alias("matched_words"), F.min("fit.misses").alias("window_misses"))
     )
