@@ -258,7 +258,7 @@ def test_large_families_are_linked_by_their_only_link(rows):
     r, base, texts = random.Random(12), prose(600, 300).split(), []
     for f in range(3):
         own = [*base[:100], *prose(700 + f, 36).split(), *base[136:]] if f else base
-        family = [list(own) for _ in range(120)]
+        family = [list(own) for _ in range(40)]
         for i, words in enumerate(family[1:]):
             words[r.choice([*range(10, 90), *range(150, 290)])] = f"changed{f}x{i}"
         if f == 0:
