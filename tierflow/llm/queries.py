@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from tierflow.llm import (
     backoff_automaton,
+    hard_negatives,
     language_families,
     private_spans,
     quality_rules,
@@ -232,3 +233,32 @@ def mails(conversations: DataFrame) -> DataFrame:
 @query("op4_quotation_links")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return quotation_links.reply_ordered(mails(table(spark, folder, "conversations")), keep=["role"])
+
+
+@query("op11_threshold_negatives", """
+    WITH r AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same,
+            CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * r.v[i])) AS BIGINT) AS score
+        FROM r AS a JOIN r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+    ),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    )
+    return hard_negatives.mined(rows, lambda vec_id: vec_id % 100 == 0)
