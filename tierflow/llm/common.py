@@ -27,10 +27,10 @@ def filesystem_of(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound what one Arrow batch holds, by rows and by bytes; give workers this package once."""
     _ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

@@ -17,6 +17,7 @@ from tierflow.llm import (
     quotation_links,
     sentence_pieces,
     severity_grades,
+    shingle_join,
     simhash_trees,
     spaced_seeds,
     warc_bundles,
@@ -262,3 +263,36 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
         "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
     )
     return hard_negatives.mined(rows, lambda vec_id: vec_id % 100 == 0)
+
+
+@query("op12_shingle_join", """
+    WITH RECURSIVE w AS (
+        SELECT row_number() OVER () AS rid, doc_id,
+            list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+        FROM documents
+    ),
+    s AS (
+        SELECT rid, doc_id, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) AS s
+        FROM w WHERE len(w) > 0
+    ),
+    nodes AS (SELECT s, row_number() OVER () AS node, len(s) AS n FROM (SELECT DISTINCT s FROM s)),
+    grams AS (SELECT node, n, unnest(s) AS g FROM nodes),
+    links AS (
+        SELECT a.node AS u, b.node AS v FROM grams AS a JOIN grams AS b ON a.g = b.g AND a.node < b.node AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+        GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+    ),
+    ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links UNION ALL SELECT node, node FROM nodes),
+    reach AS (
+        SELECT node AS u, node AS v FROM nodes WHERE node IN (SELECT u FROM ways)
+        UNION
+        SELECT reach.u, ways.v FROM reach JOIN ways ON reach.v = ways.u
+    ),
+    members AS (SELECT rid, doc_id, node, n FROM s JOIN nodes USING (s)),
+    firsts AS (SELECT node, min(doc_id) AS first_id FROM members GROUP BY node),
+    component AS (SELECT reach.u AS node, min(first_id) AS component_id FROM reach JOIN firsts ON reach.v = firsts.node GROUP BY reach.u)
+    SELECT w.doc_id, CAST(coalesce(members.n, 0) AS BIGINT) AS n_shingles, CASE WHEN members.n IS NULL THEN w.doc_id ELSE component_id END AS component_id
+    FROM w LEFT JOIN members USING (rid) LEFT JOIN component ON members.node = component.node
+""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return shingle_join.jaccard_components(table(spark, folder, "documents"))
