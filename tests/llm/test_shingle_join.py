@@ -8,7 +8,6 @@ import pytest
 from conftest import values
 
 from tierflow.llm import shingle_join
-from tierflow.llm.simhash_trees import shingle_hashes
 
 SCHEMA = "doc_id long, text string, node long, size int, shingle string, key long, count long"
 
@@ -85,6 +84,8 @@ def test_large_groups_in_chunks(rows, monkeypatch, percent):
     monkeypatch.setattr(shingle_join, "GROUP_ROWS", 8)
     monkeypatch.setattr(shingle_join, "NUMBER_ROWS", 64)
     monkeypatch.setattr(shingle_join, "HELD_PAIRS", 100)
+    monkeypatch.setattr(shingle_join, "FIRST_ROUND", 1)
+    monkeypatch.setattr(shingle_join, "ROUND_GROWTH", 2)
     agree(rows, corpus(percent), percent=percent)
 
 
@@ -150,7 +151,7 @@ def test_lossy_counts_never_lose_a_frequent_shingle(monkeypatch):
     monkeypatch.setattr(shingle_join, "BUFFER", 50)
     counter = shingle_join.FrequentShingles(0.1)
     for i in range(200):
-        counter.add(np.unique(shingle_hashes(f"a b c d e {i} f g h i j k l" if i % 5 == 0 else f"{i} {i}x y z u v w", 5)))
+        counter.add(shingle_join.shingle_sets([f"a b c d e {i} f g h i j k l" if i % 5 == 0 else f"{i} {i}x y z u v w"], 5)[0])
     counter.prune()
-    common = shingle_hashes("a b c d e", 5)[0]
+    common = shingle_join.shingle_sets(["a b c d e"], 5)[0][0]
     assert common in counter.keys and counter.counts[counter.keys == common][0] >= 20

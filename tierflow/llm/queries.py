@@ -12,6 +12,7 @@ from tierflow.llm import (
     backoff_automaton,
     hard_negatives,
     language_families,
+    phrase_trie,
     private_spans,
     quality_rules,
     quotation_links,
@@ -296,3 +297,45 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return shingle_join.jaccard_components(table(spark, folder, "documents"))
+
+
+@query("op13_phrase_trie", """
+    WITH d AS (
+        SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang,
+            regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]') AS pieces
+        FROM documents
+    ),
+    p AS (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w
+        FROM (SELECT lang, unnest(pieces) AS piece FROM d)
+    ),
+    f AS (
+        SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)
+        GROUP BY ALL
+    ),
+    totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+    c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 100),
+    cuts AS (
+        SELECT lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS lead, array_to_string(w[cut + 1:], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)
+    ),
+    scored AS (
+        SELECT cuts.lang, cuts.phrase, a, cut, x.f AS l, y.f AS r, n,
+            CAST(1000 * CAST(a AS HUGEINT) * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+        FROM cuts JOIN f AS x ON x.lang = cuts.lang AND x.phrase = lead JOIN f AS y ON y.lang = cuts.lang AND y.phrase = rest
+            JOIN totals ON totals.lang = cuts.lang
+    ),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    inner_ones AS (
+        SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+        FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest(range(2, 5)) AS m) WHERE m < k)
+        GROUP BY ALL
+    )
+    SELECT best.lang, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, best.phrase) AS rank, best.phrase, a, l, r, n, score
+    FROM best LEFT JOIN inner_ones ON inner_ones.lang = best.lang AND inner_ones.phrase = best.phrase
+    WHERE longer IS NULL OR 100 * longer < 100 * a
+    QUALIFY rank <= 2000
+""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_trie.mined(table(spark, folder, "documents"))

@@ -15,11 +15,12 @@ by lossy counting in tasks; they steer costs only, and the join is exact whateve
 
 *Candidates.* One shuffle by (band, segment, part) brings probes to their index rows. A small group proposes its pairs. A
 larger one proposes a star, and is looked at again when the links found so far are components: then only pairs of different
-components are compared, in the task, by size and by parity sketches (the bits in which two sketches differ are a lower bound of the
-difference of their sets), and what may still be similar is proposed. Groups beyond ``GROUP_ROWS`` are cut into pairs of chunks.
-Every proposal is verified on whole sets, so links are exact, and no link between components is lost.
+components are compared, in the task, and the nearest few of each two components are proposed, in rounds that go on until no pair is left.
+Groups beyond ``GROUP_ROWS`` are cut into pairs of chunks. Whatever is proposed must first agree in size and parity sketch (the bits in which
+two sketches differ are a lower bound of the difference of their sets); what does is verified on whole sets. So links are exact, and no
+link between components is lost.
 
-Documents of equal sets are one node. Shingles are known by their 64-bit XXH64.
+Documents of equal sets are one node. A shingle is known by a 64-bit hash of its words' XXH64.
 
 Edge cases: a text with fewer words than a shingle is one shingle; a NULL or word-less text has none, and is a component by
 itself. A NULL id takes part in links but names a component only if all its ids are NULL. Repeated rows are copies. An empty table gives
@@ -38,16 +39,18 @@ from pyspark.sql import types as T
 
 from tierflow.llm.common import small_batches, stored
 from tierflow.llm.components import components
-from tierflow.llm.simhash_trees import set_hash, shingle_hashes
+from tierflow.llm.simhash_trees import SEED, set_hash
 
 #: A band ends where sizes are half as large again; one segment in so many is wide, and two of a band at least.
 GROWTH, WIDE_SHARE = 1.5, 16
 #: Members of a group up to which all its pairs are proposed, and rows of a group (or chunk) compared in one task.
-SMALL_GROUP, GROUP_ROWS = 8, 16_384
+SMALL_GROUP, GROUP_ROWS = 8, 8_192
 #: Share of documents from which a shingle counts as frequent, hashes between two prunings, and most entries of the cost table.
 FREQUENT, BUFFER, COST_ENTRIES = 0.001, 1 << 21, 1 << 16
 #: Rows of an Arrow batch of plain numbers, pairs held before repeated ones are dropped, and bits of the widest filter.
 NUMBER_ROWS, HELD_PAIRS, FILTER_BITS = 1 << 15, 1 << 20, 1 << 26
+#: Pairs of each two components of a group that the first further round proposes, and growth from one round to the next.
+FIRST_ROUND, ROUND_GROWTH = 4, 8
 INDEX, PROBE = 1, 2
 
 
@@ -58,6 +61,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def shingle_sets(texts: list[str | None], shingle_words: int) -> list[np.ndarray]:
+    """The distinct shingles of each text, ascending; of the whole sequence of words if it is shorter."""
+    import xxhash
+
+    words = [(t or "").encode().lower().split() for t in texts]  # bytes.lower() and split() know ASCII only
+    listed = pa.array([w for ws in words for w in ws], pa.binary()).dictionary_encode()
+    known = np.array([xxhash.xxh64_intdigest(w, SEED) for w in listed.dictionary.to_pylist()], np.uint64)
+    ids = known[listed.indices.to_numpy()] if len(listed) else known
+
+    def chained(of: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros(max(0, len(of) - n + 1), np.uint64)
+        for i in range(n):
+            out = mix(out * np.uint64(31) + of[i : i + len(out)])
+        return out
+
+    hashes, out, at = chained(ids, shingle_words), [], 0
+    for ws in words:
+        n = len(ws)
+        found = np.sort(hashes[at : at + n - shingle_words + 1] if n >= shingle_words else chained(ids[at : at + n], n) if n else ids[:0])
+        out.append(found[np.concatenate(([True], found[1:] != found[:-1]))] if n else found)
+        at += n
+    return out
+
+
 class Bands:
     """Size bands of a similarity, with the segments of each."""
 
@@ -72,6 +99,10 @@ class Bands:
         """How many shingles similar sets of ``total`` shingles together may differ in."""
         return total * (100 - self.percent) // (100 + self.percent)
 
+    def near(self, a, b):
+        """Whether sets of these sizes can be similar."""
+        return 100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)
+
     def of(self, size: int) -> int:
         return int(np.searchsorted(self.edges, size, side="right")) - 1
 
@@ -200,31 +231,37 @@ class FrequentShingles:
 
 
 def sketched(df: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
-    """Rows (id, node, size) of documents, node NULL without shingles, and (shingle, count) of a task's frequent shingles."""
+    """Rows (id, node, size, sketch) of documents, node NULL without shingles, and (shingle, count) of a task's frequent shingles.
+
+    Of equal sets in a task the first has the sketch.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, seen = FrequentShingles(FREQUENT), set()
-        ids, names = None, [id_col, "node", "size", "shingle", "count"]
+        kind, names = None, [id_col, "node", "size", "sketch", "shingle", "count"]
         for batch in batches:
-            ids, nodes, sizes = batch.column(0), [], []
-            for text in batch.column(1).to_pylist():
-                distinct = np.unique(shingle_hashes(text, shingle_words))
-                node = node_of(distinct)
-                if len(distinct) and node not in seen:
+            kind, nodes, sizes, sketches = batch.column(0).type, [], [], []
+            for distinct in shingle_sets(batch.column(1).to_pylist(), shingle_words):
+                node = node_of(distinct) if len(distinct) else None
+                fresh = node is not None and node not in seen
+                if fresh:
                     seen.add(node)
                     frequent.add(distinct)
-                nodes.append(node - (1 << 64) * (node >> 63) if len(distinct) else None)
+                nodes.append(node if node is None else node - (1 << 64) * (node >> 63))
                 sizes.append(len(distinct))
-            empty = pa.nulls(len(ids), pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), empty, empty], names)
+                sketches.append(parity(distinct).tobytes() if fresh else None)
+            empty = pa.nulls(len(nodes), pa.int64())
+            told = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *told, empty, empty], names)
         frequent.prune()
         if len(frequent.keys):
             none = pa.nulls(len(frequent.keys), pa.int64())
             told = [pa.array(frequent.keys.view(np.int64)), pa.array(frequent.counts)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(none), ids.type), none, none, *told], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(none), kind), none, none, pa.nulls(len(none), pa.binary()), *told], names)
 
-    longs = [T.StructField(n, T.LongType()) for n in ("node", "size", "shingle", "count")]
-    return df.select(id_col, text_col).mapInArrow(run, T.StructType([T.StructField(id_col, df.schema[id_col].dataType), *longs]))
+    fields = [T.StructField(id_col, df.schema[id_col].dataType), T.StructField("node", T.LongType()), T.StructField("size", T.LongType())]
+    fields += [T.StructField("sketch", T.BinaryType()), T.StructField("shingle", T.LongType()), T.StructField("count", T.LongType())]
+    return df.select(id_col, text_col).mapInArrow(run, T.StructType(fields))
 
 
 def _listed(df: DataFrame, text_col: str, shingle_words: int, bands: Bands, costs: Costs) -> DataFrame:
@@ -234,8 +271,7 @@ def _listed(df: DataFrame, text_col: str, shingle_words: int, bands: Bands, cost
         seen = set()
         for batch in batches:
             keys, tags, held = [], [], 0
-            for text in batch.column(0).to_pylist():
-                distinct = np.unique(shingle_hashes(text, shingle_words))
+            for distinct in shingle_sets(batch.column(0).to_pylist(), shingle_words):
                 node = node_of(distinct)
                 if not len(distinct) or node in seen:
                     continue
@@ -382,8 +418,8 @@ def parity_words(hashes: np.ndarray, words: int) -> np.ndarray:
 
 
 def parity(hashes: np.ndarray) -> np.ndarray:
-    """The sketch of a set: about one bit for each shingle, from 64 to 65,536."""
-    return parity_words(hashes, 1 << min(10, (len(hashes) // 64).bit_length()))
+    """The sketch of a set: four to eight bits for each shingle, up to 32 KB."""
+    return parity_words(hashes, 1 << min(12, (len(hashes) // 16).bit_length()))
 
 
 def folded(sketch: np.ndarray, words: int) -> np.ndarray:
@@ -394,13 +430,44 @@ def folded(sketch: np.ndarray, words: int) -> np.ndarray:
     return sketch
 
 
+class _Nearest:
+    """The ``n`` pairs of each two components that differ least, and whether there were more."""
+
+    def __init__(self, n: int):
+        self.n, self.rows, self.held, self.cut = n, [], 0, False
+
+    def add(self, roots_a: np.ndarray, roots_b: np.ndarray, apart: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        low, high = np.minimum(roots_a, roots_b), np.maximum(roots_a, roots_b)
+        ends = [np.minimum(a, b).view(np.int64), np.maximum(a, b).view(np.int64)]
+        self.rows.append(np.stack([low, high, apart, *ends], axis=1))
+        self.held += len(a)
+        if self.held > HELD_PAIRS:
+            self._squeeze()
+
+    def _squeeze(self) -> None:
+        rows = np.concatenate(self.rows)
+        rows = rows[np.lexsort(rows.T[::-1])]
+        rows = rows[np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1)))] if len(rows) else rows
+        lead = np.flatnonzero(np.concatenate(([True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)))) if len(rows) else np.zeros(0, np.int64)
+        sizes = np.diff(np.append(lead, len(rows)))
+        kept = np.arange(len(rows)) - np.repeat(lead, sizes) < self.n
+        self.cut |= not kept.all()
+        self.rows, self.held = [rows[kept]], int(kept.sum())
+
+    def taken(self) -> np.ndarray:
+        if self.rows:
+            self._squeeze()
+        return self.rows[0][:, 3:] if self.rows else np.zeros((0, 2), np.int64)
+
+
 def crossing_pairs(
     nodes: np.ndarray, roots: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, probing: np.ndarray, listed: np.ndarray,
-    bands: Bands, pairs: _Pairs,
-) -> None:
-    """Propose probing and listed members of different components that size and sketch allow to be similar."""
+    bands: Bands, n: int,
+) -> tuple[np.ndarray, bool]:
+    """Pairs of probing and listed members of different components that size and sketch allow to be similar: the ``n`` nearest of each
+    two components, and whether there are more."""
     names, counts = np.unique(roots, return_counts=True)
-    main = roots == names[counts.argmax()]
+    main, nearest = roots == names[counts.argmax()], _Nearest(n)
 
     def compare(left: np.ndarray, right: np.ndarray) -> None:
         if not len(left) or not len(right):
@@ -408,52 +475,50 @@ def crossing_pairs(
         step = max(1, (1 << 21) // len(right))
         for at in range(0, len(left), step):
             a = left[at : at + step]
-            small = np.minimum(sizes[a][:, None], sizes[right])
-            large = np.maximum(sizes[a][:, None], sizes[right])
-            i, j = np.nonzero((roots[a][:, None] != roots[right]) & (100 * small >= bands.percent * large))
-            for k in range(0, len(i), 1 << 15):
-                x, y = a[i[k : k + (1 << 15)]], right[j[k : k + (1 << 15)]]
+            i, j = np.nonzero((roots[a][:, None] != roots[right]) & bands.near(sizes[a][:, None], sizes[right]))
+            for k in range(0, len(i), 1 << 14):
+                x, y = a[i[k : k + (1 << 14)]], right[j[k : k + (1 << 14)]]
                 apart = np.bitwise_count(sketches[x] ^ sketches[y]).sum(axis=1, dtype=np.int64)
-                near = apart <= (sizes[x] + sizes[y]) * (100 - bands.percent) // (100 + bands.percent)
-                pairs.add(nodes[x[near]], nodes[y[near]])
+                ok = apart <= bands.bound(sizes[x] + sizes[y])
+                nearest.add(roots[x[ok]], roots[y[ok]], apart[ok], nodes[x[ok]], nodes[y[ok]])
 
     asks, is_listed = np.flatnonzero(probing), np.flatnonzero(listed)
     compare(asks[~main[asks]], is_listed)
     compare(asks[main[asks]], is_listed[~main[is_listed]])
+    return nearest.taken(), nearest.cut
 
 
-def _crossing(rows: DataFrame, bands: Bands) -> DataFrame:
-    """Rows (key, tag, root, size, sketch) of groups to proposals (u, v)."""
+def _crossing(rows: DataFrame, bands: Bands, n: int) -> DataFrame:
+    """Rows (cell, key, tag, root, size, sketch) to proposals (NULL, u, v), and (key, NULL, NULL) of groups that have more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, current, group = _Pairs(), None, []
+        current, group = None, []
 
-        def flush() -> None:
+        def flush() -> Iterator[pa.RecordBatch]:
             if not group:
                 return
-            tags, roots, sizes = (np.array(c, np.int64) for c in list(zip(*group))[:3])
-            sketches = [np.frombuffer(row[3], np.uint64) for row in group]
+            keys, tags, roots, sizes = (np.array(c, np.int64) for c in list(zip(*group))[:4])
+            sketches = [np.frombuffer(row[4], np.uint64) for row in group]
             words = min(map(len, sketches))
-            nodes = tags.view(np.uint64) & ~np.uint64(3)
-            crossing_pairs(
-                nodes, roots, sizes, np.stack([folded(s, words) for s in sketches]),
-                tags & PROBE > 0, tags & INDEX > 0, bands, pairs,
-            )
+            whole = np.stack([folded(x, words) for x in sketches])
+            pairs, cut = crossing_pairs(tags.view(np.uint64) & ~np.uint64(3), roots, sizes, whole, tags & PROBE > 0, tags & INDEX > 0, bands, n)
+            none = pa.nulls(len(pairs), pa.int64())
+            names = ["key", "u", "v"]
+            yield pa.RecordBatch.from_arrays([none, pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names)
+            if cut:
+                none = pa.nulls(1, pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(keys[:1]), none, none], names)
 
         for batch in batches:
-            for key, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if key != current:
-                    flush()
-                    current, group = key, []
+            for cell, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if cell != current:
+                    yield from flush()
+                    current, group = cell, []
                 group.append(row)
-            if pairs.full():
-                out = pairs.taken()
-                yield _numbers(["u", "v"], out[:, 0].copy(), out[:, 1].copy())
-        flush()
-        out = pairs.taken()
-        yield _numbers(["u", "v"], out[:, 0].copy(), out[:, 1].copy())
+        yield from flush()
 
-    return rows.select("key", "tag", "root", "size", "sketch").repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
+    dealt = rows.select("cell", "key", "tag", "root", "size", "sketch").repartition("cell").sortWithinPartitions("cell")
+    return dealt.mapInArrow(run, "key long, u long, v long")
 
 
 def _filter_of(nodes: DataFrame) -> Callable[[int], bool]:
@@ -476,28 +541,47 @@ def _filter_of(nodes: DataFrame) -> Callable[[int], bool]:
 
 
 def _sets_of(df: DataFrame, text_col: str, shingle_words: int, nodes: DataFrame) -> DataFrame:
-    """(node, shingles, size, sketch) of the given nodes. Texts are not shuffled: a task sends sets that pass a small filter."""
+    """(node, shingles) of the given nodes. Texts are not shuffled: a task sends sets that pass a small filter."""
     holds = _filter_of(nodes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            rows = []
-            for text in batch.column(0).to_pylist():
-                distinct = np.unique(shingle_hashes(text, shingle_words))
+            nodes, sets = [], []
+            for distinct in shingle_sets(batch.column(0).to_pylist(), shingle_words):
                 node = node_of(distinct)
                 if len(distinct) and node not in seen and holds(node):
                     seen.add(node)
-                    rows.append((node - (1 << 64) * (node >> 63), distinct.view(np.int64), len(distinct), parity(distinct).tobytes()))
-            columns = zip(pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64())), ("size", pa.int64()), ("sketch", pa.binary())]), zip(*rows) if rows else ([],) * 4)
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for f, c in columns], ["node", "shingles", "size", "sketch"])
+                    nodes.append(node - (1 << 64) * (node >> 63))
+                    sets.append(distinct.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    found = df.select(text_col).mapInArrow(run, "node long, shingles array<long>, size long, sketch binary")
+    found = df.select(text_col).mapInArrow(run, "node long, shingles array<long>")
     return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
-def similar(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those links (u, v) whose whole sets are similar."""
+def may_be_similar(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
+    """Pairs (u, v) whose sizes and sketches allow them to be similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(i).to_numpy() for i in (2, 4))
+            fits = bands.near(a, b)
+            for i in np.flatnonzero(fits).tolist():
+                one, two = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in (3, 5))
+                words = min(len(one), len(two))
+                fits[i] = np.bitwise_count(folded(one, words) ^ folded(two, words)).sum() <= bands.bound(int(a[i] + b[i]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(fits))
+
+    one = sketches.select(F.col("node").alias("u"), F.col("size").alias("a"), F.col("sketch").alias("s"))
+    two = sketches.select(F.col("node").alias("v"), F.col("size").alias("b"), F.col("sketch").alias("t"))
+    return pairs.join(one, "u").join(two, "v").select("u", "v", "a", "s", "b", "t").mapInArrow(run, "u long, v long")
+
+
+def similar(links: DataFrame, df: DataFrame, text_col: str, shingle_words: int, percent: int) -> DataFrame:
+    """Those links (u, v) whose whole sets are similar. Runs jobs."""
+    ends = stored(links.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "ends")
+    sets = stored(_sets_of(df, text_col, shingle_words, ends), "sets")
     one = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     two = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
     shared = F.size(F.array_intersect("a", "b")).cast("long")
@@ -505,23 +589,22 @@ def similar(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * shared >= percent * (F.size("a") + F.size("b") - shared)).select("u", "v")
 
 
-def _once_more(again: DataFrame, roots: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
-    """Proposals between different components within the groups that are left."""
+def _split_groups(again: DataFrame, roots: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Rows (cell, key, tag, root, size, sketch) of the groups that have several components."""
     named = again.withColumn("node", F.col("tag").bitwiseAND(F.lit(~3).cast("long"))).join(roots, "node", "left")
     named = stored(named.select("key", "tag", "node", F.coalesce("root", "node").alias("root")), "members")
     mixed = named.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("rows"))
     mixed = stored(mixed.where("a <> b").select("key", F.ceil(F.col("rows") / F.lit(GROUP_ROWS)).cast("int").alias("n")), "mixed")
-    rows = named.join(mixed, "key").join(sets.select("node", "size", "sketch"), "node")
+    rows = named.join(mixed, "key").join(sketches, "node")
     # Probing rows of each chunk meet listed rows of each chunk; a group of one chunk is one cell.
     own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("n")).cast("int")
 
-    def cells(role: int, key) -> DataFrame:
+    def cells(role: int, cell) -> DataFrame:
         some = rows.where(F.col("tag").bitwiseAND(F.lit(role).cast("long")) > 0).withColumn("tag", F.col("node").bitwiseOR(F.lit(role).cast("long")))
         spread = some.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        return spread.select(key.alias("key"), "tag", "root", "size", "sketch")
+        return spread.select(cell.alias("cell"), "key", "tag", "root", "size", "sketch")
 
-    asks = cells(PROBE, F.xxhash64("key", "own", "other"))
-    return _crossing(asks.unionByName(cells(INDEX, F.xxhash64("key", "other", "own"))), bands)
+    return cells(PROBE, F.xxhash64("key", "own", "other")).unionByName(cells(INDEX, F.xxhash64("key", "other", "own")))
 
 
 def jaccard_components(
@@ -533,6 +616,7 @@ def jaccard_components(
     bands = Bands(percent)
     seen = stored(sketched(df, id_col, text_col, shingle_words), "sketches")
     docs = seen.where("size IS NOT NULL").select(id_col, "node", "size")
+    sketches = seen.where("sketch IS NOT NULL").select("node", "size", "sketch").dropDuplicates(["node"])
     documents = docs.count()
     frequent = seen.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count"))
     frequent = frequent.where(F.col("count") >= FREQUENT * documents / 2).orderBy(F.desc("count"), "shingle").limit(COST_ENTRIES).collect()
@@ -542,17 +626,28 @@ def jaccard_components(
     small_batches(spark, NUMBER_ROWS)
     found = stored(_proposed(listed), "proposals")
     small_batches(spark)
-    proposed = stored(found.where("key IS NULL").select("u", "v").distinct(), "pairs")
-    ends = stored(proposed.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "ends")
-    sets = stored(_sets_of(df, text_col, shingle_words, ends), "sets")
-    links = stored(similar(proposed, sets, percent), "links")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        near = stored(may_be_similar(pairs, sketches, bands), "near")
+        return stored(similar(near, df, text_col, shingle_words, percent), "links")
+
+    tried = stored(found.where("key IS NULL").select("u", "v").distinct(), "pairs")
+    links = checked(tried)
     roots = stored(components(links), "roots")
 
-    again = found.where("key IS NOT NULL").select("key", F.col("u").alias("tag"))
-    more = stored(_once_more(again, roots, sets, bands).distinct(), "pairs")
-    if not more.isEmpty():
-        links = links.unionByName(stored(similar(more, sets, percent), "links"))
-        roots = stored(components(links), "roots")
+    # Rounds until no group has a pair left that crosses components and was not verified.
+    again, n = found.where("key IS NOT NULL").select("key", F.col("u").alias("tag")), FIRST_ROUND
+    while True:
+        answers = stored(_crossing(_split_groups(again, roots, sketches), bands, n), "crossing")
+        fresh = stored(answers.where("v IS NOT NULL").select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
+        more = stored(answers.where("v IS NULL").select("key").distinct(), "more")
+        if not fresh.isEmpty():
+            tried = tried.unionByName(fresh)
+            links = links.unionByName(checked(fresh))
+            roots = stored(components(links), "roots")
+        if more.isEmpty():
+            break
+        again, n = stored(again.join(more, "key", "left_semi"), "again"), n * ROUND_GROWTH
 
     firsts = docs.where("node IS NOT NULL").groupBy("node").agg(F.min(id_col).alias("first_id"))
     named = stored(firsts.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root")), "named")
