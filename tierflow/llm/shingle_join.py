@@ -50,7 +50,7 @@ FREQUENT, BUFFER, COST_ENTRIES = 0.001, 1 << 21, 1 << 16
 #: Rows of an Arrow batch of plain numbers, pairs held before repeated ones are dropped, and bits of the widest filter.
 NUMBER_ROWS, HELD_PAIRS, FILTER_BITS = 1 << 15, 1 << 20, 1 << 26
 #: Pairs of each two components of a group that the first further round proposes, and growth from one round to the next.
-FIRST_ROUND, ROUND_GROWTH = 4, 8
+FIRST_ROUND, ROUND_GROWTH = 64, 16
 INDEX, PROBE = 1, 2
 
 
@@ -71,10 +71,10 @@ def shingle_sets(texts: list[str | None], shingle_words: int) -> list[np.ndarray
     ids = known[listed.indices.to_numpy()] if len(listed) else known
 
     def chained(of: np.ndarray, n: int) -> np.ndarray:
-        out = np.zeros(max(0, len(of) - n + 1), np.uint64)
+        out = np.full(max(0, len(of) - n + 1), n, np.uint64)
         for i in range(n):
-            out = mix(out * np.uint64(31) + of[i : i + len(out)])
-        return out
+            out = out * np.uint64(0x9E3779B97F4A7C15) + of[i : i + len(out)]
+        return mix(out)
 
     hashes, out, at = chained(ids, shingle_words), [], 0
     for ws in words:
@@ -150,7 +150,7 @@ class Parts:
         # Leaving out the rarest shingle of a part leaves the second rarest one; leaving out others keeps the rarest.
         order = np.lexsort((cost, at))
         at, cost = at[order], cost[order]
-        lead = np.flatnonzero(np.diff(at, prepend=-1))
+        lead = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(at) else at
         sizes = np.bincount(at, minlength=wide)
         second = np.full(wide, documents, np.int64)
         several = lead[sizes[at[lead]] > 1] if len(lead) else lead
@@ -177,7 +177,7 @@ def entries(hashes: np.ndarray, bands: Bands, costs: Costs) -> tuple[np.ndarray,
 
     def add(found: np.ndarray, role) -> None:
         keys.append(found)
-        roles.append(np.broadcast_to(np.asarray(role, np.uint64), found.shape))
+        roles.append(role if isinstance(role, np.ndarray) else np.full(len(found), role, np.uint64))
 
     def probes(parts: Parts, largest_other: int) -> np.ndarray:
         allowance = allocated(parts.first, parts.second, bands.bound(size + largest_other) + 1)
@@ -189,7 +189,7 @@ def entries(hashes: np.ndarray, bands: Bands, costs: Costs) -> tuple[np.ndarray,
         own = Parts(hashes, frequency, band, segments, wide, costs.documents)
         add(own.left_out(np.ones(wide, bool)), INDEX)
         asked = probes(own, size)
-        add(own.whole(), np.where(asked, INDEX | PROBE, INDEX))
+        add(own.whole(), np.where(asked, np.uint64(INDEX | PROBE), np.uint64(INDEX)))
     below = int(bands.edges[band]) - 1
     if band and 100 * below >= bands.percent * size:
         segments, wide = bands.segments(band - 1)
@@ -220,14 +220,21 @@ class FrequentShingles:
             self.prune()
 
     def prune(self) -> None:
-        keys = np.concatenate([self.keys, *self.fresh])
-        counts = np.concatenate([self.counts, np.ones(len(keys) - len(self.keys), np.int64)])
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        lead = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-        counts = np.add.reduceat(counts, lead) if len(lead) else counts
+        if not self.fresh:
+            return
+        fresh = np.sort(np.concatenate(self.fresh))
+        lead = np.flatnonzero(np.concatenate(([True], fresh[1:] != fresh[:-1]))) if len(fresh) else np.zeros(0, np.int64)
+        keys, counts = fresh[lead], np.diff(np.append(lead, len(fresh)))
+        if len(self.keys) and len(keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            known = self.keys[at] == keys
+            counts[known] += self.counts[at[known]]
+            unseen = np.ones(len(self.keys), bool)
+            unseen[at[known]] = False
+            keys, counts = np.concatenate((keys, self.keys[unseen])), np.concatenate((counts, self.counts[unseen]))
         kept = counts >= max(2, self.share * self.documents / 2)
-        self.keys, self.counts, self.fresh, self.held = keys[lead][kept], counts[kept], [], 0
+        order = np.argsort(keys[kept])
+        self.keys, self.counts, self.fresh, self.held = keys[kept][order], counts[kept][order], [], 0
 
 
 def sketched(df: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
@@ -521,42 +528,48 @@ def _crossing(rows: DataFrame, bands: Bands, n: int) -> DataFrame:
     return dealt.mapInArrow(run, "key long, u long, v long")
 
 
-def _filter_of(nodes: DataFrame) -> Callable[[int], bool]:
-    """A bit filter of nodes: two bits each, at most ``FILTER_BITS`` in all, so that it is small whatever the corpus is."""
-    n = nodes.count()
-    bits = min(FILTER_BITS, max(1 << 12, 1 << (16 * n).bit_length()))
+def _filter_of(hashes: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
+    """A bit filter of rows (hash): two bits each, at most ``FILTER_BITS`` in all, so that it is small whatever the corpus is."""
+    bits = min(FILTER_BITS, max(1 << 12, 1 << (16 * hashes.count()).bit_length()))
     mask = F.lit(bits - 1).cast("long")
-    places = F.explode(F.array(F.shiftrightunsigned("node", 2).bitwiseAND(mask), F.shiftrightunsigned("node", 33).bitwiseAND(mask)))
-    words = nodes.select(places.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
+    places = F.explode(F.array(*[F.shiftrightunsigned("hash", n).bitwiseAND(mask) for n in (0, 32)]))
+    words = hashes.select(places.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")
-    ).toPandas()
+    ).toArrow()
     held = np.zeros(bits // 64, np.uint64)
-    held[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    held[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
 
-    def holds(node: int) -> bool:
-        one, two = (node >> 2) & (bits - 1), (node >> 33) & (bits - 1)
-        return bool((int(held[one >> 6]) >> (one & 63)) & (int(held[two >> 6]) >> (two & 63)) & 1)
+    def holds(of: np.ndarray) -> np.ndarray:
+        out = np.ones(len(of), bool)
+        for n in (0, 32):
+            bit = (of >> np.uint64(n)) & np.uint64(bits - 1)
+            out &= (held[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
+        return out
 
     return holds
 
 
-def _sets_of(df: DataFrame, text_col: str, shingle_words: int, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) of the given nodes. Texts are not shuffled: a task sends sets that pass a small filter."""
-    holds = _filter_of(nodes)
+def _sets_of(df: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle_words: int, nodes: DataFrame) -> DataFrame:
+    """(node, shingles) of the given nodes, each from one of its documents.
+
+    Texts are not shuffled: a task looks at those whose id passes a small filter.
+    """
+    hashed = F.xxhash64(F.col(id_col).cast("string"))
+    holds = _filter_of(docs.join(nodes, "node").groupBy("node").agg(F.min(hashed).alias("hash")).select("hash").distinct())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            nodes, sets = [], []
-            for distinct in shingle_sets(batch.column(0).to_pylist(), shingle_words):
+            batch, nodes, sets = batch.filter(pa.array(holds(batch.column(0).to_numpy().view(np.uint64)))), [], []
+            for distinct in shingle_sets(batch.column(1).to_pylist(), shingle_words):
                 node = node_of(distinct)
-                if len(distinct) and node not in seen and holds(node):
+                if len(distinct) and node not in seen:
                     seen.add(node)
                     nodes.append(node - (1 << 64) * (node >> 63))
                     sets.append(distinct.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    found = df.select(text_col).mapInArrow(run, "node long, shingles array<long>")
+    found = df.select(hashed.alias("hash"), text_col).mapInArrow(run, "node long, shingles array<long>")
     return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -578,10 +591,8 @@ def may_be_similar(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataF
     return pairs.join(one, "u").join(two, "v").select("u", "v", "a", "s", "b", "t").mapInArrow(run, "u long, v long")
 
 
-def similar(links: DataFrame, df: DataFrame, text_col: str, shingle_words: int, percent: int) -> DataFrame:
-    """Those links (u, v) whose whole sets are similar. Runs jobs."""
-    ends = stored(links.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "ends")
-    sets = stored(_sets_of(df, text_col, shingle_words, ends), "sets")
+def similar(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those links (u, v) whose whole sets (node, shingles) are similar."""
     one = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     two = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
     shared = F.size(F.array_intersect("a", "b")).cast("long")
@@ -629,7 +640,9 @@ def jaccard_components(
 
     def checked(pairs: DataFrame) -> DataFrame:
         near = stored(may_be_similar(pairs, sketches, bands), "near")
-        return stored(similar(near, df, text_col, shingle_words, percent), "links")
+        ends = stored(near.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "ends")
+        sets = stored(_sets_of(df, docs, id_col, text_col, shingle_words, ends), "sets")
+        return stored(similar(near, sets, percent), "links")
 
     tried = stored(found.where("key IS NULL").select("u", "v").distinct(), "pairs")
     links = checked(tried)
