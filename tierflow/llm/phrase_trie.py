@@ -335,23 +335,22 @@ def counted_phrases(df: DataFrame, text_col: str, lang_col: str, longest: int, l
     parts = max(LEAST_PARTS, -(-n // WORDS_PER_PART))
     phrases = stored(_merged(_counted(texts, range(2, 3), parts, filter_of(words.select(F.col("id").alias("hash"))), False), least), "pairs")
     if longest > 2:
-        known = filter_of(phrases.select(_chained_column("ids").alias("hash")))
+        known = filter_of(stored(_hashes(phrases), "hashes"))
         longer = stored(_merged(_counted(texts, range(3, longest + 1), parts, known, True), least), "phrases")
         phrases = phrases.unionByName(longer)
     small_batches(spark)
     return words, phrases, totals
 
 
-def _chained_column(ids: str):
-    """The hash of a pair of ids as tasks compute it, by a small Arrow function over the frequent pairs."""
-    import pandas as pd
+def _hashes(pairs: DataFrame) -> DataFrame:
+    """(hash) of rows (ids) of two, as the tasks that count compute it."""
 
-    @F.pandas_udf("long")
-    def hashed(pairs: pd.Series) -> pd.Series:
-        rows = np.array(pairs.tolist(), np.int64).reshape(-1, 2).view(np.uint64)
-        return pd.Series(chained([rows[:, 0], rows[:, 1]]).view(np.int64))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(0).flatten().to_numpy().view(np.uint64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(chained([rows[:, 0], rows[:, 1]]).view(np.int64))], ["hash"])
 
-    return hashed(ids)
+    return pairs.select("ids").mapInArrow(run, "hash long")
 
 
 def mined(

@@ -343,6 +343,13 @@ class _Groups:
     def __init__(self):
         self.pairs, self.open_key, self.star = _Pairs(), None, (None, None)
 
+    def twos(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Groups of two rows each: a pair if one asks and the other is listed."""
+        asks, listed = np.uint64(PROBE), np.uint64(INDEX)
+        pair = ((a & asks > 0) & (b & listed > 0)) | ((b & asks > 0) & (a & listed > 0))
+        nodes = ~np.uint64(3)
+        self.pairs.add(a[pair] & nodes, b[pair] & nodes)
+
     def part(self, key: int, tags: np.ndarray, goes_on: bool) -> bool:
         """Propose pairs of a part: all of a small whole group, else a star. Whether its rows need another look."""
         probing, listed = _members(tags)
@@ -390,6 +397,10 @@ def _proposed(listed: DataFrame) -> DataFrame:
                 asked = np.add.reduceat((tags & np.uint64(PROBE) > 0).astype(np.int64), starts) > 0
                 wanted = (asked & (ends - starts > 1)) | goes_on
                 wanted[0] |= keys[0] == groups.open_key
+                if not goes_on:  # most groups are two rows: all of these at once
+                    two = wanted & (ends - starts == 2) & (keys[starts] != groups.open_key if groups.open_key is not None else True)
+                    groups.twos(tags[starts[two]], tags[starts[two] + 1])
+                    wanted &= ~two
                 for a, b in zip(starts[wanted].tolist(), ends[wanted].tolist()):
                     if groups.part(keys[a], tags[a:b], goes_on):
                         yield answer(keys[a:b], tags[a:b], None)
