@@ -34,6 +34,18 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system; a worker that goes on to other tasks would keep its peak."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _ship(spark: SparkSession) -> None:
     context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
     if getattr(context, "_ships_package", False):

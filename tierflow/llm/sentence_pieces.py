@@ -1,13 +1,15 @@
 """SentencePiece encoding with a score-ordered agenda, and decoding.
 
 A merge-type vocabulary is applied by an agenda: all adjacent symbol pairs whose joined text is a piece wait
-in a heap by score, then by place. The best pair is merged, its new neighbours join the agenda, and pairs
-that no longer exist are skipped when they come up. Symbols left outside the vocabulary fall back to bytes.
+in the order of their scores, then of their places. The best pair is merged, its new neighbours join the agenda, and so on
+until no pair is left. Symbols left outside the vocabulary fall back to bytes. The agendas of all new short segments of a batch are
+worked off together: a row of ranks for each segment, and in every round the best entry of each row is merged. Long segments have a
+heap of their own, where pairs that no longer exist are skipped when they come up.
 
 No piece of the vocabulary has a space mark after another character, so a text falls into segments (a run of
 space marks and what follows) that never merge across their borders. Each task keeps the ids of segments it
-has met, in two generations of bounded size, so a frequent word is merged once, not at every place. All
-segments that are new in an Arrow batch are also encoded by the sentencepiece library and must agree.
+has met, in two generations of bounded size, so a frequent word is merged once, not at every place; between tasks a
+worker keeps a few of them only. All segments that are new in an Arrow batch are also encoded by the sentencepiece library and must agree.
 
 Edge cases: NULL and empty texts have no ids and decode to the empty text. Literal space marks count as
 spaces, as in the library. Very long segments cost O(n log n). Other columns pass through; a clash of an
@@ -16,24 +18,26 @@ added name with an input column is an error that names it.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tierflow.llm.common import small_batches
+from tierflow.llm.common import give_back, small_batches
 
 MARK = "▁"
-#: Segments a worker remembers per generation: about 0.3 kB each.
-REMEMBERED = 350_000
-#: Up to this many symbols the agenda is a plain list whose best entry is looked for; beyond it, a heap.
+#: Segments a task remembers per generation, about 0.3 kB each, and what a worker keeps of them for its next task.
+REMEMBERED, KEPT = 300_000, 50_000
+#: Up to this many symbols the agenda is a row of ranks; beyond it, a heap.
 SHORT = 24
-_NEVER = float("inf")
+_NEVER = np.iinfo(np.int32).max
+_CODES = 0x110000
 
 
 class PieceModel:
@@ -60,27 +64,100 @@ class PieceModel:
         self.segment = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+" if "\n" in joined else f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
         self.after_break = len(sp.encode("\n"))
         self.young, self.old, self.remembered = {}, {}, remembered
+        self._pair_table(size)
+
+    def _pair_table(self, size: int) -> None:
+        """Numbers of symbols (a piece is its id, another character comes after all ids), and of each pair of symbols that makes a
+        piece its rank and the piece."""
+        self.first_other = size
+        self.number = np.arange(size, size + _CODES, dtype=np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.number[ord(piece)] = i
+        ranks = {cost: r for r, cost in enumerate(sorted(set(self.cost.values())))}
+
+        def numbered(part: str) -> int | None:
+            return int(self.number[ord(part)]) if len(part) == 1 else self.ids.get(part)
+
+        rows = []
+        for piece, i in self.ids.items():
+            for cut in range(1, len(piece)):
+                left, right = numbered(piece[:cut]), numbered(piece[cut:])
+                if left is not None and right is not None:
+                    rows.append(((left << 32) | right, ranks[self.cost[piece]], i))
+        table = np.array(sorted(rows) or np.zeros((0, 3)), np.int64).reshape(-1, 3)
+        self.pairs = np.append(table[:, 0], np.iinfo(np.int64).max)
+        self.ranks, self.made = np.append(table[:, 1], _NEVER).astype(np.int32), np.append(table[:, 2], -1).astype(np.int32)
+
+    def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair, and the piece it makes."""
+        keys = (left.astype(np.int64) << 32) | right
+        at = np.searchsorted(self.pairs, keys)
+        return np.where(self.pairs[at] == keys, self.ranks[at], _NEVER), self.made[at]
 
     def merge(self, segment: str) -> list[int]:
         """Ids of one segment by the agenda."""
-        return self._ids(self._merge_short(segment) if len(segment) <= SHORT else self._merge_long(segment))
+        return self.merge_all([segment])[0]
 
-    def _merge_short(self, segment: str) -> list[str]:
-        symbols, cost = list(segment), self.cost
-        agenda = [cost.get(a + b, _NEVER) for a, b in zip(symbols, symbols[1:])]
-        while agenda:
-            best = min(agenda)
-            if best == _NEVER:
-                break
-            i = agenda.index(best)  # of equal scores the leftmost
-            piece = symbols[i] + symbols[i + 1]
-            symbols[i : i + 2] = [piece]
-            del agenda[i]
-            if i < len(agenda):
-                agenda[i] = cost.get(piece + symbols[i + 1], _NEVER)
-            if i:
-                agenda[i - 1] = cost.get(symbols[i - 1] + piece, _NEVER)
-        return symbols
+    def merge_all(self, segments: list[str]) -> list[list[int]]:
+        """Ids of segments by their agendas: short ones of equal length together."""
+        out: list = [None] * len(segments)
+        by_length: dict[int, list[int]] = {}
+        for at, s in enumerate(segments):
+            if len(s) <= SHORT:
+                by_length.setdefault(len(s), []).append(at)
+            else:
+                out[at] = self._ids(self._merge_long(s))
+        for length, places in by_length.items():
+            codes = np.frombuffer("".join([segments[i] for i in places]).encode("utf-32-le", "surrogatepass"), np.uint32)
+            for at, ids in zip(places, self._merge_rows(self.number[codes].reshape(-1, length))):
+                out[at] = ids
+        return out
+
+    def _merge_rows(self, symbols: np.ndarray) -> list[list[int]]:
+        """Rows of equal length: a round merges the best pair of each row, the leftmost of equal ones; rows without a pair are done."""
+        out, rows = [None] * len(symbols), np.arange(len(symbols))
+        rank, made = self._look_up(symbols[:, :-1], symbols[:, 1:])
+        while len(rows):
+            width = symbols.shape[1]
+            best = rank.argmin(axis=1) if width > 1 else np.zeros(len(rows), np.int64)
+            on = rank[np.arange(len(rows)), best] < _NEVER if width > 1 else np.zeros(len(rows), bool)
+            if not on.all():
+                for at, ids in zip(rows[~on].tolist(), self._plain(symbols[~on])):
+                    out[at] = ids
+                rows, symbols, rank, made, best = rows[on], symbols[on], rank[on], made[on], best[on]
+                if not len(rows):
+                    break
+            line, piece = np.arange(len(rows)), made[np.arange(len(rows)), best]
+            places = np.arange(width - 1)
+            source = places + (places > best[:, None])
+            symbols = np.take_along_axis(symbols, source, 1)
+            symbols[line, best] = piece
+            rank, made = (np.take_along_axis(x, source[:, : width - 2], 1) for x in (rank, made))
+            left = np.flatnonzero(best > 0)
+            if len(left):
+                at = best[left] - 1
+                rank[left, at], made[left, at] = self._look_up(symbols[left, at], piece[left])
+            right = np.flatnonzero(best < width - 2)
+            if len(right):
+                at = best[right]
+                rank[right, at], made[right, at] = self._look_up(piece[right], symbols[right, at + 1])
+        return out
+
+    def _plain(self, symbols: np.ndarray) -> list[list[int]]:
+        """Ids of finished rows; characters outside the vocabulary as their bytes."""
+        out = symbols.tolist()
+        for i in np.flatnonzero((symbols >= self.first_other).any(axis=1)).tolist():
+            row = []
+            for n in out[i]:
+                if n < self.first_other:
+                    row.append(n)
+                elif self.byte_ids:
+                    row.extend(self.byte_ids[b] for b in chr(n - self.first_other).encode())
+                else:
+                    row.append(self.unknown)
+            out[i] = row
+        return out
 
     def _merge_long(self, segment: str) -> list[str]:
         symbols, n, cost = list(segment), len(segment), self.cost
@@ -135,14 +212,17 @@ class PieceModel:
         split = [self.segment.findall(MARK + text.replace(" ", MARK)) if text else [] for text in texts]
         young, old = self.young, self.old
         asked = set().union(*split)
-        met = {}
+        unseen = []
         for s in asked - young.keys():
             ids = old.get(s)
             if ids is None:
-                ids = met[s] = self.merge(s)
-            young[s] = ids
+                unseen.append(s)
+            else:
+                young[s] = ids
+        met = dict(zip(unseen, self.merge_all(unseen)))
         if met:
             self.agree(met)
+            young.update(met)
         out = [list(chain.from_iterable(map(young.__getitem__, parts))) for parts in split]
         for s in [s for s in met if len(s) > 64]:
             del young[s]
@@ -150,6 +230,11 @@ class PieceModel:
             self.young, self.old = {}, young
         return out
 
+    def rest(self) -> None:
+        """Between tasks: keep the segments met first, which are the frequent ones, and give freed memory back."""
+        self.young, self.old = dict(islice(self.young.items(), KEPT)), {}
+        give_back()
+
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.library.decode(ids, num_threads=1) if ids else []
 
@@ -180,6 +265,7 @@ def with_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
+        gc.disable()  # lists of numbers hold no cycles; the collector would walk all remembered ones again and again
         for batch in batches:
             texts = batch.column(len(kept)).to_pylist()
             ids = model.encode(texts)
@@ -189,5 +275,7 @@ def with_pieces(
             if decoded_col:
                 out.append(pa.array(model.decode(ids), pa.string()))
             yield pa.RecordBatch.from_arrays(out, [*kept, *added])
+        gc.enable()
+        model.rest()
 
     return df.select(*kept, df[text_col].alias("__text")).mapInArrow(run, T.StructType(fields))

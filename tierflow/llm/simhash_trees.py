@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.llm.common import small_batches, stored
+from tierflow.llm.common import give_back, small_batches, stored
 from tierflow.llm.components import components
 
 SEED = 42
@@ -393,6 +393,8 @@ def _outside(shards: DataFrame, radius: int, similarity: float, n: int) -> DataF
                 parts.append([c[a:b] for c in columns])
             yield answer(rows)
         yield answer(flush() if parts else [])
+        current, parts = None, []
+        give_back()
 
     dealt = shards.select("shard", "side", "print", "node", "size", "least", "root").repartition("shard").sortWithinPartitions("shard", "print", "node")
     return dealt.mapInArrow(run, "shard long, u long, v long")
@@ -430,6 +432,7 @@ def near_duplicates(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(prints), pa.array(nodes), sizes, least, keys], [id_col, "fingerprint", "node", "size", "least", "keys"]
             )
+        give_back()
 
     longs = [T.StructField(n, T.LongType()) for n in ("fingerprint", "node", "size")]
     schema = T.StructType([df.schema[id_col], *longs, T.StructField("least", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))])
@@ -497,6 +500,7 @@ def _similar(
             nodes = np.array([set_hash(h) for h in hashes], np.uint64).view(np.int64)
             parts = [np.unique((h >> np.uint64(32)).astype(np.uint32)).view(np.int32) for h in hashes]
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(parts, pa.list_(pa.int32()))], ["node", "part"])
+        give_back()
 
     ends = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node"))).distinct()
     asked = stored(
