@@ -98,3 +98,63 @@ def test_broadcast_only_below_the_measured_limit(rows):
     assert sizing.measured_bytes(df) == 2 * 16 + 2 * 16 + 100
     assert "broadcast" in sizing.broadcast_if_small(df)._jdf.queryExecution().logical().toString().lower()
     assert sizing.broadcast_if_small(df, 100) is df
+
+
+# --- Intervals, top rows and lists of hot groups -------------------------------------------------
+
+
+def test_interval_join_equals_brute_force(rows):
+    import random
+
+    r = random.Random(6)
+    day = lambda i: dt.date(2020, 1, 1) + dt.timedelta(days=i)
+    points = [(i, day(500) if r.random() < 0.4 else day(int(r.expovariate(0.01))) if r.random() < 0.95 else None) for i in range(300)]
+    spans = []
+    for i in range(120):
+        a = int(r.expovariate(0.01))
+        spans.append((i, day(a), r.choice([day(a), day(a + 3), day(a + 400), day(a - 2), dt.date(9999, 12, 31), None])))
+    spans += [(200, day(500), day(500)), (201, None, day(3))]
+    want = sorted((p, s) for p, at in points for s, a, b in spans if at and a and b and a <= at <= b)
+    for buckets, hot in ((64, 4), (5, 1), (2, 1)):
+        got = joins.interval_join(rows("p int, at date", *points), rows("s int, a date, b date", *spans), "at", "a", "b", buckets, hot)
+        assert sorted((x["p"], x["s"]) for x in got.collect()) == want
+    for kind, make in (("double", lambda d: float(d.toordinal()) + 0.5), ("long", lambda d: d.toordinal()), ("timestamp_ntz", lambda d: dt.datetime(d.year, d.month, d.day, 1))):
+        cast = lambda v: None if v is None else make(min(v, dt.date(3000, 1, 1)))
+        got = joins.interval_join(rows(f"p int, at {kind}", *[(p, cast(a)) for p, a in points]), rows(f"s int, a {kind}, b {kind}", *[(s, cast(a), cast(b)) for s, a, b in spans]), "at", "a", "b", 8)
+        assert sorted((x["p"], x["s"]) for x in got.collect()) == want
+    empty = joins.interval_join(rows("p int, at date", *points), rows("s int, a date, b date"), "at", "a", "b")
+    assert empty.count() == 0 and joins.interval_join(rows("p int, at date"), rows("s int, a date, b date", *spans), "at", "a", "b").count() == 0
+
+
+def test_range_join_equals_brute_force_on_any_length(rows):
+    day = lambda i: dt.date(1960, 1, 1) + dt.timedelta(days=i)
+    points = [(i, day(i * 17 % 9000)) for i in range(200)] + [(999, None)]
+    spans = [(i, day(i * 37 % 9000), day(i * 37 % 9000 + 3**(i % 9))) for i in range(60)] + [(90, day(5), day(4)), (91, day(0), dt.date(9999, 12, 31))]
+    want = sorted((p, s) for p, at in points for s, a, b in spans if at and a <= at <= b)
+    for unit in (1, 7, 32):
+        got = joins.range_join(rows("p int, at date", *points), rows("s int, a date, b date", *spans), F.col("at"), F.col("a"), F.col("b"), unit)
+        assert sorted((x["p"], x["s"]) for x in got.collect()) == want
+
+
+def test_top_rows_of_hot_keys(rows):
+    from tierflow.operators.dedupe import top_rows
+
+    data = [(i % 2 if i % 50 else None, i * 7 % 101, i) for i in range(400)]
+    got = top_rows(rows("k int, v int, i int", *data), ["k"], [F.desc("v"), "i"], 3, parts=8)
+    want = [r for k in (0, 1, None) for r in sorted((d for d in data if d[0] == k), key=lambda d: (-d[1], d[2]))[:3]]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str) and got.columns == ["k", "v", "i"]
+
+
+def test_sorted_lists_of_hot_groups(rows):
+    from pyspark.errors import PySparkException
+
+    from tierflow.operators.aggregate import sorted_lists
+
+    data = [("hot", i % 97) for i in range(500)] + [("few", 2), ("few", 10), ("none", None), (None, 1), ("some", None), ("some", 3)]
+    df = rows("g string, v int", *data)
+    got = {r["g"]: r["vs"] for r in sorted_lists(df, ["g"], "v", "vs").collect()}
+    assert got == {"hot": ", ".join(sorted(map(str, range(97)))), "few": "10, 2", "none": None, None: "1", "some": "3"}
+    arrays = {r["g"]: r["vs"] for r in sorted_lists(df, ["g"], "v", "vs", separator=None).collect()}
+    assert arrays["hot"] == list(range(97)) and arrays["few"] == [2, 10] and not arrays["none"]
+    with pytest.raises(PySparkException, match="fits no row"):
+        sorted_lists(df, ["g"], "v", "vs", limit=50).collect()

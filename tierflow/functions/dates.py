@@ -74,8 +74,8 @@ def end_year(year_of_study: Column, duration: Column, as_of: dt.date | None = No
     return (start_year(year_of_study, as_of) + duration).cast("int")
 
 
-def local_now(zone: str = LOCAL_ZONE) -> Column:
-    """Wall-clock time in the zone, whatever the session's zone is."""
+def local_now(zone: str | Column = LOCAL_ZONE) -> Column:
+    """Wall-clock time in the zone (of each row, if it is a column), whatever the session's zone is."""
     return F.convert_timezone(None, F.lit(zone), F.localtimestamp())
 
 

@@ -47,6 +47,19 @@ def dedupe_keep_first(
     return _dedupe(df, keys, order_by, null_keys, last=False)
 
 
+def top_rows(df: DataFrame, keys: list[str], order_by: list, n: int, parts: int = 64, spread_by: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows of each key in a total order, in two levels, so that no key's rows meet in one task.
+
+    Rows of a key are dealt into ``parts`` by a hash (of ``spread_by``, or of all columns); each part gives its first ``n``, and
+    of these the key's first ``n`` are taken: a task reads at most ``n * parts`` rows of a key however many there are. NULL is a key.
+    """
+    part = F.pmod(F.xxhash64(*(spread_by or df.columns)), F.lit(parts)).alias("_part")
+    within = Window.partitionBy(*keys, "_part").orderBy(*order_by)
+    some = df.select("*", part).withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= n)
+    over_all = Window.partitionBy(*keys).orderBy(*order_by)
+    return some.withColumn("_rank", F.row_number().over(over_all)).filter(F.col("_rank") <= n).drop("_part", "_rank")
+
+
 def duplicate_report(df: DataFrame, keys: list[str], count_name: str = "duplicate_count") -> DataFrame:
     """Keys that occur more than once, with their count; NULL keys group together."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name)).filter(F.col(count_name) > 1)

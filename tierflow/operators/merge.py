@@ -27,6 +27,9 @@ class Audit:
         return (local_now() if self.now is None else F.lit(self.now.isoformat(sep=" "))).cast("timestamp_ntz")
 
 
+#: Copies of a row that are listed at once.
+_PIECE = 1 << 16
+
 #: Column of an upsert that tells what became of a row: inserted, updated or NULL.
 CHANGE = "_change"
 
@@ -41,13 +44,15 @@ def _salt(df: DataFrame, keys: list[str]) -> Column:
 def _last_rows(source: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """The last row per key in one pass over the source; rows with a NULL key all stay.
 
-    Map tasks combine rows of one key first. Equal rows with a NULL key are counted and listed again.
+    Map tasks combine rows of one key first. Equal rows with a NULL key are counted, and listed again in pieces of bounded size.
     """
     grouped = source.withColumn("_salt", _salt(source, keys)).groupBy(*keys, "_salt").agg(
         F.max_by(F.struct(*source.columns), F.struct(*order_by)).alias("_row"), F.count(F.lit(1)).alias("_n")
     )
-    copies = F.when(F.col("_salt") != 0, F.col("_n").cast("int")).otherwise(1)
-    return grouped.select(F.explode(F.array_repeat("_row", copies)).alias("_row")).select("_row.*")
+    counted = grouped.select("_row", F.when(F.col("_salt") != 0, F.col("_n")).otherwise(1).alias("_n"))
+    pieces = counted.select("*", F.explode(F.expr(f"sequence(0L, (_n - 1) div {_PIECE})")).alias("_piece"))
+    size = F.least(F.lit(_PIECE), F.col("_n") - F.col("_piece") * _PIECE)
+    return pieces.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_copy")).select("_row.*")
 
 
 def _one_source_row(source: DataFrame, keys: list[str], on_dup: str, order_by: list[str] | None) -> DataFrame:
@@ -150,6 +155,12 @@ def upsert(
     return joined.select(*[merged(c) for c in target.columns], *change)
 
 
+def upsert_or_delete(target: DataFrame, source: DataFrame, keys: list[str], **options) -> DataFrame:
+    """``upsert`` of the source rows whose ``_gone`` is false; target rows with the key of a gone one leave. A NULL key names no row."""
+    gone = source.filter("_gone").select(*keys).distinct()
+    return upsert(target.join(gone, keys, "left_anti"), source.filter("not _gone").drop("_gone"), keys, **options)
+
+
 def upsert_in_order(
     target: DataFrame, source: DataFrame, keys: list[str], order_by: list[str], **options
 ) -> DataFrame:

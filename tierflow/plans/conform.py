@@ -259,20 +259,20 @@ def _unreadable_watch() -> dict[str, Column]:
 
 def rejected_sessions(feed: DataFrame, students: DataFrame, memberships: DataFrame, live_sessions: DataFrame) -> DataFrame:
     """Rows of the session feed that are no recorded video and become no attendance."""
-    people = _people(students, memberships)
-    pairs = people.join(live_sessions.select(F.col("cohort_code"), F.col("code").alias("_code")), "cohort_code")
+    # The few cohorts of a student and of a session code travel as sets, so no feed row meets more than one row of either side.
+    theirs = _people(students, memberships).groupBy(F.col("_email").alias("_student")).agg(F.collect_set("cohort_code").alias("_cohorts"))
+    held = live_sessions.groupBy(F.col("code").alias("_code")).agg(F.collect_set("cohort_code").alias("_held_in"))
     prefix = F.coalesce(text.has_prefix(F.col("Session_Code"), LIVE_SESSION_PREFIXES), F.lit(False))
     recorded = F.coalesce(text.has_prefix(F.col("Session_Code"), RECORDED_PREFIXES), F.lit(False))
-    return rejected(
-        feed.filter(~recorded),
-        [
-            ("unknown e-mail or no cohort", "Email", people, "_email"),
-            ("unknown session", "Session_Code", live_sessions, "code"),
-            # Both parts are known or reported above; the line break keeps them apart.
-            ("session of no cohort of the student", F.concat("Email", F.lit("\n"), "Session_Code"), pairs, F.concat("_email", F.lit("\n"), "_code")),
-        ],
-        {"unknown kind of session": ~prefix, **_unreadable_watch()},
-    )
+    tagged = feed.filter(~recorded).join(theirs, F.col("Email") == F.col("_student"), "left").join(held, F.col("Session_Code") == F.col("_code"), "left")
+    found = rejected(tagged, [], {
+        "unknown e-mail or no cohort": F.col("_student").isNull(),
+        "unknown session": F.col("_code").isNull(),
+        "session of no cohort of the student": ~F.coalesce(F.arrays_overlap("_cohorts", "_held_in"), F.lit(False)),
+        "unknown kind of session": ~prefix,
+        **_unreadable_watch(),
+    })
+    return found.select(*feed.columns, "reasons")
 
 
 def rejected_pre_recorded(feed: DataFrame, students: DataFrame, memberships: DataFrame, resources: DataFrame) -> DataFrame:
@@ -404,9 +404,13 @@ def conform_resources(details: DataFrame) -> DataFrame:
 
 
 def onboard_students(upload: DataFrame, audit: Audit = Audit()) -> DataFrame:
-    """Students without id and e-mail yet; both follow from ``assign_sequential_ids`` and ``fill_emails``."""
-    full = F.col("full_name")
+    """Students without an e-mail yet, which follows from ``fill_emails``.
+
+    An upload with ``student_id`` gives them their ids; without it these follow from ``assign_sequential_ids``.
+    """
+    full, dealt = F.col("full_name"), [F.col("student_id").cast("int").alias("id")] if "student_id" in upload.columns else []
     rows = upload.filter(full.isNotNull()).select(
+        *dealt,
         text.first_name(full).alias("first_name"),
         text.last_name(full).alias("last_name"),
         F.lit("F").alias("gender"),
@@ -464,14 +468,13 @@ def onboard_education(
         (universities, [("university_name", "standard_university_names")]),
     ):
         rows = normalised_join(rows, broadcast_if_small(lookup), pairs, "left")
-    rows = unnest_text(rows, "subject_area", "_subject")
+    # Equal rows make one education row, so they are one before they multiply.
+    wanted = ["student_id", "course_id", "college_id", "university_id", "location_id", "currently_pursuing_year", "course_duration"]
+    rows = unnest_text(rows.select(*wanted, "subject_area").distinct(), "subject_area", "_subject")
     rows = normalised_join(
         rows, broadcast_if_small(subjects.select(F.col("id").alias("_subject_id"), "sub_field")), [("_subject", "sub_field")], "left"
     )
-    grouped = rows.groupBy(
-        "student_id", "course_id", "college_id", "university_id", "location_id",
-        "currently_pursuing_year", "course_duration",
-    ).agg(distinct_array(F.col("_subject_id")).alias("subject_id"))
+    grouped = rows.groupBy(*wanted).agg(distinct_array(F.col("_subject_id")).alias("subject_id"))
     year = numbers.year_of_study(F.col("currently_pursuing_year"), F.col("course_duration"))
     out = grouped.select(
         "student_id",

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, jsondoc, text
-from ..operators import quality
 from ..operators.dedupe import dedupe_keep_first, duplicate_report, require_unique, tag_by_max
 from ..operators.keys import assign_sequential_ids
 from ..operators.merge import add_column, fill_from_map, fill_null_from_lookup, patch_non_null, update_where
@@ -273,10 +272,3 @@ def set_column(df: DataFrame, column: str, value, where_column: str, where_value
 def add_mapped_column(df: DataFrame, id_col: str, column: str, dtype: str, values: dict) -> DataFrame:
     return fill_from_map(add_column(df, column, dtype), id_col, column, values)
 
-
-def check_tables(rules: dict[str, tuple[DataFrame, list[quality.Rule]]]) -> DataFrame:
-    """One line per table and rule."""
-    parts = [
-        quality.rule_counts(df, r).select(F.lit(name).alias("table"), "*") for name, (df, r) in rules.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)

@@ -14,17 +14,19 @@ from ..sources.schemas import MERGE_KEYS
 # Statuses that count as submitted, accepted and rejected.
 SUBMITTED, ACCEPTED, REJECTED = "under review", "reviewed", "rejected"
 
-_GROUP = ["student_id", "resource_id", "title", "cohort_code", "college_name"]
+#: What the overview counts by.
+GROUP = ["student_id", "resource_id", "title", "cohort_code", "college_name"]
 
 
-def submission_counts(assignments: DataFrame, group: list[str]) -> DataFrame:
+def submission_counts(assignments: DataFrame, group: list[str], with_rows: bool = False) -> DataFrame:
     """Filtered counts per group; partial counts leave the map tasks, so a hot group stays small."""
-    status = F.col("submission_status")
+    status, rows = F.col("submission_status"), [F.count(F.lit(1)).alias("rows")] if with_rows else []
     return assignments.groupBy(*group).agg(
         count_where(status == SUBMITTED).alias("total_submissions"),
         count_where(status == ACCEPTED).alias("accepted_count"),
         count_where(status == REJECTED).alias("rejected_count"),
         max_where(status == SUBMITTED, F.col("submitted_at")).alias("last_submission_date"),
+        *rows,
     )
 
 
@@ -50,13 +52,16 @@ def resubmission_overview(assignments: DataFrame, students: DataFrame, by_course
     ``by_course=True`` is the rebuild form: it also splits by course and takes one e-mail per student.
     """
     if by_course:
-        counts = submission_counts(assignments, [*_GROUP, "course_name"])
+        counts = submission_counts(assignments, [*GROUP, "course_name"])
         named = look_up_one(counts, students, ("student_id", "id"), "email", "email_id")
-    else:
-        counts = submission_counts(assignments, _GROUP)
-        emails = students.select(F.col("id").alias("student_id"), F.col("email").alias("email_id"))
-        named = counts.join(emails, "student_id", "left")
-    return _with_rates(named, _GROUP)
+        return _with_rates(named, GROUP)
+    return overview_of(submission_counts(assignments, GROUP), students)
+
+
+def overview_of(counts: DataFrame, students: DataFrame) -> DataFrame:
+    """The overview from the counts of its groups."""
+    emails = students.select(F.col("id").alias("student_id"), F.col("email").alias("email_id"))
+    return _with_rates(counts.join(emails, "student_id", "left"), GROUP)
 
 
 def registration_overview(demography: DataFrame, students: DataFrame, registrations: DataFrame) -> DataFrame:

@@ -7,16 +7,21 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.dedupe import dedupe_keep_last, duplicate_report
 from ..operators.keys import assign_sequential_ids
-from ..operators.repair import Split
+from ..operators.repair import Split, delete_listed
 from ..session import stored
 from ..sources.csv_files import SEQ
 from ..sources.schemas import MERGE_KEYS, conformed_schema
 from ..sources.tables import LayerStore, Published, audited, write_audit
 from . import conform, enrich, report
+from .delta import COUNTS, publish_counts
+from .guard import guarded
 from .landing import live_sessions_from_csv
+from .repair import roll_back_load
+from .restart import RunLog
 
 
 @dataclass(frozen=True)
@@ -50,7 +55,8 @@ def _numbered(keys: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
 def run_conform(store: LayerStore, run_id: str = "conform") -> list[Outcome]:
     """Landing feeds into the conformed fact tables.
 
-    Rows that drop out go below ``<root>/audit/rejected_<table>`` with their reasons, under the run's id.
+    Rows that drop out go below ``<root>/audit/rejected_<table>`` with their reasons, under the run's id, and rows that break a
+    declared rule of their table below ``rule_breaks_<table>``.
     """
     def dim(name: str) -> DataFrame:
         return store.read("conformed", name)
@@ -90,7 +96,8 @@ def run_conform(store: LayerStore, run_id: str = "conform") -> list[Outcome]:
     }
 
     def publish(name: str) -> Published:
-        rows, keys = builders[name](), MERGE_KEYS[name]
+        keys = MERGE_KEYS[name]
+        rows = guarded(store, name, builders[name](), run_id, keys)
         write_audit(rejects[name](), f"{store.root}/audit", run_id, f"rejected_{name}")
         if not store.exists("conformed", name):
             store.publish("conformed", name, store.spark.createDataFrame([], conformed_schema(name)))
@@ -102,14 +109,16 @@ def run_conform(store: LayerStore, run_id: str = "conform") -> list[Outcome]:
     return [_attempt(name, lambda n=name: publish(n)) for name in builders]
 
 
-def run_live_sessions(store: LayerStore, rows: DataFrame) -> Published:
+def run_live_sessions(store: LayerStore, rows: DataFrame, run_id: str = "live_sessions") -> Published:
     """Rows of a live-session export into the conformed table: repeated sessions go first, new ones get ids."""
     keys, new = MERGE_KEYS["live_session"], live_sessions_from_csv(rows)
     if not store.exists("conformed", "live_session"):
         store.publish("conformed", "live_session", store.spark.createDataFrame([], conformed_schema("live_session")))
+    order_by = [SEQ] if SEQ in new.columns else None
+    new = guarded(store, "live_session", new, run_id, keys, order_by)
     return store.merge(
         "conformed", "live_session", new, keys, _numbered(keys), prepare=lambda df: dedupe_keep_last(df, keys, ["id"]),
-        update_cols=["session_name", "type", "duration_in_sec"], on_dup="last", order_by=[SEQ] if SEQ in new.columns else None,
+        update_cols=["session_name", "type", "duration_in_sec"], on_dup="last", order_by=order_by,
     )
 
 
@@ -117,7 +126,8 @@ def run_memberships(store: LayerStore, upload: DataFrame, run_id: str = "members
     """An upload of cohort memberships into the conformed table; rows that drop out are listed with reasons."""
     students, cohorts = store.read("conformed", "student_details"), store.read("conformed", "cohort")
     write_audit(conform.rejected_memberships(upload, students, cohorts), f"{store.root}/audit", run_id, "rejected_student_cohort")
-    rows, keys = conform.conform_memberships(upload, students, cohorts), MERGE_KEYS["student_cohort"]
+    keys = MERGE_KEYS["student_cohort"]
+    rows = guarded(store, "student_cohort", conform.conform_memberships(upload, students, cohorts), run_id, keys)
     if not store.exists("conformed", "student_cohort"):
         store.publish("conformed", "student_cohort", store.spark.createDataFrame([], conformed_schema("student_cohort")))
     return store.merge(
@@ -185,10 +195,15 @@ def run_enrich(
 def run_report(store: LayerStore, rebuild: bool = False) -> list[Outcome]:
     """Reporting tables from the enriched ones; a rebuild clusters the overview by student and resource."""
     students = store.read("conformed", "student_details")
+
+    def overview() -> DataFrame:
+        if rebuild:
+            return report.resubmission_overview(store.read("enriched", "final_assignment"), students, by_course=True)
+        publish_counts(store)  # changes adjust these later
+        return report.overview_of(store.read("reporting", COUNTS).drop("rows"), students)
+
     builders = {
-        "resubmission_count_overview": lambda: report.resubmission_overview(
-            store.read("enriched", "final_assignment"), students, by_course=rebuild
-        ),
+        "resubmission_count_overview": overview,
         "student_registration_overview": lambda: report.registration_overview(
             store.read("enriched", "student_demography"), students, store.read("conformed", "student_registration_details")
         ),
@@ -217,19 +232,57 @@ class Repair:
 
 
 def run_repair(store: LayerStore, repairs: list[Repair], run_id: str, label: str, dry_run: bool = False) -> dict[str, int]:
-    """Back up, then delete, table by table in the given order (children before their parents).
+    """Back up and delete over several tables, in the given order (children before their parents), as one restartable run.
 
-    Removed rows are written below ``<root>/audit`` first; only then the kept rows are published, so no row is
-    ever in neither place. The number of removed rows per table is returned; a dry run only counts.
+    First every table is prepared from the state before the run: its removed rows are written below ``<root>/audit``, the kept
+    rows to a folder that is not current yet, and the run's log names both. Only then the tables are switched one after the other.
+    A run that broke anywhere goes on where it stopped when it is repeated with its id, and ends as if it had not broken. The
+    number of removed rows per table is returned; a dry run only counts.
     """
-    removed = {}
-    for step in repairs:
+    if dry_run:
+        return {r.table: r.split(store.read(r.layer, r.table)).removed.count() for r in repairs}
+    log = RunLog(store, f"{label}-{run_id}")
+
+    def prepared(step: Repair) -> dict:
         parts = step.split(store.read(step.layer, step.table))
-        if dry_run:
-            removed[step.table] = parts.removed.count()
-            continue
-        path = write_audit(parts.removed, f"{store.root}/audit", run_id, f"{label}_{step.table}")
-        removed[step.table] = audited(store.spark, path, run_id).count()
-        if removed[step.table]:
-            store.publish(step.layer, step.table, parts.kept)
-    return removed
+        backup = write_audit(parts.removed, f"{store.root}/audit", run_id, f"{label}_{step.table}")
+        lost = audited(store.spark, backup, run_id)
+        n = lost.count()
+        return {"removed": n, "backup": backup, "staged": store.stage_delete(step.layer, step.table, parts.kept, lost) if n else None}
+
+    plan = [(step, log.once(f"prepare {step.layer}.{step.table}", lambda step=step: prepared(step))) for step in repairs]
+    for step, made in plan:
+        if made["staged"]:
+            store.switch(step.layer, step.table, made["staged"])
+    return {step.table: made["removed"] for step, made in plan}
+
+
+#: Conformed tables that name a student; the student and the info sheet go after them.
+STUDENT_TABLES = [
+    "referral_college_professor", "student_registration_details", "student_education", "student_cohort", "student_session",
+    "student_quiz", "student_pre_recorded", "student_assignment",
+]
+
+
+def run_removal(store: LayerStore, ids: DataFrame, run_id: str, dry_run: bool = False) -> dict[str, int]:
+    """Remove students by id (first column of ``ids``) from all tables that exist, with backups; restartable as ``run_repair``."""
+    listed = ids.select(F.col(ids.columns[0]).alias("_id"))
+    places = [*[("conformed", t, "student_id") for t in STUDENT_TABLES], ("conformed", "student_details", "id"), ("landing", "general_information_sheet", "Student_id")]
+
+    def job(layer: str, table: str, column: str) -> Repair:
+        return Repair(layer, table, lambda df: delete_listed(df, column, listed, "_id"))
+
+    return run_repair(store, [job(*p) for p in places if store.exists(*p[:2])], run_id, "removed_students", dry_run)
+
+
+def run_rollback(
+    store: LayerStore, loads: list[tuple[str, str, object, object]], run_id: str, column: str = "inserted_at", dry_run: bool = False
+) -> dict[str, int]:
+    """Take back loads (layer, table, start, end): rows inserted from start up to, but not at, end, in the given order.
+
+    Restartable as ``run_repair``.
+    """
+    def job(layer: str, table: str, start, end) -> Repair:
+        return Repair(layer, table, lambda df: roll_back_load(df, start, end, column))
+
+    return run_repair(store, [job(*load) for load in loads], run_id, "rollback", dry_run)

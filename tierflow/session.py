@@ -19,6 +19,10 @@ ADAPTIVE_OPTIONS = {
 }
 
 
+#: The folder of a local session whose settings name none; the setting itself cannot be changed at run time.
+_own_folder: str | None = None
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Set the options above on a running session."""
     for name, value in ADAPTIVE_OPTIONS.items():
@@ -52,9 +56,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tierflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    global _own_folder
+    if _own_folder is None:
+        _own_folder = tempfile.mkdtemp(prefix="tierflow-")
+    return _own_folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import csv
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import null_if_token
+from .csv_split import records
 
 SEQ = "_seq"
 _BOM = "﻿"
 _SEPARATORS = (",", ";", "\t", "|")
+#: Bytes from which a file with line breaks in cells is read by many tasks; the rows are the same.
+SPLIT_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -22,6 +26,7 @@ class CsvFile:
     path: str
     modified: object
     header: str
+    length: int = 0
 
     @property
     def stem(self) -> str:
@@ -65,22 +70,43 @@ def list_csv_files(spark: SparkSession, folder: str, filter_text: str = "") -> l
 
     Only file names and one line per file come to the driver; no file content is listed or scanned.
     """
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-        .filter("length > 0").select("path", "modificationTime").orderBy("modificationTime", "path")
-    )
-    named = [r for r in listing.collect() if filter_text in r["path"].rsplit("/", 1)[-1]]
-    return csv_files_at(spark, [(r["path"], r["modificationTime"]) for r in named])
+    found = _first_lines(spark, spark.read.option("pathGlobFilter", "*.csv").text(folder))
+    return [f for f in found if filter_text in f.path.rsplit("/", 1)[-1]]
 
 
 def csv_files_at(spark: SparkSession, found: list[tuple[str, object]]) -> list[CsvFile]:
-    """Files by path and time, with their header line; empty ones are left out."""
-    files = []
-    for path, modified in found:
-        first = spark.read.text(literal_path(path)).first()
-        if first is not None:
-            files.append(CsvFile(path, modified, first["value"].lstrip(_BOM)))
-    return files
+    """Files by path and time, with their header line, in the given order; empty ones are left out."""
+    if not found:
+        return []
+    by_path = {f.path: f for f in _first_lines(spark, spark.read.text([literal_path(path) for path, _ in found]))}
+    return [replace(by_path[path], modified=modified) for path, modified in found if path in by_path]
+
+
+def _first_lines(spark: SparkSession, lines: DataFrame) -> list[CsvFile]:
+    """The first line of each file that has one, by one read in which every task opens one slice of one file and stops after a line."""
+    fields = {"path": "file_path", "modified": "file_modification_time", "length": "file_size", "block": "file_block_start"}
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    open_cost, slice_bytes = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(open_cost)
+    spark.conf.set(open_cost, spark.conf.get(slice_bytes))  # a slice that seems this dear to open gets a task of its own
+    try:
+        told = lines.select(*[F.col(f"_metadata.{c}").alias(n) for n, c in fields.items()], "value")
+        rows = told.mapInArrow(first, told.schema).filter("block = 0").collect()
+    finally:
+        spark.conf.set(open_cost, before)
+    files = [CsvFile(_address(r["path"]), r["modified"], r["value"].lstrip(_BOM), r["length"]) for r in rows]
+    return sorted(files, key=lambda f: (f.modified, f.path))
+
+
+def _address(path: str) -> str:
+    """A path from file metadata, where blanks and other characters are escaped, as readers take it."""
+    return unquote(path)
 
 
 def read_csv(
@@ -88,18 +114,20 @@ def read_csv(
     paths: list[str] | str,
     separator: str = ",",
     encoding: str = "ISO-8859-1",
-    multi_line: bool = True,
+    multi_line: bool | str = True,
 ) -> DataFrame:
     """Files with one and the same header as text columns plus the ``_seq`` order.
 
-    ``multi_line`` allows line breaks inside quotes; switch it off for large files without them, which
-    Spark can then split. ``_seq`` compares by file time, file name, position of the split and row.
+    ``multi_line`` allows line breaks inside quotes: ``True`` reads a file in one task, ``"split"`` large files in many, with the same rows;
+    ``False`` is for files without such line breaks. ``_seq`` compares by file time, file name, position of the split and row.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     first = spark.read.text(literal_path(paths[0])).first()
     names = [] if first is None else header_cells(first["value"].lstrip(_BOM), separator)
     # The header gives the schema: inferring it would read a path with glob characters as a pattern.
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    if multi_line == "split":
+        return _read_split(spark, paths, schema, separator, encoding)
     reader = spark.read.schema(schema).options(
         header=True, sep=separator, encoding=encoding, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE"
     )
@@ -113,13 +141,27 @@ def read_csv(
     return df.select(*[f"`{c}`" for c in df.columns], sequence.alias(SEQ))
 
 
+def way(files: list[CsvFile]) -> bool | str:
+    """How to read files whose cells may hold line breaks."""
+    return "split" if max(f.length for f in files) > SPLIT_BYTES else True
+
+
+def _read_split(spark: SparkSession, paths: list[str], schema: T.StructType, separator: str, encoding: str) -> DataFrame:
+    found = records(spark, [literal_path(p) for p in paths], encoding).filter(~F.col("first") & (F.trim("record") != ""))
+    options = {"sep": separator, "quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+    places = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(schema))])
+    cells = found.select("*", F.from_csv("record", places.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options).alias("cells"))
+    sequence = F.struct("modified", F.col("name").alias("file"), "block", F.col("pos").alias("row"))
+    return cells.select(*[F.col(f"cells.c{i}").alias(f.name) for i, f in enumerate(schema)], sequence.alias(SEQ))
+
+
 def load_csv_folder(spark: SparkSession, folder: str, encoding: str = "ISO-8859-1") -> dict[str, DataFrame]:
     """One table per file, named after the file."""
     tables: dict[str, DataFrame] = {}
     for f in list_csv_files(spark, folder):
         if f.table_name in tables:
             raise ValueError(f"two files give table {f.table_name!r}")
-        tables[f.table_name] = read_csv(spark, f.path, f.separator, encoding).drop(SEQ)
+        tables[f.table_name] = read_csv(spark, f.path, f.separator, encoding, way([f])).drop(SEQ)
     return tables
 
 
@@ -186,7 +228,7 @@ def route_files(
             groups.setdefault((kind, f.header), []).append(f)
     feeds = []
     for (kind, _), files in sorted(groups.items(), key=lambda g: g[0][0]):
-        rows = read_csv(spark, [f.path for f in files], files[0].separator, encoding, multi_line)
+        rows = read_csv(spark, [f.path for f in files], files[0].separator, encoding, way(files) if multi_line is True else multi_line)
         feeds.append(Feed(kind, landed(rows, (keys or {}).get(kind, [])), tuple(f.path for f in files)))
     return feeds, skipped
 

@@ -113,3 +113,88 @@ def aligned(df: DataFrame, table: str) -> DataFrame:
             for f in conformed_schema(table)
         ]
     )
+
+
+# Rules declared for the conformed tables.
+REQUIRED = {
+    "student_details": ["id"],
+    "student_registration_details": ["id"],
+    "student_education": ["id"],
+    "referral_college_professor": ["id"],
+    "program": ["program_code"],
+    "cohort": ["cohort_code"],
+    "student_cohort": ["student_code"],
+    "resource": ["id"],
+    "live_session": ["id"],
+    "student_session": ["id"],
+    "student_quiz": ["id"],
+    "student_pre_recorded": ["id"],
+    "student_assignment": ["id"],
+    "mentor_details": ["id"],
+}
+LENGTHS = {
+    "student_details": {"email": 254, "first_name": 100, "last_name": 100, "phone": 15},
+    "referral_college_professor": {"name": 50, "phone": 15},
+    "program": {"full_form": 20},
+    "cohort": {"cohort_code": 6, "cohort_name": 300},
+    "student_cohort": {"student_code": 15, "cohort_code": 6},
+    "resource": {"title": 300},
+    "live_session": {"cohort_code": 6},
+    "student_quiz": {"cohort_code": 6},
+    "student_pre_recorded": {"cohort_code": 6},
+    "student_assignment": {"cohort_code": 6},
+    "mentor_details": {
+        "name": 50, "email_id": 254, "linkedIn_url": 200, "current_position": 100, "phone_number": 15,
+    },
+}
+DOMAINS = {
+    "student_details": {"gender": GENDERS},
+    "program": {"program_code": PROGRAM_CODES},
+    "cohort": {"program_code": PROGRAM_CODES},
+    "resource": {"category": RESOURCE_CATEGORIES},
+    "student_assignment": {"submission_status": SUBMISSION_STATUSES},
+}
+UNIQUE = {
+    "student_details": [["id"], ["email"]],
+    "student_registration_details": [["id"]],
+    "student_education": [["id"]],
+    "referral_college_professor": [["id"]],
+    "program": [["program_code"]],
+    "cohort": [["cohort_code"]],
+    "student_cohort": [["student_code"]],
+    "resource": [["id"]],
+    "live_session": [["id"], ["cohort_code", "code", "conducted_on"]],
+    "student_session": [["id"], ["student_id", "session_id"]],
+    "student_quiz": [["id"], ["student_id", "resource_id"]],
+    "student_pre_recorded": [["id"], ["student_id", "resource_id"]],
+    "student_assignment": [["id"], ["student_id", "resource_id", "submitted_at"]],
+    "mentor_details": [["id"]],
+}
+# Column, table it names, column there.
+REFERENCES = {
+    "student_details": [("location_id", "location_mapping", "location_id")],
+    "student_registration_details": [("student_id", "student_details", "id")],
+    "student_education": [
+        ("student_id", "student_details", "id"),
+        ("education_course_id", "course_mapping", "course_id"),
+        ("interest_subject_id", "subject_mapping", "id"),
+        ("college_id", "college_mapping", "college_id"),
+        ("college_location_id", "location_mapping", "location_id"),
+    ],
+    "referral_college_professor": [("student_id", "student_details", "id"), ("college_id", "college_mapping", "college_id")],
+    "cohort": [("program_code", "program", "program_code")],
+    "student_cohort": [("student_id", "student_details", "id"), ("cohort_code", "cohort", "cohort_code")],
+    "live_session": [("cohort_code", "cohort", "cohort_code")],
+    "student_session": [("student_id", "student_details", "id"), ("session_id", "live_session", "id")],
+    "student_quiz": [
+        ("student_id", "student_details", "id"), ("resource_id", "resource", "id"), ("cohort_code", "cohort", "cohort_code"),
+    ],
+    "student_pre_recorded": [
+        ("student_id", "student_details", "id"), ("resource_id", "resource", "id"), ("cohort_code", "cohort", "cohort_code"),
+    ],
+    "student_assignment": [
+        ("student_id", "student_details", "id"), ("resource_id", "resource", "id"),
+        ("mentor_id", "mentor_details", "id"), ("cohort_code", "cohort", "cohort_code"),
+    ],
+    "mentor_details": [("location_id", "location_mapping", "location_id")],
+}

@@ -33,6 +33,8 @@ _LOG_SCHEMA = (
     "schema_json string, folders array<struct<path: string, replaced: array<int>>>"
 )
 _BUCKET = "_bucket"
+#: Column of ``LayerStore.changes``: how often a row came (above zero) or went.
+SIGN = "_sign"
 #: Hash buckets of a merged table, and folders of a version after which a merge folds them.
 BUCKETS, MAX_FOLDERS = 64, 16
 
@@ -123,9 +125,10 @@ class LayerStore:
         df = self._load(self._current(layer, name))
         return df if columns is None else df.select(*columns)
 
-    def _write(
+    def _stage(
         self, layer: str, name: str, df: DataFrame, earlier: list, bucket_keys: list[str] | None = None, buckets: int | None = None
-    ) -> Published:
+    ) -> tuple[list, Published]:
+        """Write the folder of a new version; its log row makes it current once it is logged."""
         log = self._log_rows(layer, name)
         last = None if log is None else log.agg(F.max("version").alias("version"), F.max("entry").alias("entry")).first()
         version, entry = (1, 1) if last is None else (last["version"] + 1, last["entry"] + 1)
@@ -134,11 +137,42 @@ class LayerStore:
         if bucket_keys:
             df = df.withColumn(_BUCKET, key_bucket(bucket_keys, buckets, schema)).hint("rebalance", _BUCKET)
         seen = counted_write(df, path, partition_by=_BUCKET if bucket_keys else None)
-        folders = [*[(p, list(r)) for p, r in earlier], (path, [])]
+        folders = [*[[p, list(r)] for p, r in earlier], [path, []]]
         inserted, updated = seen.get("inserted"), seen.get("updated")
         rows = seen["rows"] if inserted is None else inserted + updated
-        self._log(layer, name, (entry, version, rows, bucket_keys, buckets, schema.json(), folders))
-        return Published(version, rows, inserted, updated)
+        return [entry, version, rows, bucket_keys, buckets, schema.json(), folders], Published(version, rows, inserted, updated)
+
+    def _write(
+        self, layer: str, name: str, df: DataFrame, earlier: list, bucket_keys: list[str] | None = None, buckets: int | None = None
+    ) -> Published:
+        row, published = self._stage(layer, name, df, earlier, bucket_keys, buckets)
+        self._log(layer, name, tuple(row))
+        return published
+
+    def stage_delete(self, layer: str, name: str, kept: DataFrame, lost: DataFrame) -> list:
+        """Write the table without the ``lost`` rows and return the log row that ``switch`` makes current.
+
+        ``kept`` and ``lost`` are the current version. The layout stays; of a table in buckets only those that lose rows are written.
+        """
+        current = self._current(layer, name)
+        keys, buckets, earlier = current["bucket_keys"], current["buckets"], []
+        if keys and len(current["folders"]) < MAX_FOLDERS:
+            bucket = key_bucket(keys, buckets, kept.schema)
+            touched = sorted(r["b"] for r in lost.select(bucket.alias("b")).distinct().collect())  # at most ``buckets`` + 1 numbers
+            kept = kept.filter(bucket.isin(touched))
+            earlier = [(path, sorted({*replaced, *touched})) for path, replaced in current["folders"]]
+        return self._stage(layer, name, kept, earlier, keys, buckets)[0]
+
+    def switch(self, layer: str, name: str, staged: list) -> bool:
+        """Make a staged version current; nothing happens if it was made so before. Whether something did."""
+        entry, path = staged[0], staged[-1][-1][0]
+        log = self._log_rows(layer, name)
+        if not log.filter(F.exists("folders", lambda f: f["path"] == path)).isEmpty():
+            return False
+        if log.agg(F.max("entry")).first()[0] != entry - 1:
+            raise ValueError(f"{layer}.{name} was written after this version was staged")
+        self._log(layer, name, tuple(staged))
+        return True
 
     def publish(
         self, layer: str, name: str, df: DataFrame, cluster_by: list[str] | None = None,
@@ -170,7 +204,7 @@ class LayerStore:
         current = self._current(layer, name)
         table = self._load(current)
         known = current["bucket_keys"] == keys and current["buckets"]
-        new_columns = set(source.columns) - set(table.columns) - {"_has", *(options.get("order_by") or [])}
+        new_columns = set(source.columns) - set(table.columns) - {"_has", "_gone", *(options.get("order_by") or [])}
         if not known or new_columns or len(current["folders"]) >= MAX_FOLDERS:
             affected, earlier, buckets = table, [], known or buckets
         else:
@@ -186,6 +220,36 @@ class LayerStore:
             merged = finish(merged, table)
         return self._write(layer, name, merged, earlier, keys, buckets)
 
+    def version(self, layer: str, name: str) -> int:
+        """The current version; 0 for a table that does not exist."""
+        current = self._latest(layer, name)
+        return 0 if current is None else current["version"]
+
+    def changes(self, layer: str, name: str, since: int) -> DataFrame:
+        """Signed rows between a version and the current one: +1 for a row that came, -1 for one that went.
+
+        Folders and buckets that both versions have are not read. A column that one version lacks is NULL there.
+        """
+        new, log = self._current(layer, name), self._log_rows(layer, name)
+        old = log.filter(F.col("version") == since).orderBy(F.desc("entry")).first()
+        if old is None and since:
+            raise LookupError(f"no version {since} of {layer}.{name}")
+        folders = [{} if entry is None else {path: set(replaced) for path, replaced in entry["folders"]} for entry in (old, new)]
+        parts = []
+        for entry, mine, other, sign in ((old, *folders, -1), (new, *folders[::-1], 1)):
+            for path, replaced in mine.items():
+                if path in other and not other[path] - replaced:
+                    continue  # the other version has all of it
+                one = dict(entry.asDict(), folders=[(path, sorted(replaced))])
+                rows = self._load(one, sorted(other[path] - replaced) if path in other else None)
+                parts.append(rows.withColumn(SIGN, F.lit(sign).cast("long")))
+        schema = T.StructType.fromJson(json.loads(new["schema_json"]))
+        if not parts:
+            return self.spark.createDataFrame([], T.StructType([*schema, T.StructField(SIGN, T.LongType())]))
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        columns = [c for c in rows.columns if c != SIGN]
+        return rows.groupBy(*columns).agg(F.sum(SIGN).alias(SIGN)).filter(F.col(SIGN) != 0)
+
     def rollback(self, layer: str, name: str) -> int:
         """Make the version before the current one current again."""
         current, log = self._latest(layer, name), self._log_rows(layer, name)

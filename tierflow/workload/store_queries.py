@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, jsondoc, numbers
-from ..operators import dedupe, joins
+from ..operators import aggregate, changes, dedupe, joins
 from ..operators import repair as row_repair
-from ..plans import landing, repair, run
-from ..session import scratch_path
-from ..sources import csv_files
+from ..plans import delta, guard, landing, onboard, repair, run
+from ..session import scratch_path, stored
+from ..sources import csv_files, schemas
+from ..sources.schemas import aligned
 from ..sources.tables import LayerStore, audited, write_audit
+from . import shapes
 from .registry import Tables, query
 
 
@@ -125,17 +129,18 @@ def range_join_open_ended(t: Tables):
 
 
 @query("csv_folder", """
-SELECT CAST(n_nationkey AS VARCHAR) AS code, n_name AS "name", r_name || ', world' AS place FROM nation JOIN region ON n_regionkey = r_regionkey""")
+SELECT CAST(o_orderkey AS VARCHAR) AS code, o_orderpriority AS "name", c_name || ', customer' AS place FROM orders JOIN customer ON o_custkey = c_custkey""")
 def csv_folder(t: Tables):
     folder = scratch_path(t.spark, "exports")
-    nations = t.nation.select(F.col("n_nationkey").alias(" code "), F.col("n_name").alias("name"), "n_regionkey")
-    regions = t.region.select("r_regionkey", F.concat("r_name", F.lit(", world")).alias("place"))
-    nations.coalesce(1).write.option("header", True).option("sep", ";").csv(f"{folder}/nations")
-    regions.coalesce(1).write.option("header", True).csv(f"{folder}/regions")
-    read = {
-        name: next(iter(csv_files.load_csv_folder(t.spark, f"{folder}/{name}").values())) for name in ("nations", "regions")
-    }
-    return read["nations"].join(read["regions"], F.col("n_regionkey") == F.col("r_regionkey")).select("code", "name", "place")
+    orders = t.orders.select(F.col("o_orderkey").alias(" code "), F.col("o_orderpriority").alias("name"), "o_custkey")
+    customers = t.customer.select("c_custkey", F.concat("c_name", F.lit(", customer")).alias("place"))
+    for name, rows, separator in (("orders", orders, ";"), ("customers", customers, ",")):
+        rows.repartition(3).write.options(header=True, sep=separator).csv(f"{folder}/{name}")
+    read = {}
+    for name in ("orders", "customers"):  # a table for each file, which are parts of one here
+        parts = csv_files.load_csv_folder(t.spark, f"{folder}/{name}").values()
+        read[name] = reduce(DataFrame.unionByName, parts)
+    return read["orders"].join(read["customers"], F.col("o_custkey") == F.col("c_custkey")).select("code", "name", "place")
 
 
 @query("append_registrations", """
@@ -165,7 +170,7 @@ def landing_run(t: Tables):
     )
     # One export per line number, with two headers and two separators in turn; their times give their order.
     for n in range(1, 8):
-        part = rows.filter(F.col("l_linenumber") == n).coalesce(1).sortWithinPartitions("l_orderkey", "l_shipdate", "value")
+        part = rows.filter(F.col("l_linenumber") == n).repartition(3, "user_id", "data_fields").sortWithinPartitions("l_orderkey", "l_shipdate", "value")
         columns = ["user_id", "data_fields", "value"] if n % 2 else ["data_fields", "more, or less", "user_id", "value"]
         part.select(*columns).write.option("header", True).option("sep", ";" if n % 3 == 0 else ",").csv(f"{folder}/export-{n}")
     for _ in range(2):
@@ -175,23 +180,23 @@ def landing_run(t: Tables):
 
 @query("landing_stream", """
 WITH l AS (SELECT l_suppkey || '@example.org' AS user_id, 'Item ' || l_partkey AS data_fields,
-    CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS value, l_orderkey, l_linenumber, l_shipdate FROM lineitem WHERE l_linenumber < 5)
+    CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS value, l_orderkey, l_linenumber, l_shipdate FROM lineitem)
 SELECT user_id, data_fields, arg_max(value, (l_linenumber, l_orderkey, l_shipdate, value)) AS value, CAST(1 AS BIGINT) AS set_aside FROM l GROUP BY ALL""")
 def landing_stream(t: Tables):
     from ..streaming.landing import land_batch, land_stream
 
     folder, store = scratch_path(t.spark, "exports"), _store(t)
-    rows = t.lineitem.filter("l_linenumber < 5").select(
+    rows = t.lineitem.select(
         F.concat(F.col("l_suppkey"), F.lit("@example.org")).alias("user_id"), F.concat(F.lit("Item "), F.col("l_partkey")).alias("data_fields"),
         F.col("l_quantity").cast("int").cast("string").alias("value"), "l_linenumber", "l_orderkey", "l_shipdate",
     )
-    for n in range(1, 5):
-        part = rows.filter(F.col("l_linenumber") == n).coalesce(1).sortWithinPartitions("l_orderkey", "l_shipdate", "value")
+    for n in range(1, 8):
+        part = rows.filter(F.col("l_linenumber") == n).repartition(2, "user_id", "data_fields").sortWithinPartitions("l_orderkey", "l_shipdate", "value")
         part.select("user_id", "data_fields", "value").write.option("header", True).csv(f"{folder}/export-{n}")
     t.nation.coalesce(1).write.option("header", True).csv(f"{folder}/foreign")
-    land_stream(store, f"{folder}/*", scratch_path(t.spark, "stream"), max_files=2)
+    land_stream(store, f"{folder}/*", scratch_path(t.spark, "stream"), max_files=8)
     # A batch with the newest file again, as after a restart: nothing may change.
-    newest = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{folder}/export-4")
+    newest = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{folder}/export-7")
     land_batch(store)(newest, 99)
     aside = t.spark.read.parquet(f"{store.root}/audit/skipped_files").select(F.col("path")).distinct().count()
     return store.read("landing", "incubator_quiz_monitoring").withColumn("set_aside", F.lit(aside).cast("long"))
@@ -228,10 +233,12 @@ def colleges_standardised(t: Tables):
 
 
 @query("local_time_distance", """
-SELECT event_id, CAST(330 AS BIGINT) AS minutes_from_utc FROM events""")
+SELECT c_custkey, CAST(CASE c_nationkey % 4 WHEN 0 THEN 330 WHEN 1 THEN 345 WHEN 2 THEN 0 ELSE 540 END AS BIGINT) AS minutes_from_utc FROM customer""")
 def local_time_distance(t: Tables):
-    seconds = F.unix_timestamp(dates.local_now("Asia/Kolkata").cast("timestamp")) - F.unix_timestamp(dates.local_now("UTC").cast("timestamp"))
-    return t.events.select("event_id", (seconds / 60).cast("long").alias("minutes_from_utc"))
+    zones = F.array(*[F.lit(z) for z in ("Asia/Kolkata", "Asia/Kathmandu", "UTC", "Asia/Tokyo")])  # none of them has a summer time
+    zone = F.element_at(zones, (F.col("c_nationkey") % 4 + 1).cast("int"))
+    seconds = F.unix_timestamp(dates.local_now(zone).cast("timestamp")) - F.unix_timestamp(dates.local_now("UTC").cast("timestamp"))
+    return t.customer.select("c_custkey", (seconds / 60).cast("long").alias("minutes_from_utc"))
 
 
 @query("materialised_table", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
@@ -250,21 +257,317 @@ UNION ALL SELECT o_orderpriority, CAST(count(*) AS VARCHAR), 'r2' FROM orders WH
 def report_sink(t: Tables):
     root = scratch_path(t.spark, "reports")
     count = F.count(F.lit(1)).alias("orders")
-    for run_id, rows in (("r1", t.orders.limit(10)), ("r2", t.orders.filter("o_orderstatus = 'F'")), ("r1", t.orders)):
+    for run_id, rows in (("r1", t.orders.filter("o_orderstatus = 'P'")), ("r2", t.orders.filter("o_orderstatus = 'F'")), ("r1", t.orders)):
         path = write_audit(rows.groupBy("o_orderpriority").agg(count), root, run_id, "priorities", "csv")
     return t.spark.read.option("header", True).csv(path).select("o_orderpriority", "orders", F.col("run_id").cast("string").alias("run_id"))
 
 
 @query("live_sessions_run", """
-WITH n AS (SELECT 'INC' || lpad(CAST(n_regionkey AS VARCHAR), 3, '0') AS cohort_code, 'WS' || n_nationkey AS code, n_name FROM nation)
-SELECT cohort_code, code, n_name AS session_name, 'Workshop' AS type, 3600 AS duration_in_sec, TIMESTAMP '2024-01-05 00:00:00' AS conducted_on,
-    CAST(row_number() OVER (ORDER BY cohort_code, code) AS INTEGER) AS id FROM n""")
+WITH p AS (SELECT 'INC' || lpad(CAST(p_size AS VARCHAR), 3, '0') AS cohort_code, 'WS' || p_partkey AS code, p_name FROM part)
+SELECT cohort_code, code, p_name AS session_name, 'Workshop' AS type, 3600 AS duration_in_sec, TIMESTAMP '2024-01-05 00:00:00' AS conducted_on,
+    CAST(row_number() OVER (ORDER BY cohort_code, code) AS INTEGER) AS id FROM p""")
 def live_sessions_run(t: Tables):
     store = _store(t)
-    rows = t.nation.select(
-        F.concat(F.lit("Incubator "), "n_regionkey", F.lit(".0")).alias("Batch"), F.col("n_name").alias("Topic"), F.lit("Workshop").alias("Session Type"),
-        F.concat(F.lit("WS"), "n_nationkey").alias("Session Code"), F.lit("5-Jan-24").alias("Date"), F.col("n_nationkey").alias(csv_files.SEQ),
+    rows = t.part.select(
+        F.concat(F.lit("Incubator "), "p_size", F.lit(".0")).alias("Batch"), F.col("p_name").alias("Topic"), F.lit("Workshop").alias("Session Type"),
+        F.concat(F.lit("WS"), "p_partkey").alias("Session Code"), F.lit("5-Jan-24").alias("Date"), F.col("p_partkey").alias(csv_files.SEQ),
     )
     run.run_live_sessions(store, rows.withColumn("Topic", F.lit("first name")))
     run.run_live_sessions(store, rows)
     return store.read("conformed", "live_session")
+
+
+@query("memberships_run", """
+WITH m AS (SELECT CAST(o_custkey AS INTEGER) AS student_id, 'INC00' || left(o_orderpriority, 1) AS cohort_code, o_totalprice > 400000 AS leader FROM orders
+    WHERE o_custkey % 4 <> 0)
+SELECT '24' || cohort_code || lpad(CAST(student_id AS VARCHAR), 7, '0') AS student_code, student_id, cohort_code, bool_or(leader) AS is_leader,
+    (SELECT count(*) FROM orders WHERE o_custkey % 4 = 0) AS rejected FROM m GROUP BY ALL""")
+def memberships_run(t: Tables):
+    store = _store(t)
+    store.publish("conformed", "student_details", shapes.people(t).filter("id % 4 <> 0"))
+    store.publish("conformed", "cohort", shapes.cohorts(t))
+    upload = t.orders.selectExpr(
+        "o_custkey as student_id", "concat('INC00', left(o_orderpriority, 1)) as cohort_code",
+        "case when o_totalprice > 400000 then 'Regional STUDENT LEADER' else o_orderstatus end as student_role",
+    )
+    for part in ("o_custkey % 2 = 0", None):  # half of them first, then all
+        some = upload if part is None else upload.filter(part.replace("o_custkey", "student_id"))
+        run.run_memberships(store, some, "all" if part is None else "half")
+    rejected = audited(t.spark, f"{store.root}/audit/rejected_student_cohort", "all").count()
+    return store.read("conformed", "student_cohort").drop("cohort_enroll_date").withColumn("rejected", F.lit(rejected).cast("long"))
+
+
+# --- Runs that can break, rules at publish, changes ----------------------------------------------
+
+
+@query("onboarding_run", """
+WITH up AS (
+    SELECT c.*, n_name, r_name, CASE WHEN c_mktsegment = 'BUILDING' THEN 3 ELSE 4 END AS years, c_nationkey % 5 AS y,
+        row_number() OVER (ORDER BY c_custkey) + (SELECT coalesce(max(c_custkey), 0) FROM customer WHERE c_custkey % 3 = 0) AS id
+    FROM customer c JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE c_custkey % 3 <> 0)
+SELECT CAST(id AS INTEGER) AS id, id || '@example.org' AS email, 'Customer' AS first_name, split_part(c_name, '#', 2) AS last_name, c_mktsegment AS caste,
+    r_name AS assigned_through, DATE '2025-06-01' + c_nationkey AS registration_date,
+    '{"currently_pursuing_year":"' || y || 'th Year"}' AS form_details, ascii(c_mktsegment) AS education_course_id,
+    list_concat(list_sort(list_distinct([ascii(c_mktsegment) + 100, 166])), [NULL]) AS subject_id,
+    (SELECT CAST(s_suppkey AS INTEGER) FROM supplier WHERE s_suppkey = c_nationkey + 1) AS college_id, c_nationkey AS university_id,
+    c_nationkey AS college_location_id, CAST(2026 - least(y, years) AS INTEGER) AS start_year, CAST(2026 - least(y, years) + years AS INTEGER) AS end_year,
+    CAST(row_number() OVER (ORDER BY id) AS INTEGER) AS registration_no
+FROM up""")
+def onboarding_run(t: Tables):
+    store, now = _store(t), dt.datetime(2025, 7, 1, 12)
+    code = F.ascii("c_mktsegment")
+    segments = t.customer.select(code.alias("code"), "c_mktsegment").distinct()
+    dims = {
+        "student_details": aligned(shapes.people(t).filter("id % 3 = 0"), "student_details"),
+        "course_mapping": segments.select(
+            F.col("code").alias("course_id"), F.concat("c_mktsegment", F.lit(" ")).alias("display_name"),
+            F.when(F.col("c_mktsegment") == "BUILDING", 3).otherwise(4).alias("course_duration"),
+        ),
+        "subject_mapping": segments.select((F.col("code") + 100).alias("id"), F.initcap("c_mktsegment").alias("sub_field")),
+        "college_mapping": shapes.colleges(t), "university_mapping": shapes.universities(t), "location_mapping": shapes.locations(t),
+    }
+    for name, rows in dims.items():
+        store.publish("conformed", name, rows)
+    nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    key = F.col("c_nationkey")
+    upload = t.customer.filter("c_custkey % 3 <> 0").join(nations, F.col("n_nationkey") == key).select(
+        "c_custkey", F.replace("c_name", F.lit("#"), F.lit(" ")).alias("full_name"), F.col("c_mktsegment").alias("caste"),
+        F.col("c_acctbal").cast("string").alias("annual_family_income"), F.col("r_name").alias("assigned_through"),
+        F.date_add(F.lit(dt.date(2025, 6, 1)), key).cast("string").alias("registration_date"), F.concat(key % 5, F.lit("th Year")).alias("currently_pursuing_year"),
+        F.concat(F.lit(" "), F.lower("c_mktsegment")).alias("currently_pursuing_degree"), F.concat(F.lower("c_mktsegment"), F.lit(", Building,none")).alias("subject_area"),
+        F.concat(F.lit("SUPPLIER#"), F.lpad((key + 1).cast("string"), 9, "0")).alias("college_name"), F.upper("n_name").alias("district"),
+        F.concat("r_name", F.lit(" ")).alias("state_union_territory"), F.concat(F.lit("tier "), key % 3).alias("city_category"), F.lower("n_name").alias("university_name"),
+    )
+    # Broken off after the students, then gone on with, then repeated: ids and rows are dealt once.
+    for until in ("student_details", None, None):
+        onboard.run_onboarding(store, upload, "u1", "example.org", ["c_custkey"], dt.date(2025, 7, 1), now, until)
+    people, registered, studies = (store.read("conformed", n) for n in onboard.STEPS[1:])
+    joined = people.join(registered.withColumnRenamed("id", "registration_no"), people["id"] == registered["student_id"]).drop("student_id")
+    joined = joined.join(studies.drop("id"), people["id"] == studies["student_id"])
+    return joined.select(
+        people["id"], "email", "first_name", "last_name", "caste", "assigned_through", "registration_date", "form_details", "education_course_id",
+        "subject_id", "college_id", "university_id", "college_location_id", "start_year", "end_year", "registration_no",
+    )
+
+
+@query("rules_at_publish", """
+WITH r AS (SELECT c_custkey AS id, c_custkey // 2 AS e, c_nationkey AS n FROM customer),
+o AS (SELECT e, count(*) AS c, coalesce(min(id) FILTER (id % 5 = 1), min(id)) AS owner FROM r GROUP BY e)
+SELECT CAST(id AS INTEGER) AS id, concat_ws(',', CASE WHEN n % 4 = 2 THEN 'domain:gender' END, CASE WHEN n % 7 = 6 THEN 'max_length:phone' END,
+    CASE WHEN n >= 20 THEN 'reference:location_id' END, CASE WHEN c > 1 AND owner <> id THEN 'unique:email' END) AS reasons
+FROM r JOIN o USING (e)""")
+def rules_at_publish(t: Tables):
+    store, n = _store(t), F.col("c_nationkey")
+    rows = aligned(t.customer.select(
+        F.col("c_custkey").cast("int").alias("id"), F.concat(F.lit("p"), F.floor(F.col("c_custkey") / 2)).alias("email"),
+        F.when(n % 4 == 0, "F").when(n % 4 == 1, "M").when(n % 4 == 2, "X").alias("gender"), F.repeat(F.lit("9"), 10 + n % 7).alias("phone"), n.alias("location_id"),
+    ), "student_details")
+    store.publish("conformed", "location_mapping", t.nation.filter("n_nationkey < 20").selectExpr("n_nationkey as location_id"))
+    store.publish("conformed", "student_details", rows.filter("id % 5 = 1"))
+    good = guard.guarded(store, "student_details", rows, "r1", ["id"], ["id"])
+    bad = audited(t.spark, f"{store.root}/audit/rule_breaks_student_details", "r1")
+    return good.select("id", F.lit("").alias("reasons")).unionByName(bad.select("id", F.array_join("reasons", ",").alias("reasons")))
+
+
+@query("load_rolled_back_everywhere", """
+SELECT 'lineitem' AS tab, year(l_shipdate) = 1998 AS removed, count(*) AS n, sum(l_orderkey) AS keys FROM lineitem GROUP BY ALL
+UNION ALL SELECT 'orders', year(o_orderdate) = 1997, count(*), sum(o_orderkey) FROM orders GROUP BY ALL""")
+def load_rolled_back_everywhere(t: Tables):
+    store = _store(t)
+    items = t.lineitem.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("j"), F.col("l_shipdate").cast("timestamp_ntz").alias("inserted_at"))
+    orders = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").cast("timestamp_ntz").alias("inserted_at"))
+    store.publish("conformed", "lineitem", items, bucket_keys=["k", "j"], buckets=8)
+    store.publish("conformed", "orders", orders, bucket_keys=["k"], buckets=8)
+    loads = [
+        ("conformed", "lineitem", dt.datetime(1998, 1, 1), dt.datetime(1999, 1, 1)), ("conformed", "orders", dt.datetime(1997, 1, 1), dt.datetime(1998, 1, 1)),
+    ]
+    for _ in range(2):  # the repeated run finds nothing left to do
+        run.run_rollback(store, loads, "r1")
+    out = None
+    for name in ("lineitem", "orders"):
+        gone = audited(t.spark, f"{store.root}/audit/rollback_{name}", "r1").select("k", F.lit(True).alias("removed"))
+        rows = store.read("conformed", name).select("k", F.lit(False).alias("removed")).unionByName(gone)
+        part = rows.groupBy("removed").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("keys")).select(F.lit(name).alias("tab"), "removed", "n", "keys")
+        out = part if out is None else out.unionByName(part)
+    return out.select("tab", "removed", "n", F.col("keys").cast("decimal(38,0)").alias("keys"))
+
+
+_EDITED = """
+WITH b AS (SELECT o_orderkey AS k, o_orderstatus AS status, CAST(o_totalprice AS VARCHAR) AS price FROM orders WHERE o_orderkey % 7 <> 0),
+a AS (SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'P' THEN 'pending' ELSE o_orderstatus END AS status,
+    CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_totalprice AS VARCHAR) END AS price, CASE WHEN o_orderkey % 4 = 0 THEN 'x' END AS note
+    FROM orders WHERE o_orderkey % 5 <> 0),
+p AS (SELECT coalesce(a.k, b.k) AS k, b.k IS NULL AS came, a.k IS NULL AS went, b.status AS s0, a.status AS s1, b.price AS p0, a.price AS p1, a.note AS n1
+    FROM b FULL JOIN a ON a.k = b.k),
+c AS (SELECT k, came, went, unnest(['status', 'price', 'note']) AS "column", unnest([s0, p0, NULL]) AS old, unnest([s1, p1, n1]) AS new FROM p)
+"""
+
+
+def _edited(t: Tables):
+    """Orders before and after a recode, a value removed, a note added, rows deleted and rows inserted."""
+    key, price = F.col("o_orderkey"), F.col("o_totalprice").cast("decimal(15,2)")
+    before = t.orders.filter(key % 7 != 0).select(key.alias("k"), F.col("o_orderstatus").alias("status"), price.alias("price"))
+    after = t.orders.filter(key % 5 != 0).select(
+        key.alias("k"), F.when(F.col("o_orderstatus") == "P", "pending").otherwise(F.col("o_orderstatus")).alias("status"),
+        F.when(key % 3 != 0, price).alias("price"), F.when(key % 4 == 0, "x").alias("note"),
+    )
+    return before, after
+
+
+@query("change_rows", _EDITED.replace("CAST(o_totalprice AS VARCHAR)", "CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR)") + """
+SELECT k, 'updated' AS change, "column", old, new FROM c WHERE NOT came AND NOT went AND old IS DISTINCT FROM new
+UNION ALL SELECT k, CASE WHEN came THEN 'inserted' ELSE 'deleted' END, NULL, NULL, NULL FROM p WHERE came OR went""")
+def change_rows(t: Tables):
+    return changes.change_rows(*_edited(t), ["k"])
+
+
+@query("change_counts", _EDITED.replace("CAST(o_totalprice AS VARCHAR)", "CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR)") + """
+, u AS (SELECT *, NOT came AND NOT went AND (s0 IS DISTINCT FROM s1 OR p0 IS DISTINCT FROM p1 OR n1 IS NOT NULL) AS moved FROM p)
+SELECT 'inserted' AS change, NULL AS "column", count(*) FILTER (came) AS rows FROM u
+UNION ALL SELECT 'deleted', NULL, count(*) FILTER (went) FROM u
+UNION ALL SELECT 'updated', NULL, count(*) FILTER (moved) FROM u
+UNION ALL SELECT 'unchanged', NULL, count(*) FILTER (NOT came AND NOT went AND NOT moved) FROM u
+UNION ALL SELECT 'updated', "column", count(*) FROM c WHERE NOT came AND NOT went AND old IS DISTINCT FROM new GROUP BY ALL""")
+def change_counts(t: Tables):
+    return changes.change_counts(*_edited(t), ["k"])
+
+
+def _facts(t: Tables):
+    """Line items as one submission per supplier, part and day."""
+    return t.lineitem.groupBy(
+        F.col("l_suppkey").cast("int").alias("student_id"), F.col("l_partkey").cast("int").alias("resource_id"), F.col("l_shipdate").cast("timestamp_ntz").alias("submitted_at")
+    ).agg(
+        F.concat(F.lit("INC00"), F.min("l_linenumber")).alias("cohort_code"), F.max("l_linestatus").alias("college_name"),
+        F.max(F.expr("case l_returnflag when 'N' then 'under review' when 'R' then 'reviewed' else 'rejected' end")).alias("submission_status"),
+    ).withColumn("title", F.concat(F.lit("Item "), "resource_id"))
+
+
+@query("report_changes", """
+WITH f AS (
+    SELECT CAST(l_suppkey AS INTEGER) AS student_id, CAST(l_partkey AS INTEGER) AS resource_id, CAST(l_shipdate AS TIMESTAMP) AS sent, 'INC00' || min(l_linenumber) AS cohort_code,
+        max(l_linestatus) AS college_name, max(CASE l_returnflag WHEN 'N' THEN 'under review' WHEN 'R' THEN 'reviewed' ELSE 'rejected' END) AS status
+    FROM lineitem WHERE l_partkey % 11 <> 0 GROUP BY l_suppkey, l_partkey, l_shipdate),
+g AS (
+    SELECT student_id, resource_id, cohort_code, college_name, count(*) FILTER (status = 'under review') AS total_submissions,
+        count(*) FILTER (status = 'reviewed') AS accepted_count, count(*) FILTER (status = 'rejected') AS rejected_count, max(sent) FILTER (status = 'under review') AS last_submission_date
+    FROM f GROUP BY student_id, resource_id, cohort_code, college_name),
+last AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY student_id, resource_id ORDER BY cohort_code DESC, college_name DESC) = 1)
+SELECT g.*, 'Item ' || resource_id AS title, CASE WHEN student_id % 2 = 0 THEN 'new' ELSE 'old' END || student_id AS email_id FROM last AS g""")
+def report_changes(t: Tables):
+    store, facts = _store(t), _facts(t)
+    part = F.col("resource_id")
+
+    def people(name: str):
+        return t.supplier.select(F.col("s_suppkey").cast("int").alias("id"), F.concat(F.lit(name), F.col("s_suppkey")).alias("email"), F.lit("1").alias("phone"))
+
+    store.publish("conformed", "student_details", people("old"), bucket_keys=["id"])
+    store.publish("conformed", "student_registration_details", t.supplier.select(F.col("s_suppkey").cast("int").alias("student_id"), F.lit(dt.date(2024, 1, 1)).alias("registration_date")))
+    store.publish("enriched", "student_demography", people("old").selectExpr("id as student_id", "email"), bucket_keys=["email"])
+    wrong = F.when(part % 5 == 0, "under review").otherwise(F.col("submission_status"))
+    store.publish("enriched", "final_assignment", facts.filter(part % 7 != 0).withColumn("submission_status", wrong), bucket_keys=["student_id", "resource_id", "submitted_at"])
+    run.run_report(store)
+    since = delta.versions(store, delta.REPORT_INPUTS)
+    # Rows come, change and go; of every second student the address changes.
+    store.merge("enriched", "final_assignment", facts.filter((part % 7 == 0) | (part % 5 == 0)), ["student_id", "resource_id", "submitted_at"])
+    run.run_repair(store, [run.Repair("enriched", "final_assignment", lambda df: row_repair.delete_where(df, part % 11 == 0))], "r1", "gone")
+    store.merge("conformed", "student_details", people("new").filter("id % 2 = 0"), ["id"])
+    delta.run_report_changes(store, since)
+    return store.read("reporting", "resubmission_count_overview").select(
+        "student_id", "resource_id", "cohort_code", "college_name", "total_submissions", "accepted_count", "rejected_count", "last_submission_date", "title", "email_id"
+    )
+
+
+@query("enrich_changes", """
+WITH q AS (
+    SELECT o_orderkey AS id, CAST(o_custkey AS INTEGER) AS student_id, CAST(o_orderkey % 50 AS INTEGER) AS resource_id, CAST(o_orderkey % 101 AS INTEGER) AS marks
+    FROM orders WHERE o_orderkey % 11 <> 0 QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderkey % 50 ORDER BY o_orderkey DESC) = 1)
+SELECT q.student_id, resource_id, marks, 'Quiz ' || resource_id AS title, CASE WHEN c_nationkey = 5 THEN 'moved' ELSE n_name END AS district,
+    'Incubator ' || (c_nationkey % 10) || '.0' AS "Incubator_Batch"
+FROM q JOIN customer ON c_custkey = student_id JOIN nation ON n_nationkey = c_nationkey WHERE resource_id <> 13""")
+def enrich_changes(t: Tables):
+    store = _store(t)
+    keys = ["student_id", "resource_id"]
+    places = shapes.locations(t)
+    titles = t.spark.range(50).select(F.col("id").cast("int").alias("id"), F.lit("Quiz").alias("category"), F.concat(F.lit("Quiz "), "id").alias("title"))
+    for name in schemas.CONFORMED:
+        store.publish("conformed", name, t.spark.createDataFrame([], schemas.conformed_schema(name)))
+    for name, rows in {
+        "student_details": shapes.people(t), "student_registration_details": shapes.registrations(t), "location_mapping": places,
+        "resource": titles.filter("id <> 7"),
+    }.items():
+        store.publish("conformed", name, aligned(rows, name))
+    store.publish("landing", "general_information_sheet", shapes.sheet(t))
+    quizzes = t.orders.select(
+        F.col("o_custkey").cast("int").alias("student_id"), (F.col("o_orderkey") % 50).cast("int").alias("resource_id"), F.col("o_orderkey").cast("int").alias("id"),
+        F.lit("INC001").alias("cohort_code"), (F.col("o_orderkey") % 101).cast("int").alias("marks"), F.lit(100).alias("max_marks"),
+    )
+    whole = dedupe.dedupe_keep_last(quizzes.filter("id % 11 <> 0"), keys, ["id"])
+    old = dedupe.dedupe_keep_last(quizzes.filter("id % 3 <> 0"), keys, ["id"])
+    store.publish("conformed", "student_quiz", aligned(old, "student_quiz"), bucket_keys=keys)
+    run.run_enrich(store, "e1")
+    since = delta.versions(store, delta.ENRICH_INPUTS)
+    # Marks come, change and go; one title comes, one goes, and one district has a new name.
+    gone = old.join(whole, keys, "left_anti").select(*keys)
+    split = row_repair.Split
+    jobs = [run.Repair("conformed", "student_quiz", lambda df: split(df.join(gone, keys, "left_anti"), df.join(gone, keys, "left_semi").select(*df.columns)))]
+    run.run_repair(store, jobs, "r1", "gone")
+    store.merge("conformed", "student_quiz", aligned(whole, "student_quiz"), keys)
+    store.publish("conformed", "resource", aligned(titles.filter("id <> 13"), "resource"))
+    store.publish("conformed", "location_mapping", aligned(places.withColumn("district", F.when(F.col("location_id") == 5, "moved").otherwise(F.col("district"))), "location_mapping"))
+    delta.run_enrich_changes(store, since)
+    return store.read("enriched", "final_quiz").select("student_id", "resource_id", "marks", "title", "district", "Incubator_Batch")
+
+
+@query("csv_split_records", """
+SELECT CAST(o_orderkey AS VARCHAR) AS k, 'say ""' || chr(10) || o_orderpriority || chr(10) || chr(10) || ', "' || CAST(o_custkey % 7 AS VARCHAR) AS remark,
+    CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS status FROM orders""")
+def csv_split_records(t: Tables):
+    folder = scratch_path(t.spark, "exports")
+    remark = F.concat(F.lit('say ""\n'), "o_orderpriority", F.lit('\n\n, "'), (F.col("o_custkey") % 7).cast("string"))
+    rows = t.orders.select(F.col("o_orderkey").alias("k"), remark.alias("remark"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderstatus")).alias("status"))
+    rows.write.options(header=True, escape='"').csv(folder)
+    paths = [f.path for f in csv_files.list_csv_files(t.spark, folder)]
+    block, before = "spark.sql.files.maxPartitionBytes", t.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    t.spark.conf.set(block, "64k")  # the files are small here: cut them into many blocks, in the midst of cells
+    try:
+        return stored(csv_files.read_csv(t.spark, paths, multi_line="split").drop(csv_files.SEQ), "records")
+    finally:
+        t.spark.conf.set(block, before)
+
+
+@query("interval_join", """
+SELECT c_nationkey, o_orderpriority, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders JOIN (
+    SELECT c_custkey, c_nationkey, TIMESTAMP '1995-01-01' + to_days(CAST(c_custkey % 2400 AS INTEGER)) AS a,
+        TIMESTAMP '1995-01-01' + to_days(CAST(c_custkey % 2400 + CASE c_custkey % 10 WHEN 0 THEN 900 WHEN 1 THEN -1 ELSE 2 END AS INTEGER)) AS b FROM customer WHERE c_custkey % 5 < 2)
+ON CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '1997-06-17' ELSE CAST(o_orderdate AS TIMESTAMP) END BETWEEN a AND b GROUP BY ALL""")
+def interval_join(t: Tables):
+    start = F.date_add(F.lit(dt.date(1995, 1, 1)), (F.col("c_custkey") % 2400).cast("int"))
+    days = F.when(F.col("c_custkey") % 10 == 0, 900).when(F.col("c_custkey") % 10 == 1, -1).otherwise(2)
+    ranges = t.customer.filter("c_custkey % 5 < 2").select(
+        "c_nationkey", start.cast("timestamp_ntz").alias("a"), F.date_add(start, days).cast("timestamp_ntz").alias("b")
+    )
+    at = F.when(F.col("o_orderkey") % 3 == 0, F.lit(dt.datetime(1997, 6, 17))).otherwise(F.col("o_orderdate")).cast("timestamp_ntz")  # a third of all at one time
+    points = t.orders.select("o_orderkey", "o_orderpriority", at.alias("at"))
+    hits = joins.interval_join(points, ranges, "at", "a", "b")
+    return hits.groupBy("c_nationkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@query("top_rows", """
+SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) <= 25""")
+def top_rows(t: Tables):
+    order = [F.desc("l_extendedprice"), "l_orderkey", "l_linenumber"]
+    rows = t.lineitem.select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
+    return dedupe.top_rows(rows, ["l_returnflag"], order, 25, spread_by=["l_orderkey", "l_linenumber"])
+
+
+@query("sorted_lists", """
+SELECT l_linestatus, string_agg(DISTINCT CAST(l_suppkey AS VARCHAR), ', ' ORDER BY CAST(l_suppkey AS VARCHAR)) AS suppliers FROM lineitem GROUP BY ALL""")
+def sorted_lists(t: Tables):
+    return aggregate.sorted_lists(t.lineitem.select("l_linestatus", "l_suppkey"), ["l_linestatus"], "l_suppkey", "suppliers")
+
+
+@query("sorted_arrays", """
+SELECT o_orderstatus, list_sort(list(DISTINCT o_custkey)) AS customers FROM orders GROUP BY ALL""")
+def sorted_arrays(t: Tables):
+    return aggregate.sorted_lists(t.orders.select("o_orderstatus", "o_custkey"), ["o_orderstatus"], "o_custkey", "customers", separator=None)
