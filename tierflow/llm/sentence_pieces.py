@@ -18,7 +18,6 @@ added name with an input column is an error that names it.
 
 from __future__ import annotations
 
-import gc
 import heapq
 import re
 from collections.abc import Iterator
@@ -32,7 +31,7 @@ from pyspark.sql import types as T
 from tierflow.llm.common import give_back, small_batches
 
 MARK = "▁"
-#: Segments a task remembers per generation, about 0.3 kB each, and what a worker keeps of them for its next task.
+#: Segments a task remembers per generation, about 0.2 kB each, and what a worker keeps of them for its next task.
 REMEMBERED, KEPT = 300_000, 50_000
 #: Up to this many symbols the agenda is a row of ranks; beyond it, a heap.
 SHORT = 24
@@ -40,6 +39,14 @@ _NEVER = np.iinfo(np.int32).max
 _CODES = 0x110000
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
+
+
+def _numbers(packed: bytes) -> list[int]:
+    return np.frombuffer(packed, "<i4").tolist()
+
+
 class PieceModel:
     """Vocabulary of one model file, with the agenda."""
 
@@ -97,24 +104,24 @@ class PieceModel:
 
     def merge(self, segment: str) -> list[int]:
         """Ids of one segment by the agenda."""
-        return self.merge_all([segment])[0]
+        return _numbers(self.merge_all([segment])[0])
 
-    def merge_all(self, segments: list[str]) -> list[list[int]]:
-        """Ids of segments by their agendas: short ones of equal length together."""
+    def merge_all(self, segments: list[str]) -> list[bytes]:
+        """Packed ids of segments by their agendas: short ones of equal length together."""
         out: list = [None] * len(segments)
         by_length: dict[int, list[int]] = {}
         for at, s in enumerate(segments):
             if len(s) <= SHORT:
                 by_length.setdefault(len(s), []).append(at)
             else:
-                out[at] = self._ids(self._merge_long(s))
+                out[at] = _packed(self._ids(self._merge_long(s)))
         for length, places in by_length.items():
             codes = np.frombuffer("".join([segments[i] for i in places]).encode("utf-32-le", "surrogatepass"), np.uint32)
             for at, ids in zip(places, self._merge_rows(self.number[codes].reshape(-1, length))):
                 out[at] = ids
         return out
 
-    def _merge_rows(self, symbols: np.ndarray) -> list[list[int]]:
+    def _merge_rows(self, symbols: np.ndarray) -> list[bytes]:
         """Rows of equal length: a round merges the best pair of each row, the leftmost of equal ones; rows without a pair are done."""
         out, rows = [None] * len(symbols), np.arange(len(symbols))
         rank, made = self._look_up(symbols[:, :-1], symbols[:, 1:])
@@ -144,19 +151,20 @@ class PieceModel:
                 rank[right, at], made[right, at] = self._look_up(piece[right], symbols[right, at + 1])
         return out
 
-    def _plain(self, symbols: np.ndarray) -> list[list[int]]:
-        """Ids of finished rows; characters outside the vocabulary as their bytes."""
-        out = symbols.tolist()
+    def _plain(self, symbols: np.ndarray) -> list[bytes]:
+        """Packed ids of finished rows; characters outside the vocabulary as their bytes."""
+        flat, width = np.ascontiguousarray(symbols, "<i4").tobytes(), 4 * symbols.shape[1]
+        out = [flat[i : i + width] for i in range(0, len(flat), width)]
         for i in np.flatnonzero((symbols >= self.first_other).any(axis=1)).tolist():
             row = []
-            for n in out[i]:
+            for n in symbols[i].tolist():
                 if n < self.first_other:
                     row.append(n)
                 elif self.byte_ids:
                     row.extend(self.byte_ids[b] for b in chr(n - self.first_other).encode())
                 else:
                     row.append(self.unknown)
-            out[i] = row
+            out[i] = _packed(row)
         return out
 
     def _merge_long(self, segment: str) -> list[str]:
@@ -199,21 +207,25 @@ class PieceModel:
                 out.append(self.unknown)
         return out
 
-    def agree(self, met: dict[str, list[int]]) -> None:
+    def agree(self, met: dict[str, bytes]) -> None:
         """The library must give the same ids for the segments that were merged."""
         segments = [s for s in met if s != MARK]  # a lone space mark is never a text of its own to the library
         given = [s[1:] if s[0] == MARK else "\n" + s for s in segments]
         skip = [0 if s[0] == MARK else self.after_break for s in segments]
-        for s, k, ids in zip(segments, skip, self.library.encode(given, num_threads=1)):
-            if ids[k:] != met[s]:
-                raise ValueError(f"the library encodes {s[:80]!r} as {ids[k:][:20]}, the agenda as {met[s][:20]}")
-
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        theirs = [ids[k:] if k else ids for k, ids in zip(skip, self.library.encode(given, num_threads=1))]
+        ours = [met[s] for s in segments]
+        if list(map(len, ours)) == [4 * len(ids) for ids in theirs] and _packed(list(chain.from_iterable(theirs))) == b"".join(ours):
+            return
+        for s, mine, ids in zip(segments, ours, theirs):
+            if _numbers(mine) != ids:
+                raise ValueError(f"the library encodes {s[:80]!r} as {ids[:20]}, the agenda as {_numbers(mine)[:20]}")
+
+    def packed(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, four bytes each."""
         split = [self.segment.findall(MARK + text.replace(" ", MARK)) if text else [] for text in texts]
         young, old = self.young, self.old
-        asked = set().union(*split)
         unseen = []
-        for s in asked - young.keys():
+        for s in set().union(*split) - young.keys():
             ids = old.get(s)
             if ids is None:
                 unseen.append(s)
@@ -223,13 +235,16 @@ class PieceModel:
         if met:
             self.agree(met)
             young.update(met)
-        out = [list(chain.from_iterable(map(young.__getitem__, parts))) for parts in split]
+        out = [b"".join(map(young.__getitem__, parts)) for parts in split]
         for s in [s for s in met if len(s) > 64]:
             del young[s]
         if len(young) > self.remembered:
             self.young, self.old = {}, young
         return out
 
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return list(map(_numbers, self.packed(texts)))
+
     def rest(self) -> None:
         """Between tasks: keep the segments met first, which are the frequent ones, and give freed memory back."""
         self.young, self.old = dict(islice(self.young.items(), KEPT)), {}
@@ -265,17 +280,15 @@ def with_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
-        gc.disable()  # lists of numbers hold no cycles; the collector would walk all remembered ones again and again
         for batch in batches:
             texts = batch.column(len(kept)).to_pylist()
-            ids = model.encode(texts)
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
-            out = [*batch.columns[: len(kept)], pa.ListArray.from_arrays(ends, flat)]
+            packed = model.packed(texts)
+            ends = np.cumsum([0, *map(len, packed)], dtype=np.int64) // 4
+            flat = np.frombuffer(b"".join(packed), "<i4")
+            out = [*batch.columns[: len(kept)], pa.ListArray.from_arrays(ends.astype(np.int32), flat)]
             if decoded_col:
-                out.append(pa.array(model.decode(ids), pa.string()))
+                out.append(pa.array(model.decode(list(map(_numbers, packed))), pa.string()))
             yield pa.RecordBatch.from_arrays(out, [*kept, *added])
-        gc.enable()
         model.rest()
 
     return df.select(*kept, df[text_col].alias("__text")).mapInArrow(run, T.StructType(fields))
