@@ -197,6 +197,18 @@ def test_backfill_by_course_name(world):
     assert values(members, "student_code", "is_leader") == [("25INC0070000001", True), ("25INC0080000002", True)]
 
 
+def test_backfill_meets_only_cohorts_that_hold_the_code(rows, monkeypatch):
+    sheet = rows("Student_id string, Email string, Incubator_Batch string, Incubator_Course_Name string", ("1", "a@x", "b", "n"), ("2", "b@x", "b", "m"))
+    cohorts = rows("cohort_name string, cohort_code string", *[("n", f"INC{i:03}") for i in range(30)], ("m", "INC004"))
+    live = rows("id int, code string, cohort_code string", (7, "WS1", "INC003"), (8, "WS1", "INC003"), (9, "WS1", "INC004"), (10, "WS2", "INC005"), (11, "WS1", "INC099"))
+    watched = rows("Email string, Session_Code string, Duration_in_secs string, watched_on string", ("a@x", "WS1", "5", "x"), ("a@x", "WS1", "5", "x"), ("b@x", "WS1", "6", None))
+    met, by_email = [], conform._by_email
+    monkeypatch.setattr(conform, "_by_email", lambda feed, email, people: met.append(people.count()) or by_email(feed, email, people))
+    got = conform.backfill_sessions(watched, sheet, cohorts, live)
+    assert values(got, "student_id", "session_id", "duration_in_sec") == sorted([(1, 7, 5), (1, 8, 5), (1, 9, 5)] * 2 + [(2, 9, 6)], key=str)
+    assert met == [2]  # a student once, not once for each of 30 cohorts
+
+
 def test_live_sessions(spark, rows):
     new = rows("Batch string, Topic string, `Session Type` string, `Session Code` string, Date string, _seq int",
                ("Incubator 7.0", "T1", "Workshop", "WS1", "5-Jan-24", 1), ("Incubator 7.0", "T2", "Workshop", "WS1", "05-JAN-24", 2), ("Incubator 7.0", "T3", "Workshop", "WS2", "soon", 3))
