@@ -126,6 +126,28 @@ def test_interval_join_equals_brute_force(rows):
     assert empty.count() == 0 and joins.interval_join(rows("p int, at date"), rows("s int, a date, b date", *spans), "at", "a", "b").count() == 0
 
 
+def test_interval_totals_join_days_not_rows(rows, monkeypatch):
+    import random
+
+    r, met = random.Random(8), []
+    at = lambda: dt.datetime(2020, 1, r.randint(1, 9), *r.choice([(0, 0, 0), (0, 0, 1), (13, 5, r.randint(0, 59))]))
+    points = [(r.choice("ab"), at() if r.random() < 0.9 else None, r.randint(1, 9) if r.random() < 0.9 else None) for _ in range(400)]
+    spans = [(r.choice("xy"), dt.datetime(2020, 1, a := r.randint(1, 9)), dt.datetime(2020, 1, a + r.choice([0, 1, 3]))) for _ in range(60)]
+    want = {}
+    for g, t, v in points:
+        for h, a, b in spans:
+            if t and a <= t <= b:
+                n, total = want.get((h, g), (0, None))
+                want[h, g] = (n + 1, total if v is None else (total or 0) + v)
+    join = joins.interval_join
+    monkeypatch.setattr(joins, "interval_join", lambda p, s, *rest: met.append((p.count(), s.count())) or join(p, s, *rest))
+    left, right = rows("g string, t timestamp_ntz, v long", *points), rows("h string, a timestamp_ntz, b timestamp_ntz", *spans)
+    for whole in (False, True):
+        got = joins.interval_totals(left, right, "t", "a", "b", ["g"], ["h"], {"v": "total"}, whole_days=whole)
+        assert {(x["h"], x["g"]): (x["n"], x["total"]) for x in got.collect()} == want
+    assert met[1][0] <= 9 * 2 * 2 and met[1][1] <= 9 * 3 * 2
+
+
 def test_range_join_equals_brute_force_on_any_length(rows):
     day = lambda i: dt.date(1960, 1, 1) + dt.timedelta(days=i)
     points = [(i, day(i * 17 % 9000)) for i in range(200)] + [(999, None)]
