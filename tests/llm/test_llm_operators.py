@@ -478,6 +478,28 @@ def test_scores_equal_brute_force(spark):
         assert total == pytest.approx(1)
 
 
+def test_rare_words_are_states_too(spark):
+    r = random.Random(9)
+    names = [f"{a}{b}" for a in "k\u00e9x" for b in range(40)]
+    data = [(i, " ".join(r.choice([f"{(n := r.choice(names))} {n}z", "the", "of the"]) for _ in range(r.randrange(40)))) for i in range(60)]
+    df = spark.createDataFrame([*data, (90, None), (93, "unseen k1 k1z")], "doc_id long, text string").repartition(3)
+    train = F.col("doc_id") % 3 != 0
+    got = values(backoff_automaton.scored(df, train, block_rows=4, numbered_share=0.02))
+    used = [backoff_automaton.tokens(t) for i, t in data if i % 3]
+    c, b = Counter(w for d in used for w in d), Counter(p for d in used for p in zip(d, d[1:]))
+    n, v = sum(c.values()), len(c)
+    arcs = {p: k for p, k in b.items() if k >= 2}
+    assert sum(c[a] < 0.02 * n for a, _ in arcs) > 50  # arcs from words that have no number
+    left = {s: 1 - sum(k - 0.75 for (a, _), k in arcs.items() if a == s) / c[s] for s in c}
+    for i, *_, score in got:
+        want, last = 0.0, None
+        for w in backoff_automaton.tokens(dict([*data, (90, None), (93, "unseen k1 k1z")])[i]):
+            p = (c[w] + 1) / (n + v + 1)
+            want += log10((arcs[last, w] - 0.75) / c[last] + left[last] * p if (last, w) in arcs else left.get(last, 1) * p)
+            last = w
+        assert score == pytest.approx(want)
+
+
 def test_scores_without_training(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert values(backoff_automaton.scored(df, F.lit(False))) == [(1, 3, 0, 0, 0.0, 0.0), (2, 1, 0, 0, 0.0, 0.0)]

@@ -1,7 +1,6 @@
 """Language-model scoring with a weighted backoff automaton.
 
-The model is a smoothed bigram model. Every word that makes up ``STATE_SHARE`` of all training tokens or more
-is a state, so there are ``1 / STATE_SHARE`` states at most whatever the corpus; the root is the state without
+The model is a smoothed bigram model. Every word is a state; the root is the state without
 history. A state has an arc for each follower seen ``MIN_COUNT`` times or more, with absolute discounting, and
 a failure arc to the root whose weight is the probability mass the arcs leave over. A text is read once from
 left to right: the current state is carried, an arc or the failure arc plus a root arc is taken, and log10
@@ -10,7 +9,10 @@ probabilities add up. Root arcs have add-one smoothed counts over all words of t
 Neither the words nor the arcs of a corpus have a bounded size, so no task and not the driver holds them all.
 Documents lie in blocks of ``BLOCK_ROWS`` rows; each block names the words and word pairs it contains together
 with its own counts, one shuffle by word (or pair) turns these into totals, and a second one brings each block
-the totals of what it contains. A block's automaton is thus the part of the whole one that its texts can reach.
+the totals of what it contains. A block's automaton is thus the part of the whole one that its texts can reach. Words that make up
+``NUMBERED_SHARE`` of all training tokens or more, ``1 / NUMBERED_SHARE`` at most, have numbers that all tasks know, and pairs of
+two of them travel as one whole number; all other pairs travel as their two words. The share steers only that form, never the scores.
+A caller may ask for a smaller model by ``state_share``: then only words of that share are states.
 Every word and pair has one row per block at most, so a very frequent one is never a large group.
 
 Edge cases: a NULL text is empty: one end token. Without training rows all probabilities are 1. Rows are scored one by
@@ -34,9 +36,12 @@ from tierflow.llm.common import small_batches, stored
 
 #: The end of a text; no word holds a line break.
 END = b"\n"
-STATE_SHARE, MIN_COUNT, DISCOUNT = 1e-5, 2, 0.75
+#: Between the words of a pair; no word holds it.
+GAP = b" "
+NUMBERED_SHARE, MIN_COUNT, DISCOUNT = 1e-5, 2, 0.75
 BLOCK_ROWS = 4096
-_SHIFT = 20  # bits of a state number inside a pair's key; 1 / STATE_SHARE stays below 2 ** 20
+_SHIFT = 20  # bits of a word's number inside a pair's key; 1 / NUMBERED_SHARE stays below 2 ** 20
+_WIDE = 40  # the same inside a block, whose other words have numbers of their own
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -88,34 +93,44 @@ def _word_counts(blocked: DataFrame) -> DataFrame:
     return blocked.select("block", "train", "text").mapInArrow(run, "word binary, block long, n long")
 
 
-def _pair_counts(blocked: DataFrame, states) -> DataFrame:
-    """(pair, block, n): pairs of states in each block and their training counts there."""
+def _pair_counts(blocked: DataFrame, states, whole: bool) -> DataFrame:
+    """(pair, both, block, n): word pairs of each block, by numbers or as text, and their training counts there."""
 
     def run(batches):
-        number, keys, counted = states.value, [], []
+        number, keys, counted, seen = states.value, [], [], Counter()
         for block, train, texts in _blocks(batches):
             if texts is None:
                 if keys:
                     pair, place = np.unique(np.concatenate(keys), return_inverse=True)
                     n = np.bincount(place, np.concatenate(counted), minlength=len(pair)).astype(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(pair), pa.array(np.full(len(pair), block)), pa.array(n)], ["pair", "block", "n"]
+                        [pa.array(pair), pa.nulls(len(pair), pa.binary()), pa.array(np.full(len(pair), block)), pa.array(n)],
+                        ["pair", "both", "block", "n"],
                     )
-                keys, counted = [], []
+                if seen:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.nulls(len(seen), pa.int64()), pa.array(list(seen), pa.binary()), pa.array(np.full(len(seen), block)),
+                         pa.array(list(seen.values()), pa.int64())],
+                        ["pair", "both", "block", "n"],
+                    )
+                keys, counted, seen = [], [], Counter()
                 continue
             for used, text in zip(train, texts):
-                s = np.array([number.get(w, -1) for w in tokens(text)], np.int64)
+                read = tokens(text)
+                s = np.array([number.get(w, -1) for w in read], np.int64)
                 both = (s[:-1] >= 0) & (s[1:] >= 0)
                 k = (s[:-1][both] << _SHIFT) | s[1:][both]
                 keys.append(k)
                 counted.append(np.full(len(k), int(used), np.int8))
+                for i in np.flatnonzero(~both).tolist() if whole else ():
+                    seen[read[i] + GAP + read[i + 1]] += used
 
-    return blocked.select("block", "train", "text").mapInArrow(run, "pair long, block long, n long")
+    return blocked.select("block", "train", "text").mapInArrow(run, "pair long, both binary, block long, n long")
 
 
-def _with_totals(counts: DataFrame, key: str) -> DataFrame:
+def _with_totals(counts: DataFrame, *key: str) -> DataFrame:
     """Add the key's total over all blocks, and whether the row is the key's first."""
-    order = Window.partitionBy(key).orderBy("block")
+    order = Window.partitionBy(*key).orderBy("block")
     return counts.select(
         "*",
         F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
@@ -142,17 +157,21 @@ class Automaton:
             if state < 0:
                 total += p
             else:
-                arc = arcs.get(state << _SHIFT | to) if to >= 0 else None
+                arc = arcs.get(state << _WIDE | to) if to >= 0 else None
                 total += failure[state] + p if arc is None else arc
             state = to
         return len(read), known, base, total
 
 
 def scored(
-    df: DataFrame, train: object, id_col: str = "doc_id", text_col: str = "text", state_share: float = STATE_SHARE,
-    min_count: int = MIN_COUNT, discount: float = DISCOUNT, block_rows: int = BLOCK_ROWS,
+    df: DataFrame, train: object, id_col: str = "doc_id", text_col: str = "text", state_share: float | None = None,
+    min_count: int = MIN_COUNT, discount: float = DISCOUNT, block_rows: int = BLOCK_ROWS, numbered_share: float = NUMBERED_SHARE,
 ) -> DataFrame:
-    """(id, n_tokens, n_known, train_tokens, base_score, score) per row. ``train``: a condition. Runs jobs."""
+    """(id, n_tokens, n_known, train_tokens, base_score, score) per row. ``train``: a condition. Runs jobs.
+
+    ``state_share``: only words of this share of all tokens are states; every word, if it is None.
+    """
+    whole = state_share is None
     spark = df.sparkSession
     small_batches(spark)
     # The row number only groups neighbouring rows; it is stored with them, so later stages agree on it.
@@ -169,33 +188,54 @@ def scored(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if("first").alias("v")
     ).first()
     all_tokens, size = sums["n"], sums["n"] + sums["v"] + 1
-    least = max(min_count, all_tokens * state_share)
-    # At most 1 / state_share words can make up that share of all tokens.
+    least = max(min_count, all_tokens * (numbered_share if whole else state_share))
+    # At most 1 / share words can make up that share of all tokens.
     frequent = sorted((bytes(r["word"]), r["total"]) for r in words.where(F.col("first") & (F.col("total") >= least)).select("word", "total").collect())
     numbers = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(frequent)})
-    pairs = stored(_with_totals(_pair_counts(blocked, numbers), "pair").where(F.col("total") >= min_count), "pairs")
-    kept = pairs.where("first").groupBy(F.shiftright("pair", _SHIFT).alias("state")).agg(F.sum(F.col("total") - discount).alias("mass"))
-    mass = {r["state"]: r["mass"] for r in kept.collect()}
+    counted = _with_totals(_pair_counts(blocked, numbers, whole), "pair", "both")
+    pairs = stored(counted.where(F.col("total") >= min_count), "pairs")
+    # The mass that the arcs of a state hold: by the number of its word, or by the word.
+    state = F.shiftright("pair", _SHIFT).alias("state")
+    word = F.substring_index(F.col("both").cast("string"), " ", 1).cast("binary").alias("word")
+    kept = pairs.where("first").groupBy(state, word).agg(F.sum(F.col("total") - discount).alias("mass"))
+    kept = stored(kept, "masses")
+    mass = Counter()
+    for r in kept.where("state is not null").collect():
+        mass[r["state"]] += r["mass"]
+    known = words.where(F.col("first") & (F.col("total") >= least)).select("word")
+    place = {w: i for i, (w, _) in enumerate(frequent)}
+    for r in kept.where("state is null").join(F.broadcast(known), "word", "left_semi").collect():
+        mass[place[bytes(r["word"])]] += r["mass"]
     counts = [c for _, c in frequent]
-    failure = [log10(max(1 - mass.get(i, 0.0) / c, 1e-12)) for i, c in enumerate(counts)]
+    failure = [log10(max(1 - mass[i] / c, 1e-12)) for i, c in enumerate(counts)]
     model = spark.sparkContext.broadcast((frequent, failure))
 
+    rare = words.where(F.col("total") < least).join(kept.where("state is null").select("word", "mass"), "word", "left")
     entries = (
-        words.where(F.col("total") < least).select("block", "word", F.lit(None).cast("long").alias("pair"), "total")
-        .unionByName(pairs.select("block", F.lit(None).cast("binary").alias("word"), "pair", "total"))
+        rare.select("block", "word", F.lit(None).cast("long").alias("pair"), "total", "mass")
+        .unionByName(pairs.select("block", F.col("both").alias("word"), "pair", "total", F.lit(None).cast("double").alias("mass")))
     )
     id_type = df.schema[id_col].dataType
 
     def run(docs: pa.Table, totals: pa.Table) -> pa.Table:
         frequent, failure = model.value
         root = {w: (log10((c + 1) / size), i, c) for i, (w, c) in enumerate(frequent)}
-        arcs = {}
-        for w, k, c in zip(*(totals.column(i).to_pylist() for i in (1, 2, 3))):
-            if k is None:
-                root[w] = (log10((c + 1) / size), -1, c)
+        fail, numbered, spelled, arcs = list(failure), [], [], {}
+        for w, k, c, held in zip(*(totals.column(i).to_pylist() for i in (1, 2, 3, 4))):
+            if k is not None:
+                numbered.append((k, c))
+            elif GAP in w:
+                spelled.append((w, c))
             else:
-                arcs[k] = log10((c - discount) / frequent[k >> _SHIFT][1] + 10 ** (failure[k >> _SHIFT] + root[frequent[k & (1 << _SHIFT) - 1][0]][0]))
-        reader = Automaton(root, log10(1 / size), arcs, failure)
+                root[w] = (log10((c + 1) / size), len(fail) if whole else -1, c)
+                fail.append(log10(max(1 - (held or 0.0) / c, 1e-12)))
+        for k, c in numbered:
+            a, b = k >> _SHIFT, k & (1 << _SHIFT) - 1
+            arcs[a << _WIDE | b] = log10((c - discount) / frequent[a][1] + 10 ** (fail[a] + root[frequent[b][0]][0]))
+        for both, c in spelled:
+            (_, a, n), (p, b, _) = map(root.get, both.split(GAP))
+            arcs[a << _WIDE | b] = log10((c - discount) / n + 10 ** (fail[a] + p))
+        reader = Automaton(root, log10(1 / size), arcs, fail)
         out = [reader.score(t) for t in docs.column("text").to_pylist()]
         return pa.table({
             id_col: docs.column("id"), "n_tokens": pa.array([o[0] for o in out], pa.int64()),
