@@ -53,3 +53,14 @@ def test_tag_by_max(rows):
     assert got == {1: "referenced", 2: "unreferenced", 3: "kept", 4: "kept", 5: "kept", 6: "kept"}
     dropped = dedupe.tag_by_max(df, "email", "id", child, "student_id", null_keys="drop")
     assert values(dropped.filter("email is null"), "disposition") == [("unreferenced",), ("unreferenced",)]
+
+
+def test_tags_by_max_join_marks_once_without_sorting_rows(rows):
+    df = rows("id int, mail string", (1, "a"), (2, "a"), (3, "a"), (3, "a"), (4, None), (None, "b"), (5, "b"), (6, "c"), (7, "c"))
+    used = rows("sid long", (2,), (2,), (None,), (7,), (1 << 40,))
+    got = dedupe.tag_by_max(df, "mail", "id", used, "sid")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 1 and "SortMergeJoin" not in plan
+    assert values(got, "id", "disposition") == sorted([
+        (1, "unreferenced"), (2, "referenced"), (3, "kept"), (3, "kept"), (4, "kept"), (5, "kept"), (6, "unreferenced"), (7, "kept"), (None, "unreferenced"),
+    ], key=lambda r: [(v is None, str(v)) for v in r])

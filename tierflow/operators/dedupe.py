@@ -90,18 +90,15 @@ def tag_by_max(
     """
     if null_keys not in ("keep", "drop"):
         raise ValueError(f"null_keys must be 'keep' or 'drop', not {null_keys!r}")
-    keep = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.max(id_col).alias(id_col))
-        .select(id_col)
-        .distinct()
-        .withColumn("_keep", F.lit(True))
+    keep = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(id_col).alias(id_col)).select(
+        id_col, F.lit(True).alias("_keep"), F.lit(None).cast("boolean").alias("_used")
     )
-    used = child.select(F.col(child_id).alias(id_col)).distinct().withColumn("_used", F.lit(True))
+    used = child.select(F.col(child_id).try_cast(df.schema[id_col].dataType).alias(id_col), F.lit(None).cast("boolean").alias("_keep"), F.lit(True).alias("_used"))
+    # Both kinds of ids as one row per id: a task holds these marks of its part, and the rows only stream by, unsorted.
+    marks = keep.unionByName(used).filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("_keep").alias("_keep"), F.max("_used").alias("_used"))
     kept = F.col("_keep").isNotNull()
     if null_keys == "keep":
         kept = kept | F.col(key).isNull()
     tag = F.when(kept, "kept").when(F.col("_used").isNotNull(), "referenced").otherwise("unreferenced")
-    joined = df.join(keep, id_col, "left").join(used, id_col, "left")
+    joined = df.join(marks.hint("shuffle_hash"), id_col, "left")
     return joined.withColumn("disposition", tag).select(*df.columns, "disposition")
