@@ -54,3 +54,15 @@ def test_update_listed(rows):
     done = repair.update_listed(target, "e", keys, "Email", {"b": F.lit("new")})
     assert values(done.updated) == [(" a@x", "new"), ("b@x", "old"), (None, "old")]
     assert values(done.unmatched) == [("zz",)]
+
+
+def test_deletes_hold_the_list_not_the_rows(rows, monkeypatch):
+    table, ids = rows("id int", *[(i % 7,) for i in range(30)], (None,)), rows("id string", ("1",), ("1",), ("6",), ("x",), (None,))
+    for limit, join in ((repair.BROADCAST_BYTES, "BroadcastHashJoin"), (0, "ShuffledHashJoin")):
+        monkeypatch.setattr(repair, "BROADCAST_BYTES", limit)
+        got = repair.delete_listed(table, "id", ids, "id")
+        for part in (got.kept, got.removed):
+            plan = part._jdf.queryExecution().executedPlan().toString()
+            assert join in plan and "SortMergeJoin" not in plan
+        assert values(got.removed, "id") == sorted((i % 7,) for i in range(30) if i % 7 in (1, 6))
+        assert got.kept.count() == 31 - got.removed.count()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import stripped
 from .merge import update_where
+from .sizing import BROADCAST_BYTES, measured_bytes
 
 
 @dataclass(frozen=True)
@@ -118,7 +119,9 @@ def delete_listed(
         return c if normalise is None else normalise(c)
 
     # The list takes the column's type, so an id can meet its text form without a failing cast.
-    keys = listed.select(F.col(listed_col).try_cast(df.schema[column].dataType).alias("_listed"))
+    keys = listed.select(F.col(listed_col).try_cast(df.schema[column].dataType).alias("_listed")).filter("_listed is not null")
+    # A task holds listed values only, those of its part if they don't fit a broadcast; the rows stream by, unsorted.
+    keys = F.broadcast(keys) if measured_bytes(keys) <= BROADCAST_BYTES else keys.distinct().hint("shuffle_hash")
     eligible = df if condition is None else df.filter(F.coalesce(condition, F.lit(False)))
     test = value(F.col(column)) == F.col("_listed")
     kept = eligible.join(keys, test, "left_anti")
