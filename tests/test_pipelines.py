@@ -169,6 +169,21 @@ def test_attendance_ranges(world):
     assert values(merged, "student_id", "session_id", "course_name") == [(1, 20, "BSc")]
 
 
+def test_subjects_are_grouped_once(rows):
+    study = [(1, 1, [1, 2, 1, None], 1, None), (1, 1, [1, 2, 1, None], 1, None), (1, 1, [2, 9], 2, 1), (1, 2, [9], 1, 1), (2, 3, [1], 1, 1), (2, 1, [1], 7, 7)]
+    got = enrich.subject_profile(
+        rows("student_id int, education_course_id int, subject_id array<int>, college_id int, university_id int", *study),
+        rows("id int, education_category string, subject_area string, sub_field string", (1, "c", "x", None), (2, "b", "x", "f")),
+        rows("course_id int, course_name string", (1, "BSc"), (2, "BA")),
+        rows("college_id int, standard_college_names string", (1, "k"), (2, "k")),
+        rows("university_id int, standard_university_names string", (1, "u")),
+    )
+    assert values(got, "student_id", "education_category", "subject_areas", "sub_fields_list", "course_name", "college_name", "university_name") == [
+        (1, "b, c", "x", "f", "BSc", "k", "u"), (1, "b, c", "x", "f", "BSc", "k", None), (2, "c", "x", None, "BSc", None, None),
+    ]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+
+
 def test_reports(world):
     facts = enrich.final_assignment(assignments(world), world["resource"], profile(world))
     merged = enrich.merged("final_assignment", facts.limit(0), facts)

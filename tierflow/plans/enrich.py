@@ -33,10 +33,9 @@ def subject_profile(
     Lists and places come from one grouping: places are collected as a set of structs (a student has
     few per course) and listed again, in place of a second distinct and a join.
     """
-    # Ids first: equal combinations are cut inside map tasks, so look-ups meet a small rest.
-    ids = unnest(
-        education.select("student_id", "education_course_id", "subject_id", "college_id", "university_id"), "subject_id", "_subject_id"
-    ).distinct()
+    # The sets of the one grouping below drop equal combinations, so these travel once, to their subject if it does not fit a broadcast.
+    ids = unnest(education.select("student_id", "education_course_id", "subject_id", "college_id", "university_id"), "subject_id", "_subject_id")
+    ids = ids.drop("subject_id")
     mapped = (
         ids.join(broadcast_if_small(subjects), F.col("_subject_id") == subjects["id"])
         .join(broadcast_if_small(courses.select("course_id", "course_name")), F.col("education_course_id") == F.col("course_id"))
