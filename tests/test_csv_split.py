@@ -82,3 +82,10 @@ def test_paths_with_odd_characters(spark, tmp_path):
     for f in files:
         assert csv_files.read_csv(spark, f.path).count() == csv_files.read_csv(spark, f.path, multi_line="split").count() == 1
         assert [g.path for g in csv_files.csv_files_at(spark, [(f.path, f.modified)])] == [f.path]
+
+
+def test_blocks_grow_with_the_files():
+    from tierflow.workload.store_queries import SPLIT_BLOCKS, split_block
+
+    assert split_block([10, 20]) == split_block([]) == 64 << 10
+    assert all(sum(n) / split_block(n) < SPLIT_BLOCKS + 1 for n in ([360 << 20], [1 << 30] * 3, [5 << 20] * 400))
