@@ -284,6 +284,52 @@ def test_large_families_are_linked_by_their_only_link(rows):
     assert got == {i: find(i) for i in got}
 
 
+def test_bands_of_the_fingerprint_key_shards(rows, monkeypatch):
+    # No two texts share a minimal hash, so that only the fingerprint's own shards bring near copies together.
+    monkeypatch.setattr(simhash_trees, "shard_keys", lambda hashes: hashes[-1:] if hashes.size else np.zeros(1, np.uint64))
+    monkeypatch.setattr(simhash_trees, "shingle_hashes", lambda text, k: np.arange(2000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(int(text)))
+    monkeypatch.setattr(simhash_trees, "_similar", lambda links, *_: links)
+    monkeypatch.setattr(simhash_trees, "majority", lambda hashes: 7 if hashes.min() % 2 else 5 << 40)
+    data = [(i, str(i)) for i in range(1, 5)]
+    got = dict(values(simhash_trees.near_duplicates(rows("doc_id long, text string", *data)), "doc_id", "component_id"))
+    prints = {i: min(int(x) for x in np.arange(2000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(i)) % 2 for i in got}
+    assert got == {i: min(j for j in prints if prints[j] == prints[i]) for i in got}
+
+
+def test_rows_of_near_duplicates_grow_with_texts_not_pairs(rows, monkeypatch):
+    # A family in which every pair is close, though none is at 0.8: no table may hold its pairs.
+    base, n = prose(900, 300).split(), 80
+    data = [(i, " ".join([*base[:100], *prose(901 + i, 40).split(), *base[140:]])) for i in range(n)]
+    assert 0.6 < jaccard(data[0][1], data[1][1]) < 0.8
+    written, stored = {}, simhash_trees.stored
+
+    def counted(df, label):
+        out = stored(df, label)
+        written[label] = max(written.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(simhash_trees, "stored", counted)
+    got = dict(values(simhash_trees.near_duplicates(rows("doc_id long, text string", *data)), "doc_id", "component_id"))
+    assert got == {i: i for i in range(n)}
+    assert max(written.values()) <= simhash_trees.BINS // simhash_trees.PER_KEY * n, written
+
+
+def test_links_within_a_shard_agree_with_brute_force():
+    r = np.random.default_rng(4)
+    base = r.integers(0, 1 << 32, 60, dtype=np.uint32)
+    sets = [np.unique(np.concatenate((base[r.random(60) < 0.93], r.integers(0, 1 << 32, r.integers(0, 9), dtype=np.uint32)))) for _ in range(70)]
+    n = len(sets)
+    want = [(i, j) for i in range(n) for j in range(i) if len(x := np.intersect1d(sets[i], sets[j])) >= 0.8 * (len(sets[i]) + len(sets[j]) - len(x))]
+    for side in (np.zeros(n, np.int8), np.array([0] * 50 + [1] * 20, np.int8), np.array([1] * 35 + [2] * 35, np.int8)):
+        groups, brute = simhash_trees._Groups(n), simhash_trees._Groups(n)
+        links = simhash_trees.set_links(side, np.zeros(n, np.uint64), np.arange(n), [s.view(np.int32) for s in sets], 25, 0.8)
+        assert all(groups.join(i, j) for i, j in links) and {tuple(sorted(x, reverse=True)) for x in links} <= set(want)
+        for i, j in want:
+            if (side[i] != 1 and side[j] != 2) or (side[j] != 1 and side[i] != 2):
+                brute.join(i, j)
+        assert [groups.find(i) for i in range(n)] == [brute.find(i) for i in range(n)]
+
+
 def test_one_row_stays_per_group(rows):
     df = rows("doc_id long, text string, n string", (2, "a b", "x"), (1, "a b", "y"), (1, "a b", "y"), (3, "c", "z"), (None, None, "n"))
     kept = simhash_trees.one_per_group(df, simhash_trees.near_duplicates(df))

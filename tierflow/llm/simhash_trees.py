@@ -11,12 +11,11 @@ than ``SHARD_NODES`` fingerprints is dealt again by the bands of its other bits;
 into chunks, and the tree of each chunk is searched by each chunk in a task of its own. A shard returns at
 most one link per node (a spanning forest of its links), never all pairs, and no link between components is lost.
 
-``near_duplicates`` serves a stated similarity of shingle sets in place of a radius. At a similarity of 0.8 some
-ten bits differ, for which bands of the fingerprint would be too short; shards are then keyed by groups of
-minimal shingle hashes instead, trees are searched with the wide radius, and links are checked on whole sets. As a
-proposed link may fail that check, each fingerprint also proposes the few closest ones of every tree it is in; those
-are checked where their ends are still apart. Then rounds follow in which each node proposes ever more of the nodes
-outside its own component, until none has any left that was not proposed.
+``near_duplicates`` serves a stated similarity of shingle sets in place of a radius. It begins with the same shards and trees
+at ``RADIUS``. At a similarity of 0.8 some ten bits differ, which bands of the fingerprint cannot reach; so further shards, keyed by groups
+of minimal shingle hashes, are searched with a wide radius. Links are checked on whole sets. A search names the nodes that have
+a candidate outside their component, and only these meet again with their sets, in the task that owns the shard: it
+checks every candidate pair whose ends are still apart there and returns a spanning forest, so rows grow with nodes, never with pairs.
 
 Edge cases: a NULL or word-less text has fingerprint zero and is linked like any other. A NULL document id
 takes part in links but never names a component, unless all ids of the component are NULL. Repeated rows are
@@ -37,6 +36,8 @@ from tierflow.llm.common import give_back, small_batches, stored
 from tierflow.llm.components import components
 
 SEED = 42
+#: Differing bits of linked fingerprints.
+RADIUS = 3
 #: Fingerprints in one tree; beyond it a shard is dealt again, then cut into chunks.
 SHARD_NODES = 16_384
 #: Up to this size a tree is walked node by node, beyond it by arrays of searches.
@@ -185,37 +186,72 @@ def shard_links(prints: np.ndarray, nodes: np.ndarray, side: np.ndarray, radius:
     return [(named[i], named[j], extra) for pairs, extra in ((forest, False), (more, True)) for i, j in pairs]
 
 
-def nearest_outside(
-    prints: np.ndarray, roots: np.ndarray, sizes: np.ndarray, least: np.ndarray, in_tree: np.ndarray, searches: np.ndarray,
-    radius: int, similarity: float, n: int,
-) -> tuple[list[tuple[int, int]], list[int]]:
-    """Links of each search to its ``n`` closest nodes of other components, and the searches that have more than these.
-
-    Left out are nodes whose sets cannot share enough, by their sizes or by the least hashes of both.
-    """
-    met: dict[int, list[tuple[int, int]]] = {}
+def within(prints: np.ndarray, in_tree: np.ndarray, searches: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each node of the tree with the searches that it answers; all searches go down together."""
     stack = [(in_tree, searches)]
     while stack:
         members, asking = stack.pop()
         node, members = int(members[0]), members[1:]
         distance = np.bitwise_count(prints[asking] ^ prints[node])
-        near = (distance <= radius) & (roots[asking] != roots[node])
-        near &= np.minimum(sizes[asking], sizes[node]) >= similarity * np.maximum(sizes[asking], sizes[node])
-        at = np.flatnonzero(near)
-        at = at[may_share(least[asking[at]], sizes[asking[at]], least[node], int(sizes[node]))]
-        for d, i in zip(distance[at].tolist(), asking[at].tolist()):
-            found = met.setdefault(i, [])
-            found.append((d, node))
-            if len(found) > 4 * n + 16:  # one beyond the n closest tells that there are more
-                found.sort()
-                del found[n + 1 :]
+        yield node, asking[distance <= radius]
         if members.size:
             edge = np.bitwise_count(prints[members] ^ prints[node])
             for e in np.unique(edge).tolist():
                 entering = asking[np.abs(distance.astype(np.int16) - e) <= radius]
                 if entering.size:
                     stack.append((members[edge == e], entering))
-    return [(i, j) for i, found in met.items() for _, j in sorted(found)[:n]], [i for i, found in met.items() if len(found) > n]
+
+
+def with_candidates(
+    side: np.ndarray, prints: np.ndarray, roots: np.ndarray, sizes: np.ndarray, least: np.ndarray, radius: int, similarity: float
+) -> np.ndarray:
+    """The places that have another component's node within the radius whose set may share enough, by sizes and least hashes."""
+    places, found = np.arange(len(prints)), np.zeros(len(prints), bool)
+    for node, near in within(prints, places[side != 2], places[side != 1], radius):
+        near = near[roots[near] != roots[node]]
+        if found[node]:
+            near = near[~found[near]]
+        near = near[np.minimum(sizes[near], sizes[node]) >= similarity * np.maximum(sizes[near], sizes[node])]
+        near = near[may_share(least[near], sizes[near], least[node], int(sizes[node]))]
+        if near.size:
+            found[near] = found[node] = True
+    return np.flatnonzero(found)
+
+
+def set_links(
+    side: np.ndarray, prints: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float
+) -> list[tuple[int, int]]:
+    """Links between sets that share enough: as many as connect the components of one shard. ``roots`` is changed.
+
+    Every pair within the radius is checked on its whole sets, unless its ends are connected by then.
+    """
+    places, out = np.arange(len(prints)), []
+    sizes = np.array([len(x) for x in sets])
+    starts = np.cumsum(sizes) - sizes
+    hashes, member = np.unique(np.concatenate(sets), return_inverse=True)
+    member, marked = member.astype(np.int32), np.zeros(len(hashes), bool)
+    for node, near in within(prints, places[side != 2], places[side != 1], radius):
+        # A pair of which both are in the tree and search is met twice.
+        near = near[(roots[near] != roots[node]) & ((side[near] != side[node]) | (near > node)) & (sizes[near] > 0)]
+        near = near[np.minimum(sizes[near], sizes[node]) >= similarity * np.maximum(sizes[near], sizes[node])]
+        if not near.size:
+            continue
+        own = member[starts[node] : starts[node] + sizes[node]]
+        marked[own] = True
+        ends = np.cumsum(sizes[near])
+        for part in np.split(near, np.flatnonzero(np.diff(ends // CHECKED_AT_ONCE)) + 1):
+            part = part[roots[part] != roots[node]]
+            if not part.size:
+                continue
+            first = np.cumsum(sizes[part]) - sizes[part]
+            at = np.arange(sizes[part].sum()) + np.repeat(starts[part] - first, sizes[part])
+            shared = np.add.reduceat(marked[member[at]], first, dtype=np.int64)
+            for other in part[shared >= similarity * (sizes[part] + sizes[node] - shared)].tolist():
+                if roots[other] != roots[node]:
+                    out.append((node, other))
+                    roots[roots == roots[other]] = roots[node]
+        marked[own] = False
+    return out
 
 
 def may_share(rows: np.ndarray, sizes: np.ndarray, one: np.ndarray, size: int) -> np.ndarray:
@@ -234,7 +270,7 @@ def may_share(rows: np.ndarray, sizes: np.ndarray, one: np.ndarray, size: int) -
     return 2 * shared >= in_rows.sum(axis=1) + in_one.sum(axis=1) - shared
 
 
-def _dealt(shards: DataFrame, bits: int, bands: int) -> DataFrame:
+def _dealt(shards: DataFrame, bits: int, bands: int, node: str = "print") -> DataFrame:
     """Each row once per band of its remaining ``bits``; that band joins the shard's key and leaves the rest."""
     rest, options, low = F.col("rest"), [], 0
     for b in range(bands):
@@ -245,12 +281,14 @@ def _dealt(shards: DataFrame, bits: int, bands: int) -> DataFrame:
         key: Column = F.xxhash64("shard", F.lit(b), value)
         options.append(F.struct(key.alias("shard"), above.bitwiseOR(below).alias("rest")))
         low += width
-    return shards.select("print", F.explode(F.array(*options)).alias("s")).select("s.shard", "s.rest", "print", F.col("print").alias("node"))
+    rows = shards.select("print", F.col(node).alias("node"), F.explode(F.array(*options)).alias("s"))
+    return rows.select("s.shard", "s.rest", "print", "node")
 
 
-def _split_hot(shards: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of shards up to the limit, and of larger ones with their size."""
-    sizes = stored(shards.groupBy("shard").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > limit), "hot-shards")
+def _split_hot(shards: DataFrame, limit: int, size: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows of shards up to the limit, and of larger ones with their size: rows, unless another total is given."""
+    size = F.count(F.lit(1)) if size is None else size
+    sizes = stored(shards.groupBy("shard").agg(size.alias("size")).where(F.col("size") > limit), "hot-shards")
     return shards.join(sizes, "shard", "left_anti"), shards.join(sizes, "shard")
 
 
@@ -303,7 +341,7 @@ def _chunked(hot: DataFrame, limit: int) -> DataFrame:
     return rows.select(key.alias("shard"), side.cast("byte").alias("side"), "print", "node")
 
 
-def linked(prints: DataFrame, radius: int = 3, shard_nodes: int = SHARD_NODES) -> DataFrame:
+def linked(prints: DataFrame, radius: int = RADIUS, shard_nodes: int = SHARD_NODES) -> DataFrame:
     """Distinct fingerprints (print long) to (node, root) of those with a link to another. Runs jobs."""
     bands = radius + 1
     whole = prints.select(F.lit(0).cast("long").alias("shard"), F.col("print").alias("rest"), "print")
@@ -318,7 +356,7 @@ def linked(prints: DataFrame, radius: int = 3, shard_nodes: int = SHARD_NODES) -
 
 
 def near_groups(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, shingle_words: int = 3,
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle_words: int = 3,
     shard_nodes: int = SHARD_NODES,
 ) -> DataFrame:
     """(id, fingerprint long, component_id) per row: the least id reachable over links. Runs jobs."""
@@ -348,8 +386,10 @@ def shard_keys(hashes: np.ndarray) -> np.ndarray:
     return keys
 
 
-#: Least hashes that a node carries into the rounds; closest nodes proposed in the first of them, and growth from one to the next.
-LEAST, FIRST_ROUND, GROWTH = 32, 8, 4
+#: Least hashes that a node carries into the search.
+LEAST = 32
+#: Shingle hashes that count as one node of a shard's size, and those compared with one set at once.
+HASHES_A_NODE, CHECKED_AT_ONCE = 256, 1 << 20
 
 
 def least_hashes(distinct: np.ndarray) -> bytes:
@@ -358,46 +398,69 @@ def least_hashes(distinct: np.ndarray) -> bytes:
     return np.concatenate((least, np.full(LEAST - len(least), 0xFFFFFFFF, np.uint32))).tobytes()
 
 
-def _outside(shards: DataFrame, radius: int, similarity: float, n: int) -> DataFrame:
-    """Rows (shard, side, print, node, size, least, root) to links (u, v), and (shard, u, NULL) of a node with more than ``n``."""
+def _by_shard(batches: Iterator[pa.RecordBatch], read) -> Iterator[tuple[int, list[tuple]]]:
+    """(shard, pieces of each column) from rows in the order of shards. ``read``: a batch to its columns."""
+    current, parts = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, columns = batch.column(0).to_numpy(), read(batch)
+        cuts = (np.flatnonzero(np.diff(keys)) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, len(keys)]):
+            if parts and keys[a] != current:
+                yield int(current), list(zip(*parts))
+                parts = []
+            current = keys[a]
+            parts.append([c[a:b] for c in columns])
+    if parts:
+        yield int(current), list(zip(*parts))
+
+
+def _in_shards(shards: DataFrame) -> DataFrame:
+    return shards.repartition("shard").sortWithinPartitions("shard", "print", "node")
+
+
+def _open_nodes(shards: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """Of rows (shard, side, print, node, root, size, least) those that ``with_candidates`` finds, without size and least."""
+
+    def read(batch: pa.RecordBatch) -> list[np.ndarray]:
+        least = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint32).reshape(-1, LEAST)
+        return [*(batch.column(i).to_numpy() for i in range(1, 6)), least]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, parts = None, []
+        for shard, columns in _by_shard(batches, read):
+            side, prints, nodes, roots, sizes, least = map(np.concatenate, columns)
+            if (side != 2).any() and (side != 1).any() and (roots != roots[0]).any():
+                at = with_candidates(side, prints.view(np.uint64), roots, sizes, least, radius, similarity)
+                if at.size:
+                    arrays = [np.full(len(at), shard), side[at], prints[at], nodes[at], roots[at]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["shard", "side", "print", "node", "root"])
+        give_back()
 
-        def flush() -> list[tuple]:
-            side, prints, nodes, sizes, least, roots = (np.concatenate(x) for x in zip(*parts))
-            places = np.arange(len(nodes))
-            tree, asking = places[side != 2], places[side != 1]
-            if not tree.size or not asking.size or (roots == roots[0]).all():
-                return []
-            links, more = nearest_outside(prints, roots, sizes, least, tree, asking, radius, similarity, n)
-            return [(None, int(nodes[i]), int(nodes[j])) for i, j in links] + [(int(current), int(nodes[i]), None) for i in more]
+    rows = _in_shards(shards.select("shard", "side", "print", "node", "root", "size", "least"))
+    return rows.mapInArrow(run, "shard long, side byte, print long, node long, root long")
 
-        def answer(rows: list[tuple]) -> pa.RecordBatch:
-            columns = zip(*rows) if rows else ([], [], [])
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["shard", "u", "v"])
 
-        for batch in batches:
-            keys, rows = batch.column(0).to_numpy(), []
-            columns = [
-                batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64), batch.column(3).to_numpy(), batch.column(4).to_numpy(),
-                np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint32).reshape(-1, LEAST), batch.column(6).to_numpy(),
-            ]
-            cuts = np.flatnonzero(np.diff(keys)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
-                if a == b:
-                    continue
-                if keys[a] != current:
-                    rows += flush() if parts else []
-                    current, parts = keys[a], []
-                parts.append([c[a:b] for c in columns])
-            yield answer(rows)
-        yield answer(flush() if parts else [])
-        current, parts = None, []
+def _set_links(shards: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """Rows (shard, side, print, node, root, part) to the links (u, v) of ``set_links``."""
+
+    def read(batch: pa.RecordBatch) -> list:
+        part = batch.column(5)
+        ends, values = part.offsets.to_numpy(), part.values.to_numpy()
+        return [*(batch.column(i).to_numpy() for i in range(1, 5)), [values[a:b] for a, b in zip(ends, ends[1:])]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, columns in _by_shard(batches, read):
+            side, prints, nodes, roots = map(np.concatenate, columns[:4])
+            sets = [x for piece in columns[4] for x in piece]
+            if (side != 2).any() and (side != 1).any():
+                links = set_links(side, prints.view(np.uint64), roots, sets, radius, similarity)
+                if links:
+                    u, v = np.array(links).T
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes[u]), pa.array(nodes[v])], ["u", "v"])
         give_back()
 
-    dealt = shards.select("shard", "side", "print", "node", "size", "least", "root").repartition("shard").sortWithinPartitions("shard", "print", "node")
-    return dealt.mapInArrow(run, "shard long, u long, v long")
+    return _in_shards(shards.select("shard", "side", "print", "node", "root", "part")).mapInArrow(run, "u long, v long")
 
 
 def _undirected(links: DataFrame) -> DataFrame:
@@ -437,79 +500,56 @@ def near_duplicates(
     longs = [T.StructField(n, T.LongType()) for n in ("fingerprint", "node", "size")]
     schema = T.StructType([df.schema[id_col], *longs, T.StructField("least", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))])
     docs = stored(df.select(id_col, text_col).mapInArrow(sketch, schema), "sketches")
-    firsts = stored(docs.groupBy("node").agg(F.min(id_col).alias("first_id")), "nodes")
-    shards = stored(docs.select(F.explode("keys").alias("shard"), F.col("fingerprint").alias("print"), "node").distinct(), "shards")
-    small, hot = _split_hot(shards, shard_nodes)
-    dealt = _plain(small).unionByName(_chunked(hot, shard_nodes))
-    proposed = stored(
-        _links(dealt, radius, nearest=True)
-        .groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.min("more").alias("more")),
-        "proposed",
-    )
-
-    def checked(links: DataFrame) -> DataFrame:
-        return stored(_similar(stored(links, "links"), df, docs, id_col, text_col, shingle_words, similarity), "checked")
-
-    # The links that connect the trees first; then the others only where their ends are still apart.
-    sure = checked(proposed.where(~F.col("more")).select("u", "v"))
+    of_node = [F.first(c).alias(c) for c in ("fingerprint", "size", "least", "keys")]
+    nodes = stored(docs.groupBy("node").agg(F.min(id_col).alias("first_id"), *of_node).withColumnRenamed("fingerprint", "print"), "nodes")
+
+    # Fingerprints within the narrow radius: no such link is lost by their bands.
+    whole = nodes.select(F.lit(0).cast("long").alias("shard"), F.col("print").alias("rest"), "print", "node")
+    banded = stored(_dealt(whole, 64, RADIUS + 1, "node").drop("rest"), "bands")
+    small, hot = _split_hot(banded, shard_nodes)
+    close = stored(_undirected(_links(_plain(small).unionByName(_chunked(hot, shard_nodes)), RADIUS)), "links")
+    sure = stored(_similar(close, df, docs, id_col, text_col, shingle_words, similarity), "checked")
     roots = stored(components(sure), "roots")
-    open_links = proposed.where("more")
-    for end in ("u", "v"):
-        side = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
-        open_links = open_links.join(side, end, "left")
-    apart = stored(open_links.where(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v"), "apart")
-    found, seen = sure.unionByName(checked(apart)), proposed.where(~F.col("more")).select("u", "v").unionByName(apart)
-    roots = stored(components(found), "roots")
-
-    # Rounds until no node has another left outside its component that was not proposed. A shard of one node has none, and
-    # a node whose list was whole in a shard does not ask there again.
-    sets = stored(docs.groupBy("node").agg(F.first("size").alias("size"), F.first("least").alias("least")), "sets")
-    several = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shard")
-    dealt, n = stored(dealt.join(several.hint("merge"), "shard", "left_semi"), "dealt"), FIRST_ROUND
-    while True:
-        named = dealt.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        split = named.groupBy("shard").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("shard")
-        asked = stored(named, "named").join(stored(split, "split"), "shard", "left_semi").join(sets.hint("merge"), "node")
-        answers = stored(_outside(asked, radius, similarity, n), "outside")
-        fresh = stored(_undirected(answers.where("v IS NOT NULL")).join(seen, ["u", "v"], "left_anti"), "fresh")
-        more = answers.where("v IS NULL").select("shard", F.col("u").alias("node"), F.lit(True).alias("open"))
-        if not fresh.isEmpty():
-            found, seen = found.unionByName(checked(fresh)), seen.unionByName(fresh)
-            roots = stored(components(found), "roots")
-        if more.isEmpty():
-            break
-        # The others stay in the trees of the shards where someone asks on.
-        dealt = stored(
-            dealt.join(more.select("shard").distinct(), "shard", "left_semi").join(more, ["shard", "node"], "left")
-            .where("open OR side <> 2").withColumn("side", F.when(F.col("open"), F.col("side")).otherwise(1).cast("byte")).drop("open"),
-            "dealt",
-        )
-        n *= GROWTH
-    found = roots
-    return _classes(docs.select(id_col, "fingerprint", "node"), firsts, found, id_col)
+
+    # Beyond it shards of minimal hashes, where several components meet; a shard with large sets is cut into more chunks.
+    shards = stored(nodes.select(F.explode("keys").alias("shard"), "print", "node", F.col("size").alias("hashes")), "shards")
+    held = F.greatest(F.count(F.lit(1)), F.ceil(F.sum("hashes") / F.lit(HASHES_A_NODE)))
+    small, hot = _split_hot(shards, shard_nodes, held)
+    dealt = _plain(small).unionByName(_chunked(hot, shard_nodes))
+    named = stored(dealt.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node")), "named")
+    split = named.groupBy("shard").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("shard")
+    asked = named.join(split.hint("merge"), "shard", "left_semi").join(nodes.select("node", "size", "least").hint("merge"), "node")
+    apart = stored(_open_nodes(asked, radius, similarity), "open")
+    sets = _sets(apart.select("node").distinct(), df, docs, id_col, text_col, shingle_words)
+    more = stored(_set_links(apart.join(sets.hint("merge"), "node"), radius, similarity), "more")
+    return _classes(docs.select(id_col, "fingerprint", "node"), nodes, components(sure.unionByName(more)), id_col)
 
 
-def _similar(
-    links: DataFrame, df: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float
-) -> DataFrame:
-    """Those links (u, v) whose shingle sets share enough. The set of a node is that of its first text."""
+def _sets(nodes: DataFrame, df: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
+    """(node, part): the shingle set of each node's first text, as hashes of 32 bits. Runs a job."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = [np.unique(shingle_hashes(t, shingle_words)) for t in batch.column(0).to_pylist()]
-            nodes = np.array([set_hash(h) for h in hashes], np.uint64).view(np.int64)
+            named = np.array([set_hash(h) for h in hashes], np.uint64).view(np.int64)
             parts = [np.unique((h >> np.uint64(32)).astype(np.uint32)).view(np.int32) for h in hashes]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(parts, pa.list_(pa.int32()))], ["node", "part"])
+            yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(parts, pa.list_(pa.int32()))], ["node", "part"])
         give_back()
 
-    ends = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node"))).distinct()
-    asked = stored(
-        docs.join(ends, "node").groupBy("node").agg(F.min(id_col).alias("__id")).select("__id").distinct(), "asked"
-    )
-    of_node = stored(
-        df.join(asked, df[id_col].eqNullSafe(asked["__id"]), "left_semi").select(text_col).mapInArrow(sets, "node long, part array<int>")
-        .groupBy("node").agg(F.max("part").alias("part")), "shingle-sets"
+    asked = stored(docs.join(nodes, "node").groupBy("node").agg(F.min(id_col).alias("__id")).select("__id").distinct(), "asked")
+    texts = df.join(asked, df[id_col].eqNullSafe(asked["__id"]), "left_semi").select(text_col)
+    return stored(
+        texts.mapInArrow(sets, "node long, part array<int>").groupBy("node").agg(F.max("part").alias("part")).join(nodes, "node", "left_semi"),
+        "shingle-sets",
     )
+
+
+def _similar(
+    links: DataFrame, df: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float
+) -> DataFrame:
+    """Those links (u, v) whose shingle sets share enough. The set of a node is that of its first text."""
+    ends = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node"))).distinct()
+    of_node = _sets(ends, df, docs, id_col, text_col, shingle_words)
     both = links.join(of_node.select(F.col("node").alias("u"), F.col("part").alias("a")), "u").join(
         of_node.select(F.col("node").alias("v"), F.col("part").alias("b")), "v"
     )
