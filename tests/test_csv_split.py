@@ -89,3 +89,25 @@ def test_blocks_grow_with_the_files():
 
     assert split_block([10, 20]) == split_block([]) == 64 << 10
     assert all(sum(n) / split_block(n) < SPLIT_BLOCKS + 1 for n in ([360 << 20], [1 << 30] * 3, [5 << 20] * 400))
+
+
+@pytest.mark.parametrize("end,size", [("\n", 41), ("\r\n", 64), ("\n", 10**6)])
+def test_files_of_one_line_records_stay_with_the_line_reader(spark, tmp_path, small_blocks, end, size):
+    r = random.Random(size)
+    some = ["plain", "", 'say "hi"', '"', "x,y;z", "é ü", "  pad ", "\t"]
+    data = [[str(i), r.choice(some), r.choice(some)] for i in range(70)]
+    written(tmp_path / "a.csv", [["id", "b", "c"], *data[:40], [], *data[40:]], end)
+    small_blocks(size)
+    split = csv_files.read_csv(spark, str(tmp_path / "a.csv"), multi_line="split")
+    whole = csv_files.read_csv(spark, str(tmp_path / "a.csv"))
+    got = [tuple(x)[:3] for x in split.orderBy(csv_files.SEQ).collect()]
+    assert got == [tuple(x)[:3] for x in whole.orderBy(csv_files.SEQ).collect()] and len(got) == 70
+    assert "MapInArrow" not in split._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("body,lines", [
+    (b'1,"a"\n2,b\n', True), (b"1,a\r\n2,b\r\n", True), (b"1,a\n\n  \n2,b\n", True), (b'1,"a\nb"\n', False), (b'1,"a\rb"\n', False), (b"1,a\n\t\n2,b\n", False),
+])
+def test_line_records_are_told_by_all_lines(spark, tmp_path, body, lines):
+    (tmp_path / "a.csv").write_bytes(b"id,b\n" + body)
+    assert csv_split.line_records(spark, [str(tmp_path / "a.csv")]) == lines

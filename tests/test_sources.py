@@ -198,3 +198,20 @@ def test_publish_of_no_rows(spark, rows, tmp_path):
     store = tables.LayerStore(spark, str(tmp_path))
     assert store.publish("landing", "t", rows("k int")).rows == 0
     assert store.read("landing", "t").count() == 0
+
+
+def test_feeds_of_many_headers_are_combined_by_plain_aggregates(spark):
+    from tierflow.plans.landing import combined_feed
+    from tierflow.sources.csv_files import SEQ, Feed
+
+    # Seventy assignment feeds: each brings a column of its own, and its place in the order.
+    feeds = []
+    for n in range(70):
+        df = spark.createDataFrame([("s1", "a1", "d1", f"v{n}", f"w{n}")], f"Email string, assignment_id string, submitted_at string, own{n % 35} string, all string")
+        feeds.append(Feed("assignment", df.selectExpr("*", f"struct({n} as row) as {SEQ}"), ()))
+    rows = combined_feed(feeds)
+    assert "collect_set" not in rows._jdf.queryExecution().toString()
+    keys = ("Email", "assignment_id", "submitted_at")
+    got = rows.collect()
+    assert len(got) == 1 and got[0]["all"] == "w69" and [got[0][f"own{i}"] for i in range(35)] == [f"v{i + 35}" for i in range(35)]
+    assert sorted(got[0]["_has"]) == sorted(c for c in rows.columns if c not in (*keys, "_has"))

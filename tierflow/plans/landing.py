@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +28,8 @@ FEED_UPDATES = {
     "session": ["Duration_in_hrs", "Duration_in_secs", "watched_on"],
 }
 LIVE_SESSION_SECONDS = 3600
+#: Feeds whose bits one whole number holds.
+_BITS = 63
 
 
 def feed_columns(feed: Feed) -> list[str]:
@@ -54,16 +57,32 @@ def combined_feed(feeds: list[Feed]) -> DataFrame:
     ``_has`` lists the columns that some file of the key brought, so a merge leaves the others alone.
     """
     keys = MERGE_KEYS[FEED_TABLES[feeds[0].kind]]
-    parts, columns = [], []
-    for feed in feeds:
-        own = [c for c in feed_columns(feed) if c not in keys]
-        columns += [c for c in own if c not in columns]
-        parts.append(feed.rows.select(*keys, *own, SEQ, F.array(*map(F.lit, own)).cast("array<string>").alias("_has")))
+    owned = [[c for c in feed_columns(feed) if c not in keys] for feed in feeds]
+    columns = list(dict.fromkeys(c for own in owned for c in own))
+    # A row names its feed by number, and bits of a whole number tell which feeds brought a key: plain sums that map tasks combine.
+    parts = [feed.rows.select(*keys, *own, SEQ, F.lit(n).alias("_feed")) for n, (feed, own) in enumerate(zip(feeds, owned))]
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part, allowMissingColumns=True)
-    last = [F.max_by(F.struct(c), F.when(F.array_contains("_has", c), F.col(SEQ)))[c].alias(c) for c in columns]
-    return rows.groupBy(*keys).agg(*last, F.array_distinct(F.flatten(F.collect_set("_has"))).alias("_has"))
+    # Columns that the same feeds bring have their last values in the same row.
+    groups: dict[tuple[int, ...], list[str]] = {}
+    for c in columns:
+        groups.setdefault(tuple(n for n, own in enumerate(owned) if c in own), []).append(c)
+    last = [
+        F.max_by(F.struct(*together), F.col(SEQ) if len(having) == len(feeds) else F.when(F.col("_feed").isin(*having), F.col(SEQ))).alias(f"_last{i}")
+        for i, (having, together) in enumerate(groups.items())
+    ]
+    words = range(0, len(feeds), _BITS)
+    bits = [F.bit_or(F.when(F.col("_feed").between(w, w + _BITS - 1), F.expr(f"shiftleft(1L, _feed - {w})")).otherwise(0)).alias(f"_bits{w}") for w in words]
+    found = rows.groupBy(*keys).agg(*last, *bits)
+    place = {c: f"_last{i}" for i, together in enumerate(groups.values()) for c in together}
+
+    def brought(having: tuple[int, ...]) -> Column:
+        masks = {w: sum(1 << n - w for n in having if w <= n < w + _BITS) for w in words}
+        return reduce(lambda a, b: a | b, [F.col(f"_bits{w}").bitwiseAND(F.lit(m)) != 0 for w, m in masks.items() if m])
+
+    has = [F.when(brought(having), F.array(*map(F.lit, together))).otherwise(F.array().cast("array<string>")) for having, together in groups.items()]
+    return found.select(*keys, *[F.col(place[c])[c].alias(c) for c in columns], (F.concat(*has) if has else F.array().cast("array<string>")).alias("_has"))
 
 
 def merge_combined(target: DataFrame, rows: DataFrame, keys: list[str], mark_changes: bool = False) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import null_if_token
-from .csv_split import records
+from .csv_split import line_records, records
 
 SEQ = "_seq"
 _BOM = "﻿"
@@ -118,8 +118,8 @@ def read_csv(
 ) -> DataFrame:
     """Files with one and the same header as text columns plus the ``_seq`` order.
 
-    ``multi_line`` allows line breaks inside quotes: ``True`` reads a file in one task, ``"split"`` large files in many, with the same rows;
-    ``False`` is for files without such line breaks. ``_seq`` compares by file time, file name, position of the split and row.
+    ``multi_line`` allows line breaks inside quotes: ``True`` reads a file in one task, ``"split"`` large files in many, with the same rows,
+    after a job that looks at their quotes; ``False`` is for files without such line breaks. ``_seq`` compares by file time, file name, position of the split and row.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     first = spark.read.text(literal_path(paths[0])).first()
@@ -127,7 +127,9 @@ def read_csv(
     # The header gives the schema: inferring it would read a path with glob characters as a pattern.
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     if multi_line == "split":
-        return _read_split(spark, paths, schema, separator, encoding)
+        if not line_records(spark, [literal_path(p) for p in paths]):
+            return _read_split(spark, paths, schema, separator, encoding)
+        multi_line = False
     reader = spark.read.schema(schema).options(
         header=True, sep=separator, encoding=encoding, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE"
     )

@@ -34,6 +34,20 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return lines
 
 
+def line_records(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether Spark's own reader of lines finds the records of ``records``. Reads the files once, without decoding or moving their lines.
+
+    It does if no line opens or closes a record of several lines, no carriage return stands inside a line, where Spark would end it too, and
+    no line is of control characters only, which Spark takes for an empty one.
+    """
+    line = F.rtrim(F.col("value"), F.lit("\r"))
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+    odd = line.contains('"') & (quotes % 2 == 1)
+    bare = line.rlike("^[\\x00-\\x20]+$") & (F.trim(line) != "")
+    lines = spark.read.option("lineSep", "\n").text(paths)
+    return lines.filter(odd | line.contains("\r") | bare).isEmpty()
+
+
 def _block_states(lines: DataFrame) -> DataFrame:
     """(path, block, odd, opened): the state each block begins in, and how many long records were opened before it."""
     slim = lines.select("path", "block", F.regexp_count(F.decode("raw", "ISO-8859-1"), F.lit('"')).alias("quotes"))
