@@ -546,6 +546,32 @@ def test_rare_words_are_states_too(spark):
         assert score == pytest.approx(want)
 
 
+def test_words_and_pairs_travel_packed(spark, monkeypatch):
+    r = random.Random(10)
+    data = [(i, " ".join(r.choice("abcdefgh") + str(r.randrange(40)) for _ in range(r.randrange(80)))) for i in range(60)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    train, tables = F.col("doc_id") % 3 != 0, {}
+    want = values(backoff_automaton.scored(df, train))
+    write = backoff_automaton.stored
+    monkeypatch.setattr(backoff_automaton, "stored", lambda rows, label: tables.setdefault(label, write(rows, label)))
+    for name, size in (("PART_WORDS", 300), ("PART_PAIRS", 500), ("BLOCK_TOKENS", 400)):
+        monkeypatch.setattr(backoff_automaton, name, size, raising=False)
+    got = values(backoff_automaton.scored(df, train))
+    for g, w in zip(got, want, strict=True):  # whatever the blocks and parts
+        assert g[:4] == w[:4] and g[4:] == pytest.approx(w[4:])
+    # A row per block and part, not per word or pair of a block.
+    blocks, words, pairs = tables["blocks"].count(), tables["words"], tables["pairs"]
+    parts = words.select("part").distinct().count()
+    assert 3 < blocks < 12 and parts > 3 and words.count() <= blocks * parts
+    assert pairs.where("part is null").count() <= blocks * pairs.select("pair_part").distinct().count()
+
+
+def test_packed_numbers_come_back():
+    for some in ([], [0], [5, 5, 300, 70000], [1 << 40, 3, 1 << 62]):
+        for rising in (False, True):
+            assert backoff_automaton.unpacked(backoff_automaton.packed(np.array(some, np.int64), rising), rising).tolist() == some
+
+
 def test_scores_without_training(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert values(backoff_automaton.scored(df, F.lit(False))) == [(1, 3, 0, 0, 0.0, 0.0), (2, 1, 0, 0, 0.0, 0.0)]

@@ -7,13 +7,15 @@ left to right: the current state is carried, an arc or the failure arc plus a ro
 probabilities add up. Root arcs have add-one smoothed counts over all words of the corpus.
 
 Neither the words nor the arcs of a corpus have a bounded size, so no task and not the driver holds them all.
-Documents lie in blocks of ``BLOCK_ROWS`` rows; each block names the words and word pairs it contains together
-with its own counts, one shuffle by word (or pair) turns these into totals, and a second one brings each block
-the totals of what it contains. A block's automaton is thus the part of the whole one that its texts can reach. Words that make up
-``NUMBERED_SHARE`` of all training tokens or more, ``1 / NUMBERED_SHARE`` at most, have numbers that all tasks know, and pairs of
-two of them travel as one whole number; all other pairs travel as their two words. The share steers only that form, never the scores.
+Documents lie in blocks of ``BLOCK_ROWS`` rows or ``BLOCK_TOKENS`` tokens. A block numbers its words and keeps its texts as those numbers.
+It asks for its words and then for its word pairs: a row goes to each part of the words (pairs) with all that the block has
+there, in a fixed order and with the block's own counts. The part adds them up over all blocks and answers each row with totals in the
+same order, so a total is known by its place and neither words nor pairs travel back. Words seen ``MIN_COUNT`` times get
+whole numbers that hold for the corpus; a pair is asked for by the numbers of its words, which is exact, and pairs with another word
+are not asked for, since they cannot be seen often enough. Parts grow in number with the tokens, so what one holds is bounded.
+A block's automaton is thus the part of the whole one that its texts can reach.
 A caller may ask for a smaller model by ``state_share``: then only words of that share are states.
-Every word and pair has one row per block at most, so a very frequent one is never a large group.
+Every word and pair is in one row per block at most, so a very frequent one is never a large group.
 
 Edge cases: a NULL text is empty: one end token. Without training rows all probabilities are 1. Rows are scored one by
 one, repeated ids included. Words compare as bytes after A-Z became a-z. Other columns are ignored.
@@ -21,27 +23,31 @@ one, repeated ids included. Words compare as bytes after A-Z became a-z. Other c
 
 from __future__ import annotations
 
-from collections import Counter
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
-from math import log10
+from zlib import adler32, crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tierflow.llm.common import small_batches, stored
 
 #: The end of a text; no word holds a line break.
 END = b"\n"
-#: Between the words of a pair; no word holds it.
+#: Between the words of a list; no word holds it.
 GAP = b" "
 NUMBERED_SHARE, MIN_COUNT, DISCOUNT = 1e-5, 2, 0.75
-BLOCK_ROWS = 4096
-_SHIFT = 20  # bits of a word's number inside a pair's key; 1 / NUMBERED_SHARE stays below 2 ** 20
-_WIDE = 40  # the same inside a block, whose other words have numbers of their own
+BLOCK_ROWS, BLOCK_TOKENS = 4096, 1 << 21
+#: Words and pairs of all blocks that a part gets, on average.
+PART_WORDS, PART_PAIRS = 1 << 19, 1 << 21
+#: Numbers of words stay below it, so that a pair of them is one whole number of 63 bits.
+_MOST = 3_000_000_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -51,116 +57,284 @@ def tokens(text: str | None) -> list[bytes]:
     return out
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list | None, list | None]]:
-    """(block, train flags, texts) of runs of rows, then (block, None, None) after a block's last run."""
-    current = None
-    for batch in batches:
-        block = batch.column(0).to_numpy()
-        train, text = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
-        for a, b in zip(cuts, cuts[1:]):
-            if a < b:
-                if current is not None and block[a] != current:
-                    yield current, None, None
-                current = int(block[a])
-                yield current, train[a:b], text[a:b]
-    if current is not None:
-        yield current, None, None
+def _squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
-def _word_counts(blocked: DataFrame) -> DataFrame:
-    """(word, block, n): the words of each block and their training counts there."""
+def _spread(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
 
-    def run(batches):
-        seen: Counter = Counter()
-        for block, train, texts in _blocks(batches):
-            if texts is None:
-                n = len(seen)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(seen), pa.binary()), pa.array(np.full(n, block)), pa.array(list(seen.values()), pa.int64())],
-                    ["word", "block", "n"],
-                )
-                seen = Counter()
-                continue
-            for used, text in zip(train, texts):
-                if used:
-                    seen.update(tokens(text))
-                else:
-                    for w in tokens(text):
-                        if w not in seen:
-                            seen[w] = 0
-
-    return blocked.select("block", "train", "text").mapInArrow(run, "word binary, block long, n long")
-
-
-def _pair_counts(blocked: DataFrame, states, whole: bool) -> DataFrame:
-    """(pair, both, block, n): word pairs of each block, by numbers or as text, and their training counts there."""
+
+def packed(values: np.ndarray, rising: bool = False) -> bytes:
+    """Whole numbers from 0 on as compressed bytes, lowest bytes first; ``rising`` ones by their differences."""
+    values = np.asarray(values).astype(np.uint64)
+    if rising:
+        values = np.diff(values, prepend=np.uint64(0))  # modulo 2 ** 64, so any order comes back right
+    width = np.min_scalar_type(values.max(initial=0)).itemsize
+    planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + _squeezed(planes.tobytes())
+
+
+def unpacked(data: bytes, rising: bool = False) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(_spread(data[1:]), np.uint8).reshape(width, -1).T
+    values = np.ascontiguousarray(planes).view(f"<u{width}").ravel().astype(np.uint64)
+    return (np.cumsum(values, dtype=np.uint64) if rising else values).astype(np.int64)
+
+
+def _added(place: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """Sums of ``n`` by place; floats hold whole numbers up to 2 ** 53."""
+    return np.bincount(place, n, minlength=size).astype(np.int64)
+
+
+def _joined(rows: pa.Table, order: str, column: str, rising: bool = False) -> np.ndarray:
+    """What the parts sent a block, in the order of the parts."""
+    kept = rows.filter(pa.compute.is_valid(rows.column(column))).sort_by(order)
+    return np.concatenate([np.zeros(0, np.int64), *(unpacked(v, rising) for v in kept.column(column).to_pylist())])
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    """What orders words; its upper half tells a word's part."""
+    upper = np.fromiter(map(crc32, words), np.uint64, len(words))
+    return upper << np.uint64(32) | np.fromiter(map(adler32, words), np.uint64, len(words))
+
+
+def _numbered(df: DataFrame, id_type: T.DataType, block_rows: int) -> DataFrame:
+    """A row per block: ids, train flags, lengths and word numbers of its texts; its words and their training counts.
+
+    Words are numbered by the order of their hashes, so those of one part follow each other.
+    """
+
+    def row(block, ids, train, lengths, read, number):
+        words, ids = list(number), pa.concat_arrays(ids)
+        order = np.argsort(_hashes(words), kind="stable")
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        read = place[np.frombuffer(read, np.int32)]
+        used = np.array(train, np.int64)
+        n = _added(read, np.repeat(used, lengths), len(words))
+        cells = [packed(used), packed(np.array(lengths)), packed(read), _squeezed(GAP.join([words[i] for i in order])), packed(n)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+             *(pa.array([c], pa.binary()) for c in cells), pa.array([len(words)], pa.int64()), pa.array([len(read)], pa.int64())],
+            names=schema.names,
+        )
 
     def run(batches):
-        number, keys, counted, seen = states.value, [], [], Counter()
-        for block, train, texts in _blocks(batches):
-            if texts is None:
-                if keys:
-                    pair, place = np.unique(np.concatenate(keys), return_inverse=True)
-                    n = np.bincount(place, np.concatenate(counted), minlength=len(pair)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(pair), pa.nulls(len(pair), pa.binary()), pa.array(np.full(len(pair), block)), pa.array(n)],
-                        ["pair", "both", "block", "n"],
-                    )
-                if seen:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(len(seen), pa.int64()), pa.array(list(seen), pa.binary()), pa.array(np.full(len(seen), block)),
-                         pa.array(list(seen.values()), pa.int64())],
-                        ["pair", "both", "block", "n"],
-                    )
-                keys, counted, seen = [], [], Counter()
-                continue
-            for used, text in zip(train, texts):
-                read = tokens(text)
-                s = np.array([number.get(w, -1) for w in read], np.int64)
-                both = (s[:-1] >= 0) & (s[1:] >= 0)
-                k = (s[:-1][both] << _SHIFT) | s[1:][both]
-                keys.append(k)
-                counted.append(np.full(len(k), int(used), np.int8))
-                for i in np.flatnonzero(~both).tolist() if whole else ():
-                    seen[read[i] + GAP + read[i + 1]] += used
-
-    return blocked.select("block", "train", "text").mapInArrow(run, "pair long, both binary, block long, n long")
-
-
-def _with_totals(counts: DataFrame, *key: str) -> DataFrame:
-    """Add the key's total over all blocks, and whether the row is the key's first."""
-    order = Window.partitionBy(*key).orderBy("block")
-    return counts.select(
-        "*",
-        F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
-        (F.row_number().over(order) == 1).alias("first"),
+        def fresh():
+            number = defaultdict()
+            number.default_factory = number.__len__
+            return [], [], [], array("i"), number
+
+        block, held = TaskContext.get().partitionId() << 32, fresh()
+        for batch in batches:
+            id_column, start = batch.column(2), 0
+            for i, (used, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                ids, train, lengths, read, number = held
+                words = tokens(text)
+                read.extend(map(number.__getitem__, words))
+                train.append(int(used))
+                lengths.append(len(words))
+                if len(train) >= block_rows or len(read) >= BLOCK_TOKENS:
+                    ids.append(id_column.slice(start, i + 1 - start))
+                    yield row(block, *held)
+                    block, held, start = block + 1, fresh(), i + 1
+            if start < len(batch):
+                held[0].append(id_column.slice(start))
+        if held[1]:
+            yield row(block, *held)
+
+    schema = T.StructType([
+        T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(id_type)),
+        *[T.StructField(n, T.BinaryType()) for n in ("train", "lengths", "read", "words", "n")],
+        T.StructField("n_words", T.LongType()), T.StructField("n_tokens", T.LongType()),
+    ])
+    return df.mapInArrow(run, schema)
+
+
+def _word_totals(blocks: DataFrame, parts: int, min_count: int) -> DataFrame:
+    """(part, block, numbers, totals) for the words of each block in each part; tokens, words and the largest number once per part.
+
+    A word seen less than ``min_count`` times has the number 0.
+    """
+
+    def asked(batches):
+        for batch in batches:
+            for block, words, n in zip(*(c.to_pylist() for c in batch.columns)):
+                words, n = _spread(words).split(GAP), unpacked(n)
+                part = _hashes(words) >> np.uint64(32)
+                cuts = np.searchsorted(part * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1)).tolist()
+                rows = [(p, block, _squeezed(GAP.join(words[a:b])), packed(n[a:b])) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+                yield pa.RecordBatch.from_pylist([dict(zip(wanted.names, r)) for r in rows], schema=wanted)
+
+    def answered(rows: pa.Table) -> pa.Table:
+        p, number, places, counts = rows.column("part")[0].as_py(), defaultdict(), [], []
+        number.default_factory = number.__len__
+        for words, n in zip(rows.column("words").to_pylist(), rows.column("n").to_pylist()):
+            places.append(np.fromiter(map(number.__getitem__, _spread(words).split(GAP)), np.int64))
+            counts.append(unpacked(n))
+        total = _added(np.concatenate(places), np.concatenate(counts), len(number))
+        order = np.argsort(_hashes(list(number)), kind="stable")
+        order = order[total[order] >= min_count]
+        numbers = np.zeros(len(number), np.int64)
+        numbers[order] = 1 + p + parts * np.arange(len(order))
+        once, none = [int(total.sum()), int((total > 0).sum()), int(numbers.max())], [0, 0, 0]
+        told = [once, *[none] * (len(places) - 1)]
+        return pa.table({
+            "part": rows.column("part"), "block": rows.column("block"),
+            # Words without a number would break the rising order: they come as a list of their own.
+            "numbers": pa.array([packed(numbers[i][numbers[i] > 0], rising=True) for i in places], pa.binary()),
+            "totals": pa.array([packed(total[i]) for i in places], pa.binary()),
+            **{name: pa.array([t[i] for t in told], pa.int64()) for i, name in enumerate(("tokens", "distinct", "largest"))},
+        })
+
+    wanted = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("n", pa.binary())])
+    asks = blocks.select("block", "words", "n").mapInArrow(asked, "part int, block long, words binary, n binary")
+    return asks.groupBy("part").applyInArrow(
+        answered, "part int, block long, numbers binary, totals binary, tokens long, distinct long, largest long"
+    )
+
+
+def _known(words: pa.Table, min_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and totals of a block's words in their order."""
+    totals = _joined(words, "part", "totals")
+    numbers = np.zeros(len(totals), np.int64)
+    numbers[totals >= min_count] = _joined(words, "part", "numbers", rising=True)
+    return numbers, totals
+
+
+class _Pairs:
+    """Pairs as whole numbers: their part times ``width`` plus the rest, so sorted pairs of one part follow each other."""
+
+    def __init__(self, numbers: int, parts: int):
+        self.numbers, self.parts = numbers, parts
+        self.width = numbers * numbers // parts + 1
+
+    def keys(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x = a * self.numbers + b
+        return x % self.parts * self.width + x // self.parts
+
+    def first(self, part: int, rest: np.ndarray) -> np.ndarray:
+        """The number of the first word."""
+        return (rest * self.parts + part) // self.numbers
+
+    def of(self, read: np.ndarray, lengths: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places of second words, distinct pairs in order, which of them is at each place); ``states`` are 0 for other words."""
+        s = states[read]
+        both = (s[:-1] > 0) & (s[1:] > 0)
+        both[np.cumsum(lengths)[:-1] - 1] = False  # from the end of a text to the next one
+        at = np.flatnonzero(both) + 1
+        pairs, which = np.unique(self.keys(s[at - 1], s[at]), return_inverse=True)
+        return at, pairs, which
+
+
+def _prime_from(n: int) -> int:
+    while any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
+def _pair_totals(blocks: DataFrame, words: DataFrame, pairs: _Pairs, parts: int, min_count: int, least: float) -> DataFrame:
+    """(block, pair_part, arcs): totals of each block's pairs, 0 for less than ``min_count``; and what arcs hold per first word.
+
+    The latter are rows (part, numbers, held, arcs): part and numbers of words, the sum of the totals of their arcs and their number.
+    """
+
+    def asked(docs: pa.Table, known: pa.Table) -> pa.Table:
+        train, lengths, read = (unpacked(docs.column(c)[0].as_py()) for c in ("train", "lengths", "read"))
+        numbers, totals = _known(known, min_count)
+        at, keys, which = pairs.of(read, lengths, np.where(totals >= least, numbers, 0))
+        n = _added(which, np.repeat(train, lengths)[at], len(keys))
+        cuts = np.searchsorted(keys, np.arange(pairs.parts + 1) * pairs.width).tolist()
+        held = [(q, a, b) for q, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+        return pa.table({
+            "pair_part": pa.array([q for q, _, _ in held], pa.int32()),
+            "block": pa.array([docs.column("block")[0].as_py()] * len(held), pa.int64()),
+            "rest": pa.array([packed(keys[a:b] - q * pairs.width, rising=True) for q, a, b in held], pa.binary()),
+            "n": pa.array([packed(n[a:b]) for _, a, b in held], pa.binary()),
+        })
+
+    def answered(rows: pa.Table) -> pa.Table:
+        q = rows.column("pair_part")[0].as_py()
+        rests = [unpacked(v, rising=True) for v in rows.column("rest").to_pylist()]
+        keys, which = np.unique(np.concatenate(rests), return_inverse=True)
+        total = _added(which, np.concatenate([unpacked(v) for v in rows.column("n").to_pylist()]), len(keys))
+        total[total < min_count] = 0
+        answers = np.split(total[which], np.cumsum([len(r) for r in rests])[:-1])
+        # Arcs per first word; words of one part, which their numbers tell, go together.
+        states, place = np.unique(pairs.first(q, keys[total > 0]), return_inverse=True)
+        held, arcs = _added(place, total[total > 0], len(states)), np.bincount(place, minlength=len(states))
+        part = (states - 1) % parts
+        order = np.lexsort((states, part))
+        cuts = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+        groups = [(p, order[a:b]) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+        return pa.table({
+            "block": pa.array([*rows.column("block").to_pylist(), *[None] * len(groups)], pa.int64()),
+            "pair_part": pa.array([*[q] * len(answers), *[None] * len(groups)], pa.int32()),
+            "arcs": pa.array([*map(packed, answers), *(packed(arcs[g]) for _, g in groups)], pa.binary()),
+            "part": pa.array([*[None] * len(answers), *(p for p, _ in groups)], pa.int32()),
+            "numbers": pa.array([*[None] * len(answers), *(packed(states[g], rising=True) for _, g in groups)], pa.binary()),
+            "held": pa.array([*[None] * len(answers), *(packed(held[g]) for _, g in groups)], pa.binary()),
+        })
+
+    docs = blocks.select("block", "train", "lengths", "read").groupBy("block")
+    asks = docs.cogroup(words.select("block", "part", "numbers", "totals").groupBy("block")).applyInArrow(
+        asked, "pair_part int, block long, rest binary, n binary"
+    )
+    return asks.groupBy("pair_part").applyInArrow(
+        answered, "block long, pair_part int, arcs binary, part int, numbers binary, held binary"
     )
 
 
+def _with_held(words: DataFrame, sums: DataFrame, parts: int) -> DataFrame:
+    """Add to the words of each block what their arcs hold, in the order of those that have a number."""
+
+    def run(known: pa.Table, sums: pa.Table) -> pa.Table:
+        if not len(known):
+            return empty
+        rows = [(unpacked(known_numbers, rising=True) - 1) // parts for known_numbers in known.column("numbers").to_pylist()]
+        size = 1 + max((int(r.max(initial=-1)) for r in rows), default=-1)
+        held, arcs = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        for numbers, h, a in zip(*(sums.column(c).to_pylist() for c in ("numbers", "held", "arcs"))):
+            at = (unpacked(numbers, rising=True) - 1) // parts  # each once
+            held[at] += unpacked(h)
+            arcs[at] += unpacked(a)
+        return pa.table({
+            "block": known.column("block"), "part": known.column("part"), "numbers": known.column("numbers"), "totals": known.column("totals"),
+            "held": pa.array([packed(held[r]) for r in rows], pa.binary()), "followers": pa.array([packed(arcs[r]) for r in rows], pa.binary()),
+        })
+
+    schema = "block long, part int, numbers binary, totals binary, held binary, followers binary"
+    names = [c.split()[0] for c in schema.split(", ")]
+    empty = pa.table({c: pa.array([], t) for c, t in zip(names, [pa.int64(), pa.int32(), *[pa.binary()] * 4])})
+    known = words.select("block", "part", "numbers", "totals").groupBy("part")
+    return known.cogroup(sums.select("part", "numbers", "held", "arcs").groupBy("part")).applyInArrow(run, schema)
+
+
 class Automaton:
-    """The part of the model that one block can reach."""
-
-    def __init__(self, root: dict[bytes, tuple[float, int, int]], unknown: float, arcs: dict[int, float], failure: list[float]):
-        self.root, self.arcs, self.failure = root, arcs, failure
-        self.unseen = (unknown, -1, 0)
-
-    def score(self, text: str | None) -> tuple[int, int, float, float]:
-        """(tokens, known tokens, base, score) in one traversal."""
-        root, arcs, failure, unseen = self.root, self.arcs, self.failure, self.unseen
-        base = total = 0.0
-        known, state, read = 0, -1, tokens(text)
-        for w in read:
-            p, to, count = root.get(w, unseen)
-            base += p
-            known += count > 0
-            if state < 0:
-                total += p
-            else:
-                arc = arcs.get(state << _WIDE | to) if to >= 0 else None
-                total += failure[state] + p if arc is None else arc
-            state = to
-        return len(read), known, base, total
+    """The part of the model that one block can reach; its words are known by their numbers in the block."""
+
+    def __init__(self, totals: np.ndarray, mass: np.ndarray, size: int, discount: float):
+        self.totals, self.discount = totals, discount
+        self.root = np.log10((totals + 1) / size)
+        #: The weight of the failure arc; none is lost where a word has no arcs.
+        self.failure = np.log10(np.maximum(1 - mass / np.maximum(totals, 1), 1e-12))
+
+    def score(self, read: np.ndarray, lengths: np.ndarray, at: np.ndarray, arcs: np.ndarray) -> Iterator[np.ndarray]:
+        """(known tokens, base, score) of all texts in one traversal; ``arcs``: totals of the pairs that end at the places ``at``.
+
+        The state in which a token is read is the word before it, at the begin of a text the root.
+        """
+        text, root = np.repeat(np.arange(len(lengths)), lengths), self.root[read]
+        taken = root.copy()
+        taken[1:] += self.failure[read[:-1]]
+        begins = np.cumsum(lengths) - lengths
+        taken[begins] = root[begins]
+        at, arcs = at[arcs > 0], arcs[arcs > 0]
+        state = read[at - 1]
+        taken[at] = np.log10((arcs - self.discount) / self.totals[state] + 10 ** (self.failure[state] + root[at]))
+        for weights in (self.totals[read] > 0, root, taken):
+            yield np.bincount(text, weights, minlength=len(lengths))
 
 
 def scored(
@@ -170,80 +344,49 @@ def scored(
     """(id, n_tokens, n_known, train_tokens, base_score, score) per row. ``train``: a condition. Runs jobs.
 
     ``state_share``: only words of this share of all tokens are states; every word, if it is None.
+    ``numbered_share`` is without effect: it chose words that had numbers, and all words seen ``min_count`` times have them now.
     """
-    whole = state_share is None
-    spark = df.sparkSession
-    small_batches(spark)
-    # The row number only groups neighbouring rows; it is stored with them, so later stages agree on it.
-    row = F.monotonically_increasing_id()
-    blocked = stored(
-        df.select(
-            (F.shiftright(row, 33) * (1 << 20) + (row.bitwiseAND(F.lit((1 << 33) - 1)) / block_rows).cast("long")).alias("block"),
-            F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"), F.col(id_col).alias("id"),
-        ),
-        "blocks",
-    )
-    words = stored(_with_totals(_word_counts(blocked), "word").where("total > 0"), "words")
+    small_batches(df.sparkSession)
+    id_type = df.schema[id_col].dataType
+    # Blocks are cut where the rows are; they are stored, so later stages agree on them.
+    texts = df.select(F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
+    blocks = stored(_numbered(texts, id_type, block_rows), "blocks")
+    size = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_words", "n_tokens")]).first()
+    parts = 1 + size["n_words"] // PART_WORDS
+    words = stored(_word_totals(blocks, parts, min_count), "words")
     sums = words.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if("first").alias("v")
+        *[F.coalesce(f(c), F.lit(0)).alias(c) for f, c in ((F.sum, "tokens"), (F.sum, "distinct"), (F.max, "largest"))]
     ).first()
-    all_tokens, size = sums["n"], sums["n"] + sums["v"] + 1
-    least = max(min_count, all_tokens * (numbered_share if whole else state_share))
-    # At most 1 / share words can make up that share of all tokens.
-    frequent = sorted((bytes(r["word"]), r["total"]) for r in words.where(F.col("first") & (F.col("total") >= least)).select("word", "total").collect())
-    numbers = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(frequent)})
-    counted = _with_totals(_pair_counts(blocked, numbers, whole), "pair", "both")
-    pairs = stored(counted.where(F.col("total") >= min_count), "pairs")
-    # The mass that the arcs of a state hold: by the number of its word, or by the word.
-    state = F.shiftright("pair", _SHIFT).alias("state")
-    word = F.substring_index(F.col("both").cast("string"), " ", 1).cast("binary").alias("word")
-    kept = pairs.where("first").groupBy(state, word).agg(F.sum(F.col("total") - discount).alias("mass"))
-    kept = stored(kept, "masses")
-    mass = Counter()
-    for r in kept.where("state is not null").collect():
-        mass[r["state"]] += r["mass"]
-    known = words.where(F.col("first") & (F.col("total") >= least)).select("word")
-    place = {w: i for i, (w, _) in enumerate(frequent)}
-    for r in kept.where("state is null").join(F.broadcast(known), "word", "left_semi").collect():
-        mass[place[bytes(r["word"])]] += r["mass"]
-    counts = [c for _, c in frequent]
-    failure = [log10(max(1 - mass[i] / c, 1e-12)) for i, c in enumerate(counts)]
-    model = spark.sparkContext.broadcast((frequent, failure))
-
-    rare = words.where(F.col("total") < least).join(kept.where("state is null").select("word", "mass"), "word", "left")
-    entries = (
-        rare.select("block", "word", F.lit(None).cast("long").alias("pair"), "total", "mass")
-        .unionByName(pairs.select("block", F.col("both").alias("word"), "pair", "total", F.lit(None).cast("double").alias("mass")))
-    )
-    id_type = df.schema[id_col].dataType
-
-    def run(docs: pa.Table, totals: pa.Table) -> pa.Table:
-        frequent, failure = model.value
-        root = {w: (log10((c + 1) / size), i, c) for i, (w, c) in enumerate(frequent)}
-        fail, numbered, spelled, arcs = list(failure), [], [], {}
-        for w, k, c, held in zip(*(totals.column(i).to_pylist() for i in (1, 2, 3, 4))):
-            if k is not None:
-                numbered.append((k, c))
-            elif GAP in w:
-                spelled.append((w, c))
-            else:
-                root[w] = (log10((c + 1) / size), len(fail) if whole else -1, c)
-                fail.append(log10(max(1 - (held or 0.0) / c, 1e-12)))
-        for k, c in numbered:
-            a, b = k >> _SHIFT, k & (1 << _SHIFT) - 1
-            arcs[a << _WIDE | b] = log10((c - discount) / frequent[a][1] + 10 ** (fail[a] + root[frequent[b][0]][0]))
-        for both, c in spelled:
-            (_, a, n), (p, b, _) = map(root.get, both.split(GAP))
-            arcs[a << _WIDE | b] = log10((c - discount) / n + 10 ** (fail[a] + p))
-        reader = Automaton(root, log10(1 / size), arcs, fail)
-        out = [reader.score(t) for t in docs.column("text").to_pylist()]
+    all_tokens, smoothed = sums["tokens"], sums["tokens"] + sums["distinct"] + 1
+    if sums["largest"] >= _MOST:
+        raise ValueError(f"more than {_MOST} words occur {min_count} times or more")
+    least = max(min_count, 0 if state_share is None else all_tokens * state_share)
+    # A prime number of parts that does not divide the numbers deals pairs evenly, whatever word is frequent.
+    pair_parts = _prime_from(2 + size["n_tokens"] // PART_PAIRS)
+    pairs = _Pairs(sums["largest"] + 1 + ((sums["largest"] + 1) % pair_parts == 0), pair_parts)
+    totals = stored(_pair_totals(blocks, words, pairs, parts, min_count, least), "pairs")
+    held = _with_held(words, totals.where("part is not null"), parts)
+    answers = held.unionByName(totals.where("part is null").select("block", "pair_part", "arcs"), allowMissingColumns=True)
+
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        lengths, read = (unpacked(docs.column(c)[0].as_py()) for c in ("lengths", "read"))
+        known = answers.filter(pa.compute.is_valid(answers.column("part")))
+        numbers, totals = _known(known, min_count)
+        mass = np.zeros(len(totals))
+        mass[totals >= min_count] = _joined(known, "part", "held") - discount * _joined(known, "part", "followers")
+        at, keys, which = pairs.of(read, lengths, np.where(totals >= least, numbers, 0))
+        arcs = _joined(answers, "pair_part", "arcs")
+        if len(arcs) != len(keys):
+            raise ValueError("answers do not fit a block's pairs")
+        ids = docs.column("ids").combine_chunks().flatten()
+        n_known, base, score = Automaton(totals, mass, smoothed, discount).score(read, lengths, at, arcs[which])
         return pa.table({
-            id_col: docs.column("id"), "n_tokens": pa.array([o[0] for o in out], pa.int64()),
-            "n_known": pa.array([o[1] for o in out], pa.int64()), "train_tokens": pa.array([all_tokens] * len(out), pa.int64()),
-            "base_score": pa.array([o[2] for o in out], pa.float64()), "score": pa.array([o[3] for o in out], pa.float64()),
+            id_col: ids, "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(n_known.astype(np.int64)),
+            "train_tokens": pa.array(np.full(len(lengths), all_tokens), pa.int64()), "base_score": pa.array(base), "score": pa.array(score),
         })
 
     longs = [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")]
     doubles = [T.StructField(n, T.DoubleType()) for n in ("base_score", "score")]
     schema = T.StructType([T.StructField(id_col, id_type), *longs, *doubles])
-    return blocked.groupBy("block").cogroup(entries.groupBy("block")).applyInArrow(run, schema)
+    docs = blocks.select("block", "ids", "lengths", "read")
+    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
