@@ -6,7 +6,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tierflow.operators import changes
-from tierflow.operators.merge import upsert_or_delete
+from tierflow.operators.merge import upsert, upsert_or_delete
+from tierflow.operators.repair import delete_where
+from tierflow.plans import delta, report, run
 from tierflow.sources.tables import SIGN, LayerStore
 
 
@@ -64,3 +66,54 @@ def test_a_column_that_came_is_null_before(spark, rows, tmp_path):
     store.publish("conformed", "t", rows("k int", (1,)))
     store.publish("conformed", "t", rows("k int, v string", (1, "a"), (2, None)))
     assert values(store.changes("conformed", "t", 1).select("k", "v", F.col(SIGN))) == [(1, "a", 1), (1, None, -1), (2, None, 1)]
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_merges_shuffle_each_side_once(rows):
+    target = rows("k int, v string, w int", (1, "a", 1), (2, "b", 2), (None, "n", 0), (7, "g", 7))
+    source = rows("k int, v string, w int", (2, "c", 1), (2, "d", 0), (3, "e", 5), (None, "m", 1), (None, "m", 1))
+    target.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        merged = upsert(target, source, ["k"], on_dup="last")
+        assert shuffles(merged) == 2
+        assert values(merged) == [(1, "a", 1), (2, "d", 0), (3, "e", 5), (7, "g", 7), (None, "m", 1), (None, "m", 1), (None, "n", 0)]
+        marked = source.selectExpr("*", "false as _gone").unionByName(
+            rows("k int, v string, w int, _gone boolean", (7, None, None, True), (9, None, None, True), (None, None, None, True))
+        )
+        after = upsert_or_delete(target, marked, ["k"], apart=True, update_cols=["v", "w"], on_dup="last", mark_changes=True)
+        assert shuffles(after) == 2
+        assert values(after.drop("_change")) == [r for r in values(merged) if r[0] != 7]
+        assert values(after.filter("_change = 'inserted'"), "k") == [(3,), (None,), (None,)]
+    finally:
+        target.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_filter_of_a_table_is_written_where_it_lies(spark, rows, tmp_path, monkeypatch):
+    store = LayerStore(spark, str(tmp_path))
+    store.publish("conformed", "t", rows("k int, v int", *[(i, i % 3) for i in range(40)], (None, 0), (None, 1)), bucket_keys=["k"], buckets=4)
+    dealt, hint = [], type(store.read("conformed", "t")).hint
+    monkeypatch.setattr(type(store.read("conformed", "t")), "hint", lambda df, name, *a: dealt.append(name) or hint(df, name, *a))
+    job = run.Repair("conformed", "t", lambda df: delete_where(df, F.col("v") == 1))
+    assert run.run_repair(store, [job], "r", "gone") == {"t": 14}
+    assert dealt == []
+    left = store.read("conformed", "t")
+    assert left.count() == 28 and left.filter("v = 1").isEmpty()
+    store.merge("conformed", "t", rows("k int, v int", (0, 9), (1, 9)), ["k"])
+    assert store.read("conformed", "t").count() == 29 and values(store.read("conformed", "t").filter("v = 9")) == [(0, 9), (1, 9)]
+
+
+def test_moved_counts_name_groups_that_are_gone(rows):
+    fact = "student_id int, resource_id int, title string, cohort_code string, college_name string, submission_status string, submitted_at int"
+    before = rows(fact, (1, 1, "t", "c", None, "under review", 5), (1, 1, "t", "c", None, "under review", 3), (1, 2, None, "c", "x", "reviewed", 1), (2, 1, "t", "c", "x", "under review", 2))
+    after = rows(fact, (1, 1, "t", "c", None, "under review", 3), (2, 1, "t", "c", "x", "under review", 2), (2, 1, "t", "c", "x", "under review", 9), (3, 3, "n", "c", "x", "rejected", 4))
+    signed = rows(
+        fact + ", _sign long", (1, 1, "t", "c", None, "under review", 5, -1), (1, 2, None, "c", "x", "reviewed", 1, -1),
+        (2, 1, "t", "c", "x", "under review", 9, 1), (3, 3, "n", "c", "x", "rejected", 4, 1),
+    )
+    moved = delta.moved_counts(report.submission_counts(before, report.GROUP, with_rows=True), signed)
+    assert values(moved.filter("rows <= 0"), "student_id", "resource_id") == [(1, 2)]
+    want = report.submission_counts(after, report.GROUP, with_rows=True)
+    assert values(delta.adjusted_counts(moved, after), *want.columns) == values(want)

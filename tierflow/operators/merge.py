@@ -42,17 +42,20 @@ def _salt(df: DataFrame, keys: list[str]) -> Column:
 
 
 def _last_rows(source: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """The last row per key in one pass over the source; rows with a NULL key all stay.
+    """The last row per key in one pass over the source; rows with a NULL key all stay. ``_salt`` is added.
 
     Map tasks combine rows of one key first. Equal rows with a NULL key are counted, and listed again in pieces of bounded size.
     """
-    grouped = source.withColumn("_salt", _salt(source, keys)).groupBy(*keys, "_salt").agg(
-        F.max_by(F.struct(*source.columns), F.struct(*order_by)).alias("_row"), F.count(F.lit(1)).alias("_n")
-    )
-    counted = grouped.select("_row", F.when(F.col("_salt") != 0, F.col("_n")).otherwise(1).alias("_n"))
+    # The keys are in the group; a row that is its own order travels once.
+    row = F.struct(*([c for c in source.columns if c not in keys] or keys))
+    last = F.max(row) if list(order_by) == source.columns else F.max_by(row, F.struct(*order_by))
+    grouped = source.withColumn("_salt", _salt(source, keys)).groupBy(*keys, "_salt").agg(last.alias("_row"), F.count(F.lit(1)).alias("_n"))
+    # Keys and salt stay the grouped columns, so a join by them finds the rows where they lie.
+    counted = grouped.select(*keys, "_salt", "_row", F.when(F.col("_salt") != 0, F.col("_n")).otherwise(1).alias("_n"))
     pieces = counted.select("*", F.explode(F.expr(f"sequence(0L, (_n - 1) div {_PIECE})")).alias("_piece"))
     size = F.least(F.lit(_PIECE), F.col("_n") - F.col("_piece") * _PIECE)
-    return pieces.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_copy")).select("_row.*")
+    rows = pieces.select("*", F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_copy"))
+    return rows.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in source.columns], "_salt")
 
 
 def _one_source_row(source: DataFrame, keys: list[str], on_dup: str, order_by: list[str] | None) -> DataFrame:
@@ -114,8 +117,8 @@ def upsert(
     shared = [c for c in source.columns if c in target.columns and c not in keys]
     updated = set(shared if update_cols is None else update_cols)
 
-    rows = _one_source_row(source, keys, on_dup, order_by).select(*keys, *shared)
-    rows = rows.withColumn("_salt", _salt(rows, keys))
+    rows = _one_source_row(source, keys, on_dup, order_by)
+    rows = rows.select(*keys, *shared, "_salt" if "_salt" in rows.columns else _salt(rows, keys).alias("_salt"))
     incoming = rows.select(*[F.col(c).alias(f"_s_{c}") for c in rows.columns], F.lit(True).alias("_in_source"))
     present = target.withColumn("_salt", _salt(target, keys)).withColumn("_in_target", F.lit(True))
     pairs = [(k, f"_s_{k}") for k in keys]
@@ -155,8 +158,17 @@ def upsert(
     return joined.select(*[merged(c) for c in target.columns], *change)
 
 
-def upsert_or_delete(target: DataFrame, source: DataFrame, keys: list[str], **options) -> DataFrame:
-    """``upsert`` of the source rows whose ``_gone`` is false; target rows with the key of a gone one leave. A NULL key names no row."""
+def upsert_or_delete(target: DataFrame, source: DataFrame, keys: list[str], apart: bool = False, **options) -> DataFrame:
+    """``upsert`` of the source rows whose ``_gone`` is false; target rows with the key of a gone one leave. A NULL key names no row.
+
+    ``apart``: the caller states that no key is both gone and upserted, and none gone twice. The mark then passes the one join of the
+    upsert, and the target is not shuffled for the rows that leave.
+    """
+    if apart:
+        if options.get("update_cols") is not None:
+            options["update_cols"] = [*options["update_cols"], "_gone"]
+        merged = upsert(target.withColumn("_gone", F.lit(False)), source, keys, **options)
+        return merged.filter("not _gone").drop("_gone")
     gone = source.filter("_gone").select(*keys).distinct()
     return upsert(target.join(gone, keys, "left_anti"), source.filter("not _gone").drop("_gone"), keys, **options)
 

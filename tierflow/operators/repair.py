@@ -15,10 +15,11 @@ from .sizing import BROADCAST_BYTES, measured_bytes
 
 @dataclass(frozen=True)
 class Split:
-    """Both sides of a delete: ``kept`` and ``removed`` together are the input."""
+    """Both sides of a delete: ``kept`` and ``removed`` together are the input; ``in_place``: kept rows lie as the input's rows do."""
 
     kept: DataFrame
     removed: DataFrame
+    in_place: bool = False
 
     def apply(self, dry_run: bool = False) -> DataFrame:
         """The table after the delete; with ``dry_run`` the table as it was."""
@@ -100,7 +101,7 @@ def update_listed(
 def delete_where(df: DataFrame, condition: Column) -> Split:
     """Rows where the condition is true go; where it is false or NULL they stay."""
     hit = F.coalesce(condition, F.lit(False))
-    return Split(df.filter(~hit), df.filter(hit))
+    return Split(df.filter(~hit), df.filter(hit), in_place=True)
 
 
 def delete_listed(

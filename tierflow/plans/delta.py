@@ -73,11 +73,12 @@ def _merged(store: LayerStore, layer: str, name: str, rows: DataFrame, touched:
     """Upsert the rows and delete the touched keys that have none any more."""
     keys = MERGE_KEYS[name]
     rows = stored(rows, name)
-    gone = touched.select(*keys).distinct().join(rows.select(*keys).distinct(), keys, "left_anti")
+    # Looked at three times from here on.
+    gone = stored(touched.select(*keys).distinct().join(rows.select(*keys).distinct(), keys, "left_anti"), f"{name}-gone")
     source = rows.withColumn("_gone", F.lit(False)).unionByName(gone.withColumn("_gone", F.lit(True)), allowMissingColumns=True)
     if source.isEmpty():
         return None
-    return store.merge(layer, name, source, keys, merged_by=upsert_or_delete, update_cols=update_cols, on_dup="last")
+    return store.merge(layer, name, source, keys, merged_by=upsert_or_delete, apart=True, update_cols=update_cols, on_dup="last")
 
 
 def run_enrich_changes(
@@ -145,10 +146,10 @@ def publish_counts(store: LayerStore) -> Published:
     return store.publish("reporting", COUNTS, counts, bucket_keys=MERGE_KEYS["resubmission_count_overview"])
 
 
-def adjusted_counts(counts: DataFrame, changes: DataFrame, facts: DataFrame) -> DataFrame:
-    """The groups of ``counts`` that signed rows touch, as they are now; a group without rows left is not listed.
+def moved_counts(counts: DataFrame, changes: DataFrame) -> DataFrame:
+    """The groups of ``counts`` that signed rows touch, with their counts now; a group that is gone has 0 ``rows``.
 
-    Counts move by the signed rows. A maximum moves up by new rows; where a removed row held it, the group's facts are read again.
+    Counts move by the signed rows. A maximum moves up by new rows; where a removed row held it, the group is ``lost``.
     """
     status, sign, at = F.col("submission_status"), F.col(SIGN), F.col("submitted_at")
     submitted = status == report.SUBMITTED
@@ -164,19 +165,26 @@ def adjusted_counts(counts: DataFrame, changes: DataFrame, facts: DataFrame) ->
     same = reduce(lambda a, b: a & b, [F.col(f"c.{g}").eqNullSafe(F.col(f"d.{g}")) for g in report.GROUP])
     pairs = there.join(here, same, "left")
     zero = F.lit(0).cast("long")
-    now = pairs.select(
+    return pairs.select(
         *[F.col(f"d.{g}").alias(g) for g in report.GROUP],
         *[(F.coalesce(F.col(f"c.{c}"), zero) + F.col(d)).alias(c) for c, d in (("total_submissions", "d_total"), ("accepted_count", "d_accepted"), ("rejected_count", "d_rejected"), ("rows", "d_rows"))],
         F.greatest("c.last_submission_date", "came").alias("last_submission_date"),
         (F.col("went") >= F.col("c.last_submission_date")).alias("lost"),
     )
-    now = stored(now.filter("rows > 0"), "adjusted")
-    lost = now.filter("lost").select(*report.GROUP)
+
+
+def adjusted_counts(moved: DataFrame, facts: DataFrame) -> DataFrame:
+    """``moved_counts`` with the maximum of lost groups, for which their submitted facts are read again; without groups that are gone.
+
+    ``moved`` is read several times.
+    """
+    lost = moved.filter("rows > 0 and lost").drop("lost", "last_submission_date")
     # Null-safe on the whole group, with the keys that are never NULL in a fact first.
-    again = facts.alias("f").join(lost.alias("l"), reduce(lambda a, b: a & b, [F.col(f"f.{g}").eqNullSafe(F.col(f"l.{g}")) for g in report.GROUP]), "left_semi")
-    whole = report.submission_counts(again, report.GROUP, with_rows=True)
-    kept = now.filter("lost is null or not lost").drop("lost")
-    return kept.unionByName(whole.select(*kept.columns))
+    submitted = facts.filter(F.col("submission_status") == report.SUBMITTED).select(*report.GROUP, "submitted_at")
+    again = lost.alias("l").join(submitted.alias("f"), reduce(lambda a, b: a & b, [F.col(f"l.{g}").eqNullSafe(F.col(f"f.{g}")) for g in report.GROUP]), "left")
+    whole = again.groupBy(*[F.col(f"l.{c}").alias(c) for c in lost.columns]).agg(F.max("f.submitted_at").alias("last_submission_date"))
+    kept = moved.filter("rows > 0 and (lost is null or not lost)").drop("lost")
+    return kept.unionByName(stored(whole, "recounted").select(*kept.columns))
 
 
 def run_report_changes(store: LayerStore, since: dict[str, int]) -> dict[str, Published | None]:
@@ -188,19 +196,18 @@ def run_report_changes(store: LayerStore, since: dict[str, int]) -> dict[str, Pu
     touched = None
     if inputs.changed("final_assignment", "enriched"):
         changes = stored(inputs.changes("final_assignment", "enriched"), "changes")
-        touched = changes.select(*report.GROUP).distinct()
-        counts = store.read("reporting", COUNTS)
-        now = stored(adjusted_counts(counts, changes, inputs.now("final_assignment", "enriched")), "counts")
-        gone = touched.join(now.select(*report.GROUP).withColumn("_now", F.lit(True)), _null_safe(touched, now, report.GROUP), "left_anti")
-        source = now.withColumn("_gone", F.lit(False)).unionByName(gone.withColumn("_gone", F.lit(True)), allowMissingColumns=True)
+        moved = stored(moved_counts(store.read("reporting", COUNTS), changes), "moved")
+        now = adjusted_counts(moved, inputs.now("final_assignment", "enriched"))
+        gone = moved.filter("rows <= 0").drop("lost")
+        source = now.withColumn("_gone", F.lit(False)).unionByName(gone.withColumn("_gone", F.lit(True)))
         store.merge("reporting", COUNTS, source, keys, merged_by=_groups_replaced)
-        touched = touched.select(*keys).distinct()
+        touched = moved.select(*keys)
     if people is not None:
-        theirs = store.read("reporting", COUNTS).join(people, "student_id", "left_semi").select(*keys).distinct()
-        touched = theirs if touched is None else touched.unionByName(theirs).distinct()
+        theirs = store.read("reporting", COUNTS).join(people, "student_id", "left_semi").select(*keys)
+        touched = theirs if touched is None else touched.unionByName(theirs)
     done[overview] = None
     if touched is not None:
-        touched = stored(touched, "touched")
+        touched = stored(touched.distinct(), "touched")
         groups = store.read("reporting", COUNTS).drop("rows").join(touched, keys, "left_semi")
         rows = report.overview_of(groups, students)
         done[overview] = _merged(store, "reporting", overview, rows, touched, [c for c in rows.columns if c not in keys])
@@ -221,10 +228,6 @@ def run_report_changes(store: LayerStore, since: dict[str, int]) -> dict[str, Pu
     return done
 
 
-def _null_safe(left: DataFrame, right: DataFrame, columns: list[str]):
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
-
-
 def _groups_replaced(target: DataFrame, source: DataFrame, keys: list[str], mark_changes: bool = False) -> DataFrame:
     """Groups of the source take the place of equal ones (NULLs alike); groups that are gone leave."""
     kept = target.join(source.select(*[F.col(g).alias(f"_{g}") for g in report.GROUP]), reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in report.GROUP]), "left_anti")

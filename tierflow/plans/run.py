@@ -248,7 +248,7 @@ def run_repair(store: LayerStore, repairs: list[Repair], run_id: str, label: str
         backup = write_audit(parts.removed, f"{store.root}/audit", run_id, f"{label}_{step.table}")
         lost = audited(store.spark, backup, run_id)
         n = lost.count()
-        return {"removed": n, "backup": backup, "staged": store.stage_delete(step.layer, step.table, parts.kept, lost) if n else None}
+        return {"removed": n, "backup": backup, "staged": store.stage_delete(step.layer, step.table, parts.kept, lost, parts.in_place) if n else None}
 
     plan = [(step, log.once(f"prepare {step.layer}.{step.table}", lambda step=step: prepared(step))) for step in repairs]
     for step, made in plan:

@@ -126,16 +126,21 @@ class LayerStore:
         return df if columns is None else df.select(*columns)
 
     def _stage(
-        self, layer: str, name: str, df: DataFrame, earlier: list, bucket_keys: list[str] | None = None, buckets: int | None = None
+        self, layer: str, name: str, df: DataFrame, earlier: list, bucket_keys: list[str] | None = None, buckets: int | None = None,
+        in_place: bool = False,
     ) -> tuple[list, Published]:
-        """Write the folder of a new version; its log row makes it current once it is logged."""
+        """Write the folder of a new version; its log row makes it current once it is logged.
+
+        Rows that come ``in_place``, from the files of few buckets for each task, are not dealt to their buckets by a shuffle.
+        """
         log = self._log_rows(layer, name)
         last = None if log is None else log.agg(F.max("version").alias("version"), F.max("entry").alias("entry")).first()
         version, entry = (1, 1) if last is None else (last["version"] + 1, last["entry"] + 1)
         path = self._folder(layer, name, version)
         schema = df.drop(CHANGE).schema
         if bucket_keys:
-            df = df.withColumn(_BUCKET, key_bucket(bucket_keys, buckets, schema)).hint("rebalance", _BUCKET)
+            df = df.withColumn(_BUCKET, key_bucket(bucket_keys, buckets, schema))
+            df = df if in_place else df.hint("rebalance", _BUCKET)
         seen = counted_write(df, path, partition_by=_BUCKET if bucket_keys else None)
         folders = [*[[p, list(r)] for p, r in earlier], [path, []]]
         inserted, updated = seen.get("inserted"), seen.get("updated")
@@ -149,10 +154,11 @@ class LayerStore:
         self._log(layer, name, tuple(row))
         return published
 
-    def stage_delete(self, layer: str, name: str, kept: DataFrame, lost: DataFrame) -> list:
+    def stage_delete(self, layer: str, name: str, kept: DataFrame, lost: DataFrame, in_place: bool = False) -> list:
         """Write the table without the ``lost`` rows and return the log row that ``switch`` makes current.
 
         ``kept`` and ``lost`` are the current version. The layout stays; of a table in buckets only those that lose rows are written.
+        ``in_place``: ``kept`` is a filter of the version, so its rows are written by the tasks that read them.
         """
         current = self._current(layer, name)
         keys, buckets, earlier = current["bucket_keys"], current["buckets"], []
@@ -161,7 +167,7 @@ class LayerStore:
             touched = sorted(r["b"] for r in lost.select(bucket.alias("b")).distinct().collect())  # at most ``buckets`` + 1 numbers
             kept = kept.filter(bucket.isin(touched))
             earlier = [(path, sorted({*replaced, *touched})) for path, replaced in current["folders"]]
-        return self._stage(layer, name, kept, earlier, keys, buckets)[0]
+        return self._stage(layer, name, kept, earlier, keys, buckets, in_place)[0]
 
     def switch(self, layer: str, name: str, staged: list) -> bool:
         """Make a staged version current; nothing happens if it was made so before. Whether something did."""
