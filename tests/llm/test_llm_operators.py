@@ -22,6 +22,7 @@ from tierflow.llm import (
     quotation_links,
     sentence_pieces,
     severity_grades,
+    shingle_join,
     simhash_trees,
     spaced_seeds,
     warc_bundles,
@@ -330,6 +331,40 @@ def test_links_within_a_shard_agree_with_brute_force():
         assert [groups.find(i) for i in range(n)] == [brute.find(i) for i in range(n)]
 
 
+def test_pairs_without_a_common_shard_key_are_linked(rows):
+    data = []
+    for n, seed in enumerate((4782, 26244, 47694)):  # of 60,000 such pairs these have no key in common and differ in over three bits
+        r = random.Random(seed)
+        words = [f"w{r.randrange(10**6)}" for _ in range(60)]
+        data += [(2 * n, " ".join(words)), (2 * n + 1, " ".join([*words[:20], "other", *words[21:58]]))]
+        one, two = (np.unique(simhash_trees.shingle_hashes(t, 5)) for _, t in data[-2:])
+        assert jaccard(data[-2][1], data[-1][1]) >= 0.8 and not set(simhash_trees.shard_keys(one)) & set(simhash_trees.shard_keys(two))
+        assert (simhash_trees.majority(one) ^ simhash_trees.majority(two)).bit_count() > simhash_trees.RADIUS
+    got = dict(values(simhash_trees.near_duplicates(rows("doc_id long, text string", *data)), "doc_id", "component_id"))
+    assert got == {i: i - i % 2 for i in got}
+
+
+def test_no_link_is_lost_if_the_trees_find_nothing(rows, monkeypatch):
+    # Fingerprints of near copies are far apart, so only what follows the trees is left; groups of more than two members are looked at again.
+    monkeypatch.setattr(simhash_trees, "majority", simhash_trees.set_hash)
+    monkeypatch.setattr(shingle_join, "SMALL_GROUP", 2)
+    r, texts = random.Random(31), []
+    for family in range(8):
+        base = prose(1100 + family, r.choice([9, 30, 120])).split()
+        for n in range(6):
+            words = list(base)
+            for _ in range(n % 4 * len(base) // 60):
+                words[r.randrange(len(words))] = f"changed{r.randrange(10**6)}"
+            texts.append(" ".join(words[: len(words) - r.randrange(0, 1 + len(base) // 12)]))
+    got = dict(values(simhash_trees.near_duplicates(rows("doc_id long, text string", *enumerate(texts))), "doc_id", "component_id"))
+    parent = list(range(len(texts)))
+    for i, j in combinations(parent[:], 2):
+        if jaccard(texts[i], texts[j]) >= 0.8:
+            low, high = sorted((parent[i], parent[j]))
+            parent = [low if x == high else x for x in parent]
+    assert got == dict(enumerate(parent))
+
+
 def test_one_row_stays_per_group(rows):
     df = rows("doc_id long, text string, n string", (2, "a b", "x"), (1, "a b", "y"), (1, "a b", "y"), (3, "c", "z"), (None, None, "n"))
     kept = simhash_trees.one_per_group(df, simhash_trees.near_duplicates(df))

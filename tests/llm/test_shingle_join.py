@@ -135,6 +135,23 @@ def test_pigeonhole_for_pairs_at_the_bound():
         assert set(k1[r1 & np.uint64(2) > 0].tolist()) & set(k2[r2 & np.uint64(1) > 0].tolist())
 
 
+def test_first_shingles_of_pairs_at_the_bound_meet():
+    r, bands = random.Random(9), shingle_join.Bands(80)
+    for _ in range(400):
+        a = r.choice([1, 4, 5, 7, 11, 30, 90, 400])
+        one = [r.randrange(2**63) for _ in range(a)]
+        gone, new = r.randrange(0, a // 5 + 1), r.randrange(0, a // 4 + 1)
+        two = one[gone:] + [r.randrange(2**63) for _ in range(new)]
+        if 100 * (a - gone) < 80 * (a + new):
+            continue
+        costs = shingle_join.Costs([], [], 1000)
+        costs.keys = np.sort(np.array(r.sample(one, min(a, 50)), np.uint64))
+        costs.counts = np.array([r.randrange(2, 9) for _ in costs.keys])
+        (k1, r1), (k2, r2) = (shingle_join.first_shingles(np.unique(np.array(s, np.uint64)), bands, costs) for s in (one, two))
+        assert set(k1.tolist()) & set(k2.tolist()) and set(r1.tolist()) == set(r2.tolist()) == {shingle_join.INDEX | shingle_join.PROBE}
+        assert len(k1) <= a // 5 + 1
+
+
 def test_sketches_bound_the_difference():
     r = np.random.default_rng(4)
     for n in (3, 70, 900, 9000):

@@ -52,6 +52,9 @@ NUMBER_ROWS, HELD_PAIRS, FILTER_BITS = 1 << 15, 1 << 20, 1 << 26
 #: Pairs of each two components of a group that the first further round proposes, and growth from one round to the next.
 FIRST_ROUND, ROUND_GROWTH = 64, 16
 INDEX, PROBE = 1, 2
+#: Texts to their sets of shingles, each ascending; and a set to its keys with their roles.
+Shingles = Callable[[list], list[np.ndarray]]
+Keys = Callable[[np.ndarray, "Bands", "Costs"], tuple[np.ndarray, np.ndarray]]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -200,6 +203,17 @@ def entries(hashes: np.ndarray, bands: Bands, costs: Costs) -> tuple[np.ndarray,
     return (np.concatenate(keys), np.concatenate(roles)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
 
 
+def first_shingles(hashes: np.ndarray, bands: Bands, costs: Costs) -> tuple[np.ndarray, np.ndarray]:
+    """In place of ``entries``: the shingles of a set that come first by count, then hash; every one is listed and asks.
+
+    Similar sets share ``percent`` of the larger one's shingles or more. So the first of the shared ones, the same in both since the order
+    is, stands before all that either set may keep of them: one more of its shingles than it may lack in the other.
+    """
+    n = len(hashes) - -(-len(hashes) * bands.percent // 100) + 1
+    order = np.argsort(costs.of(hashes), kind="stable")[:n]  # a set's hashes ascend
+    return hashes[order], np.full(len(order), INDEX | PROBE, np.uint64)
+
+
 def node_of(distinct: np.ndarray) -> int:
     """The name of a set; its two lowest bits are free for a role."""
     return set_hash(distinct) & ~3
@@ -237,7 +251,7 @@ class FrequentShingles:
         self.keys, self.counts, self.fresh, self.held = keys[kept][order], counts[kept][order], [], 0
 
 
-def sketched(df: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
+def sketched(df: DataFrame, id_col: str, text_col: str, shingles: Shingles) -> DataFrame:
     """Rows (id, node, size, sketch) of documents, node NULL without shingles, and (shingle, count) of a task's frequent shingles.
 
     Of equal sets in a task the first has the sketch.
@@ -248,7 +262,7 @@ def sketched(df: DataFrame, id_col: str, text_col: str, shingle_words: int) -> D
         kind, names = None, [id_col, "node", "size", "sketch", "shingle", "count"]
         for batch in batches:
             kind, nodes, sizes, sketches = batch.column(0).type, [], [], []
-            for distinct in shingle_sets(batch.column(1).to_pylist(), shingle_words):
+            for distinct in shingles(batch.column(1).to_pylist()):
                 node = node_of(distinct) if len(distinct) else None
                 fresh = node is not None and node not in seen
                 if fresh:
@@ -271,19 +285,19 @@ def sketched(df: DataFrame, id_col: str, text_col: str, shingle_words: int) -> D
     return df.select(id_col, text_col).mapInArrow(run, T.StructType(fields))
 
 
-def _listed(df: DataFrame, text_col: str, shingle_words: int, bands: Bands, costs: Costs) -> DataFrame:
+def _listed(df: DataFrame, text_col: str, shingles: Shingles, keys_of: Keys, bands: Bands, costs: Costs) -> DataFrame:
     """Rows (key, tag) of all sets; a tag is a node with a role. A task lists equal sets once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
             keys, tags, held = [], [], 0
-            for distinct in shingle_sets(batch.column(0).to_pylist(), shingle_words):
+            for distinct in shingles(batch.column(0).to_pylist()):
                 node = node_of(distinct)
                 if not len(distinct) or node in seen:
                     continue
                 seen.add(node)
-                found, roles = entries(distinct, bands, costs)
+                found, roles = keys_of(distinct, bands, costs)
                 keys.append(found)
                 tags.append(roles | np.uint64(node))
                 held += len(found)
@@ -560,8 +574,8 @@ def _filter_of(hashes: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
     return holds
 
 
-def _sets_of(df: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle_words: int, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) of the given nodes, each from one of its documents.
+def sets_of(df: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingles: Shingles, nodes: DataFrame) -> DataFrame:
+    """(node, shingles) of the given nodes, each from one of its documents (id, node).
 
     Texts are not shuffled: a task looks at those whose id passes a small filter.
     """
@@ -572,7 +586,7 @@ def _sets_of(df: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle
         seen = set()
         for batch in batches:
             batch, nodes, sets = batch.filter(pa.array(holds(batch.column(0).to_numpy().view(np.uint64)))), [], []
-            for distinct in shingle_sets(batch.column(1).to_pylist(), shingle_words):
+            for distinct in shingles(batch.column(1).to_pylist()):
                 node = node_of(distinct)
                 if len(distinct) and node not in seen:
                     seen.add(node)
@@ -602,7 +616,7 @@ def may_be_similar(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataF
     return pairs.join(one, "u").join(two, "v").select("u", "v", "a", "s", "b", "t").mapInArrow(run, "u long, v long")
 
 
-def similar(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def similar(links: DataFrame, sets: DataFrame, percent: float) -> DataFrame:
     """Those links (u, v) whose whole sets (node, shingles) are similar."""
     one = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     two = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
@@ -629,14 +643,25 @@ def _split_groups(again: DataFrame, roots: DataFrame, sketches: DataFrame) -> Da
     return cells(PROBE, F.xxhash64("key", "own", "other")).unionByName(cells(INDEX, F.xxhash64("key", "other", "own")))
 
 
-def jaccard_components(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80
-) -> DataFrame:
-    """(id, n_shingles, component_id) per row: the least id reachable by links between similar sets. Runs jobs."""
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (u, v) of different components."""
+    one, two = (roots.select(F.col("node").alias(end), F.col("root").alias(f"of_{end}")).hint("merge") for end in ("u", "v"))
+    named = pairs.join(one, "u", "left").join(two, "v", "left")
+    return named.where(F.coalesce("of_u", "u") != F.coalesce("of_v", "v")).select("u", "v")
+
+
+def linked_sets(
+    df: DataFrame, id_col: str, text_col: str, shingles: Shingles, percent: int, keys_of: Keys = entries, known: DataFrame | None = None,
+    exact_percent: float | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Documents (id, node, size) and the (node, root) of those nodes that have links. Runs jobs.
+
+    With ``known`` links (u, v) of nodes only pairs that these leave apart are looked at. ``exact_percent`` has a bound's part of a percent.
+    """
     spark = df.sparkSession
     small_batches(spark)
     bands = Bands(percent)
-    seen = stored(sketched(df, id_col, text_col, shingle_words), "sketches")
+    seen = stored(sketched(df, id_col, text_col, shingles), "sketches")
     docs = seen.where("size IS NOT NULL").select(id_col, "node", "size")
     sketches = seen.where("sketch IS NOT NULL").select("node", "size", "sketch").dropDuplicates(["node"])
     documents = docs.count()
@@ -644,7 +669,7 @@ def jaccard_components(
     frequent = frequent.where(F.col("count") >= FREQUENT * documents / 2).orderBy(F.desc("count"), "shingle").limit(COST_ENTRIES).collect()
     costs = Costs([r["shingle"] for r in frequent], [r["count"] for r in frequent], documents)
 
-    listed = _listed(df, text_col, shingle_words, bands, costs)
+    listed = _listed(df, text_col, shingles, keys_of, bands, costs)
     small_batches(spark, NUMBER_ROWS)
     found = stored(_proposed(listed), "proposals")
     small_batches(spark)
@@ -652,11 +677,15 @@ def jaccard_components(
     def checked(pairs: DataFrame) -> DataFrame:
         near = stored(may_be_similar(pairs, sketches, bands), "near")
         ends = stored(near.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "ends")
-        sets = stored(_sets_of(df, docs, id_col, text_col, shingle_words, ends), "sets")
-        return stored(similar(near, sets, percent), "links")
-
-    tried = stored(found.where("key IS NULL").select("u", "v").distinct(), "pairs")
-    links = checked(tried)
+        sets = stored(sets_of(df, docs, id_col, text_col, shingles, ends), "sets")
+        return stored(similar(near, sets, exact_percent or percent), "links")
+
+    tried = found.where("key IS NULL").select("u", "v").distinct()
+    if known is not None:
+        roots = stored(components(known), "roots")
+        tried = _apart(tried, roots)
+    tried = stored(tried, "pairs")
+    links = checked(tried) if known is None else known.unionByName(checked(tried))
     roots = stored(components(links), "roots")
 
     # Rounds until no group has a pair left that crosses components and was not verified.
@@ -672,7 +701,14 @@ def jaccard_components(
         if more.isEmpty():
             break
         again, n = stored(again.join(more, "key", "left_semi"), "again"), n * ROUND_GROWTH
+    return docs, roots
+
 
+def jaccard_components(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80
+) -> DataFrame:
+    """(id, n_shingles, component_id) per row: the least id reachable by links between similar sets. Runs jobs."""
+    docs, roots = linked_sets(df, id_col, text_col, lambda texts: shingle_sets(texts, shingle_words), percent)
     firsts = docs.where("node IS NOT NULL").groupBy("node").agg(F.min(id_col).alias("first_id"))
     named = stored(firsts.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root")), "named")
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))

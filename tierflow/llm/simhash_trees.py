@@ -25,6 +25,7 @@ copies. An empty table gives an empty result. Other columns are ignored unless a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import floor
 
 import numpy as np
 import pyarrow as pa
@@ -468,10 +469,10 @@ def _undirected(links: DataFrame) -> DataFrame:
 
 
 def set_hash(distinct: np.ndarray) -> int:
-    """One hash of a whole shingle set, given in order."""
+    """One hash of a whole shingle set, given in order; its two lowest bits are zero."""
     import xxhash
 
-    return xxhash.xxh64_intdigest(distinct.tobytes(), SEED)
+    return xxhash.xxh64_intdigest(distinct.tobytes(), SEED) & ~3
 
 
 def near_duplicates(
@@ -481,8 +482,11 @@ def near_duplicates(
     """(id, fingerprint, component_id): rows linked by a shared part of ``similarity`` or more of their shingle sets.
 
     Equal shingle sets are copies and one node; links between other nodes, of equal fingerprint too, are proposed
-    by the trees and count after a check on whole shingle sets. Runs jobs.
+    by the trees and count after a check on whole shingle sets; at last those that the trees left apart come from ``shingle_join``.
+    Runs jobs.
     """
+    from tierflow.llm import shingle_join  # it imports this module
+
     small_batches(df.sparkSession)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -522,26 +526,32 @@ def near_duplicates(
     apart = stored(_open_nodes(asked, radius, similarity), "open")
     sets = _sets(apart.select("node").distinct(), df, docs, id_col, text_col, shingle_words)
     more = stored(_set_links(apart.join(sets.hint("merge"), "node"), radius, similarity), "more")
-    return _classes(docs.select(id_col, "fingerprint", "node"), nodes, components(sure.unionByName(more)), id_col)
+
+    # Minimal hashes are random, and so are the wide radius and the least hashes. What all of that left apart meets by shingles: no link is lost.
+    def distinct(texts: list[str | None]) -> list[np.ndarray]:
+        return [np.unique(shingle_hashes(t, shingle_words)) for t in texts]
+
+    known = sure.unionByName(more)
+    _, roots = shingle_join.linked_sets(df, id_col, text_col, distinct, floor(100 * similarity), shingle_join.first_shingles, known, 100 * similarity)
+    return _classes(docs.select(id_col, "fingerprint", "node"), nodes, roots, id_col)
 
 
 def _sets(nodes: DataFrame, df: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
-    """(node, part): the shingle set of each node's first text, as hashes of 32 bits. Runs a job."""
+    """(node, part): the shingle set of each node, as hashes of 32 bits. Texts are not shuffled. Runs jobs."""
+    from tierflow.llm import shingle_join  # it imports this module
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def distinct(texts: list[str | None]) -> list[np.ndarray]:
+        return [np.unique(shingle_hashes(t, shingle_words)) for t in texts]
+
+    def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [np.unique(shingle_hashes(t, shingle_words)) for t in batch.column(0).to_pylist()]
-            named = np.array([set_hash(h) for h in hashes], np.uint64).view(np.int64)
-            parts = [np.unique((h >> np.uint64(32)).astype(np.uint32)).view(np.int32) for h in hashes]
-            yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(parts, pa.list_(pa.int32()))], ["node", "part"])
+            of = batch.column(1)
+            sets = [np.unique(x.values.to_numpy().view(np.uint64) >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in of]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int32()))], ["node", "part"])
         give_back()
 
-    asked = stored(docs.join(nodes, "node").groupBy("node").agg(F.min(id_col).alias("__id")).select("__id").distinct(), "asked")
-    texts = df.join(asked, df[id_col].eqNullSafe(asked["__id"]), "left_semi").select(text_col)
-    return stored(
-        texts.mapInArrow(sets, "node long, part array<int>").groupBy("node").agg(F.max("part").alias("part")).join(nodes, "node", "left_semi"),
-        "shingle-sets",
-    )
+    found = shingle_join.sets_of(df, docs, id_col, text_col, distinct, nodes)
+    return stored(found.mapInArrow(shortened, "node long, part array<int>"), "shingle-sets")
 
 
 def _similar(
