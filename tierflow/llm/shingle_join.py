@@ -33,7 +33,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -632,15 +632,19 @@ def _split_groups(again: DataFrame, roots: DataFrame, sketches: DataFrame) -> Da
     mixed = named.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("rows"))
     mixed = stored(mixed.where("a <> b").select("key", F.ceil(F.col("rows") / F.lit(GROUP_ROWS)).cast("int").alias("n")), "mixed")
     rows = named.join(mixed, "key").join(sketches, "node")
-    # Probing rows of each chunk meet listed rows of each chunk; a group of one chunk is one cell.
+    # Probing rows of each chunk meet listed rows of each chunk; a group of one chunk is one cell, to which a row of both roles goes once.
     own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("n")).cast("int")
+    chunks = F.sequence(F.lit(0), F.col("n") - 1)
 
-    def cells(role: int, cell) -> DataFrame:
-        some = rows.where(F.col("tag").bitwiseAND(F.lit(role).cast("long")) > 0).withColumn("tag", F.col("node").bitwiseOR(F.lit(role).cast("long")))
-        spread = some.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        return spread.select(cell.alias("cell"), "key", "tag", "root", "size", "sketch")
+    def cells(role: int, cell: Callable) -> Column:
+        has = F.col("tag").bitwiseAND(F.lit(role).cast("long")) > 0
+        tag = F.col("node").bitwiseOR(F.lit(role).cast("long"))
+        return F.when(has, F.transform(chunks, lambda other: F.struct(cell(other).alias("cell"), tag.alias("tag")))).otherwise(F.array())
 
-    return cells(PROBE, F.xxhash64("key", "own", "other")).unionByName(cells(INDEX, F.xxhash64("key", "other", "own")))
+    several = F.concat(cells(PROBE, lambda other: F.xxhash64("key", "own", other)), cells(INDEX, lambda other: F.xxhash64("key", other, "own")))
+    one = F.array(F.struct(F.xxhash64("key", F.lit(0), F.lit(0)).alias("cell"), "tag"))
+    spread = rows.withColumn("own", own).withColumn("__cells", F.when(F.col("n") == 1, one).otherwise(several))
+    return spread.select(F.explode("__cells").alias("c"), "key", "root", "size", "sketch").select("c.cell", "key", "c.tag", "root", "size", "sketch")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -650,6 +654,13 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return named.where(F.coalesce("of_u", "u") != F.coalesce("of_v", "v")).select("u", "v")
 
 
+def _near_sizes(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) whose sizes (node, size) allow them to be similar."""
+    one, two = (sizes.select(F.col("node").alias(end), F.col("size").alias(f"of_{end}")).hint("merge") for end in ("u", "v"))
+    near = 100 * F.least("of_u", "of_v") >= percent * F.greatest("of_u", "of_v")
+    return pairs.join(one, "u").join(two, "v").where(near).select("u", "v")
+
+
 def linked_sets(
     df: DataFrame, id_col: str, text_col: str, shingles: Shingles, percent: int, keys_of: Keys = entries, known: DataFrame | None = None,
     exact_percent: float | None = None,
@@ -683,7 +694,7 @@ def linked_sets(
     tried = found.where("key IS NULL").select("u", "v").distinct()
     if known is not None:
         roots = stored(components(known), "roots")
-        tried = _apart(tried, roots)
+        tried = _near_sizes(_apart(tried, roots), docs.select("node", "size").dropDuplicates(["node"]), percent)
     tried = stored(tried, "pairs")
     links = checked(tried) if known is None else known.unionByName(checked(tried))
     roots = stored(components(links), "roots")

@@ -577,8 +577,12 @@ def _classes(docs: DataFrame, firsts: DataFrame, roots: DataFrame, id_col: str)
 
 
 def one_per_group(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose id names its component; of rows that repeat id and text one stays. Runs a job."""
+    """The rows whose id names its component; of rows that repeat id and text one stays. Runs jobs."""
     names = stored(groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct(), "names")
-    # The list of names grows with the rows, so it is joined by a shuffle whatever its size.
-    rows = df.join(names.hint("merge"), df[id_col].eqNullSafe(names["__id"]), "left_semi")
-    return rows.withColumn("__text", F.xxhash64(text_col)).dropDuplicates([id_col, "__text"]).drop("__text")
+    # The list of names grows with the rows, so it is joined by a shuffle whatever its size. Rows lie by id then, where copies are found.
+    here = df.withColumn("__text", F.xxhash64(text_col))
+    named = names.where("__id IS NOT NULL").hint("merge")
+    rows = here.join(named, here[id_col] == named["__id"], "left_semi").dropDuplicates([id_col, "__text"])
+    if not names.where("__id IS NULL").isEmpty():
+        rows = rows.unionByName(here.where(F.col(id_col).isNull()).dropDuplicates([id_col, "__text"]))
+    return rows.drop("__text")
