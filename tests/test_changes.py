@@ -117,3 +117,14 @@ def test_moved_counts_name_groups_that_are_gone(rows):
     assert values(moved.filter("rows <= 0"), "student_id", "resource_id") == [(1, 2)]
     want = report.submission_counts(after, report.GROUP, with_rows=True)
     assert values(delta.adjusted_counts(moved, after), *want.columns) == values(want)
+
+
+def test_a_marked_key_that_is_upserted_too_stays(rows):
+    target = rows("k string, v string, w string", ("a", "old", "x"), ("b", "old", "x"), ("c", "old", "x"))
+    marked = rows(
+        "k string, v string, w string, _gone boolean",
+        ("a", None, None, True), ("a", None, None, False), ("b", None, None, True), ("b", None, None, True), ("d", None, None, True), ("e", "new", "y", False),
+        (None, None, None, True), (None, "new", "y", False),
+    )
+    after = upsert_or_delete(target, marked, ["k"], apart=True, update_cols=["v", "w"], on_dup="last", mark_changes=True)
+    assert values(after) == [("a", None, None, "updated"), ("c", "old", "x", None), ("e", "new", "y", "inserted"), (None, "new", "y", "inserted")]

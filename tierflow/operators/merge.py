@@ -161,14 +161,16 @@ def upsert(
 def upsert_or_delete(target: DataFrame, source: DataFrame, keys: list[str], apart: bool = False, **options) -> DataFrame:
     """``upsert`` of the source rows whose ``_gone`` is false; target rows with the key of a gone one leave. A NULL key names no row.
 
-    ``apart``: the caller states that no key is both gone and upserted, and none gone twice. The mark then passes the one join of the
-    upsert, and the target is not shuffled for the rows that leave.
+    ``apart``: a gone row only marks its key, which stays if the source upserts it too; then ``on_dup="last"`` is needed. The mark passes the
+    one join of the upsert, and the target is not shuffled for the rows that leave.
     """
     if apart:
         if options.get("update_cols") is not None:
-            options["update_cols"] = [*options["update_cols"], "_gone"]
-        merged = upsert(target.withColumn("_gone", F.lit(False)), source, keys, **options)
-        return merged.filter("not _gone").drop("_gone")
+            options["update_cols"] = [*options["update_cols"], "_kept"]
+        # First of the columns, so that of the rows of one key a kept one is the last.
+        marked = source.select((~F.col("_gone")).alias("_kept"), *[c for c in source.columns if c != "_gone"])
+        merged = upsert(target.withColumn("_kept", F.lit(True)), marked, keys, **options)
+        return merged.filter("_kept").drop("_kept")
     gone = source.filter("_gone").select(*keys).distinct()
     return upsert(target.join(gone, keys, "left_anti"), source.filter("not _gone").drop("_gone"), keys, **options)
 

@@ -70,12 +70,12 @@ class _Inputs:
 
 
 def _merged(store: LayerStore, layer: str, name: str, rows: DataFrame, touched: DataFrame, update_cols: list[str]) -> Published | None:
-    """Upsert the rows and delete the touched keys that have none any more."""
+    """Upsert the rows and delete the touched keys that have none any more. ``touched`` is read several times."""
     keys = MERGE_KEYS[name]
     rows = stored(rows, name)
-    # Looked at three times from here on.
-    gone = stored(touched.select(*keys).distinct().join(rows.select(*keys).distinct(), keys, "left_anti"), f"{name}-gone")
-    source = rows.withColumn("_gone", F.lit(False)).unionByName(gone.withColumn("_gone", F.lit(True)), allowMissingColumns=True)
+    # Every touched key is marked as gone; the merge's one look at a key finds whether it has a row.
+    marks = touched.select(*keys).withColumn("_gone", F.lit(True))
+    source = rows.withColumn("_gone", F.lit(False)).unionByName(marks, allowMissingColumns=True)
     if source.isEmpty():
         return None
     return store.merge(layer, name, source, keys, merged_by=upsert_or_delete, apart=True, update_cols=update_cols, on_dup="last")
@@ -223,7 +223,7 @@ def run_report_changes(store: LayerStore, since: dict[str, int]) -> dict[str, Pu
         rows = report.registration_overview(
             inputs.now("student_demography", "enriched").join(ids, "student_id", "left_semi"), students, inputs.now("student_registration_details")
         )
-        before = store.read("reporting", registration).join(ids, "student_id", "left_semi").select(*MERGE_KEYS[registration])
+        before = stored(store.read("reporting", registration).join(ids, "student_id", "left_semi").select(*MERGE_KEYS[registration]), "before")
         done[registration] = _merged(store, "reporting", registration, rows, before, [c for c in rows.columns if c not in MERGE_KEYS[registration]])
     return done
 
